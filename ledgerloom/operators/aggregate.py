@@ -15,10 +15,13 @@ def hourly(df: DataFrame, ts: str, amount: str) -> DataFrame:
                       F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias("total_count"), F.sum(amount).alias("total_sum"))
 
 
+def period_sums(df: DataFrame, key: str, period: Column, value: str) -> DataFrame:
+    return df.groupBy(key, period.alias("_period")).agg(F.sum(value).alias("_sum"))
+
+
 def period_then_mean(df: DataFrame, key: str, period: Column, value: str, name: str) -> DataFrame:
     """Sum per key and period, then the mean of those sums per key."""
-    sums = df.groupBy(key, period.alias("_period")).agg(F.sum(value).alias("_sum"))
-    return sums.groupBy(key).agg(F.avg("_sum").alias(name))
+    return period_sums(df, key, period, value).groupBy(key).agg(F.avg("_sum").alias(name))
 
 
 def conflicting_keys(df: DataFrame, keys: list, value: str) -> DataFrame:

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.text import parse_amount
-from ledgerloom.operators.dedupe import latest_per_key
+from ledgerloom.operators.dedupe import pick_per_key
 
 # Part of the report format that the rules read.
 REPORT_SCHEMA = """
@@ -17,8 +17,9 @@ ConsumerHitResponse struct<BODY: struct<
 
 
 def latest_reports(reports: DataFrame) -> DataFrame:
-    """Newest report per client, parsed; ``body`` holds the report sections."""
-    newest = latest_per_key(reports, "client_id", F.col("created_at").desc())
+    """Newest report per client, parsed; ``body`` holds the report sections.
+    Reports of the same time are told apart by their text."""
+    newest = pick_per_key(reports.select("client_id", "created_at", "report"), ["client_id"], ["created_at", "report"])
     parsed = F.from_json("report", " ".join(REPORT_SCHEMA.split()))
     return newest.select("client_id", parsed.getField("ConsumerHitResponse").getField("BODY").alias("body"))
 
@@ -27,26 +28,20 @@ def report_features(reports: DataFrame, banks: list) -> DataFrame:
     """Facility and institution measures per client.
 
     Lists stay inside their row: they are folded with array functions, so no
-    rows are made and none have to be grouped again. A client with several
-    newest reports is merged at the end.
+    rows are made and none have to be grouped again.
     """
-    body = latest_reports(reports)
     facilities = F.coalesce(F.col("body.CreditFacilityHistory24"), F.array())
-    amounts = F.transform(facilities, lambda f: F.coalesce(parse_amount(f["AMOUNT_OVERDUE_CAL"]).cast("decimal(18,2)"), F.lit(0)))
-    institutions = F.filter(F.transform(F.col("body.ClassificationInsType"), lambda i: i["INSTITUTION_TYPE"]), lambda t: t.isNotNull())
-    per_report = body.select(
+    amounts = F.transform(facilities, lambda f: F.coalesce(parse_amount(f["AMOUNT_OVERDUE_CAL"]), F.lit(0.0)))
+    types = F.filter(F.transform(F.col("body.ClassificationInsType"), lambda i: i["INSTITUTION_TYPE"]), lambda t: t.isNotNull())
+    return latest_reports(reports).select(
         "client_id",
-        F.size(facilities).alias("n"),
-        F.aggregate(amounts, F.lit(0).cast("decimal(28,2)"), lambda a, x: (a + x).cast("decimal(28,2)")).alias("overdue"),
-        F.array_max(F.transform(facilities, lambda f: f["NUM_OF_DAYS_IN_ARREARS_CAL"].try_cast("int"))).alias("arrears"),
-        F.array_distinct(institutions).alias("types"),
-        F.exists(facilities, lambda f: f["INSTITUTION_NAME"].isin(banks)).alias("at_bank"),
+        F.size(facilities).alias("total_no_of_facilities"),
+        F.aggregate(amounts, F.lit(0.0), lambda total, x: total + x).alias("total_overdue_amount"),
+        F.array_max(F.transform(facilities, lambda f: f["NUM_OF_DAYS_IN_ARREARS_CAL"].try_cast("int"))).alias("maximum_days_in_arrears"),
+        F.size(F.array_distinct(types)).alias("no_of_institution_types"),
+        F.coalesce(F.exists(facilities, lambda f: f["INSTITUTION_NAME"].isin(banks)), F.lit(False)).alias("at_deposit_bank"),
         F.to_json("body.CreditFacilityHistory24").alias("facilities_json"),
     )
-    return per_report.groupBy("client_id").agg(
-        F.sum("n").alias("total_no_of_facilities"), F.sum("overdue").cast("double").alias("total_overdue_amount"),
-        F.max("arrears").alias("maximum_days_in_arrears"), F.max(F.size("types")).alias("no_of_institution_types"),
-        F.bool_or(F.coalesce("at_bank", F.lit(False))).alias("at_deposit_bank"), F.max("facilities_json").alias("facilities_json"))
 
 
 def bureau_rules(summary: DataFrame, features: DataFrame) -> DataFrame:
