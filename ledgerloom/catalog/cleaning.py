@@ -48,7 +48,7 @@ def phone_numbers(spark, d):
 
 
 @query("name_split", """
-with words as (select conv_id, turn, list_filter(regexp_split_to_array(text, '\\s+'), x -> x <> '') as w from conversations)
+with words as (select conv_id, turn, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') as w from conversations)
 select conv_id, turn, w[1] as first_name, w[2] as middle_name,
   case when len(w) > 2 then array_to_string(w[3:], ' ') end as last_name from words""")
 def name_split(spark, d):

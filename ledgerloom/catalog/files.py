@@ -66,7 +66,8 @@ def append_by_month(spark, d):
 
 
 def _events_stream(spark, d):
-    return feeds.parquet_stream(spark, f"{d}/events.parquet", table(spark, d, "events").schema)
+    # A pattern, as a stream takes folders and patterns but no single file.
+    return feeds.parquet_stream(spark, f"{d}/events.*", table(spark, d, "events").schema)
 
 
 @query("stream_unique_requests", "select distinct event_id from events")

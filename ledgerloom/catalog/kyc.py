@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.registry import query, table
-from ledgerloom.functions.similarity import token_set_ratio
+from ledgerloom.functions.similarity import with_token_scores
 from ledgerloom.plans import kyc
 
 
@@ -22,14 +22,11 @@ def name_similarity(spark, d):
 
 @query("kyc_batches")
 def kyc_batches(spark, d):
-    return kyc.triage(kyc.name_scores(_names(spark, d))).select("national_id", "batch", "own_ops", "own_registry", "ops_registry")
+    return kyc.triage(_names(spark, d)).select("national_id", "batch", "own_ops", "own_registry", "ops_registry")
 
 
-@query("name_similarity_shared", """
-with t as (select p_partkey, list_sort(list_distinct(string_split(p_name, ' '))) as a, list_sort(list_distinct(string_split(p_name || ' ' || lower(p_type), ' '))) as b from part),
-s as (select p_partkey, length(array_to_string(list_sort(list_intersect(a, b)), ' ')) as n, length(array_to_string(b, ' ')) as nb from t)
-select p_partkey, cast(100 as bigint) as score from s""")
+@query("name_similarity_shared", "select p_partkey, cast(100 as bigint) as score from part")
 def name_similarity_shared(spark, d):
     """One name's words are all in the other: a full score, whatever follows."""
-    part = table(spark, d, "part")
-    return part.select("p_partkey", token_set_ratio(F.col("p_name"), F.concat_ws(" ", F.lower("p_type"), F.upper("p_name"))).cast("long").alias("score"))
+    names = table(spark, d, "part").select("p_partkey", "p_name", F.concat_ws(" ", F.lower("p_type"), F.upper("p_name")).alias("longer"))
+    return with_token_scores(names, {"score": ("p_name", "longer")}).select("p_partkey", F.col("score").cast("long").alias("score"))

@@ -4,7 +4,10 @@ Bindings only rename and derive columns row by row, so that an operator meets
 lending columns; every query reads whole tables. ``CTE`` holds the same
 bindings as SQL.
 """
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.payload import computed_once
+from ledgerloom.sources.readers import table  # noqa: F401
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -28,16 +31,9 @@ def query(name: str, sql: str | None = None, ctes: tuple = ()):
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def money(c) -> F.col:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
-
-
-def text_of(c):
-    return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
+    """Amounts as decimals short enough for products to stay in 18 digits."""
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(12,2)")
 
 
 def clients(spark, d):
@@ -68,8 +64,9 @@ def repayments(spark, d):
 def activity(spark, d):
     """Events as agent activity: an error is a refused request, a purchase a
     commission; the balance is what is left after a fixed charge."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, d, "events").select(
+    k = F.col("k")
+    events = computed_once(table(spark, d, "events"), k=F.get_json_object("props", "$.k").cast("int"))
+    return events.select(
         F.col("user_id").alias("agent_id"), F.col("ts"), F.col("event_id").alias("request_ref"),
         F.when(F.col("event_type") == "error", "Declined").otherwise("Approved").alias("status"),
         F.when(F.col("event_type") == "purchase", "Agent Commission").otherwise(F.col("event_type")).alias("biller"),

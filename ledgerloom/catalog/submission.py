@@ -22,7 +22,7 @@ CTE.update({
         coalesce(s.next_row.due_date, b.matures_on) as next_instalment_date, p.transaction_date as last_payment_date, coalesce(floor(cast(p.amount as double)), 0) as last_payment_amount,
         case when balance <> 0 and o.since is not null then o.since when loan_status = 300 then disbursed_on else coalesce(closed_on, disbursed_on) end as account_status_date
       from (select *, greatest(case when partner_balance is not null and (partner_balance_date > date '2001-07-30' or partner_balance = 0) then partner_balance else total_outstanding end, 0) as balance from book) b
-      left join (select loan_id, max({'t': transaction_id, 'd': transaction_date, 'a': amount}) as x, x.d as transaction_date, x.a as amount from lines where transaction_type = 2 group by 1) p using (loan_id)
+      left join (select loan_id, x.d as transaction_date, x.a as amount from (select loan_id, max({'t': transaction_id, 'd': transaction_date, 'a': amount}) as x from lines where transaction_type = 2 group by 1)) p using (loan_id)
       left join (select loan_id, min({'i': installment, 'd': due_date, 'amount': principal_amount + interest_amount}) as first_row, min({'i': installment, 'due_date': due_date}) filter (where completed = 0) as next_row,
         count(*) filter (where completed = 0 and due_date <= date '2001-08-01') as overdue from lines group by 1) s using (loan_id)
       left join (select loan_id, min(due_date) as since, sum(amount) as total from lines where completed = 0 group by 1) o using (loan_id)""",

@@ -238,9 +238,9 @@ def key_resolution(spark, d):
 @query("loan_fact", """
 with src as (select loan_id, 'C' || client_id as client_key, case when loan_id % 5 = 0 then loan_status + 1 else loan_status end as loan_status, disbursed_on from loans where loan_id % 4 <> 1),
 ver as (select cast(date_trunc('year', disbursed_on) as date) as end_date, 'v' || year(disbursed_on) as model_version from loans group by all),
-asof as (select s.*, v.model_version from src s asof left join ver v on s.disbursed_on > v.end_date),
+found as (select s.*, v.model_version from src s asof left join ver v on s.disbursed_on > v.end_date),
 cur as (select loan_id, 'C' || client_id as client_key, loan_status, case when loan_id % 2 = 0 then 'kept' end as model_version from loans where loan_id % 4 <> 2),
-ready as (select a.loan_id, a.client_key, a.loan_status, coalesce(c.model_version, a.model_version) as model_version from asof a left join cur c using (loan_id))
+ready as (select a.loan_id, a.client_key, a.loan_status, coalesce(c.model_version, a.model_version) as model_version from found a left join cur c using (loan_id))
 select c.loan_id, c.client_key, c.loan_status, c.model_version, timestamp '1999-01-01' as valid_from,
   case when r.loan_id is not null and (r.loan_status <> c.loan_status or r.model_version is distinct from c.model_version) then timestamp '2001-08-01' end as valid_to,
   not (r.loan_id is not null and (r.loan_status <> c.loan_status or r.model_version is distinct from c.model_version)) as is_current

@@ -4,22 +4,23 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 def repair_json(c: Column) -> Column:
     """Undo double encoding: line breaks go, quoted objects become objects."""
-    flat = F.regexp_replace(c, r"[\n\r]", "")
-    return F.regexp_replace(F.regexp_replace(flat, r'"\{', "{"), r'\}"', "}")
+    flat = F.translate(c, "\n\r", "")
+    return F.replace(F.replace(flat, F.lit('"{'), F.lit("{")), F.lit('}"'), F.lit("}"))
 
 
-def parse_payload(df: DataFrame, column: str, schema, into: str = "payload") -> tuple:
-    """(rows whose payload parses, rows whose payload does not).
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds costly columns behind a generator, so later filters and projections
+    use the result instead of repeating the expression."""
+    packed = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return df.select("*", F.inline(packed))
 
-    Both sides are views of one parsed frame; nothing is dropped silently.
-    """
+
+def parse_payload(df: DataFrame, column: str, schema, into: str = "payload") -> tuple:
+    """(rows whose payload parses, rows whose payload does not)."""
     fields = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     with_bad = T.StructType(fields.fields + [T.StructField("_bad", T.StringType())])
-    parsed = df.withColumn(
-        into,
-        F.from_json(repair_json(F.col(column)), with_bad,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}),
-    )
+    parsed = computed_once(df, **{into: F.from_json(
+        repair_json(F.col(column)), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})})
     unreadable = F.col(into).isNull() | F.col(f"{into}._bad").isNotNull()
     good = parsed.filter(~unreadable).withColumn(into, F.col(into).dropFields("_bad"))
     return good, parsed.filter(unreadable).drop(into)

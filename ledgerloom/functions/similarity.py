@@ -1,6 +1,6 @@
 """Token-set similarity of two names, 0 to 100."""
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def _common_length(a: str, b: str) -> int:
@@ -32,26 +32,34 @@ def _ratio(common: Column, total: Column) -> Column:
     return F.rint(F.try_divide(F.lit(200.0) * common, total)).cast("int")
 
 
-def token_set_ratio(a: Column, b: Column) -> Column:
-    """Best of three comparisons among: the shared words, the shared words plus
-    the rest of ``a``, and the shared words plus the rest of ``b``.
+def with_token_scores(df: DataFrame, pairs: dict) -> DataFrame:
+    """Adds a score per entry of ``pairs``: score name → (column, column).
 
-    The first is a prefix of the other two, so only the two rests need an edit
-    comparison; everything else stays in built-in expressions.
+    A score is the best of three comparisons among: the shared words, the
+    shared words plus the rest of one name, and plus the rest of the other. The
+    first is a prefix of the other two, so only the two rests need an edit
+    comparison. Words are split once per column, and each step is a projection
+    of its own, so no step is computed twice.
     """
-    ta, tb = _tokens(a), _tokens(b)
-    shared = F.array_join(F.array_intersect(ta, tb), " ")
-    rest_a = F.array_join(F.array_except(ta, tb), " ")
-    rest_b = F.array_join(F.array_except(tb, ta), " ")
-    n, na, nb = F.length(shared), F.length(rest_a), F.length(rest_b)
-    gap_a = F.when((n > 0) & (na > 0), 1).otherwise(0)
-    gap_b = F.when((n > 0) & (nb > 0), 1).otherwise(0)
-    whole_a, whole_b = n + na + gap_a, n + nb + gap_b
-    both = n + F.least(gap_a, gap_b) + F.when((na > 0) & (nb > 0), common_length(rest_a, rest_b)).otherwise(0)
-    best = F.greatest(
-        F.when(n > 0, _ratio(n, n + whole_a)).otherwise(0),
-        F.when(n > 0, _ratio(n, n + whole_b)).otherwise(0),
-        _ratio(both, whole_a + whole_b),
-    )
-    empty = a.isNull() | b.isNull() | (F.size(ta) == 0) | (F.size(tb) == 0)
-    return F.when(empty, F.lit(0)).otherwise(best)
+    names = list(dict.fromkeys(c for pair in pairs.values() for c in pair))
+    work = df.withColumns({f"_w_{c}": _tokens(F.col(c)) for c in names})
+    parts = {}
+    for score, (a, b) in pairs.items():
+        x, y = F.col(f"_w_{a}"), F.col(f"_w_{b}")
+        parts[f"_s_{score}"] = F.array_join(F.array_intersect(x, y), " ")
+        parts[f"_a_{score}"] = F.array_join(F.array_except(x, y), " ")
+        parts[f"_b_{score}"] = F.array_join(F.array_except(y, x), " ")
+    work = work.withColumns(parts)
+    work = work.withColumns({f"_c_{s}": common_length(F.col(f"_a_{s}"), F.col(f"_b_{s}")) for s in pairs})
+    scores = {}
+    for s, (a, b) in pairs.items():
+        n, na, nb = F.length(f"_s_{s}"), F.length(f"_a_{s}"), F.length(f"_b_{s}")
+        gap_a = F.when((n > 0) & (na > 0), 1).otherwise(0)
+        gap_b = F.when((n > 0) & (nb > 0), 1).otherwise(0)
+        whole_a, whole_b = n + na + gap_a, n + nb + gap_b
+        both = n + F.least(gap_a, gap_b) + F.col(f"_c_{s}")
+        best = F.greatest(F.when(n > 0, _ratio(n, n + whole_a)).otherwise(0),
+                          F.when(n > 0, _ratio(n, n + whole_b)).otherwise(0), _ratio(both, whole_a + whole_b))
+        # A missing or wordless name scores nothing.
+        scores[s] = F.coalesce(F.when((whole_a > 0) & (whole_b > 0), best), F.lit(0))
+    return work.withColumns(scores).select(*df.columns, *pairs)

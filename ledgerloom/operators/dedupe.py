@@ -35,6 +35,8 @@ def pick_per_key(df: DataFrame, keys: list, order: list, largest: bool = True) -
     """One whole row per key by a partial aggregate: the row with the largest
     (or smallest) ``order`` values. Nulls order below every value."""
     rest = [c for c in df.columns if c not in keys]
+    if rest == order and len(rest) == 1:
+        return df.groupBy(*keys).agg((F.max if largest else F.min)(rest[0]).alias(rest[0]))
     rank_by = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
     best = (F.max if largest else F.min)(rank_by)
     return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])

@@ -136,10 +136,8 @@ def loan_history(clients: DataFrame, loans: DataFrame, repayments: DataFrame, as
     by_client = own.groupBy("agent_id", "client_id").agg(
         F.countDistinct("loan_id").alias("count_of_loans"), F.max("disbursed_on").alias("_last"),
         F.sum("principal").alias("_principal"))
-    # Repayments are summed per loan and day before they meet the loans.
-    paid = repayments.groupBy("loan_id", "paid_on").agg(F.sum("amount").alias("amount"))
     due = F.date_add(F.date_add("matures_on", 2), 7)
-    in_time = own.join(paid, "loan_id").filter(F.col("paid_on") < due).groupBy("agent_id", "client_id").agg(
+    in_time = own.join(repayments.select("loan_id", "paid_on", "amount"), "loan_id").filter(F.col("paid_on") < due).groupBy("agent_id", "client_id").agg(
         F.sum("amount").alias("_paid"))
     ratio = F.try_divide(F.col("_paid").cast("double"), F.col("_principal").cast("double"))
     percent = F.rint(ratio) * 100 if legacy else ratio * 100

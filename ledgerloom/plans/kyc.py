@@ -1,7 +1,7 @@
 """Name checks between own records, the operations list and the registry."""
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.functions.similarity import token_set_ratio
+from ledgerloom.functions.similarity import with_token_scores
 from ledgerloom.operators.dedupe import pick_per_key
 
 # Batches in the order they are formed.
@@ -11,17 +11,17 @@ BATCHES = ("update_exact", "update_close", "names_swapped", "keep_id_match", "ke
 
 def name_scores(names: DataFrame) -> DataFrame:
     """Three pairwise scores for rows that already share the national id."""
-    own, ops, registry = F.col("own_name"), F.col("ops_name"), F.col("registry_name")
-    return names.withColumns({
-        "own_ops": token_set_ratio(own, ops), "own_registry": token_set_ratio(own, registry),
-        "ops_registry": token_set_ratio(ops, registry)})
+    return with_token_scores(names, {
+        "own_ops": ("own_name", "ops_name"), "own_registry": ("own_name", "registry_name"),
+        "ops_registry": ("ops_name", "registry_name")})
 
 
-def triage(scored: DataFrame) -> DataFrame:
-    """One exclusive batch per national id; rows of no batch have none.
+def triage(names: DataFrame) -> DataFrame:
+    """One exclusive batch per national id; ids of no batch are left out.
 
     Only the latest opt-in day of an id counts, and operations names with digits
-    are left out. An id lands in the first batch any of its rows qualifies for.
+    are left out, so only those rows are scored. An id lands in the first batch
+    any of its rows qualifies for.
     """
     a, b, c = F.col("own_ops"), F.col("own_registry"), F.col("ops_registry")
     same_id = F.col("ops_id") == F.col("national_id")
@@ -38,10 +38,13 @@ def triage(scored: DataFrame) -> DataFrame:
     place = F.when(F.lit(False), F.lit(0))
     for i, rule in enumerate(rules):
         place = place.when(rule, F.lit(i))
-    rows = scored.filter(~F.coalesce(F.col("ops_name").rlike(r"\d"), F.lit(False)))
+    rows = names.filter(~F.coalesce(F.col("ops_name").rlike(r"\d"), F.lit(False)))
     newest = rows.groupBy("national_id").agg(F.max("opt_in_date").alias("_newest")).withColumnRenamed("national_id", "_id")
     rows = rows.join(newest, (F.col("national_id") == F.col("_id")) & (F.col("opt_in_date") == F.col("_newest")))
-    placed = rows.withColumn("_place", place).filter("_place is not null")
+    # Rows of no batch go after the aggregate: a filter on the scores before it
+    # would be pushed under the join and have them computed twice.
+    placed = name_scores(rows).withColumn("_place", F.coalesce(place, F.lit(len(BATCHES))))
     one = pick_per_key(placed.select("national_id", "_place", "own_name", "ops_name", "registry_name", "own_ops",
                                      "own_registry", "ops_registry"), ["national_id"], ["_place", "ops_name"], largest=False)
+    one = one.filter(F.col("_place") < len(BATCHES))
     return one.withColumn("batch", F.element_at(F.array(*[F.lit(x) for x in BATCHES]), F.col("_place") + 1)).drop("_place")

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import text
-from ledgerloom.functions.payload import parse_payload
+from ledgerloom.functions.payload import computed_once, parse_payload
 from ledgerloom.operators.dedupe import drop_exact_duplicates, latest_per_key, pick_per_key
 from ledgerloom.operators.joins import missing_from, rule_agreement
 
@@ -82,15 +82,17 @@ def statement_disbursements(statement: DataFrame, already: DataFrame, since) ->
     shows what was paid out; the principal is that grossed up by its term."""
     rows = statement.filter((F.col("transaction_status") == "Completed") & F.col("details").like("%Disbursement%")
                             & (F.col("completed_at") > F.lit(since).cast("timestamp_ntz")))
-    term = F.split_part("reason_type", F.lit(" "), F.lit(1))
+    rows = computed_once(
+        rows, loan_term=F.split_part("reason_type", F.lit(" "), F.lit(1)),
+        store_number=F.nullif(F.regexp_extract("details", r"\w+(?=\s*-\s*)", 0), F.lit("")))
+    rows = rows.filter(~F.col("loan_term").rlike("^[A-Za-z]+$") & F.col("store_number").isNotNull())
+    term = F.col("loan_term")
     gross = F.when(F.lit(False), F.lit(0.0))
     for days, percent in PAID_OUT.items():
         gross = gross.when(term == days, F.col("withdrawn") * -1 * 100 / F.lit(percent))
     out = rows.select(
         F.col("statement_id").alias("warehouse_key"), "receipt_number", gross.otherwise(F.col("withdrawn")).alias("loan_principal"),
-        "other_party", F.nullif(F.regexp_extract("details", r"\w+(?=\s*-\s*)", 0), F.lit("")).alias("store_number"),
-        term.alias("loan_term"))
-    out = out.filter(~F.col("loan_term").rlike("^[A-Za-z]+$")).filter("store_number is not null")
+        "other_party", "store_number", "loan_term")
     return missing_from(out, (already, "warehouse_key", "warehouse_key"))
 
 

@@ -27,6 +27,7 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSessi
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")

@@ -5,13 +5,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 BAD_ROW = "_bad_row"
 
+# Text form of times in exchanged files; keeps microseconds.
+TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _schema(schema) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
 
 
+_KNOWN: dict = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """Parquet table. Its schema is read from the files once; later scans of the
+    same path are given it and start without a job of their own."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _KNOWN:
+        _KNOWN[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_KNOWN[path]).parquet(path)
 
 
 def jdbc_table(spark: SparkSession, url: str, name: str, key: str, low: int, high: int, partitions: int,
@@ -29,7 +43,7 @@ def csv_files(spark: SparkSession, path: str, schema, pattern: str | None = None
     """
     fields = _schema(schema)
     reader = spark.read.schema(T.StructType(fields.fields + [T.StructField(BAD_ROW, T.StringType())])).options(
-        header=header, sep=sep, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW)
+        header=header, sep=sep, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW, **TIME_FORMATS)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     return reader.csv(path).withColumn("file_name", F.col("_metadata.file_path"))
