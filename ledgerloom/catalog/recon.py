@@ -143,7 +143,7 @@ def missing_in_core(spark, d):
 with u as (select * exclude (rn) from (select *, row_number() over (partition by linked_id, loan_contract_id, owner_id, status, amount, fee, file_day, store_number, party_name, l_partkey order by surrogate_id) as rn from txns where is_disbursement and status = 'Completed') where rn = 1),
 a as (select distinct linked_id, c.contract_id as a from u left join contracts c on u.loan_contract_id = c.contract_id and u.owner_id = c.identity and c.access_fee = u.fee),
 b as (select distinct linked_id, c.contract_id as b from u left join contracts c on u.owner_id = c.identity and strftime(u.file_day, '%Y%m%d') = c.id_date and u.amount = c.principal + c.access_fee)
-select linked_id, a as contract_id_a, b as contract_id_b, a is not distinct from b as agrees from a join b using (linked_id) where b is not null""", ("contracts", "txns"))
+select linked_id, min(a) as contract_id_a, min(b) as contract_id_b, bool_or(a is not distinct from b) as agrees from a join b using (linked_id) where b is not null group by 1""", ("contracts", "txns"))
 def contract_check(spark, d):
     return recon.contract_check(_txns(spark, d), _contracts(spark, d))
 

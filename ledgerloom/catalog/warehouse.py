@@ -4,7 +4,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.registry import clients, loans, query, repayments, table
-from ledgerloom.operators import extract, merge
+from ledgerloom.operators import extract, ingest, merge
 from ledgerloom.operators.dedupe import latest_per_key
 from ledgerloom.operators.extract import Tenant
 from ledgerloom.plans import warehouse as plans
@@ -398,3 +398,31 @@ def whitelist_details(spark, d):
 @query("bulk_rename", "select loan_id as core_id, client_id as client_core_id, channel as product_name from loans", ("loans",))
 def bulk_rename(spark, d):
     return loans(spark, d).select("loan_id", "client_id", "channel").withColumnsRenamed({"loan_id": "core_id", "client_id": "client_core_id", "channel": "product_name"})
+
+
+@query("corrections", """
+select client_id, case when client_id % 4 = 0 then 'fixed ' || client_name else client_name end as client_name, segment from clients""", ("clients",))
+def corrections(spark, d):
+    target = clients(spark, d).select("client_id", "client_name", "segment")
+    fixes = target.filter("client_id % 4 = 0").select("client_id", F.concat(F.lit("fixed "), F.col("client_name")).alias("client_name"), F.lit(None).cast("string").alias("segment"))
+    return merge.apply_corrections(target, fixes, "client_id", ["client_name", "segment"], "operations", CUT)[0]
+
+
+@query("corrections_log", """
+select client_id, 'client_name' as column_name, client_name as previous_value, 'fixed ' || client_name as current_value, 'operations' as source from clients where client_id % 4 = 0""", ("clients",))
+def corrections_log(spark, d):
+    target = clients(spark, d).select("client_id", "client_name", "segment")
+    fixes = target.filter("client_id % 4 = 0").select("client_id", F.concat(F.lit("fixed "), F.col("client_name")).alias("client_name"), F.lit(None).cast("string").alias("segment"))
+    return merge.apply_corrections(target, fixes, "client_id", ["client_name", "segment"], "operations", CUT)[1].drop("updated_at")
+
+
+@query("till_activity_day", """
+select event_id, ts as transaction_time, value * 1000 as balance from events where ts >= timestamp '2024-01-12' and ts < timestamp '2024-01-13'""")
+def till_activity_day(spark, d):
+    rows = table(spark, d, "events").select("event_id", F.col("ts").alias("transaction_time"), F.format_number(F.col("value") * 1000, 2).alias("balance"))
+    return ingest.till_activity(rows, "2024-01-12", "2024-02-10")
+
+
+@query("survey_text", "select conv_id, turn, trim(regexp_replace(text, '[\r\n\"'']+', ' ', 'g'), ' ') as text from conversations")
+def survey_text(spark, d):
+    return ingest.survey_answers(table(spark, d, "conversations").select("conv_id", "turn", "text"), ["text"])

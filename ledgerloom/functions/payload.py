@@ -116,3 +116,9 @@ def flatten_report(df: DataFrame, column: str, lists: dict, keep: tuple = ()) ->
         else:
             add(col, snake_case(f.name))
     return df.select(out)
+
+
+def section(df: DataFrame, marker: str) -> DataFrame:
+    """Columns whose dotted name holds the marker, under the last part of it."""
+    hits = [c for c in df.columns if marker in c]
+    return df.select([F.col(f"`{c}`").alias(c.split(".")[-1].lower()) for c in hits])

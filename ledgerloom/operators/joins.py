@@ -106,8 +106,16 @@ def missing_from(df: DataFrame, *others: tuple) -> DataFrame:
 
 
 def rule_agreement(by_rule: DataFrame, by_other_rule: DataFrame, key: str, answer: str) -> DataFrame:
-    """Where two independent rules answer the same question: do they agree?"""
-    a = by_rule.select(key, F.col(answer).alias(f"{answer}_a")).distinct()
-    b = by_other_rule.select(key, F.col(answer).alias(f"{answer}_b")).distinct()
-    return a.join(b, key, "inner").filter(F.col(f"{answer}_b").isNotNull()).withColumn(
-        "agrees", F.col(f"{answer}_a").eqNullSafe(F.col(f"{answer}_b")))
+    """Where two independent rules answer the same question: do they agree?
+
+    One row per key that both rules answer: it agrees when any answer is given
+    by both. Answers are merged per key and value, never paired with each other.
+    """
+    a = by_rule.select(key, answer, F.lit(True).alias("_a"), F.lit(False).alias("_b"))
+    b = by_other_rule.select(key, answer, F.lit(False).alias("_a"), F.lit(True).alias("_b")).filter(F.col(answer).isNotNull())
+    each = a.unionByName(b).filter(F.col(key).isNotNull()).groupBy(key, answer).agg(
+        F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
+    return each.groupBy(key).agg(
+        F.bool_or("_a").alias("_has_a"), F.bool_or("_b").alias("_has_b"),
+        F.min(F.when(F.col("_a"), F.col(answer))).alias(f"{answer}_a"), F.min(F.when(F.col("_b"), F.col(answer))).alias(f"{answer}_b"),
+        F.bool_or(F.col("_a") & F.col("_b")).alias("agrees")).filter("_has_a and _has_b").drop("_has_a", "_has_b")

@@ -125,3 +125,9 @@ def drop_reversed(target: DataFrame, incoming: DataFrame, reversed_rows: DataFra
     gone = reversed_rows.select(F.col(key).alias("_gone")).filter("_gone is not null").distinct()
     strip = lambda df: df.join(gone, F.col(key) == F.col("_gone"), "left_anti")
     return strip(target), strip(incoming)
+
+
+def apply_corrections(target: DataFrame, corrections: DataFrame, key: str, columns: list, source: str, at) -> tuple:
+    """(target with the corrected values, log of every changed value)."""
+    after = fill_missing(target, corrections, key, columns, prefer="source")
+    return after, audit_changes(target, after, key, columns, source, at)

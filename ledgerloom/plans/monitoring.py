@@ -41,9 +41,11 @@ def whitelist(partner: DataFrame, results: DataFrame) -> DataFrame:
     def totals(df, side):
         return df.agg(F.count_if(F.col("blacklist_flag") == 1).alias(f"blacklisted_{side}"),
                       F.count_if(F.col("blacklist_flag") == 0).alias(f"whitelisted_{side}"),
-                      *[F.sum(f"limit_{t}").alias(f"limit_{t}_{side}") for t in (1, 7, 21)], F.lit(1).alias("_one"))
+                      *[F.sum(f"limit_{t}").alias(f"limit_{t}_{side}") for t in (1, 7, 21)])
 
-    both = totals(partner, "partner").join(totals(as_of_latest(results, "model_version"), "warehouse"), "_one").drop("_one")
+    # Two rows of one side each, folded into one.
+    rows = totals(partner, "partner").unionByName(totals(as_of_latest(results, "model_version"), "warehouse"), allowMissingColumns=True)
+    both = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     for m in ("blacklisted", "whitelisted", "limit_1", "limit_7", "limit_21"):
         both = both.withColumn(f"diff_{m}", F.col(f"{m}_warehouse") - F.col(f"{m}_partner"))
     return both

@@ -93,9 +93,9 @@ def accounts(loans: DataFrame, clients: DataFrame, products: DataFrame, statuses
              lender_code: str, tenant: str, as_of, slice_width: int = 1_000_000) -> DataFrame:
     """Regulatory account list. Registry names win when they are similar enough."""
     name = F.when(F.col("similarity") >= 60, F.col("registry_name")).otherwise(F.col("client_name"))
-    mobile = channels.filter("channel_type = 'USSD'").select(F.col("code").alias("channel"))
+    channel = channels.filter("channel_type = 'USSD'").agg(F.max("code")).scalar()
     out = loans.filter(F.col("loan_status").isin(300, 600, 700)).join(clients, "client_id").join(products, "product_id").join(
-        statuses, "loan_status").join(mobile, F.lit(True))
+        statuses, "loan_status")
     out = numbered(out, ["loan_id"], F.floor(F.col("loan_id") / slice_width))
     return out.select(
         "row_id", F.lit(lender_code).alias("lender_code"), report_date(F.lit(as_date(as_of))).alias("reporting_date"),
@@ -103,7 +103,7 @@ def accounts(loans: DataFrame, clients: DataFrame, products: DataFrame, statuses
         name.alias("account_name"), report_date(F.col("disbursed_on")).alias("disbursement_date"),
         F.col("principal").cast("double").alias("principal"), F.col("total_outstanding").cast("double").alias("outstanding"),
         F.coalesce(F.col("fees") + F.col("penalty"), F.lit(0)).cast("double").alias("other_charge"),
-        "channel", F.col("repay_every").alias("tenor"), F.col("status_code").alias("account_status"))
+        channel.alias("channel"), F.col("repay_every").alias("tenor"), F.col("status_code").alias("account_status"))
 
 
 def overdue_accounts(loans: DataFrame, clients: DataFrame, lender_code: str, tenant: str, as_of,

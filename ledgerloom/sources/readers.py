@@ -84,9 +84,7 @@ def file_day(c: Column, pattern: str = r"(\d{4}-\d{2}-\d{2})") -> Column:
 
 def latest_files(df: DataFrame, day: Column | None = None) -> DataFrame:
     """Rows of the newest file day."""
-    dated = df.withColumn("file_date", day if day is not None else file_day(F.col("file_name")))
-    newest = dated.agg(F.max("file_date").alias("_newest"))
-    return dated.join(newest, F.col("file_date") == F.col("_newest")).drop("_newest")
+    return as_of_latest(df.withColumn("file_date", day if day is not None else file_day(F.col("file_name"))), "file_date")
 
 
 def newer_files(df: DataFrame, loaded_until: dt.date, day: Column | None = None) -> DataFrame:
@@ -115,6 +113,6 @@ def lookup(spark: SparkSession, path: str, renames: dict) -> DataFrame:
 
 
 def as_of_latest(df: DataFrame, column: str) -> DataFrame:
-    """Rows that carry the largest value of a column (newest model version)."""
-    newest = df.agg(F.max(column).alias("_newest"))
-    return df.join(newest, F.col(column) == F.col("_newest")).drop("_newest")
+    """Rows that carry the largest value of a column (newest model version). The
+    largest value is a scalar subquery, so the filter stays in the scan."""
+    return df.filter(F.col(column) == df.agg(F.max(column)).scalar())
