@@ -251,13 +251,14 @@ def loan_fact(spark, d):
     """The whole fact build: keys, model version, versions, one current row."""
     base = loans(spark, d)
     src = base.filter("loan_id % 4 <> 1").withColumn("loan_status", F.when(F.col("loan_id") % 5 == 0, F.col("loan_status") + 1).otherwise(F.col("loan_status"))).withColumns({
-        "product_id": F.lit(1), "officer_id": F.lit(1), "loan_type_id": F.lit(0)})
-    one = lambda: table(spark, d, "region").filter("r_regionkey = 1").select(F.col("r_regionkey").alias("core_id"), F.lit("X").alias("surrogate_id"))
+        "product_id": F.col("loan_id") % 25, "officer_id": F.col("loan_id") % 7, "loan_type_id": F.col("loan_id") % 5})
+    products = table(spark, d, "nation").select(F.col("n_nationkey").alias("core_id"), F.col("n_name").alias("surrogate_id"))
+    officers = table(spark, d, "region").select(F.col("r_regionkey").alias("core_id"), F.col("r_name").alias("surrogate_id"))
     dims = {
         "clients": clients(spark, d).select(F.col("client_id").alias("core_id"), F.concat(F.lit("C"), F.col("client_id").cast("string")).alias("surrogate_id")),
-        "products": one(), "officers": one(),
+        "products": products, "officers": officers,
         "statuses": base.select(F.col("loan_status").alias("core_id")).distinct().withColumn("surrogate_id", F.lit("S"))}
-    enums = table(spark, d, "region").filter("r_regionkey = 0").select(F.lit("loan_type").alias("enum_name"), F.col("r_regionkey").alias("enum_id"), F.lit("single").alias("enum_value"))
+    enums = table(spark, d, "region").select(F.lit("loan_type").alias("enum_name"), F.col("r_regionkey").alias("enum_id"), F.col("r_name").alias("enum_value"))
     versions = base.groupBy(F.trunc("disbursed_on", "YEAR").alias("end_date")).agg(F.max(F.concat(F.lit("v"), F.year("disbursed_on").cast("string"))).alias("model_version"))
     current = base.filter("loan_id % 4 <> 2").select(
         "loan_id", F.concat(F.lit("C"), F.col("client_id").cast("string")).alias("client_key"), "loan_status",
@@ -271,7 +272,7 @@ def loan_fact(spark, d):
 select loan_id, disbursed_on, client_name, n_name as office, cast(year(disbursed_on) as bigint) as partition_year, cast(month(disbursed_on) as bigint) as partition_month
 from loans join clients using (client_id) join nation on n_nationkey = office_id where loan_status = 300""", ("loans", "clients"))
 def loan_summary(spark, d):
-    fact = loans(spark, d).filter("loan_status = 300").select("loan_id", "disbursed_on", F.col("client_id").alias("client_key"), F.lit(0).alias("status_key"), F.lit(True).alias("is_current"))
+    fact = loans(spark, d).filter("loan_status = 300").select("loan_id", "disbursed_on", F.col("client_id").alias("client_key"), (F.col("loan_id") % 5).alias("status_key"), F.lit(True).alias("is_current"))
     c = clients(spark, d).select(F.col("client_id").alias("client_key"), "client_name", F.col("office_id").alias("product_key"))
     p = table(spark, d, "nation").select(F.col("n_nationkey").alias("product_key"), F.col("n_name").alias("office"))
     s = table(spark, d, "region").select(F.col("r_regionkey").alias("status_key"), F.col("r_name").alias("status"))

@@ -59,7 +59,7 @@ def activity_summary(activity: DataFrame, as_of, months: int = 6) -> DataFrame:
     """
     end, start = as_date(as_of), shift_months(as_of, -months)
     rows = activity.filter((F.col("ts") >= F.lit(start)) & (F.col("debit") > 0) & (F.col("status") == APPROVED)
-                           & F.col("agent_id").isNotNull() & F.col("balance").isNotNull())
+                           & F.col("agent_id").isNotNull())
     good = F.col("balance") >= 0
     daily = rows.groupBy("agent_id", F.to_date("ts").alias("day"), "biller", good.alias("good")).agg(
         F.sum("debit").alias("debit"), F.count(F.lit(1)).alias("n"), F.min("debit").alias("min_debit"),
