@@ -174,8 +174,8 @@ def statement_disbursements(spark, d):
 with f as (select linked_id, loan_contract_id from (select *, rank() over (partition by linked_id order by surrogate_id) as r from txns where is_repayment) where r = 1 and status = 'Completed'),
 j as (select s.receipt_number, s.statement_id, 'L' || substr(loan_contract_id, 2) as loan_ref, paid_in, l_suppkey from statement s join f on s.receipt_number = f.linked_id
   join contracts on contract_id = loan_contract_id where s.is_repayment and s.transaction_status = 'Completed' and l_partkey % 3 <> 0)
-select receipt_number, max(statement_id) as warehouse_key, arg_max(loan_ref, statement_id) as loan_ref, arg_max(paid_in, statement_id) as paid_in, arg_max(l_suppkey, statement_id) as store_number
-from (select distinct * from j) group by 1""", ("contracts", "txns", "statement"))
+select receipt_number, m.s as warehouse_key, m.l as loan_ref, m.p as paid_in, m.n as store_number
+from (select receipt_number, max({'s': statement_id, 'l': loan_ref, 'p': paid_in, 'n': l_suppkey}) as m from j group by 1)""", ("contracts", "txns", "statement"))
 def statement_repayments(spark, d):
     s = _statement(spark, d)
     already = s.filter("l_partkey % 3 = 0").select(F.col("statement_id").alias("warehouse_key"))

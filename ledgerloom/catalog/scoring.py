@@ -135,7 +135,7 @@ def limit_matrix(spark, d):
 
 @query("limits_before", "select * from earlier", ("loans", "results", "earlier"))
 def limits_before(spark, d):
-    return agents.earlier_limits(_results(spark, d), EVENTS_AS_OF)
+    return agents.earlier_limits(_results(spark, d), EVENTS_AS_OF).filter("previous_m_limit is not null").drop("previous_limit")
 
 
 @query("agent_limits", """

@@ -132,16 +132,16 @@ def loan_history(clients: DataFrame, loans: DataFrame, repayments: DataFrame, as
     rollover days and seven more) as a percentage of all principal, per client.
     legacy=True rounds the ratio before it is scaled, giving only 0, 100, 200, …
     """
-    own = clients.join(loans, "client_id")
-    by_client = own.groupBy("agent_id", "client_id").agg(
-        F.countDistinct("loan_id").alias("count_of_loans"), F.max("disbursed_on").alias("_last"),
-        F.sum("principal").alias("_principal"))
     due = F.date_add(F.date_add("matures_on", 2), 7)
-    in_time = own.join(repayments.select("loan_id", "paid_on", "amount"), "loan_id").filter(F.col("paid_on") < due).groupBy("agent_id", "client_id").agg(
-        F.sum("amount").alias("_paid"))
+    # An inner join, as Spark can split a hot loan on either side of it.
+    in_time = loans.select("loan_id", due.alias("_due")).join(repayments.select("loan_id", "paid_on", "amount"), "loan_id").filter(
+        F.col("paid_on") < F.col("_due")).groupBy("loan_id").agg(F.sum("amount").alias("_paid"))
+    by_client = loans.join(in_time, "loan_id", "left").groupBy("client_id").agg(
+        F.count("loan_id").alias("count_of_loans"), F.max("disbursed_on").alias("_last"),
+        F.sum("principal").alias("_principal"), F.sum("_paid").alias("_paid"))
     ratio = F.try_divide(F.col("_paid").cast("double"), F.col("_principal").cast("double"))
     percent = F.rint(ratio) * 100 if legacy else ratio * 100
-    return by_client.join(in_time, ["agent_id", "client_id"], "left").select(
+    return clients.join(by_client, "client_id").select(
         "agent_id", "client_id", "count_of_loans",
         (F.datediff(F.lit(as_date(as_of)), "_last") / F.lit(DAYS_PER_MONTH)).alias("months_since_last_disbursement"),
         F.col("_principal").cast("double").alias("total_principal"),
@@ -175,32 +175,30 @@ def limits(scored: DataFrame, history: DataFrame, legacy: bool = False) -> DataF
 
 
 def earlier_limits(results: DataFrame, as_of) -> DataFrame:
-    """Limits as of one and two months ago, in one pass over the stored results.
+    """Last limit and the limits as of one and two months ago, per agent, in one
+    pass over the stored results.
 
-    The row with the largest model version before the cut must also carry the
-    largest row id, otherwise there is no such limit. An agent without the
-    one-month limit has no row.
+    The row with the largest model version before a cut must also carry the
+    largest row id, otherwise there is no limit for that cut. Without the
+    one-month limit there is no two-month limit either.
     """
     version_day = F.to_date(F.trim(F.regexp_extract("model_version", r"\s.*\d", 0)))
     dated = results.withColumn("_day", version_day)
-
-    def at(months, name):
+    row = F.struct("model_version", "result_id", "limit")
+    out = [F.max(row).alias("_last")]
+    for months in (1, 2):
         before = F.col("_day") < F.lit(shift_months(as_of, -months))
-        newest = F.max(F.when(before, F.struct("model_version", "result_id", "limit")))
-        last_id = F.max(F.when(before, F.col("result_id")))
-        return [newest.alias(f"_{name}"), last_id.alias(f"_{name}_id")]
-
-    out = dated.groupBy("agent_id").agg(*at(1, "m"), *at(2, "m2"))
-    pick = lambda n: F.when(F.col(f"_{n}.result_id") == F.col(f"_{n}_id"), F.col(f"_{n}.limit"))
-    return out.select("agent_id", pick("m").alias("previous_m_limit"), pick("m2").alias("previous_2m_limit")).filter(
-        "previous_m_limit is not null")
+        out += [F.max(F.when(before, row)).alias(f"_m{months}"), F.max(F.when(before, F.col("result_id"))).alias(f"_id{months}")]
+    pick = lambda n: F.when(F.col(f"_m{n}.result_id") == F.col(f"_id{n}"), F.col(f"_m{n}.limit"))
+    return dated.groupBy("agent_id").agg(*out).select(
+        "agent_id", F.col("_last.limit").alias("previous_limit"), pick(1).alias("previous_m_limit"),
+        F.when(pick(1).isNotNull(), pick(2)).alias("previous_2m_limit"))
 
 
-def stabilise(current: DataFrame, latest: DataFrame, earlier: DataFrame) -> DataFrame:
+def stabilise(current: DataFrame, past: DataFrame) -> DataFrame:
     """Hold limits that move little, cap growth, and look back two months.
     Agents without history count as having had no limit (zero)."""
-    out = current.join(latest, "agent_id", "left").join(earlier, "agent_id", "left").na.fill(
-        0.0, ["previous_limit", "previous_m_limit", "previous_2m_limit"])
+    out = current.join(past, "agent_id", "left").na.fill(0.0, ["previous_limit", "previous_m_limit", "previous_2m_limit"])
     now, before, two = F.col("current_limit"), F.col("previous_limit"), F.col("previous_2m_limit")
     held = (
         F.when((now == 0) | (before == 0), now)
@@ -248,11 +246,7 @@ def qualify(df: DataFrame, lender: str = "our") -> DataFrame:
 
 def score_agents(activity, clients, loans, repayments, results, as_of, months: int = 6, legacy: bool = False) -> DataFrame:
     """From raw activity to published limits, for all agents."""
-    from ledgerloom.operators.dedupe import pick_per_key
-
     summaries = commission_summary(activity, as_of, months).join(activity_summary(activity, as_of, months), "agent_id")
     known = scores(summaries).join(clients.select("agent_id").distinct(), "agent_id", "left_semi")
     limited = limits(known, loan_history(clients, loans, repayments, as_of, legacy), legacy)
-    latest = pick_per_key(results.select("agent_id", "model_version", "result_id", "limit"), ["agent_id"],
-                          ["model_version", "result_id"]).select("agent_id", F.col("limit").alias("previous_limit"))
-    return qualify(stabilise(limited, latest, earlier_limits(results, as_of)))
+    return qualify(stabilise(limited, earlier_limits(results, as_of)))

@@ -19,47 +19,66 @@ def provenance(core: DataFrame, feed: DataFrame, dump: DataFrame) -> DataFrame:
         "missing_in_feed": F.col("_f").isNull(), "missing_in_dump": F.col("_f").isNull() & F.col("_d").isNull()})
 
 
+def _merged(df: DataFrame, key: str, columns: list, tag: str, amount: bool = True) -> DataFrame:
+    """Rows of one source merged per key and status, with how many there were.
+    A receipt that is repeated very often meets the core as one row."""
+    rows = [F.count(F.lit(1)).cast("decimal(10,0)").alias(f"{tag}_n")]
+    if amount:
+        rows += [F.count("amount").cast("decimal(10,0)").alias(f"{tag}_count"), F.sum("amount").alias(f"{tag}_sum")]
+    return df.groupBy(F.col(key).alias(f"_{tag}"), *[F.col(c).alias(f"{tag}_{c}") for c in columns]).agg(*rows)
+
+
 def posting_summary(spark, core: DataFrame, feed: DataFrame, dump: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Per day of the last ``days`` days: volumes and values by where a
     transaction was processed. One aggregate gives all measures; days outside
-    the window are cut before the joins."""
+    the window are cut before the joins. A core row counts once for every pair
+    of feed and dump rows it meets; the merged sources carry those counts."""
     end = as_date(as_of)
     recent = core.filter(F.to_date("created_at").between(F.date_sub(F.lit(end), days), F.lit(end)))
-    rows = provenance(recent, feed, dump)
-    ok, bad = F.lit("200"), F.lit("400")
+    rows = recent.join(_merged(feed, "receipt_number", ["status_code", "kind"], "f"), F.col("receipt_number") == F.col("_f"), "left").join(
+        _merged(dump, "receipt_number", ["status_code", "kind"], "d"), F.col("receipt_number") == F.col("_d"), "left")
+    one = F.lit(1).cast("decimal(10,0)")
+    nf, nd = F.coalesce("f_n", one), F.coalesce("d_n", one)
+    counted = F.when(F.col("amount").isNotNull(), one)
+    weigh = {"f": (F.col("f_count") * nd, F.col("f_sum") * nd), "d": (F.col("d_count") * nf, F.col("d_sum") * nf),
+             "core": (counted * nf * nd, F.col("amount") * nf * nd)}
+    no_feed, no_dump = F.col("_f").isNull(), F.col("_d").isNull()
     measures = []
     for kind in ("disbursement", "repayment"):
-        in_feed, in_dump, in_core = F.col("feed_kind") == kind, F.col("dump_kind") == kind, F.col("kind") == kind
-        feed_ok, feed_bad = in_feed & (F.col("feed_status") == ok), in_feed & (F.col("feed_status") == bad)
-        dump_ok, dump_bad = F.col("dump_status") == ok, F.col("dump_status") == bad
-        for name, cond, amount in (
-            ("feed_ok", feed_ok, "feed_amount"),
-            ("feed_failed", feed_bad, "feed_amount"),
-            ("dump_ok_missing_in_feed", F.col("missing_in_feed") & dump_ok & in_dump, "dump_amount"),
-            ("dump_ok_failed_in_feed", feed_bad & dump_ok & in_dump, "dump_amount"),
-            ("manual_failed_in_both", feed_bad & dump_bad & in_core, "amount"),
-            ("manual_missing_in_both", F.col("missing_in_feed") & F.col("missing_in_dump") & in_core, "amount"),
+        in_dump, in_core = F.col("d_kind") == kind, F.col("kind") == kind
+        feed_ok = (F.col("f_kind") == kind) & (F.col("f_status_code") == "200")
+        feed_bad = (F.col("f_kind") == kind) & (F.col("f_status_code") == "400")
+        dump_ok, dump_bad = F.col("d_status_code") == "200", F.col("d_status_code") == "400"
+        for name, cond, side in (
+            ("feed_ok", feed_ok, "f"),
+            ("feed_failed", feed_bad, "f"),
+            ("dump_ok_missing_in_feed", no_feed & dump_ok & in_dump, "d"),
+            ("dump_ok_failed_in_feed", feed_bad & dump_ok & in_dump, "d"),
+            ("manual_failed_in_both", feed_bad & dump_bad & in_core, "core"),
+            ("manual_missing_in_both", no_feed & no_dump & in_core, "core"),
         ):
-            hit = F.when(cond, F.col(amount))
-            measures += [F.count(hit).alias(f"{kind}_volume_{name}"), F.sum(hit).cast("double").alias(f"{kind}_value_{name}")]
+            volume, value = weigh[side]
+            measures += [F.coalesce(F.sum(F.when(cond, volume)), F.lit(0)).cast("long").alias(f"{kind}_volume_{name}"),
+                         F.sum(F.when(cond, value)).cast("double").alias(f"{kind}_value_{name}")]
     daily = rows.groupBy(F.to_date("created_at").alias("day")).agg(*measures)
     return spine_join(day_spine(spark, F.date_sub(F.lit(end), days), F.lit(end)), daily, "day")
 
 
 def opt_in_summary(spark, clients: DataFrame, feed: DataFrame, dump: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """Opt-ins per day by where they were processed."""
+    """Opt-ins per day by where they were processed, counted as above."""
     end = as_date(as_of)
-    f = feed.filter("is_opt_in").select(F.col("store_number").alias("_f"), F.col("status_code").alias("fs"))
-    d = dump.filter("is_opt_in").select(F.col("store_number").alias("_d"), F.col("status_code").alias("ds"))
+    f, d = (_merged(df.filter("is_opt_in"), "store_number", ["status_code"], tag, amount=False) for df, tag in ((feed, "f"), (dump, "d")))
     recent = clients.filter(F.col("submitted_on").between(F.date_sub(F.lit(end), days), F.lit(end)))
     rows = recent.join(f, F.col("store_number") == F.col("_f"), "left").join(d, F.col("store_number") == F.col("_d"), "left")
+    one = F.lit(1).cast("decimal(10,0)")
+    weight = F.coalesce("f_n", one) * F.coalesce("d_n", one)
     no_feed, no_dump = F.col("_f").isNull(), F.col("_d").isNull()
+    fs, ds = F.col("f_status_code"), F.col("d_status_code")
+    count = lambda cond, name: F.coalesce(F.sum(F.when(cond, weight)), F.lit(0)).cast("long").alias(name)
     daily = rows.groupBy(F.col("submitted_on").alias("day")).agg(
-        F.count_if(F.col("fs") == "200").alias("feed_ok"), F.count_if(F.col("fs") == "400").alias("feed_failed"),
-        F.count_if(no_feed & (F.col("ds") == "200")).alias("dump_ok_missing_in_feed"),
-        F.count_if((F.col("fs") == "400") & (F.col("ds") == "200")).alias("dump_ok_failed_in_feed"),
-        F.count_if((F.col("fs") == "400") & (F.col("ds") == "400")).alias("manual_failed_in_both"),
-        F.count_if(no_feed & no_dump).alias("manual_missing_in_both"))
+        count(fs == "200", "feed_ok"), count(fs == "400", "feed_failed"), count(no_feed & (ds == "200"), "dump_ok_missing_in_feed"),
+        count((fs == "400") & (ds == "200"), "dump_ok_failed_in_feed"), count((fs == "400") & (ds == "400"), "manual_failed_in_both"),
+        count(no_feed & no_dump, "manual_missing_in_both"))
     return spine_join(day_spine(spark, F.date_sub(F.lit(end), days), F.lit(end)), daily, "day")
 
 

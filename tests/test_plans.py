@@ -135,6 +135,21 @@ def test_posting_summary_has_every_day(spark):
     assert (r.disbursement_volume_feed_ok, r.disbursement_value_feed_ok, r.repayment_volume_manual_missing_in_both, r.repayment_value_manual_missing_in_both) == (1, 11.0, 1, 20.0)
 
 
+def test_repeated_receipts_count_like_joined_rows(spark):
+    """Merged sources give what joining every copy would give."""
+    core = spark.createDataFrame([(1, T(2024, 6, 29), 10.0, "repayment"), (1, T(2024, 6, 29), 1.0, "repayment")], "receipt_number int, created_at timestamp_ntz, amount double, kind string")
+    feed = spark.createDataFrame([(1, "400", "repayment", 2.0)] * 3 + [(1, "200", "repayment", None)], "receipt_number int, status_code string, kind string, amount double")
+    dump = spark.createDataFrame([(1, "200", "repayment", 5.0)] * 2 + [(1, "400", "repayment", 7.0)], "receipt_number int, status_code string, kind string, amount double")
+    r = reports.posting_summary(spark, core, feed, dump, TODAY).filter("day = '2024-06-29'").first()
+    joined = reports.provenance(core, feed, dump)
+    bad = (F.col("feed_kind") == "repayment") & (F.col("feed_status") == "400")
+    want = joined.agg(
+        F.count(F.when(bad, F.col("feed_amount"))).alias("n"), F.sum(F.when(bad, F.col("feed_amount"))).alias("s"),
+        F.sum(F.when(bad & (F.col("dump_status") == "200"), F.col("dump_amount"))).alias("d"),
+        F.sum(F.when(bad & (F.col("dump_status") == "400"), F.col("amount"))).alias("c"), F.count(F.when(F.col("feed_status") == "200", F.col("feed_amount"))).alias("ok")).first()
+    assert (r.repayment_volume_feed_failed, r.repayment_value_feed_failed, r.repayment_value_dump_ok_failed_in_feed, r.repayment_value_manual_failed_in_both, r.repayment_volume_feed_ok) == tuple(want)
+
+
 def test_kyc_batches_are_exclusive(spark):
     names = [
         ("1", "1", D(2024, 1, 1), "john kamau", "mary wanjiku", "mary wanjiku"),    # operations and registry agree

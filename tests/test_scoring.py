@@ -120,9 +120,8 @@ def test_open_band_edges_have_no_gap(spark):
     (120.0, 100.0, 100.0, 120.0, 120.0), (80.0, 100.0, 50.0, 80.0, 100.0), (130.0, 100.0, 200.0, 130.0, 100.0), (50.0, 100.0, 200.0, 50.0, 50.0)])
 def test_stabilisation(spark, now, before, two, held, final):
     cur = spark.createDataFrame([("a", now)], "agent_id string, current_limit double")
-    lat = spark.createDataFrame([("a", before)], "agent_id string, previous_limit double")
-    ear = spark.createDataFrame([("a", before, two)], "agent_id string, previous_m_limit double, previous_2m_limit double")
-    r = agents.stabilise(cur, lat, ear).first()
+    past = spark.createDataFrame([("a", before, before, two)], "agent_id string, previous_limit double, previous_m_limit double, previous_2m_limit double")
+    r = agents.stabilise(cur, past).first()
     assert (r.limit_after_stabilisation, r.final_limit) == (held, final)
 
 
@@ -131,7 +130,7 @@ def test_earlier_limit_needs_the_largest_id_too(spark, rows):
     df = spark.createDataFrame([("a", v("2023-11-01"), 1, 10.0), ("a", v("2023-12-01"), 2, 20.0), ("a", v("2024-01-30"), 3, 30.0),
                                 ("b", v("2023-12-01"), 1, 40.0), ("b", v("2023-11-01"), 2, 50.0), ("c", v("2024-01-30"), 9, 1.0)],
                                "agent_id string, model_version string, result_id int, `limit` double")
-    assert rows(agents.earlier_limits(df, AS_OF)) == [("a", 20.0, 10.0)]
+    assert rows(agents.earlier_limits(df, AS_OF)) == [("a", 30.0, 20.0, 10.0), ("b", 40.0, None, None), ("c", 1.0, None, None)]
 
 
 def test_reason_names_no_lender_but_ours(spark):
