@@ -102,7 +102,8 @@ def commission_summary(spark, d):
 
 @query("agent_activity_summary", "select * from summary", ("activity", "debits", "summary"))
 def agent_activity_summary(spark, d):
-    return agents.activity_summary(activity(spark, d), EVENTS_AS_OF)
+    out = agents.activity_summary(activity(spark, d), EVENTS_AS_OF)
+    return out.withColumns({c: F.col(c).cast("long") for c in ("days_since_last_transaction", "days_since_latest_negative_balance")})
 
 
 _SCORE_COLUMNS = ["agent_id", "evaluation_months", "trading_consistency_score", "age_on_network_score", "recency_in_months_score",
@@ -114,7 +115,7 @@ def _scored(spark, d):
     return agents.scores(agents.commission_summary(rows, EVENTS_AS_OF).join(agents.activity_summary(rows, EVENTS_AS_OF), "agent_id"))
 
 
-@query("agent_scores", f"select {', '.join(_SCORE_COLUMNS)} from scored", _SCORED)
+@query("agent_scores", f"select {', '.join(f'cast({c} as bigint) as {c}' for c in _SCORE_COLUMNS)} from scored", _SCORED)
 def agent_scores(spark, d):
     return _scored(spark, d).select([F.col(c).cast("long").alias(c) for c in _SCORE_COLUMNS])
 
@@ -139,7 +140,7 @@ def limits_before(spark, d):
 
 
 @query("agent_limits", """
-select agent_id, total_score, current_limit, previous_limit, previous_m_limit, previous_2m_limit, held as limit_after_stabilisation, final_limit,
+select agent_id, cast(total_score as bigint) as total_score, current_limit, previous_limit, previous_m_limit, previous_2m_limit, held as limit_after_stabilisation, final_limit,
   final_limit > 0 and total_score >= 600 as is_qualified, case when final_limit > 0 and total_score >= 600 then case when limit_factor = 0 then 'Inconsistent Repayments. ' else 'All rules passed. ' end
   when trading_consistency_score <= 0 then 'Trading consistency is below set threshold and total score is < 600. '
   when average_daily_debit_score <= 0 then 'Average daily debit amount is below set threshold and total score is < 600. '

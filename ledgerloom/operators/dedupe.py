@@ -53,13 +53,10 @@ def drop_exact_duplicates(df: DataFrame, payload: list, keep_first_by: list, tie
     """
     if ties == "one":
         return pick_per_key(df, payload, keep_first_by, largest).select(df.columns)
-    order = F.struct(*[F.col(c) for c in keep_first_by])
-    best = df.groupBy(*payload).agg((F.max if largest else F.min)(order).alias("_best"))
-    best = best.select(*[F.col(c).alias(f"_k_{c}") for c in payload], "_best")
-    same = order.eqNullSafe(F.col("_best"))
-    for c in payload:
-        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    return df.join(best, same, "left_semi")
+    # Structs with null fields are equal when the same fields are null.
+    rows = df.withColumns({"_copy": F.struct(*payload), "_order": F.struct(*keep_first_by)})
+    best = rows.groupBy("_copy").agg((F.max if largest else F.min)("_order").alias("_order"))
+    return rows.join(best, ["_copy", "_order"], "left_semi").select(df.columns)
 
 
 def number_in_group(df: DataFrame, keys: list, order: list, name: str = "seq", slice_by: Column | None = None,
@@ -74,26 +71,17 @@ def number_in_group(df: DataFrame, keys: list, order: list, name: str = "seq", s
     ordered = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     if slice_by is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordered)))
-    sliced = df.withColumn("_slice", slice_by)
-    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(
-        F.col("_slice").desc() if descending else F.col("_slice").asc()
-    ).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_slice").alias("_k_slice"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"),
-    )
-    inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*ordered))
-    same = F.col("_slice").eqNullSafe(F.col("_k_slice"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return (
-        sliced.withColumn("_inside", inside)
-        .join(shifts, same, "left")
-        .withColumn(name, (F.col("_inside") + F.coalesce(F.col("_shift"), F.lit(0))).cast("long"))
-        .select(*df.columns, name)
-    )
+    # One struct column is the key of both the window and the join, so the rows
+    # are shuffled once for the two.
+    sliced = df.withColumn("_group", F.struct(*keys, slice_by.alias("_slice")))
+    at = F.col("_group._slice")
+    before = Window.partitionBy(*[F.col(f"_group.{k}") for k in keys]).orderBy(
+        at.desc() if descending else at.asc()).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sliced.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = F.row_number().over(Window.partitionBy("_group").orderBy(*ordered))
+    return sliced.withColumn("_inside", inside).join(shifts, "_group", "left").select(
+        *df.columns, (F.col("_inside") + F.coalesce(F.col("_shift"), F.lit(0))).cast("long").alias(name))
 
 
 def best_status_per_key(df: DataFrame, keys, status: str) -> DataFrame:

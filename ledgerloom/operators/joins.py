@@ -21,32 +21,25 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, va
     """
     by = by or []
     slice_of = slice_by or (lambda c: F.lit(0))
-    points = left.select(*by, F.col(left_on).alias("_t")).filter("_t is not null").distinct()
-    # Several right rows at one time: the largest value counts.
-    marks = (
-        right.filter(F.col(right_on).isNotNull() & F.col(value).isNotNull())
-        .groupBy(*by, F.col(right_on).alias("_t"))
-        .agg(F.max(value).alias("_v"))
-    )
-    side = (0, 1) if strict else (1, 0)
-    line = points.select(*by, "_t", F.lit(None).cast(marks.schema["_v"].dataType).alias("_v"),
-                         F.lit(side[0]).alias("_side"), F.lit(True).alias("_ask")).unionByName(
-        marks.select(*by, "_t", "_v", F.lit(side[1]).alias("_side"), F.lit(False).alias("_ask")))
-    line = line.withColumn("_slice", slice_of(F.col("_t")))
-    inside = Window.partitionBy(*by, "_slice").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    known = [F.col(c).isNotNull() for c in by]
+    usable = lambda df, *more: df.filter(reduce(lambda x, y: x & y, [*known, *[F.col(c).isNotNull() for c in more]]))
+    value_type = right.schema[value].dataType
+    points = usable(left, left_on).select(*by, F.col(left_on).alias("_t"), F.lit(None).cast(value_type).alias("_v"), F.lit(True).alias("_ask"))
+    marks = usable(right, right_on, value).select(*by, F.col(right_on).alias("_t"), F.col(value).alias("_v"), F.lit(False).alias("_ask"))
+    # One row per key and time; of several right rows at one time the largest value counts.
+    line = points.unionByName(marks).groupBy(*by, "_t").agg(F.max("_v").alias("_v"), F.bool_or("_ask").alias("_ask"))
+    line = line.withColumn("_group", F.struct(*by, slice_of(F.col("_t")).alias("_slice")))
+    inside = Window.partitionBy("_group").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
     found = line.withColumn("_found", F.last("_v", ignorenulls=True).over(inside))
     if slice_by is not None:
         # One row per slice: its last value, then the last value of all slices before.
-        ends = line.groupBy(*by, "_slice").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_end"))
-        earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        ends = ends.select(*[F.col(k).alias(f"_k_{k}") for k in by], F.col("_slice").alias("_k_slice"),
-                           F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
-        found = found.join(ends, null_safe([*by, "_slice"], [*[f"_k_{k}" for k in by], "_k_slice"]), "left")
-        found = found.withColumn("_found", F.coalesce("_found", "_carry"))
+        ends = line.groupBy("_group").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_end"))
+        earlier = Window.partitionBy(*[F.col(f"_group.{k}") for k in by]).orderBy("_group._slice").rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select("_group", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+        found = found.join(ends, "_group", "left").withColumn("_found", F.coalesce("_found", "_carry"))
     answers = found.filter("_ask").select(
         *[F.col(k).alias(f"_a_{k}") for k in by], F.col("_t").alias("_a_t"), F.col("_found").alias(value))
-    on = null_safe(by, [f"_a_{k}" for k in by]) & (F.col(left_on) == F.col("_a_t")) if by else (
-        F.col(left_on) == F.col("_a_t"))
+    on = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_a_{k}") for k in by], F.col(left_on) == F.col("_a_t"))
     return left.join(answers, on, "left").drop("_a_t", *[f"_a_{k}" for k in by])
 
 
