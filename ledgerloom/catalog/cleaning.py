@@ -182,7 +182,7 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey,
   case when l_quantity between 1 and 9 then 'low' when l_quantity between 11 and 29 then 'mid' when l_quantity >= 31 then 'high' end as with_gaps
 from lineitem""")
 def band_lookup(spark, d):
-    q = F.col("l_quantity")
+    q = "l_quantity"
     return table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         numbers.band(q, [(None, 10, "low"), (10, 30, "mid"), (30, None, "high")]).alias("half_open"),

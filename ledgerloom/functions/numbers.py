@@ -8,22 +8,33 @@ def half_even(c: Column, digits: int = 0) -> Column:
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
-def band(c: Column, rows, closed: str = "left") -> Column:
-    """Value of the band that holds ``c``; null outside all bands.
+def _literal(v) -> str:
+    if isinstance(v, float):
+        return f"{v!r}D"
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def band(column: str, rows, closed: str = "left") -> Column:
+    """Value of the band that holds the column; null outside all bands.
 
     ``rows`` are (low, high, value); ``None`` leaves a side open. ``closed``
-    names the side that belongs to a band: "left", "right" or "both".
+    names the side that belongs to a band: "left", "right" or "both". A band
+    table becomes one CASE expression.
     """
-    out = None
+    above, below = (">=" if closed in ("left", "both") else ">"), ("<=" if closed in ("right", "both") else "<")
+    cases = []
     for low, high, value in rows:
-        hit = F.lit(True)
-        if low is not None:
-            hit = hit & (c >= low if closed in ("left", "both") else c > low)
-        if high is not None:
-            hit = hit & (c <= high if closed in ("right", "both") else c < high)
-        hit = hit & c.isNotNull()
-        out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
-    return out
+        tests = [f"`{column}` is not null"]
+        tests += [f"`{column}` {above} {_literal(low)}"] if low is not None else []
+        tests += [f"`{column}` {below} {_literal(high)}"] if high is not None else []
+        cases.append(f"when {' and '.join(tests)} then {_literal(value)}")
+    return F.expr(f"case {' '.join(cases)} end")
+
+
+def matrix(first: str, second: str, cells: dict, default) -> Column:
+    """Value of the cell named by two columns."""
+    cases = [f"when `{first}` = {_literal(a)} and `{second}` = {_literal(b)} then {_literal(v)}" for (a, b), v in cells.items()]
+    return F.expr(f"case {' '.join(cases)} else {_literal(default)} end")
 
 
 def round_up(c: Column, step: int = 100) -> Column:

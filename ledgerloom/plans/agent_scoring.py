@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.dates import DAYS_PER_MONTH, as_date, fractional_months, shift_months
-from ledgerloom.functions.numbers import band, clamp_limit, half_even, round_up, sum_of
+from ledgerloom.functions.numbers import band, clamp_limit, half_even, matrix, round_up, sum_of
 
 APPROVED = "Approved"
 COMMISSION = "Agent Commission"
@@ -113,14 +113,14 @@ def scores(summaries: DataFrame, period_end: str | None = None) -> DataFrame:
         "evaluation_months": F.ceil(fractional_months(F.col("latest_trading_month"), F.col("earliest_transaction_date")) + 1),
         "diff_last_txn_month": F.rint(fractional_months(F.col("latest_trading_month"), F.col("latest_transaction_date"))),
     })
-    consistency, age = F.col("daily_trading_consistency"), F.col("evaluation_months")
+    consistency, age = "daily_trading_consistency", "evaluation_months"
     parts = {
         "trading_consistency_score": F.coalesce(
             band(consistency, TRADING_CONSISTENCY), band(consistency, TRADING_CONSISTENCY_TOP, "both")),
         "age_on_network_score": F.coalesce(band(age, AGE_ON_NETWORK_FIRST, "both"), band(age, AGE_ON_NETWORK, "right")),
-        "recency_in_months_score": band(F.col("diff_last_txn_month"), RECENCY),
-        "average_daily_debit_score": band(F.col("average_daily_debit_amt"), DAILY_DEBIT),
-        "unique_number_of_commissions_score": band(F.col("unique_number_of_commissions"), COMMISSION_DAYS),
+        "recency_in_months_score": band("diff_last_txn_month", RECENCY),
+        "average_daily_debit_score": band("average_daily_debit_amt", DAILY_DEBIT),
+        "unique_number_of_commissions_score": band("unique_number_of_commissions", COMMISSION_DAYS),
     }
     return out.withColumns(parts).withColumn("total_score", sum_of(*[F.col(p) for p in parts]))
 
@@ -148,11 +148,9 @@ def loan_history(clients: DataFrame, loans: DataFrame, repayments: DataFrame, as
         F.col("_paid").cast("double").alias("repayments_in_time"), percent.alias("percentage_repayment_in_time"))
 
 
-def limit_factor(loan_band, repayment_band):
-    out = F.when(loan_band == "Band 1", F.lit(FIRST_LOAN_FACTOR))
-    for (loans, repaid), factor in LIMIT_FACTORS.items():
-        out = out.when((loan_band == loans) & (repayment_band == repaid), F.lit(factor))
-    return out.otherwise(F.lit(0.0))
+def limit_factor(loan_band: str, repayment_band: str):
+    return F.when(F.col(loan_band) == "Band 1", F.lit(FIRST_LOAN_FACTOR)).otherwise(
+        matrix(loan_band, repayment_band, LIMIT_FACTORS, 0.0))
 
 
 def limits(scored: DataFrame, history: DataFrame, legacy: bool = False) -> DataFrame:
@@ -161,11 +159,11 @@ def limits(scored: DataFrame, history: DataFrame, legacy: bool = False) -> DataF
     out = scored.join(history, "agent_id", "left").withColumn(
         "count_of_loans", F.coalesce("count_of_loans", F.lit(0)))
     out = out.withColumns({
-        "loan_band": band(F.col("count_of_loans"), LOAN_COUNT, "both"),
-        "repayment_band": band(F.col("percentage_repayment_in_time"), REPAYMENT_LEGACY, "both") if legacy
-        else band(F.col("percentage_repayment_in_time"), REPAYMENT),
+        "loan_band": band("count_of_loans", LOAN_COUNT, "both"),
+        "repayment_band": band("percentage_repayment_in_time", REPAYMENT_LEGACY, "both") if legacy
+        else band("percentage_repayment_in_time", REPAYMENT),
     })
-    out = out.withColumn("limit_factor", limit_factor(F.col("loan_band"), F.col("repayment_band")))
+    out = out.withColumn("limit_factor", limit_factor("loan_band", "repayment_band"))
     out = out.withColumn("minimum_limit", F.col("average_daily_debit_amt") * 30 * F.col("limit_factor"))
     out = out.withColumn("rounded_limit", round_up(F.col("minimum_limit")))
     capped = clamp_limit(F.col("rounded_limit"), MINIMUM_LIMIT, MAXIMUM_LIMIT)

@@ -112,7 +112,7 @@ def loan_records(loans: DataFrame, repayments: DataFrame, schedule: DataFrame, a
     else:
         since = F.when(in_arrears & ~settled, F.col("overdue_since")).otherwise(since)
     return out.withColumns({
-        "classification": F.when(d == 0, "A").otherwise(band(d, CLASSES, "right")),
+        "classification": F.when(d == 0, "A").otherwise(band("days_in_arrears", CLASSES, "right")),
         "account_status": state, "account_status_date": since,
     }).drop("_p", "_first", "_next", "_overdue", "overdue_since", "total_overdue")
 

@@ -28,6 +28,8 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSessi
         .appName("ledgerloom")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # No call-site capture per column: large expressions are built faster.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")

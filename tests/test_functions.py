@@ -78,11 +78,11 @@ def test_half_even_works_on_the_binary_value(spark):
 
 def test_bands_close_the_named_side(spark):
     rows = [(0, 10, "a"), (10, None, "b")]
-    assert one(spark, lambda c: numbers.band(c, rows), 10, "int") == "b"
-    assert one(spark, lambda c: numbers.band(c, rows, "right"), 10, "int") == "a"
-    assert one(spark, lambda c: numbers.band(c, rows, "right"), 0, "int") is None
-    assert one(spark, lambda c: numbers.band(c, [(0, 29, "a"), (30, 49, "b")], "both"), 29.5, "double") is None
-    assert one(spark, lambda c: numbers.band(c, [(None, None, "x")]), None, "int") is None
+    assert one(spark, lambda c: numbers.band("v", rows), 10, "int") == "b"
+    assert one(spark, lambda c: numbers.band("v", rows, "right"), 10, "int") == "a"
+    assert one(spark, lambda c: numbers.band("v", rows, "right"), 0, "int") is None
+    assert one(spark, lambda c: numbers.band("v", [(0, 29, "a"), (30, 49, "b")], "both"), 29.5, "double") is None
+    assert one(spark, lambda c: numbers.band("v", [(None, None, "x")]), None, "int") is None
 
 
 def test_limit_arithmetic(spark):

@@ -76,7 +76,7 @@ def test_recency_against_a_common_day(spark):
     ("Band 1", None, 0.119), ("Band 2", "Band 3", 0.0), ("Band 2", "Band 4", 0.083), ("Band 5", "Band 6", 0.17), ("Band 3", None, 0.0)])
 def test_limit_matrix(spark, loans, repaid, want):
     df = spark.createDataFrame([(loans, repaid)], "l string, r string")
-    assert df.select(agents.limit_factor(F.col("l"), F.col("r"))).first()[0] == want
+    assert df.select(agents.limit_factor("l", "r")).first()[0] == want
 
 
 def history(spark, legacy=False):
