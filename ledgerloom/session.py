@@ -1,6 +1,10 @@
-"""Session settings the operators rely on, and the shared folder for intermediate tables."""
+"""Session settings the operators rely on, the package on the workers, and the shared folder for intermediate tables."""
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -51,5 +55,21 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="ledgerloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give Python workers this package, once per context: functions are sent by name, and a worker has to be able to import them."""
+    context = spark.sparkContext
+    if not getattr(context, "_ledgerloom_shipped", False):
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="ledgerloom-code-")  # read by the driver alone, which serves it to the workers
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        with zipfile.ZipFile(f"{folder}/ledgerloom.zip", "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, str(file.relative_to(package.parent)))
+        context.addPyFile(f"{folder}/ledgerloom.zip")
+        context._ledgerloom_shipped = True
+    return spark
