@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import window_dedup
+from ledgerloom.llm import fair_mix, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -26,3 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4_substring_dedup(spark, sf_dir):
     """Words outside repeated windows of 35 words."""
     return window_dedup.repeated_windows(table(spark, sf_dir, "documents"), length=35)
+
+
+@query
+def op10_fair_mix(spark, sf_dir):
+    """Words that each document gives to a mix by weighted fair queueing."""
+    return fair_mix.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_fair_mix"] = fair_mix.SQL
