@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import fair_mix, window_dedup
+from ledgerloom.llm import fair_mix, line_templates, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -35,3 +35,12 @@ def op10_fair_mix(spark, sf_dir):
 
 
 ORACLES["op10_fair_mix"] = fair_mix.SQL
+
+
+@query
+def op2_line_templates(spark, sf_dir):
+    """What documents keep when lines of recurring templates are dropped."""
+    return line_templates.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_line_templates"] = line_templates.SQL
