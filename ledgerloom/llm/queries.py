@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import fair_mix, line_templates, window_dedup
+from ledgerloom.llm import fair_mix, fuse_dedup, line_templates, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -44,3 +44,12 @@ def op2_line_templates(spark, sf_dir):
 
 
 ORACLES["op2_line_templates"] = line_templates.SQL
+
+
+@query
+def op3_exact_dedup(spark, sf_dir):
+    """Which document stays for each text."""
+    return fuse_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_exact_dedup"] = fuse_dedup.SQL
