@@ -97,6 +97,16 @@ def _packer(size: int) -> Callable:
     return pack_rows
 
 
+def pieces(table: pa.Table | pa.RecordBatch, column: str = "text", size: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with some ``size`` bytes of text each; a longer text is a range of its own."""
+    lengths = pa.compute.fill_null(pa.compute.binary_length(table.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, i = np.concatenate(([0], np.cumsum(lengths))), 0
+    while i < len(lengths):
+        j = max(i + 1, int(np.searchsorted(upto, upto[i] + size, "right")) - 1)
+        yield i, j
+        i = j
+
+
 def pack(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, *more, size: int = BLOCK_BYTES) -> DataFrame:
     """Rows ``id, text`` (and the columns ``more``) in blocks, stored. A text longer than ``size`` is a block of its own."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *more)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import fair_mix, fuse_dedup, line_templates, window_dedup
+from ledgerloom.llm import decontaminate, fair_mix, fuse_dedup, line_templates, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -53,3 +53,9 @@ def op3_exact_dedup(spark, sf_dir):
 
 
 ORACLES["op3_exact_dedup"] = fuse_dedup.SQL
+
+
+@query
+def op8_decontaminate(spark, sf_dir):
+    """Words and items of the benchmark in each document."""
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
