@@ -39,7 +39,7 @@ def _representatives(found: w.Words, size: int, length: int, starts: np.ndarray)
     short = w.windows(found.hash, size)
     place = w.least_places(short, length - size + 1)[starts]
     new = np.append(True, place[1:] != place[:-1])[:len(place)]
-    return short[place[new]], np.cumsum(new) - 1
+    return w.mix(short[place[new]]), np.cumsum(new) - 1  # least hashes are small: mixed again, they spread over the shards
 
 
 def _screen(found: w.Words, sizes: list[int], length: int, shards: int, payloads: list[list]) -> np.ndarray:
