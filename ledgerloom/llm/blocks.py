@@ -151,17 +151,27 @@ def answer(asked: DataFrame, reply: Callable[[int, list[pa.BinaryScalar]], list[
     return asked.groupBy("shard").applyInArrow(each, REQUEST)
 
 
-def told(packed: DataFrame, answers: DataFrame, use: Callable, schema: str) -> DataFrame:
-    """Each block with its answers in the order of shards: ``use(block, rows, payloads)`` gives a table."""
-    empty = pa.schema([])
+def told(packed: DataFrame, answers: list[DataFrame], use: Callable, schema: str) -> DataFrame:
+    """Each block with the answers to its questions: ``use(block, rows, payloads)`` gives a table; ``payloads`` has a
+    list for each of ``answers``, in the order of shards."""
+    marked = [a.withColumn("question", F.lit(k)) for k, a in enumerate(answers)]
+    every, n = marked[0], len(marked)
+    for more in marked[1:]:
+        every = every.unionByName(more)
 
     def each(key, left, right):
-        if left.num_rows == 0:
-            return empty.empty_table()
-        right = right.sort_by("shard").combine_chunks()
+        right = right.sort_by([("question", "ascending"), ("shard", "ascending")]).combine_chunks()
         values = [v for c in right.column("payload").chunks for v in c]
-        return use(key[0].as_py(), of_payload(left.combine_chunks().column("payload").chunk(0)[0]), values)
-    return packed.select("block", "payload").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(each, schema)
+        ends = np.cumsum(np.bincount(right.column("question").to_numpy(), minlength=n))
+        return use(key[0].as_py(), of_payload(left.combine_chunks().column("payload").chunk(0)[0]), [values[a:z] for a, z in zip([0, *ends], ends)])
+    return packed.select("block", "payload").groupBy("block").cogroup(every.groupBy("block")).applyInArrow(each, schema)
+
+
+def ask_told(packed: DataFrame, answers: list[DataFrame], make: Callable) -> DataFrame:
+    """Requests of blocks that have answers to earlier questions: ``make(block, rows, payloads)``."""
+    if not answers:
+        return ask(packed, lambda block, rows: make(block, rows, []))
+    return told(packed, answers, lambda block, rows, payloads: pa.Table.from_batches([make(block, rows, payloads)]), REQUEST)
 
 
 def seen_twice(keys: list[np.ndarray], already: list[np.ndarray]) -> list[np.ndarray]:
@@ -184,6 +194,11 @@ def narrow(hashes: np.ndarray, flags: np.ndarray) -> bytes:
     return arrays_out(hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint8), np.packbits(flags))
 
 
+def narrow_with(hashes: np.ndarray, values: np.ndarray) -> bytes:
+    """As ``narrow``, with a value for each hash."""
+    return arrays_out(hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint8), values)
+
+
 def widen(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
 

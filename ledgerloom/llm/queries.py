@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, fair_mix, fuse_dedup, line_templates, window_dedup
+from ledgerloom.llm import decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -59,3 +59,9 @@ ORACLES["op3_exact_dedup"] = fuse_dedup.SQL
 def op8_decontaminate(spark, sf_dir):
     """Words and items of the benchmark in each document."""
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+@query
+def op9_suffix_dedup(spark, sf_dir):
+    """Bytes outside strings of 50 bytes that an earlier document has."""
+    return lpf_dedup.earlier_copies_removed(table(spark, sf_dir, "documents"), length=50)

@@ -52,16 +52,8 @@ def _screen(found: w.Words, sizes: list[int], length: int, shards: int, payloads
     return starts
 
 
-def _by_level(payloads: list[pa.BinaryScalar], counts: list[int]) -> list[list]:
-    out, at = [], 0
-    for n in counts:
-        out.append(payloads[at:at + n])
-        at += n
-    return out
-
-
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35, least: int = 16,
-                     with_text: bool = False) -> DataFrame:
+                     with_text: bool = False, block_bytes: int = b.BLOCK_BYTES) -> DataFrame:
     """One row per document: its words, how many lie in a repeated window, and the rest.
 
     A window is ``length`` consecutive words (``[^\\x20\\x09-\\x0D]+``, unchanged) of one document; it is repeated if the
@@ -75,38 +67,31 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark, sizes = docs.sparkSession, levels(length, least)
     scratch = b.Scratch(spark, "windows")
-    packed = b.pack(scratch, docs, id_col, text_col)
+    packed = b.pack(scratch, docs, id_col, text_col, size=block_bytes)
     shards = b.shards_for(packed)
-    answers = None
+    answers: list[DataFrame] = []
     for k, size in enumerate(sizes[:-1]):
-        def ask_level(block, rows, payloads=(), done=sizes[:k], size=size):
+        def ask_level(block, rows, payloads, done=sizes[:k], size=size):
             found = w.find(*w.buffer(rows.column("text")))
             starts = _screen(found, done, length, shards, payloads)
             distinct, counts = np.unique(_representatives(found, size, length, starts)[0], return_counts=True)
             return b.requests(block, distinct, shards, lambda s: b.narrow(distinct[s], counts[s] > 1))
-        asked = b.ask(packed, ask_level) if answers is None else _ask_told(packed, answers, ask_level, k)
-        level = b.repeated(asked).withColumn("level", F.lit(k))
-        answers = scratch.save(level if answers is None else answers.unionByName(level), f"level{k}")
+        answers.append(scratch.save(b.repeated(b.ask_told(packed, answers, ask_level)), f"level{k}"))
 
-    def ask_full(block, rows, payloads=()):
+    def ask_full(block, rows, payloads):
         found = w.find(*w.buffer(rows.column("text")))
         one, two, again, _ = _full(found, _screen(found, sizes[:-1], length, shards, payloads), length)
         return b.requests(block, one, shards, lambda s: b.arrays_out(one[s], two[s], np.packbits(again[s])))
-
-    done = len(sizes) - 1
-    last = _compare(b.ask(packed, ask_full) if answers is None else _ask_told(packed, answers, ask_full, done)).withColumn("level", F.lit(done))
-    answers = scratch.save(last if answers is None else answers.unionByName(last), "full")
-    if done:
-        scratch.drop(*(f"level{k}" for k in range(done)))
+    answers.append(scratch.save(_compare(b.ask_told(packed, answers, ask_full)), "full"))
 
     def use(block, rows, payloads):
         data, at = w.buffer(rows.column("text"))
         found = w.find(data, at)
         starts = _screen(found, sizes[:-1], length, shards, payloads)
         one, _, _, where = _full(found, starts, length)
-        gone = w.covered(starts[b.flags_back(one, shards, payloads[done])[where]], length, len(found.hash))
+        gone = w.covered(starts[b.flags_back(one, shards, payloads[-1])[where]], length, len(found.hash))
         return _result(rows, data, at, found, gone, with_text)
-    return _told_levels(packed, answers, use, done + 1, WITH_TEXT if with_text else RESULT)
+    return b.told(packed, answers, use, WITH_TEXT if with_text else RESULT)
 
 
 def _full(found: w.Words, starts: np.ndarray, length: int):
@@ -135,20 +120,6 @@ def _compare(asked: DataFrame) -> DataFrame:
     return b.answer(asked, reply)
 
 
-def _told_levels(packed: DataFrame, answers: DataFrame, use, n: int, schema: str) -> DataFrame:
-    """As ``blocks.told`` with the answers of several levels: a list for each."""
-    def each(key, left, right):
-        right = right.sort_by([("level", "ascending"), ("shard", "ascending")]).combine_chunks()
-        values = [v for c in right.column("payload").chunks for v in c]
-        counts = np.bincount(right.column("level").to_numpy(), minlength=n).tolist()
-        return use(key[0].as_py(), b.of_payload(left.combine_chunks().column("payload").chunk(0)[0]), _by_level(values, counts))
-    return packed.select("block", "payload").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(each, schema)
-
-
-def _ask_told(packed: DataFrame, answers: DataFrame, make, n: int) -> DataFrame:
-    return _told_levels(packed, answers, lambda block, rows, payloads: pa.Table.from_batches([make(block, rows, payloads)]), n, b.REQUEST)
-
-
 def _result(rows: pa.Table, data, at, found: w.Words, gone: np.ndarray, with_text: bool) -> pa.Table:
     raw, n_words = data.tobytes(), np.diff(found.first)
     upto = np.concatenate(([0], np.cumsum(gone)))
