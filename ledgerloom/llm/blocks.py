@@ -78,7 +78,7 @@ def _packer(size: int) -> Callable:
 
         def row():
             table = pa.Table.from_batches(held)
-            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made]), pa.array([table.num_rows]), pa.array([n_bytes]),
+            return pa.RecordBatch.from_arrays([pa.array([part << 20 | made]), pa.array([table.num_rows]), pa.array([n_bytes]),
                                                pa.array([to_payload(table)], pa.binary())], names=["block", "n_texts", "n_bytes", "payload"])
 
         for batch in batches:

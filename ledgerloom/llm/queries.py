@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, window_dedup
+from ledgerloom.llm import chosen_path, decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -65,3 +65,9 @@ def op8_decontaminate(spark, sf_dir):
 def op9_suffix_dedup(spark, sf_dir):
     """Bytes outside strings of 50 bytes that an earlier document has."""
     return lpf_dedup.earlier_copies_removed(table(spark, sf_dir, "documents"), length=50)
+
+
+@query
+def op5_near_duplicates(spark, sf_dir):
+    """Components of documents whose shingle sets are alike to 85 %."""
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
