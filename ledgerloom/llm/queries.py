@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chosen_path, decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, window_dedup
+from ledgerloom.llm import chosen_path, decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, ngram_lm, quality, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -71,3 +71,15 @@ def op9_suffix_dedup(spark, sf_dir):
 def op5_near_duplicates(spark, sf_dir):
     """Components of documents whose shingle sets are alike to 85 %."""
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op6_quality(spark, sf_dir):
+    """Calibrated quality of each document."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_ngram_scores(spark, sf_dir):
+    """Language-model scores of all documents."""
+    return ngram_lm.scored(table(spark, sf_dir, "documents"))
