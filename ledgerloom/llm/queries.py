@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chosen_path, decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, ngram_lm, quality, window_dedup
+from ledgerloom.llm import chosen_path, decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, ngram_lm, quality, token_counts, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -83,3 +83,9 @@ def op6_quality(spark, sf_dir):
 def op7_ngram_scores(spark, sf_dir):
     """Language-model scores of all documents."""
     return ngram_lm.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_token_counts(spark, sf_dir):
+    """Tokens of each document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
