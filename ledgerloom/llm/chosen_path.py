@@ -272,7 +272,23 @@ def _confirm(scratch: b.Scratch, packed: DataFrame, groups: DataFrame, size: int
     return met.groupBy("task").applyInArrow(lambda t: verify(t), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, hashes: bool = False) -> DataFrame:
+def _placed(scratch: b.Scratch, packed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Each row (``node``) with its ``component`` (a node) and ``component_id`` (the smallest id in it)."""
+    every = scratch.save(_documents(packed, shingle), "documents")
+    reps = scratch.save(every.filter("n_shingles > 0").groupBy("one", "two").agg(
+        F.min("doc_id").alias("doc_id"), F.min_by("sketch", "node").alias("sketch"), F.min("node").alias("node")), "representatives")
+    groups = components(scratch, _close(scratch, reps, percent / 100), "groups")
+    linked = components(scratch, scratch.save(_confirm(scratch, packed, groups, shingle, percent), "confirmed"), "linked")
+    placed = reps.join(linked, "node", "left").select("one", "two", "doc_id", F.coalesce("component", "node").alias("component"))
+    first = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed = placed.join(first, "component").select("one", "two", "component", "component_id")
+    some = every.filter("n_shingles > 0").drop("sketch").join(placed, ["one", "two"]).select("node", "doc_id", "n_shingles", "component", "component_id")
+    none = every.filter("n_shingles = 0").select("node", "doc_id", "n_shingles", F.col("node").alias("component"), F.col("doc_id").alias("component_id"))
+    return some.unionByName(none)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
+                    block_bytes: int = b.BLOCK_BYTES) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     A document's set is its distinct shingles of ``shingle`` words (``[^\\x20\\x09-\\x0D]+`` after A-Z became a-z), or its whole
@@ -280,22 +296,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the union; ``component_id`` is the smallest id that links reach, and that document is ``kept``.
 
     Null and wordless texts have no shingles and no links: each is its own component. A row without an id takes the smallest
-    id of its component (null if no member has one) and is kept only if it has no links. Repeated rows are linked
-    and have one id. Other columns are ignored; an empty table gives no rows. Long texts are worked on whole, texts
-    with equal sets as one. ``hashes`` adds ``text_hash`` (xxhash64 of the text) to find rows again.
+    id of its component, null if no member has one, and is kept only then. Repeated rows are linked and have one id, so they
+    are all marked as kept. Other columns are ignored; an empty table gives no rows. Long texts are worked on whole,
+    texts with equal sets as one.
     """
     scratch = b.Scratch(docs.sparkSession, "near")
-    more = [F.xxhash64(F.col(text_col)).alias("text_hash")] if hashes else []
-    packed = b.pack(scratch, docs, id_col, text_col, *more)
-    every = scratch.save(_documents(packed, shingle), "documents")
-    reps = scratch.save(every.filter("n_shingles > 0").groupBy("one", "two").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("sketch", "node").alias("sketch"), F.min("node").alias("node")), "representatives")
-    groups = components(scratch, _close(scratch, reps, percent / 100), "groups")
-    linked = components(scratch, scratch.save(_confirm(scratch, packed, groups, shingle, percent), "confirmed"), "linked")
-    placed = reps.join(linked, "node", "left").select("one", "two", "doc_id", F.coalesce("component", "node").alias("component"))
-    first = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    placed = placed.join(first, "component").select("one", "two", "component_id")
-    some = every.filter("n_shingles > 0").drop("sketch").join(placed, ["one", "two"]).select("node", "doc_id", "n_shingles", "component_id")
-    none = every.filter("n_shingles = 0").select("node", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = some.unionByName(none).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()))
-    return out if hashes else out.drop("node")
+    out = _placed(scratch, b.pack(scratch, docs, id_col, text_col, size=block_bytes), shingle, percent)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all columns, with one row of each component: the one with the smallest id (of repeated rows, one; rows without an id come last)."""
+    scratch = b.Scratch(docs.sparkSession, "near")
+    others = [c for c in docs.columns if c != text_col]
+    packed = b.pack(scratch, docs, id_col, text_col, F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"))
+    rows = _placed(scratch, packed, shingle, percent)
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("m")).select(F.col("m.node").alias("node"))
+    kept = best.groupBy(F.shiftright("node", PLACES).alias("block")).agg(F.collect_list(F.col("node").bitwiseAND((1 << PLACES) - 1)).alias("places"))
+    names = docs.columns
+
+    def each(key, left, right):
+        rows = b.of_payload(left.combine_chunks().column("payload").chunk(0)[0])
+        places = sorted(right.column("places").to_pylist()[0]) if right.num_rows else []
+        rows = rows.take(pa.array(places, pa.int64()))
+        rest = rows.column("rest").combine_chunks()
+        rest = rest.chunk(0) if isinstance(rest, pa.ChunkedArray) and rest.num_chunks else rest
+        fields = dict(zip(others, rest.flatten())) if others else {}
+        return pa.table([rows.column("text") if c == text_col else fields[c] for c in names], names=names)
+    return packed.select("block", "payload").groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(each, docs.schema)

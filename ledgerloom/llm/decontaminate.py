@@ -269,7 +269,23 @@ def _longest(ids, found: w.Words, test: Tests) -> pa.Table:
                      "doc_start": place[first], "item_start": at[first], "n_words": place[last] - place[first] + length[first]})
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The documents, all columns, without contaminated ones. Rows that repeat an id go by the verdict of any of them."""
-    bad = overlaps(docs, benchmark, id_col, text_col, **more).filter("contaminated").select("doc_id").distinct()
-    return docs.alias("d").join(bad.alias("b"), F.col(f"d.{id_col}").eqNullSafe(F.col("b.doc_id")), "left_anti")
+def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                   item_text_col: str = "text", pass_text: int = PASS_TEXT, block_text: int = BLOCK_TEXT) -> DataFrame:
+    """The documents, all columns, without contaminated ones: by row in one pass; if the benchmark takes several, rows that repeat an id go together."""
+    spark = docs.sparkSession
+    passes = _passes(benchmark, item_col, item_text_col, b.Scratch(spark, "benchmark"), pass_text, block_text)
+    if len(passes) > 1:
+        bad = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col, pass_text, block_text).filter("contaminated").select("doc_id").distinct()
+        return docs.alias("d").join(bad.alias("b"), F.col(f"d.{id_col}").eqNullSafe(F.col("b.doc_id")), "left_anti")
+    payloads = spark.sparkContext.broadcast(_tests_of(passes[0]))
+
+    def each(batches):
+        loaded = _loaded(payloads.value)
+        for batch in batches:
+            for i, j in b.pieces(batch, text_col):
+                part = batch.slice(i, j - i)
+                found, hit, items = _overlap(part.column(text_col), loaded)
+                upto = np.concatenate(([0], np.cumsum(hit)))
+                verdicts = _verdicts([None] * part.num_rows, np.diff(found.first), upto[found.first[1:]] - upto[found.first[:-1]], items)
+                yield part.filter(pa.compute.invert(verdicts.column("contaminated").combine_chunks()))
+    return docs.mapInArrow(each, docs.schema)

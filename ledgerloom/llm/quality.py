@@ -121,7 +121,7 @@ class Model(NamedTuple):
     def column(self, text) -> F.Column:
         """The score of a text column."""
         @F.arrow_udf("double")
-        def scored(texts):
+        def scored(texts: pa.Array) -> pa.Array:
             return pa.array(self.score(_of_column(texts)))
         return scored(text.cast("string"))
 
