@@ -63,7 +63,7 @@ def tests(items: pa.Array, texts: pa.Array) -> Tests | None:
     in_item = found.text[starts]
     least = np.full(len(words) + 1, WINDOW + 1)
     np.minimum.at(least, number[starts], lengths)
-    ids = items.to_numpy(zero_copy_only=False)
+    ids = np.array([*items.to_pylist(), None], object)[:-1]  # ids stay whole numbers beside nulls
     return Tests(words, keys, lengths[order][first[:-1]], first, ids[in_item][order], (starts - found.first[in_item])[order], least)
 
 
