@@ -9,24 +9,30 @@ bytes are compared with those of the document it would be dropped for.
 """
 from __future__ import annotations
 
+import hashlib
 import math
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.blocks import Scratch
-from ledgerloom.llm.words import mix
+from ledgerloom.llm import blocks as b
+from ledgerloom.llm import words as w
 
-BLANK = r"[\x20\x09-\x0D]+"
+BLANK = b" \t\n\x0b\x0c\r"
+PLACES = 23             # bits of a row number for its place in its block
 BUCKET_KEYS = 100_000  # digests for a filter
 FILTER = "bucket long, seed long, segment long, span long, bits binary"
 
 
-def normalised(text) -> F.Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, " ")
+def normalised(raw: bytes) -> bytes:
+    """Each run of ``[\\x20\\x09-\\x0D]`` as one space."""
+    inner = b" ".join(raw.split())
+    if not inner:
+        return b" " if raw else b""
+    return (b" " if raw[0] in BLANK else b"") + inner + (b" " if raw[-1] in BLANK else b"")
 
 
 # --- the filter -------------------------------------------------------------------------------------------------------
@@ -34,7 +40,7 @@ def normalised(text) -> F.Column:
 
 def _slots(keys: np.ndarray, seed: int, segment: int, span: int) -> tuple[np.ndarray, np.ndarray]:
     """Three slots of each key, in neighbouring segments, and its fingerprint of 8 bits."""
-    h = mix(keys + np.uint64(seed * 2 + 1) * np.uint64(0x9E3779B97F4A7C15))
+    h = w.mix(keys + np.uint64(seed * 2 + 1) * np.uint64(0x9E3779B97F4A7C15))
     base = (h >> np.uint64(32)) * np.uint64(span) >> np.uint64(32)
     inner = np.uint64(segment - 1)
     one = base + np.uint64(segment)
@@ -105,10 +111,18 @@ class Snapshot(NamedTuple):
     buckets: int
 
 
-def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Narrow rows: id, a hash of the raw text (to find the row again), and the digest of the normalised text."""
-    text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.unhex(F.sha2(normalised(text), 256)).alias("digest"))
+def digests(packed: DataFrame) -> DataFrame:
+    """Narrow rows: a number for the row (its block and place), its id, and the digest of its normalised text."""
+    def each(batches):
+        for batch in batches:
+            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
+                rows = b.of_payload(payload)
+                data, at = w.buffer(rows.column("text"))
+                raw, at = data.tobytes(), at.tolist()
+                found = [hashlib.sha256(normalised(raw[x:y])).digest() for x, y in zip(at, at[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array([block << PLACES | k for k in range(len(found))], pa.int64()),
+                                                  rows.column("id").cast(pa.int64()).combine_chunks(), pa.array(found, pa.binary())], names=["node", "doc_id", "digest"])
+    return packed.select("block", "payload").mapInArrow(each, "node long, doc_id long, digest binary")
 
 
 def grouped(rows: DataFrame, buckets: int) -> DataFrame:
@@ -116,7 +130,7 @@ def grouped(rows: DataFrame, buckets: int) -> DataFrame:
             .withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets))))
 
 
-def take_snapshot(scratch: Scratch, rows: DataFrame, name: str) -> Snapshot:
+def take_snapshot(scratch: b.Scratch, rows: DataFrame, name: str) -> Snapshot:
     buckets = max(8, -(-rows.count() // BUCKET_KEYS))
     exact = scratch.save(grouped(rows, buckets), f"{name}-exact")
 
@@ -140,7 +154,7 @@ def screened(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
         screen, "digest binary, doc_id long, n long, bucket long, maybe boolean")
 
 
-def ingest(scratch: Scratch, batch: DataFrame, snapshots: list[Snapshot]) -> DataFrame:
+def ingest(scratch: b.Scratch, batch: DataFrame, snapshots: list[Snapshot]) -> DataFrame:
     """``digest, doc_id, n``: each distinct digest of the batch with the id it is kept under, which may be a snapshot's, and its count here."""
     own = grouped(batch, 1).drop("bucket").select("digest", "doc_id", "n")
     for snapshot in snapshots:
@@ -152,7 +166,7 @@ def ingest(scratch: Scratch, batch: DataFrame, snapshots: list[Snapshot]) -> Dat
     return own
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = b.BLOCK_BYTES) -> DataFrame:
     """One row per document, dropped ones too: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal if they are the same after each run of ``[\\x20\\x09-\\x0D]`` became one space; the smallest id stays.
@@ -162,39 +176,53 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeat id and text, one is kept and all are counted; other columns are ignored. Groups of any size are joined on the
     digest, where Spark splits a hot one; long texts are read whole.
     """
-    scratch = Scratch(docs.sparkSession, "exact")
-    rows = scratch.save(digests(docs, id_col, text_col), "digests")
+    scratch = b.Scratch(docs.sparkSession, "exact")
+    packed = b.pack(scratch, docs, id_col, text_col, size=block_bytes)
+    rows = scratch.save(digests(packed), "digests")
     low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
     middle = (low + high) // 2 if low is not None else 0
     earlier, later = rows.filter(F.col("doc_id") <= middle), rows.filter(F.col("doc_id").isNull() | (F.col("doc_id") > middle))
     snapshot = take_snapshot(scratch, earlier, "snapshot")
     incoming = ingest(scratch, later, [snapshot])
     found = snapshot.exact.select("digest", "doc_id", "n").unionByName(incoming).groupBy("digest").agg(F.min("doc_id").alias("found_id"), F.sum("n").alias("n"))
-    several = found.filter(F.col("n") > 1).drop("n")
-    placed = scratch.save(rows.join(several, "digest", "left_semi"), "copies")
-    classes = scratch.save(_compared(docs, id_col, text_col, placed, several), "classes")
+    several = scratch.save(found.filter(F.col("n") > 1).select("digest", "found_id"), "several")
+    copies = scratch.save(_texts(packed, rows.join(several, "digest", "left_semi")), "copies")
+    classes = scratch.save(_compared(copies, several), "classes")
     # Rows of one digest whose bytes differ from the first document's are groups of their own.
-    groups = classes.groupBy("digest", "class").agg(F.min("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"))
-    named = classes.join(groups, ["digest", "class"]).select("doc_id", "text_hash", "digest", "keep_id", "group_size")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"g.{c}")) for c in ("doc_id", "text_hash", "digest")]
-    out = rows.alias("r").join(named.alias("g"), same, "left")
-    single = F.col("g.digest").isNull()
-    out = out.select("r.doc_id", F.when(single, F.col("r.doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.col("r.digest").alias("digest"))
-    turn = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("keep_id"))
-    return out.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (turn == 1)).alias("kept"),
-                      F.lower(F.hex("digest")).alias("text_sha256"))
-
-
-def _compared(docs: DataFrame, id_col: str, text_col: str, copies: DataFrame, found: DataFrame) -> DataFrame:
-    """Each distinct (id, text) among the copies with the number of its rows and its class: 0 if its bytes are those of the document found first."""
-    rows = copies.groupBy("doc_id", "text_hash", "digest").agg(F.count("*").alias("rows"))
-    text = F.col(f"d.{text_col}")
-    texts = (docs.alias("d").join(rows.alias("c"), F.col(f"d.{id_col}").eqNullSafe(F.col("c.doc_id")) & (F.xxhash64(text) == F.col("c.text_hash")))
-             .select("c.doc_id", "c.text_hash", "c.digest", "c.rows", normalised(text).alias("bytes")).dropDuplicates(["doc_id", "text_hash", "digest"]))
-    first = texts.join(found, "digest").filter(F.col("doc_id").eqNullSafe(F.col("found_id"))).groupBy("digest").agg(F.max("bytes").alias("first"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
+    groups = classes.groupBy("digest", "class").agg(best.alias("best"), F.count("*").alias("group_size"))
+    named = classes.join(groups, ["digest", "class"]).select("node", F.col("best.doc_id").alias("keep_id"), F.col("best.node").alias("keeper"), "group_size")
+    out = rows.join(named, "node", "left")
+    single = F.col("keeper").isNull()
+    return out.select("doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+                      (single | (F.col("keeper") == F.col("node"))).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def _texts(packed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The normalised bytes of the wanted rows; blocks are told which."""
+    wanted = (rows.select(F.shiftright("node", PLACES).alias("block"), F.struct("node", "doc_id", "digest").alias("want"))
+              .groupBy("block").agg(F.collect_list("want").alias("wants")))
+
+    def each(key, left, right):
+        wants = right.column("wants").combine_chunks()
+        wants = (wants.chunk(0) if isinstance(wants, pa.ChunkedArray) else wants).flatten() if right.num_rows else None
+        if wants is None or not left.num_rows:
+            return pa.table({"node": pa.array([], pa.int64()), "doc_id": pa.array([], pa.int64()), "digest": pa.array([], pa.binary()), "bytes": pa.array([], pa.binary())})
+        node, doc_id, digest = wants.flatten()
+        texts = b.of_payload(left.combine_chunks().column("payload").chunk(0)[0]).column("text").take(pa.compute.bit_wise_and(node, (1 << PLACES) - 1))
+        data, at = w.buffer(texts)
+        raw, at = data.tobytes(), at.tolist()
+        return pa.table({"node": node, "doc_id": doc_id, "digest": digest, "bytes": pa.array([normalised(raw[x:y]) for x, y in zip(at, at[1:])], pa.binary())})
+    return packed.select("block", "payload").groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
+        each, "node long, doc_id long, digest binary, bytes binary")
+
+
+def _compared(copies: DataFrame, several: DataFrame) -> DataFrame:
+    """Each copy with its class: 0 if its bytes are those of the document that its digest was found under, else by a hash of them."""
+    leads = copies.select("node", "doc_id", "digest").join(several, "digest").filter(F.col("doc_id").eqNullSafe(F.col("found_id"))).groupBy("digest").agg(F.min("node").alias("node"))
+    first = copies.join(leads.select("node"), "node", "left_semi").select("digest", F.col("bytes").alias("first"))
     differs = F.when(F.col("bytes") == F.col("first"), F.lit(0).cast("long")).otherwise(F.xxhash64(F.lit(1), "bytes"))
-    return texts.join(first, "digest", "left").select("doc_id", "text_hash", "digest", "rows", differs.alias("class"))
+    return copies.join(first, "digest").select("node", "doc_id", "digest", differs.alias("class"))
 
 
 SQL = r"""
