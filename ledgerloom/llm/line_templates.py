@@ -43,8 +43,8 @@ def parsed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                  F.col("lines").alias("line"), F.concat(edge, F.slice("near", 1, n - 1)).alias("before"),
                  F.concat(F.slice("near", 2, n), edge).alias("after"))).alias("line_no", "at"))
              .select("doc_id", "text_hash", "line_no", "at.before", "at.after",
-                     F.filter(F.split(F.regexp_replace("at.line", MASKED, "<*>"), GAPS), lambda x: x != "").alias("words"))
-             .filter(F.size("words") > 0))
+                     F.when(F.col("at.line").rlike("[0-9]"), F.regexp_replace("at.line", MASKED, "<*>")).otherwise(F.col("at.line")).alias("line"))
+             .withColumn("words", F.filter(F.split("line", GAPS), lambda x: x != "")).filter(F.size("words") > 0))
     n, rest = F.size("words"), F.size("words") - DEPTH
     width = F.ceil(rest / F.lit(FIELDS)).cast("int")
     fields = F.when(rest > 0, F.transform(F.sequence(F.lit(0), F.ceil(rest / width).cast("int") - 1),
