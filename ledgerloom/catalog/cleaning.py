@@ -227,26 +227,39 @@ phoneList array<struct<phoneNumber: string, phoneType: string>>
 """
 
 
-@query("report_xml", """
-select c_custkey as client_id, '2024-01-31' as report_date, c_name as client_name, cast(c_custkey % 900 as bigint) as mobi_loans_score,
-  c_mktsegment as grade, case when c_custkey % 3 > 0 then '2547' || c_custkey end as phone_list1_phone_number,
-  case when c_custkey % 3 > 0 then 'home' end as phone_list1_phone_type,
-  case when c_custkey % 3 = 2 then '2541' || c_custkey end as phone_list2_phone_number,
-  case when c_custkey % 3 = 2 then 'work' end as phone_list2_phone_type from customer""")
-def report_xml(spark, d):
-    key = F.col("c_custkey").cast("string")
-    phone = lambda prefix, kind: F.concat(F.lit(f"<phoneList><phoneNumber>{prefix}"), key, F.lit(f"</phoneNumber><phoneType>{kind}</phoneType></phoneList>"))
-    kind = F.col("c_custkey") % 3
+def _reports(spark, d):
+    """Report texts with 0 to 5 phone nodes, parsed."""
+    key, n = F.col("c_custkey").cast("string"), (F.col("c_custkey") % 6).cast("int")
+    kind = lambda i: F.when(i % 2 == 1, "home").otherwise("work")
+    phones = F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(
+        F.lit("<phoneList><phoneNumber>254"), i.cast("string"), key, F.lit("</phoneNumber><phoneType>"), kind(i), F.lit("</phoneType></phoneList>")))
     xml = F.concat(
         F.lit("<return><header><reportDate>2024-01-31</reportDate><clientName>"), F.col("c_name"),
         F.lit("</clientName></header><scoreOutput><mobiLoansScore>"), (F.col("c_custkey") % 900).cast("string"),
-        F.lit("</mobiLoansScore><grade>"), F.col("c_mktsegment"), F.lit("</grade></scoreOutput>"),
-        F.when(kind > 0, phone("2547", "home")).otherwise(F.lit("")), F.when(kind == 2, phone("2541", "work")).otherwise(F.lit("")),
-        F.lit("</return>"))
+        F.lit("</mobiLoansScore><grade>"), F.col("c_mktsegment"), F.lit("</grade></scoreOutput>"), F.array_join(phones, ""), F.lit("</return>"))
     raw = table(spark, d, "customer").select(F.col("c_custkey").alias("client_id"), xml.alias("raw_response"))
-    parsed = raw.withColumn("report", F.from_xml("raw_response", " ".join(REPORT.split())))
-    out = payload.flatten_report(parsed, "report", {"phoneList": 2}, keep=("client_id",))
-    return out.withColumn("mobi_loans_score", F.col("mobi_loans_score").cast("long"))
+    return raw.withColumn("report", F.from_xml("raw_response", " ".join(REPORT.split())))
+
+
+@query("report_xml", """
+select c_custkey as client_id, '2024-01-31' as report_date, c_name as client_name, cast(c_custkey % 900 as bigint) as mobi_loans_score,
+  c_mktsegment as grade, c_custkey % 6 as phone_list_count, case when c_custkey % 6 > 0 then '2541' || c_custkey end as phone_list1_phone_number,
+  case when c_custkey % 6 > 0 then 'home' end as phone_list1_phone_type,
+  case when c_custkey % 6 > 1 then '2542' || c_custkey end as phone_list2_phone_number,
+  case when c_custkey % 6 > 1 then 'work' end as phone_list2_phone_type from customer""")
+def report_xml(spark, d):
+    out = payload.flatten_report(_reports(spark, d), "report", {"phoneList": 2}, keep=("client_id",))
+    return out.withColumns({c: F.col(c).cast("long") for c in ("mobi_loans_score", "phone_list_count")})
+
+
+@query("report_lists", """
+select c_custkey as client_id, 'phone_list' as list_name, i as position, '254' || i || c_custkey as phone_number,
+  case when i % 2 = 1 then 'home' else 'work' end as phone_type
+from (select c_custkey, unnest(range(1, c_custkey % 6 + 1)) as i from customer)""")
+def report_lists(spark, d):
+    out = payload.report_lists(_reports(spark, d), "report", keep=("client_id",))
+    return out.select("client_id", "list_name", F.col("position").cast("long").alias("position"),
+                      F.col("fields")["phone_number"].alias("phone_number"), F.col("fields")["phone_type"].alias("phone_type"))
 
 
 @query("json_flatten", """

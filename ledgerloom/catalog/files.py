@@ -16,30 +16,37 @@ def _landed(spark, d):
     """The events as one folder of CSV files per day."""
     path = shared_dir(spark, "dump")
     sinks.export_daily(table(spark, d, "events"), path, "ts", sep="|")
-    return readers.csv_files(spark, path, _DUMP, "*.csv", sep="|")
+    return path
+
+
+def _dump(spark, path):
+    return readers.csv_files(spark, path, _DUMP, "part-*", sep="|")
 
 
 @query("dump_files", "select event_id, ts, user_id, event_type, value, props from events")
 def dump_files(spark, d):
-    return _landed(spark, d).select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return _dump(spark, _landed(spark, d)).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 @query("latest_file_rows", "select event_id, value, cast(ts as date) as file_date from events where cast(ts as date) = (select max(cast(ts as date)) from events)")
 def latest_file_rows(spark, d):
-    return readers.latest_files(_landed(spark, d)).select("event_id", "value", "file_date")
+    return readers.newest_files(spark, _landed(spark, d), _DUMP, "part-*", sep="|").select("event_id", "value", "file_date")
 
 
 @query("newer_files", "select event_id, value, cast(ts as date) as file_date from events where cast(ts as date) > date '2024-01-20'")
 def newer_files(spark, d):
-    return readers.newer_files(_landed(spark, d), dt.date(2024, 1, 20)).select("event_id", "value", "file_date")
+    return readers.newer_files(_dump(spark, _landed(spark, d)), dt.date(2024, 1, 20)).select("event_id", "value", "file_date")
 
 
 @query("load_audit", """
 with days as (select cast(unnest(generate_series(date '2023-12-30', date '2024-01-31', interval 1 day)) as date) as file_date), n as (select cast(ts as date) as file_date, count(*) as n_rows from events group by 1)
-select 'events' as source, file_date, coalesce(n_rows, 0) as n_rows, case when n_rows is null then 'missing' else 'loaded' end as status from days left join n using (file_date)""")
+select 'events' as source, file_date, coalesce(n_rows, 0) as n_rows, case when file_date = date '2023-12-31' then 'empty' when n_rows is null then 'missing' else 'loaded' end as status from days left join n using (file_date)""")
 def load_audit(spark, d):
     days = day_spine(spark, F.lit(dt.date(2023, 12, 30)), F.lit(dt.date(2024, 1, 31)), "file_date")
-    return readers.load_audit(_landed(spark, d), "events", days).drop("n_files")
+    path = _landed(spark, d)
+    # A file with a header and no rows.
+    spark.createDataFrame([("|".join(c.split()[0] for c in _DUMP.split(", ")),)], "value string").coalesce(1).write.text(f"{path}/event_date=2023-12-31")
+    return readers.load_audit(_dump(spark, path), readers.list_files(spark, path, "part-*"), "events", days).drop("n_files")
 
 
 @query("text_dump", "select cast(c_custkey as varchar) as id, c_name as name, c_mktsegment as segment from customer")
@@ -80,22 +87,27 @@ def stream_unique_requests(spark, d):
 
 
 @query("stream_hourly", """
-with h as (select date_trunc('hour', ts) as hour, count(*) as total_count, cast(sum(cast(value as decimal(18,2))) as double) as total_sum from events group by 1)
-select * from h where hour + interval 1 hour <= (select max(ts) from events) - interval 1 hour""")
+select date_trunc('hour', ts) as hour, count(*) as total_count, cast(sum(cast(value as decimal(18,2))) as double) as total_sum from events group by 1""")
 def stream_hourly(spark, d):
-    """Hours that closed before the watermark; later ones are still open."""
-    path = shared_dir(spark, "hourly")
-    stream = _events_stream(spark, d).select(F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(18,2)").alias("value"))
-    feeds.run_available(feeds.hourly_totals(stream, "ts", "value"), path, shared_dir(spark, "checkpoint"))
-    return spark.read.parquet(path).select(F.col("hour").cast("timestamp_ntz").alias("hour"), "total_count", F.col("total_sum").cast("double").alias("total_sum"))
+    """All hours, in deliveries that are not in order of time."""
+    landed = shared_dir(spark, "deliveries")
+    table(spark, d, "events").select("ts", "value", "event_id").repartition(6, "event_id").write.parquet(landed)
+    stream = spark.readStream.schema("ts timestamp_ntz, value double").option("maxFilesPerTrigger", 2).parquet(landed)
+    stream = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(18,2)").alias("value"))
+    out = feeds.hourly_totals(stream, "ts", "value", shared_dir(spark, "hourly"), shared_dir(spark, "checkpoint"))
+    return out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "total_count", F.col("total_sum").cast("double").alias("total_sum"))
 
 
 @query("stream_status_upserts", """
 select user_id, event_type, event_id, ts from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as r from events) where r = 1""")
 def stream_status_upserts(spark, d):
-    stream = _events_stream(spark, d).select("user_id", "event_type", "ts", "event_id")
-    path = feeds.run_upserts(stream, shared_dir(spark, "snapshots"), shared_dir(spark, "checkpoint"), ["user_id", "event_type"], ["ts", "event_id"])
-    return spark.read.parquet(path)
+    """Three deliveries, then a run that finds nothing new."""
+    landed, folder, state = (shared_dir(spark, x) for x in ("statuses", "snapshots", "checkpoint"))
+    table(spark, d, "events").select("user_id", "event_type", "ts", "event_id").repartition(3, "event_id").write.parquet(landed)
+    for _ in range(2):
+        stream = spark.readStream.schema("user_id bigint, event_type string, ts timestamp_ntz, event_id bigint").option("maxFilesPerTrigger", 1).parquet(landed)
+        out = feeds.run_upserts(stream, folder, state, ["user_id", "event_type"], ["ts", "event_id"])
+    return out
 
 
 @query("stream_csv_drop", "select event_id, event_type, value from events")

@@ -25,6 +25,27 @@ def kyc_batches(spark, d):
     return kyc.triage(_names(spark, d)).select("national_id", "batch", "own_ops", "own_registry", "ops_registry")
 
 
+@query("kyc_batches_scored", """
+with rows as (select conv_id as national_id, turn, text as ops_name, case when conv_id % 3 <> 0 then conv_id end as ops_id,
+    least(100, (conv_id * 37 + turn * 11) % 130) as a, least(100, (conv_id * 53 + turn * 7) % 140) as b, least(100, (conv_id * 71 + turn * 29) % 150) as c,
+    turn = max(turn) over (partition by conv_id) as newest from conversations),
+placed as (select *, case when newest and a < 78 and c = 100 then 0 when newest and a < 78 and c > 70 and b <> 100 then 1
+    when newest and b <> 100 and ops_id = national_id and c < 65 then 2 when newest and a < 78 and ops_id = national_id and b = 100 then 3
+    when newest and a = 100 and b = 100 and c = 100 then 4 when newest and a >= 70 and b >= 70 and c >= 70 then 5 when newest and a <> 100 and c = 100 then 6
+    when a < 65 then 7 end as place from rows where not regexp_matches(ops_name, '[0-9]'))
+select national_id, ['update_exact', 'update_close', 'names_swapped', 'keep_id_match', 'keep_all_exact', 'keep_all_close', 'keep_ops_exact', 'consult'][min(place) + 1] as batch
+from placed where place is not null group by national_id""")
+def kyc_batches_scored(spark, d):
+    """The batches on scores that are given."""
+    turns = table(spark, d, "conversations")
+    score = lambda i, t, m: F.least(F.lit(100), (F.col("conv_id") * i + F.col("turn") * t) % m)
+    scored = kyc.named(turns.select(
+        F.col("conv_id").alias("national_id"), F.col("turn").alias("opt_in_date"), F.when(F.col("conv_id") % 3 != 0, F.col("conv_id")).alias("ops_id"),
+        F.col("text").alias("ops_name"), F.lit("").alias("own_name"), F.lit("").alias("registry_name"),
+        score(37, 11, 130).alias("own_ops"), score(53, 7, 140).alias("own_registry"), score(71, 29, 150).alias("ops_registry")))
+    return kyc.triage_scored(scored).select("national_id", "batch")
+
+
 @query("name_similarity_shared", "select p_partkey, cast(100 as bigint) as score from part")
 def name_similarity_shared(spark, d):
     """One name's words are all in the other: a full score, whatever follows."""

@@ -124,7 +124,7 @@ def _reg_clients(spark, d):
 
 
 @query("regulatory_accounts", """
-select row_number() over (order by loan_id) as row_id, '0900024' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, 'T2_' || loan_id as contract_number,
+select row_number() over (order by loan_id) as row_id, 'LN-417' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, 'T2_' || loan_id as contract_number,
   case when client_id % 101 >= 60 then upper(client_name) else client_name end as account_name, strftime(disbursed_on, '%d-%b-%Y') as disbursement_date, cast(principal as double) as principal,
   cast(principal as double) / 2 as outstanding, cast(fees + penalty as double) as other_charge, 'C2' as channel, product_id * 2 as tenor, 'S' || loan_status as account_status
 from reg_loans join clients using (client_id)""", ("loans", "clients", "reg_loans"))
@@ -132,21 +132,21 @@ def regulatory_accounts(spark, d):
     products = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("product_id"), (F.col("n_nationkey") * 2).cast("long").alias("repay_every"))
     statuses = loans(spark, d).select("loan_status").distinct().withColumn("status_code", F.concat(F.lit("S"), F.col("loan_status").cast("string")))
     channels = table(spark, d, "region").select(F.when(F.col("r_regionkey") == 2, "USSD").otherwise(F.col("r_name")).alias("channel_type"), F.concat(F.lit("C"), F.col("r_regionkey").cast("string")).alias("code"))
-    return reports.accounts(_reg_loans(spark, d).drop("channel"), _reg_clients(spark, d), products, statuses, channels, "0900024", "T2", AS_OF, slice_width=4096)
+    return reports.accounts(_reg_loans(spark, d).drop("channel"), _reg_clients(spark, d), products, statuses, channels, "LN-417", "T2", AS_OF, slice_width=4096)
 
 
 @query("regulatory_overdue", """
-select row_number() over (order by loan_id) as row_id, '0900024' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, 'T2_' || loan_id as contract_number,
+select row_number() over (order by loan_id) as row_id, 'LN-417' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, 'T2_' || loan_id as contract_number,
   strftime(matures_on + 90, '%d-%b-%Y') as overdue_date, cast(principal as double) / 2 as principal_arrears, cast(principal as double) / 2 as outstanding
 from reg_loans join clients using (client_id) where loan_status = 300 and date '2001-08-01' - (matures_on + 90) >= 1""", ("loans", "clients", "reg_loans"))
 def regulatory_overdue(spark, d):
-    return reports.overdue_accounts(_reg_loans(spark, d), _reg_clients(spark, d), "0900024", "T2", AS_OF, slice_width=4096)
+    return reports.overdue_accounts(_reg_loans(spark, d), _reg_clients(spark, d), "LN-417", "T2", AS_OF, slice_width=4096)
 
 
 @query("regulatory_repayments", """
 with t as (select loan_id, paid_on, case when flag = 'R' then 1 else 0 end as rev, case when line = 7 then 'T_R' when line = 6 then 'waiver' when line <> 5 then 'T' || line end as receipt from repayments),
 v as (select loan_id, max(paid_on) as paid_on from t where rev = 0 and (receipt is null or (lower(receipt) not like '%\\_r%' escape '\\' and lower(receipt) not like '%waiv%')) group by 1)
-select row_number() over (order by loan_id) as row_id, '0900024' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, 'T2_' || loan_id as contract_number,
+select row_number() over (order by loan_id) as row_id, 'LN-417' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, 'T2_' || loan_id as contract_number,
   cast(principal as double) / 2 as outstanding, strftime(paid_on, '%d-%b-%Y') as repayment_date, cast(principal as double) / 2 as principal_repaid from reg_loans join clients using (client_id) join v using (loan_id) where loan_status = 300""",
        ("loans", "clients", "repayments", "reg_loans"))
 def regulatory_repayments(spark, d):
@@ -154,14 +154,14 @@ def regulatory_repayments(spark, d):
     receipt = F.when(line == 7, "T_R").when(line == 6, "waiver").when(line != 5, F.concat(F.lit("T"), line.cast("string")))
     r = repayments(spark, d).select("loan_id", "paid_on", F.when(F.col("flag") == "R", 1).otherwise(0).alias("is_reversed"), receipt.alias("receipt_number"),
                                     F.concat_ws("-", "line", "part_id", "staff_id", "amount").alias("transaction_id"))
-    return reports.last_repayments(_reg_loans(spark, d), _reg_clients(spark, d), r, "0900024", "T2", AS_OF, slice_width=4096)
+    return reports.last_repayments(_reg_loans(spark, d), _reg_clients(spark, d), r, "LN-417", "T2", AS_OF, slice_width=4096)
 
 
 @query("regulatory_customers", """
 with k as (select *, client_id % 101 as sim, case client_id % 3 when 0 then 'Male' when 1 then 'Female' end as gender, date '2001-08-01' - cast(client_id % 9000 as integer) as birth,
     case when client_id % 6 = 0 then 'P' || client_id else cast(client_id as varchar) end as nid from clients where client_id in (select client_id from loans)),
 n as (select *, case when sim >= 60 then upper(segment) else segment end as f, case when sim >= 60 then 'REG' else 'own' end as m, case when sim >= 60 then null else client_name end as l from k where gender is not null)
-select row_number() over (order by client_id) as row_id, '0900024' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, case when client_id % 6 = 0 then 'D1' else 'D0' end as document_code, nid as national_id,
+select row_number() over (order by client_id) as row_id, 'LN-417' as lender_code, '01-Aug-2001' as reporting_date, 'T2_' || client_id as customer_id, case when client_id % 6 = 0 then 'D1' else 'D0' end as document_code, nid as national_id,
   case gender when 'Male' then 'G0' else 'G1' end as gender_code, f as first_name, case when l is not null then m end as middle_name, coalesce(l, m) as surname, strftime(birth, '%d-%b-%Y') as birth_date, '01-Aug-2001' as onboarding_date,
   '2547' || client_id as mobile_number from n""", ("loans", "clients"))
 def regulatory_customers(spark, d):
@@ -175,4 +175,4 @@ def regulatory_customers(spark, d):
     two = table(spark, d, "region").filter("r_regionkey < 2")
     genders = two.select(F.when(F.col("r_regionkey") == 0, "Male").otherwise("Female").alias("type"), code("G"))
     documents = two.select(F.when(F.col("r_regionkey") == 0, "National Identity Card").otherwise("Passport").alias("type"), code("D"))
-    return reports.customers(people, loans(spark, d), genders, documents, "0900024", "T2", AS_OF, slice_width=4096)
+    return reports.customers(people, loans(spark, d), genders, documents, "LN-417", "T2", AS_OF, slice_width=4096)

@@ -60,7 +60,7 @@ CTE.update({
           case when p < 0 then null when p < 30 then 'Band 1' when p < 50 then 'Band 2' when p < 70 then 'Band 3' when p < 90 then 'Band 4' when p < 100 then 'Band 5' when p >= 100 then 'Band 6' end as repayment_band
         from (select * from scored where agent_id in (select client_id from clients)) s
         left join (select *, percentage_repayment_in_time as p from history) h using (agent_id)))))) c""",
-    "results": """select client_id as agent_id, '2023-001[2023-03-22, ' || (disbursed_on + 8217) || ']' as model_version, disbursed_on + 8217 as version_day,
+    "results": """select client_id as agent_id, 'm7[2022-11-05, ' || (disbursed_on + 8217) || ']' as model_version, disbursed_on + 8217 as version_day,
         case when client_id % 5 = 0 then loan_id else cast(disbursed_on - date '1970-01-01' as bigint) * 100000000 + loan_id end as result_id,
         cast(ceil(principal / 100) * 100 as double) as amount from loans""",
     "earlier": """select agent_id, previous_m_limit, previous_2m_limit from (
@@ -86,7 +86,7 @@ def _results(spark, d):
     day = F.date_add("disbursed_on", 8217)
     rid = F.datediff("disbursed_on", F.lit("1970-01-01").cast("date")).cast("long") * 100000000 + F.col("loan_id")
     return loans(spark, d).select(
-        F.col("client_id").alias("agent_id"), F.concat(F.lit("2023-001[2023-03-22, "), day.cast("string"), F.lit("]")).alias("model_version"),
+        F.col("client_id").alias("agent_id"), F.concat(F.lit("m7[2022-11-05, "), day.cast("string"), F.lit("]")).alias("model_version"),
         F.when(F.col("client_id") % 5 == 0, F.col("loan_id")).otherwise(rid).alias("result_id"),
         (F.ceil(F.col("principal") / 100) * 100).cast("double").alias("limit"))
 

@@ -125,7 +125,7 @@ _SELECTORS = {
     "closed": submission.Portfolio("closed", "1", (600,)),
     "partner": submission.Portfolio("partner", "2", disbursed_from="1998-01-01", balance="partner_or_settled", test_clients=(11, 12)),
     "core_only": submission.Portfolio("core_only", "2", disbursed_from="1998-01-01", balance="core_only"),
-    "products": submission.Portfolio("products", products=(4, 5, 6, 9, 12, 13, 16)),
+    "products": submission.Portfolio("products", products=(2, 3, 7, 11, 14, 18)),
 }
 
 
@@ -134,7 +134,7 @@ with kept as (select * from book where loan_id not in (select loan_id from repay
 select 'closed' as portfolio, loan_id, client_name from kept join clients using (client_id) where version = '1' and loan_status = 600 and total_outstanding is not null
 union all select 'partner', loan_id, client_name from kept join clients using (client_id) where version = '2' and disbursed_on >= date '1998-01-01' and client_id not in (11, 12) and (partner_balance is not null or total_outstanding = 0)
 union all select 'core_only', loan_id, client_name from kept join clients using (client_id) where version = '2' and disbursed_on >= date '1998-01-01' and total_outstanding > 0 and partner_balance is null
-union all select 'products', loan_id, client_name from kept join clients using (client_id) where product_id in (4, 5, 6, 9, 12, 13, 16)""", ("loans", "clients", "repayments", "book"))
+union all select 'products', loan_id, client_name from kept join clients using (client_id) where product_id in (2, 3, 7, 11, 14, 18)""", ("loans", "clients", "repayments", "book"))
 def portfolio_selectors(spark, d):
     book, who = _book(spark, d), clients(spark, d).select("client_id", "client_name")
     excluded = repayments(spark, d).filter("line = 7").select("loan_id")

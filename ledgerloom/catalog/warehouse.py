@@ -241,12 +241,12 @@ ver as (select cast(date_trunc('year', disbursed_on) as date) as end_date, 'v' |
 found as (select s.*, v.model_version from src s asof left join ver v on s.disbursed_on > v.end_date),
 cur as (select loan_id, 'C' || client_id as client_key, loan_status, case when loan_id % 2 = 0 then 'kept' end as model_version from loans where loan_id % 4 <> 2),
 ready as (select a.loan_id, a.client_key, a.loan_status, coalesce(c.model_version, a.model_version) as model_version from found a left join cur c using (loan_id))
-select c.loan_id, c.client_key, c.loan_status, c.model_version, timestamp '1999-01-01' as valid_from,
-  case when r.loan_id is not null and (r.loan_status <> c.loan_status or r.model_version is distinct from c.model_version) then timestamp '2001-08-01' end as valid_to,
-  not (r.loan_id is not null and (r.loan_status <> c.loan_status or r.model_version is distinct from c.model_version)) as is_current
+select c.loan_id, c.client_key, c.loan_status, case when coalesce(r.loan_status <> c.loan_status, false) then c.model_version else coalesce(c.model_version, r.model_version) end as model_version,
+  timestamp '1999-01-01' as valid_from, case when r.loan_status <> c.loan_status then timestamp '2001-08-01' end as valid_to,
+  not coalesce(r.loan_status <> c.loan_status, false) as is_current
 from cur c left join ready r using (loan_id)
 union all select r.loan_id, r.client_key, r.loan_status, r.model_version, timestamp '2001-08-01', null, true from ready r left join cur c using (loan_id)
-where c.loan_id is null or r.loan_status <> c.loan_status or r.model_version is distinct from c.model_version""", ("loans",))
+where c.loan_id is null or r.loan_status <> c.loan_status""", ("loans",))
 def loan_fact(spark, d):
     """The whole fact build: keys, model version, versions, one current row."""
     base = loans(spark, d)
@@ -259,12 +259,13 @@ def loan_fact(spark, d):
         "products": products, "officers": officers,
         "statuses": base.select(F.col("loan_status").alias("core_id")).distinct().withColumn("surrogate_id", F.lit("S"))}
     enums = table(spark, d, "region").select(F.lit("loan_type").alias("enum_name"), F.col("r_regionkey").alias("enum_id"), F.col("r_name").alias("enum_value"))
-    versions = base.groupBy(F.trunc("disbursed_on", "YEAR").alias("end_date")).agg(F.max(F.concat(F.lit("v"), F.year("disbursed_on").cast("string"))).alias("model_version"))
+    versions = base.groupBy(F.trunc("disbursed_on", "YEAR").alias("end_date")).agg(F.max(F.year("disbursed_on")).alias("year"))
+    versions = versions.select("end_date", F.concat(F.lit("v"), F.col("year").cast("string")).alias("model_version"))
     current = base.filter("loan_id % 4 <> 2").select(
         "loan_id", F.concat(F.lit("C"), F.col("client_id").cast("string")).alias("client_key"), "loan_status",
         F.when(F.col("loan_id") % 2 == 0, "kept").alias("model_version"), F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz").alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
-    return plans.build_loan_fact(src, dims, enums, versions, current, ["client_key", "loan_status", "model_version"], CUT,
+    return plans.build_loan_fact(src, dims, enums, versions, current, ["client_key", "loan_status"], CUT,
                                  slice_by=lambda t: F.trunc(t, "YEAR"))
 
 
@@ -288,12 +289,11 @@ def column_mapping(spark, d):
     return out.withColumn("id", F.col("id").cast("string"))
 
 
-@query("known_partners", "select distinct o_orderkey, o_orderpriority from orders where trim(o_orderpriority) in (select trim(o_orderpriority) from orders where o_orderkey < 3)")
+@query("known_partners", "select distinct o_orderkey, cast(o_custkey as varchar) as partner from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0)")
 def known_partners(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" ")).alias("o_orderpriority"))
-    known = table(spark, d, "orders").filter("o_orderkey < 3")
-    out = merge.keep_known(o, known, "o_orderpriority", trimmed=True).distinct()
-    return out.withColumn("o_orderpriority", F.trim("o_orderpriority"))
+    o = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" ")).alias("partner"))
+    known = table(spark, d, "customer").filter("c_acctbal > 0").select(F.concat(F.col("c_custkey").cast("string"), F.lit("  ")).alias("partner"))
+    return merge.keep_known(o, known, "partner", trimmed=True).distinct().withColumn("partner", F.trim("partner"))
 
 
 @query("collections_notes", """

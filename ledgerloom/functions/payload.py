@@ -81,12 +81,17 @@ def unique_words(name: str) -> str:
 
 
 def flatten_report(df: DataFrame, column: str, lists: dict, keep: tuple = ()) -> DataFrame:
-    """Parsed report struct → one wide row.
+    """Parsed report struct → one wide row, a view beside ``report_lists``.
 
     Struct fields become columns named by their words; ``lists`` gives for each
-    list field how many numbered column groups to make, as in ``phone_list1_…``.
-    A single node arrives as a one-element list, a missing one as null.
+    list field how many numbered column groups to show, as in ``phone_list1_…``,
+    and a count tells how many nodes there are. Every list has to be declared;
+    all nodes, however many, are rows of ``report_lists``. A single node
+    arrives as a one-element list, a missing one as null.
     """
+    undeclared = [f.name for f in df.schema[column].dataType.fields if isinstance(f.dataType, T.ArrayType) and f.name not in lists]
+    if undeclared:
+        raise ValueError(f"lists {undeclared} are not declared")
     out = [F.col(k) for k in keep]
     seen = set(keep)
 
@@ -109,7 +114,8 @@ def flatten_report(df: DataFrame, column: str, lists: dict, keep: tuple = ()) ->
         if isinstance(f.dataType, T.StructType):
             walk(f.dataType, col, [])
         elif isinstance(f.dataType, T.ArrayType):
-            for i in range(1, lists.get(f.name, 0) + 1):
+            add(F.coalesce(F.size(col), F.lit(0)), f"{snake_case(f.name)}_count")
+            for i in range(1, lists[f.name] + 1):
                 item = F.get(col, F.lit(i - 1))
                 for g in f.dataType.elementType.fields:
                     add(item.getField(g.name), f"{snake_case(f.name)}{i}_{snake_case(g.name)}")
@@ -118,6 +124,22 @@ def flatten_report(df: DataFrame, column: str, lists: dict, keep: tuple = ()) ->
     return df.select(out)
 
 
+def report_lists(df: DataFrame, column: str, keep: tuple = ()) -> DataFrame:
+    """Every node of every list of a parsed report: the kept columns, the list's
+    name, the node's position from 1, and its fields by name as text."""
+    def nodes(f: T.StructField) -> Column:
+        fields = f.dataType.elementType.fields
+        names = F.array(*[F.lit(snake_case(g.name)) for g in fields])
+        return F.transform(F.coalesce(F.col(column).getField(f.name), F.array().cast(f.dataType)), lambda node, i: F.struct(
+            F.lit(snake_case(f.name)).alias("list_name"), (i + 1).alias("position"),
+            F.map_from_arrays(names, F.array(*[node.getField(g.name).cast("string") for g in fields])).alias("fields")))
+
+    groups = [nodes(f) for f in df.schema[column].dataType.fields if isinstance(f.dataType, T.ArrayType)]
+    if not groups:
+        raise ValueError(f"{column} has no list")
+    return df.select(*keep, F.inline(F.concat(*groups)))
+
+
 def section(df: DataFrame, marker: str) -> DataFrame:
     """Columns whose dotted name holds the marker, under the last part of it."""
     hits = [c for c in df.columns if marker in c]

@@ -41,26 +41,30 @@ def _differs(columns: list, a: str = "", b: str = "_n_") -> Column:
     return reduce(lambda x, y: x | y, [~F.col(f"{a}{c}").eqNullSafe(F.col(f"{b}{c}")) for c in columns])
 
 
-def scd2_merge(current: DataFrame, incoming: DataFrame, keys: list, tracked: list, as_of) -> DataFrame:
+def scd2_merge(current: DataFrame, incoming: DataFrame, keys: list, tracked: list, as_of, carried: tuple = ()) -> DataFrame:
     """Versioned merge. ``current`` holds keys, tracked columns, ``valid_from``,
     ``valid_to`` and ``is_current``; ``incoming`` one row per key.
 
     Unchanged rows stay, changed rows expire at ``as_of`` and get a new version,
     unseen keys are added. Keys missing from ``incoming`` stay current. Only
     current versions take part in the join; history passes straight through.
+    ``carried`` columns are no reason for a version: a current row without a
+    value takes the incoming one in place.
     """
-    columns = [*keys, *tracked, "valid_from", "valid_to", "is_current"]
+    values = [*tracked, *carried]
+    columns = [*keys, *values, "valid_from", "valid_to", "is_current"]
     at = F.lit(as_of).cast(current.schema["valid_from"].dataType)
     live, history = current.filter("is_current").select(columns), current.filter("not is_current").select(columns)
     arriving = incoming.select(*[F.col(k).alias(f"_n_{k}") for k in keys],
-                               *[F.col(c).alias(f"_n_{c}") for c in tracked], F.lit(True).alias("_n"))
+                               *[F.col(c).alias(f"_n_{c}") for c in values], F.lit(True).alias("_n"))
     pair = live.withColumn("_c", F.lit(True)).join(arriving, null_safe(keys, [f"_n_{k}" for k in keys]), "full")
     changed = F.col("_c").isNotNull() & F.col("_n").isNotNull() & _differs(tracked)
     fresh = F.col("_c").isNull() | changed
-    old = F.struct(*[F.col(c).alias(c) for c in [*keys, *tracked, "valid_from"]],
+    filled = [F.when(changed, F.col(c)).otherwise(F.coalesce(c, f"_n_{c}")).alias(c) for c in carried]
+    old = F.struct(*[F.col(c).alias(c) for c in [*keys, *tracked]], *filled, F.col("valid_from").alias("valid_from"),
                    F.when(changed, at).otherwise(F.col("valid_to")).alias("valid_to"),
                    (~changed).alias("is_current"))
-    new = F.struct(*[F.col(f"_n_{c}").alias(c) for c in [*keys, *tracked]], at.alias("valid_from"),
+    new = F.struct(*[F.col(f"_n_{c}").alias(c) for c in [*keys, *values]], at.alias("valid_from"),
                    F.lit(None).cast(at_type(current)).alias("valid_to"), F.lit(True).alias("is_current"))
     # One pass: each joined pair yields its old row, its new row, or both.
     rows = F.when(F.col("_c").isNotNull() & fresh, F.array(old, new)).when(fresh, F.array(new)).otherwise(F.array(old))
@@ -87,9 +91,9 @@ def frame_diff(incoming: DataFrame, current: DataFrame, columns: list) -> DataFr
 
 
 def sync(current: DataFrame, incoming: DataFrame, key: str, columns: list) -> DataFrame:
-    """Each incoming row marked 'insert' (unseen key) or 'update' (seen, differs)."""
-    known = current.select(F.trim(F.col(key)).alias("_k"), *[F.col(c).alias(f"_n_{c}") for c in columns if c != key])
+    """Each incoming row marked 'insert' (unseen key) or 'update' (seen, differs). Of current rows that repeat a key the largest counts."""
     rest = [c for c in columns if c != key]
+    known = pick_per_key(current.select(F.trim(F.col(key)).alias("_k"), *[F.col(c).alias(f"_n_{c}") for c in rest]), ["_k"], [f"_n_{c}" for c in rest])
     joined = incoming.select(columns).join(known, F.trim(F.col(key)) == F.col("_k"), "left")
     action = F.when(F.col("_k").isNull(), F.lit("insert")).when(_differs(rest), F.lit("update"))
     return joined.withColumn("action", action).filter("action is not null").select(*columns, "action")
@@ -111,8 +115,8 @@ def audit_changes(before: DataFrame, after: DataFrame, key: str, columns: list,
 
 
 def fill_missing(target: DataFrame, source: DataFrame, key: str, columns: list, prefer: str = "target") -> DataFrame:
-    """Fill nulls of the target from the source, or let the source win."""
-    src = source.select(key, *[F.col(c).alias(f"_s_{c}") for c in columns])
+    """Fill nulls of the target from the source, or let the source win. Of source rows that repeat a key the largest counts."""
+    src = pick_per_key(source.select(key, *[F.col(c).alias(f"_s_{c}") for c in columns]), [key], [f"_s_{c}" for c in columns])
     out = target.join(src, key, "left")
     for c in columns:
         pair = (c, f"_s_{c}") if prefer == "target" else (f"_s_{c}", c)

@@ -17,11 +17,22 @@ def name_scores(names: DataFrame) -> DataFrame:
 
 
 def triage(names: DataFrame) -> DataFrame:
+    """Score names and place each national id in a batch."""
+    return triage_scored(name_scores(named(names)))
+
+
+def named(names: DataFrame) -> DataFrame:
+    """Rows to be scored: marked as of their id's latest opt-in day or not, then without names with digits."""
+    newest = names.groupBy("national_id").agg(F.max("opt_in_date").alias("_newest")).withColumnRenamed("national_id", "_id")
+    rows = names.join(newest, F.col("national_id") == F.col("_id")).withColumn("is_newest", F.col("opt_in_date").eqNullSafe(F.col("_newest")))
+    return rows.drop("_id", "_newest").filter(~F.coalesce(F.col("ops_name").rlike(r"\d"), F.lit(False)))
+
+
+def triage_scored(scored: DataFrame) -> DataFrame:
     """One exclusive batch per national id; ids of no batch are left out.
 
-    Only the latest opt-in day of an id counts, and operations names with digits
-    are left out, so only those rows are scored. An id lands in the first batch
-    any of its rows qualifies for.
+    Rows of the latest opt-in day can land in any batch, older rows in the last
+    one only. An id lands in the first batch any of its rows qualifies for.
     """
     a, b, c = F.col("own_ops"), F.col("own_registry"), F.col("ops_registry")
     same_id = F.col("ops_id") == F.col("national_id")
@@ -33,17 +44,14 @@ def triage(names: DataFrame) -> DataFrame:
         (a == 100) & (b == 100) & (c == 100),
         (a >= 70) & (b >= 70) & (c >= 70),
         (a != 100) & (c == 100),
-        a < 65,
     )
     place = F.when(F.lit(False), F.lit(0))
     for i, rule in enumerate(rules):
-        place = place.when(rule, F.lit(i))
-    rows = names.filter(~F.coalesce(F.col("ops_name").rlike(r"\d"), F.lit(False)))
-    newest = rows.groupBy("national_id").agg(F.max("opt_in_date").alias("_newest")).withColumnRenamed("national_id", "_id")
-    rows = rows.join(newest, (F.col("national_id") == F.col("_id")) & (F.col("opt_in_date") == F.col("_newest")))
+        place = place.when(F.col("is_newest") & rule, F.lit(i))
+    place = place.when(a < 65, F.lit(len(rules)))
     # Rows of no batch go after the aggregate: a filter on the scores before it
     # would be pushed under the join and have them computed twice.
-    placed = name_scores(rows).withColumn("_place", F.coalesce(place, F.lit(len(BATCHES))))
+    placed = scored.withColumn("_place", F.coalesce(place, F.lit(len(BATCHES))))
     one = pick_per_key(placed.select("national_id", "_place", "own_name", "ops_name", "registry_name", "own_ops",
                                      "own_registry", "ops_registry"), ["national_id"], ["_place", "ops_name"], largest=False)
     one = one.filter(F.col("_place") < len(BATCHES))

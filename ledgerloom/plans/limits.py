@@ -23,6 +23,7 @@ def whitelist_changes(old: DataFrame, new: DataFrame, model_version: str | None
     fresh = new.filter(F.col("model_version") == model_version) if model_version else new
     after = fresh.select(key("store_number").alias("_new"), "model_version",
                          *[F.col(c).alias(f"new_{c}") for c in ("blacklist_flag", *limits)])
+    after = pick_per_key(after, ["_new"], ["model_version", *[f"new_{c}" for c in ("blacklist_flag", *limits)]])
     before, after = before.filter("_old is not null"), after.filter("_new is not null")
     pair = before.join(after, F.col("_old") == F.col("_new"), "full")
     bare = old.select(text.strip_leading_zeros(F.col("store_number")).alias("_bare")).filter("_bare is not null").distinct()

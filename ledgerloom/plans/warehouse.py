@@ -1,7 +1,6 @@
 """Building the versioned loan fact."""
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.operators.dedupe import latest_per_key
 from ledgerloom.operators.extract import resolve_keys, with_model_version
 from ledgerloom.operators.merge import scd2_merge
 
@@ -16,9 +15,10 @@ def build_loan_fact(loans: DataFrame, dims: dict, enums: DataFrame, versions: Da
     ready = resolve_keys(loans, dims["clients"], dims["products"], dims["statuses"], dims["officers"], enums)
     known = current.filter("is_current and model_version is not null").select("loan_id", "model_version")
     ready = with_model_version(ready, known, versions, slice_by)
-    merged = scd2_merge(current, ready, ["loan_id"], tracked, as_of)
-    live = latest_per_key(merged.filter("is_current"), "loan_id", F.col("valid_from").asc())
-    return live.unionByName(merged.filter("not is_current"))
+    merged = scd2_merge(current, ready, ["loan_id"], tracked, as_of, carried=("model_version",))
+    # History passes; of several current rows of a loan the oldest stays. The merge is computed once.
+    place = F.row_number().over(Window.partitionBy("loan_id", "is_current").orderBy("valid_from", *tracked, "model_version"))
+    return merged.withColumn("_place", place).filter(~F.col("is_current") | (F.col("_place") == 1)).drop("_place")
 
 
 def loan_summary(fact: DataFrame, clients: DataFrame, products: DataFrame, statuses: DataFrame) -> DataFrame:

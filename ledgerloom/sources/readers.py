@@ -16,16 +16,8 @@ def _schema(schema) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
 
 
-_KNOWN: dict = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Parquet table. Its schema is read from the files once; later scans of the
-    same path are given it and start without a job of their own."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _KNOWN:
-        _KNOWN[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_KNOWN[path]).parquet(path)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def jdbc_table(spark: SparkSession, url: str, name: str, key: str, low: int, high: int, partitions: int,
@@ -35,7 +27,16 @@ def jdbc_table(spark: SparkSession, url: str, name: str, key: str, low: int, hig
                                               numPartitions=partitions)
 
 
-def csv_files(spark: SparkSession, path: str, schema, pattern: str | None = None, encoding: str = "UTF-8",
+def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Names, sizes and days of the files below a folder; no file is opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(path).select(F.col("path").alias("file_name"), F.col("length").alias("n_bytes"), "modificationTime",
+                                    file_day(F.col("path")).alias("file_date"))
+
+
+def csv_files(spark: SparkSession, path: str | list, schema, pattern: str | None = None, encoding: str = "UTF-8",
               header: bool = True, sep: str = ",") -> DataFrame:
     """All matching files as one frame, with the file each row came from.
 
@@ -78,8 +79,8 @@ def csv_after_preamble(spark: SparkSession, path: str, schema, skip: int, drop_l
 
 
 def file_day(c: Column, pattern: str = r"(\d{4}-\d{2}-\d{2})") -> Column:
-    """Date written in a file name or folder name."""
-    return F.to_date(F.regexp_extract(c, pattern, 1))
+    """Date written in a file name or folder name; null if there is none."""
+    return F.regexp_extract(c, pattern, 1).try_cast("date")
 
 
 def latest_files(df: DataFrame, day: Column | None = None) -> DataFrame:
@@ -93,11 +94,28 @@ def newer_files(df: DataFrame, loaded_until: dt.date, day: Column | None = None)
         F.col("file_date") > F.lit(loaded_until))
 
 
-def load_audit(df: DataFrame, source: str, expected_days: DataFrame) -> DataFrame:
-    """Per expected file day: how many files and rows arrived, and a verdict."""
-    counts = df.groupBy(file_day(F.col("file_name")).alias("file_date")).agg(
-        F.countDistinct("file_name").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
-    out = expected_days.join(counts, "file_date", "left").na.fill(0, ["n_files", "n_rows"])
+def newest_files(spark: SparkSession, path: str, schema, pattern: str | None = None, loaded_until: dt.date | None = None, **options) -> DataFrame | None:
+    """Rows of the newest file day, found in the listing: older files are not opened.
+
+    With ``loaded_until`` the rows replace what is loaded only if they are newer; otherwise there is nothing to load, None.
+    """
+    files = list_files(spark, path, pattern)
+    newest = files.agg(F.max("file_date")).first()[0]
+    if newest is None or (loaded_until is not None and newest <= loaded_until):
+        return None
+    folders = files.filter(F.col("file_date") == F.lit(newest)).select(F.regexp_extract("file_name", "^(.*)/[^/]*$", 1).alias("folder"), "file_name")
+    # A day has a folder of its own, or its name stands in its files' names.
+    names = [r[0] for r in folders.filter(file_day(F.col("folder")) == F.lit(newest)).select("folder").distinct().collect()]
+    if names:
+        return csv_files(spark, names, schema, pattern, **options).withColumn("file_date", F.lit(newest))
+    return csv_files(spark, [r[0] for r in folders.select("folder").distinct().collect()], schema, f"*{newest}*", **options).withColumn("file_date", F.lit(newest))
+
+
+def load_audit(df: DataFrame, files: DataFrame, source: str, expected_days: DataFrame) -> DataFrame:
+    """Per expected file day: how many files (from the listing) and rows (from the scan) arrived, and a verdict."""
+    rows = df.groupBy(file_day(F.col("file_name")).alias("file_date")).agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = files.groupBy("file_date").agg(F.count(F.lit(1)).alias("n_files"))
+    out = expected_days.join(listed, "file_date", "left").join(rows, "file_date", "left").na.fill(0, ["n_files", "n_rows"])
     status = F.when(F.col("n_files") == 0, "missing").when(F.col("n_rows") == 0, "empty").otherwise("loaded")
     return out.select(F.lit(source).alias("source"), "file_date", "n_files", "n_rows", status.alias("status"))
 

@@ -25,7 +25,19 @@ def test_dumps_by_pattern_and_bad_rows(spark, tmp_path, rows):
     assert rows(readers.latest_files(df), "id", "file_date") == [(3, D(2024, 1, 6))]
     assert rows(readers.newer_files(df, D(2024, 1, 4)), "id") == [(1,), (2,), (3,)]
     days = day_spine(spark, F.lit(D(2024, 1, 5)), F.lit(D(2024, 1, 7)), "file_date")
-    assert rows(readers.load_audit(df, "contracts", days), "n_files", "n_rows", "status") == [(0, 0, "missing"), (1, 1, "loaded"), (1, 2, "loaded")]
+    write(tmp_path / "daily_contracts_2024-01-07.csv", "id,amount\n")
+    files = readers.list_files(spark, str(tmp_path), "*daily_contracts*")
+    days = days.unionByName(spark.createDataFrame([(D(2024, 1, 8),)], "file_date date"))
+    assert rows(readers.load_audit(df, files, "contracts", days), "n_files", "n_rows", "status") == [
+        (0, 0, "missing"), (1, 0, "empty"), (1, 1, "loaded"), (1, 2, "loaded")]
+
+
+def test_newest_files_come_from_the_listing(spark, tmp_path, rows):
+    read = lambda until=None: readers.newest_files(spark, str(tmp_path), "id int", "d_*", loaded_until=until)
+    for day, n in (("2024-01-05", 1), ("2024-01-06", 2)):
+        write(tmp_path / f"d_{day}.csv", f"id\n{n}\n")
+    assert rows(read(), "id", "file_date") == [(2, D(2024, 1, 6))]
+    assert read(D(2024, 1, 6)) is None and rows(read(D(2024, 1, 5)), "id") == [(2,)]
 
 
 def test_latin1(spark, tmp_path):
@@ -107,5 +119,15 @@ def test_late_status_is_merged_into_the_snapshot(spark, tmp_path, rows):
     write(src / "1.csv", "k,t,status\na,1,400\nb,1,400\n")
     feeds.run_upserts(stream(), folder, state, ["k"], ["t"])
     write(src / "2.csv", "k,t,status\na,2,200\nc,1,200\n")
-    last = feeds.run_upserts(stream(), folder, state, ["k"], ["t"])
-    assert rows(spark.read.parquet(last), "k", "status") == [("a", "200"), ("b", "400"), ("c", "200")]
+    for _ in range(2):  # the second run finds nothing new
+        last = feeds.run_upserts(stream(), folder, state, ["k"], ["t"])
+        assert rows(last, "k", "status") == [("a", "200"), ("b", "400"), ("c", "200")]
+
+
+def test_late_hours_are_counted(spark, tmp_path, rows):
+    src, folder, state = tmp_path / "in", str(tmp_path / "hours"), str(tmp_path / "state")
+    run = lambda: feeds.hourly_totals(feeds.csv_stream(spark, str(src), "t timestamp, v int", "*.csv"), "t", "v", folder, state, buckets=3)
+    write(src / "1.csv", "t,v\n2024-01-09T10:05:00,1\n2024-01-09T10:06:00,2\n")
+    run()
+    write(src / "2.csv", "t,v\n2023-05-01T00:59:59,5\n2024-01-09T10:59:59,3\n")
+    assert rows(run(), "total_count", "total_sum") == [(1, 5), (3, 6)]

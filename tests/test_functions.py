@@ -166,3 +166,14 @@ def test_token_scores_match_brute_force(spark):
 def test_full_name_drops_missing_parts(spark):
     df = spark.createDataFrame([("Ann", None, "LEE")], "a string, b string, c string")
     assert df.select(text.full_name(F.col("a"), F.col("b"), F.col("c"))).first()[0] == "ann lee"
+
+
+def test_report_lists_keep_every_node(spark, rows):
+    schema = "head: struct<a: string>, phoneList: array<struct<n: int, kind: string>>, other: array<struct<x: string>>"
+    df = spark.createDataFrame([(1, (("h",), [(1, "a"), (2, "b"), (3, None)], [("o",)])), (2, (None, None, []))], f"id int, r struct<{schema}>")
+    got = rows(payload.report_lists(df, "r", keep=("id",)).select("id", "list_name", "position", F.map_values("fields").alias("v")))
+    assert got == [(1, "other", 1, ["o"]), (1, "phone_list", 1, ["1", "a"]), (1, "phone_list", 2, ["2", "b"]), (1, "phone_list", 3, ["3", None])]
+    with pytest.raises(ValueError, match="other"):
+        payload.flatten_report(df, "r", {"phoneList": 2}, keep=("id",))
+    wide = payload.flatten_report(df, "r", {"phoneList": 1, "other": 1}, keep=("id",))
+    assert rows(wide, "id", "phone_list_count", "other_count") == [(1, 3, 1), (2, 0, 0)]

@@ -159,12 +159,14 @@ def test_kyc_batches_are_exclusive(spark):
         ("5", "5", D(2024, 1, 1), "mary wanjiku", "wanjiku mary", "mary wanjiku"),
         ("6", "6", D(2024, 1, 1), "mary", "shop 24", "mary"),                        # digits: left out
         ("1", "1", D(2023, 1, 1), "x", "y", "z"),                                    # older opt-in day
+        ("7", "7", D(2024, 1, 1), "mary", "mary 9", "mary"), ("7", "7", D(2023, 1, 1), "abcd", "wxyz", "wxyz"),  # newest has digits: the older row is for the last batch only
     ]
     df = spark.createDataFrame(names, "national_id string, ops_id string, opt_in_date date, own_name string, ops_name string, registry_name string")
     got = [(r.national_id, r.batch) for r in kyc.triage(df).collect()]
     assert len(got) == len({k for k, _ in got})
     batches = dict(got)
     assert batches["1"] == "update_exact" and batches["3"] == "names_swapped" and batches["4"] == "keep_id_match" and batches["5"] == "keep_all_exact" and "6" not in batches
+    assert batches["7"] == "consult"
 
 
 def test_gender_and_term(spark):

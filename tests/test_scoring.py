@@ -126,7 +126,7 @@ def test_stabilisation(spark, now, before, two, held, final):
 
 
 def test_earlier_limit_needs_the_largest_id_too(spark, rows):
-    v = lambda day: f"2023-001[2023-03-22, {day}]"
+    v = lambda day: f"m7[2022-11-05, {day}]"
     df = spark.createDataFrame([("a", v("2023-11-01"), 1, 10.0), ("a", v("2023-12-01"), 2, 20.0), ("a", v("2024-01-30"), 3, 30.0),
                                 ("b", v("2023-12-01"), 1, 40.0), ("b", v("2023-11-01"), 2, 50.0), ("c", v("2024-01-30"), 9, 1.0)],
                                "agent_id string, model_version string, result_id int, `limit` double")
