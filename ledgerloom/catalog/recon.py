@@ -306,3 +306,10 @@ def reconcile_whitelist(spark, d):
     limits = lambda k: [(F.col(k) % 2).alias("blacklist_flag"), (F.col(k) % 1000).alias("limit_1"), (F.col(k) % 700).alias("limit_7"), (F.col(k) % 300).alias("limit_21")]
     out = monitoring.whitelist(clients(spark, d).select(limits("client_id")), loans(spark, d).select(*limits("loan_id"), F.col("channel").alias("model_version")))
     return out.select("blacklisted_partner", "blacklisted_warehouse", "diff_blacklisted", "diff_whitelisted", F.col("diff_limit_1").cast("double").alias("diff_limit_1"))
+
+
+@query("settled_at_partner", "select loan_id, client_id, cast(principal as double) / 2 as principal_outstanding from loans where loan_status = 300 and loan_id % 3 = 0", ("loans",))
+def settled_at_partner(spark, d):
+    book = loans(spark, d).withColumns({"partner_balance": F.when(F.col("loan_id") % 3 == 0, 0.0).when(F.col("loan_id") % 3 == 1, F.col("principal").cast("double")),
+                                        "principal_outstanding": F.col("principal").cast("double") / 2})
+    return recon.settled_at_partner(book).select("loan_id", "client_id", "principal_outstanding")

@@ -132,7 +132,7 @@ def regulatory_accounts(spark, d):
     products = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("product_id"), (F.col("n_nationkey") * 2).cast("long").alias("repay_every"))
     statuses = loans(spark, d).select("loan_status").distinct().withColumn("status_code", F.concat(F.lit("S"), F.col("loan_status").cast("string")))
     channels = table(spark, d, "region").select(F.when(F.col("r_regionkey") == 2, "USSD").otherwise(F.col("r_name")).alias("channel_type"), F.concat(F.lit("C"), F.col("r_regionkey").cast("string")).alias("code"))
-    return reports.accounts(_reg_loans(spark, d).drop("channel"), _reg_clients(spark, d), products, statuses, channels, "LN-417", "T2", AS_OF, slice_width=4096)
+    return reports.accounts(_reg_loans(spark, d).drop("channel"), _reg_clients(spark, d), products, statuses, channels, "LN-417", "T2", AS_OF)
 
 
 @query("regulatory_overdue", """
@@ -140,7 +140,7 @@ select row_number() over (order by loan_id) as row_id, 'LN-417' as lender_code,
   strftime(matures_on + 90, '%d-%b-%Y') as overdue_date, cast(principal as double) / 2 as principal_arrears, cast(principal as double) / 2 as outstanding
 from reg_loans join clients using (client_id) where loan_status = 300 and date '2001-08-01' - (matures_on + 90) >= 1""", ("loans", "clients", "reg_loans"))
 def regulatory_overdue(spark, d):
-    return reports.overdue_accounts(_reg_loans(spark, d), _reg_clients(spark, d), "LN-417", "T2", AS_OF, slice_width=4096)
+    return reports.overdue_accounts(_reg_loans(spark, d), _reg_clients(spark, d), "LN-417", "T2", AS_OF)
 
 
 @query("regulatory_repayments", """
@@ -154,7 +154,7 @@ def regulatory_repayments(spark, d):
     receipt = F.when(line == 7, "T_R").when(line == 6, "waiver").when(line != 5, F.concat(F.lit("T"), line.cast("string")))
     r = repayments(spark, d).select("loan_id", "paid_on", F.when(F.col("flag") == "R", 1).otherwise(0).alias("is_reversed"), receipt.alias("receipt_number"),
                                     F.concat_ws("-", "line", "part_id", "staff_id", "amount").alias("transaction_id"))
-    return reports.last_repayments(_reg_loans(spark, d), _reg_clients(spark, d), r, "LN-417", "T2", AS_OF, slice_width=4096)
+    return reports.last_repayments(_reg_loans(spark, d), _reg_clients(spark, d), r, "LN-417", "T2", AS_OF)
 
 
 @query("regulatory_customers", """
@@ -175,4 +175,4 @@ def regulatory_customers(spark, d):
     two = table(spark, d, "region").filter("r_regionkey < 2")
     genders = two.select(F.when(F.col("r_regionkey") == 0, "Male").otherwise("Female").alias("type"), code("G"))
     documents = two.select(F.when(F.col("r_regionkey") == 0, "National Identity Card").otherwise("Passport").alias("type"), code("D"))
-    return reports.customers(people, loans(spark, d), genders, documents, "LN-417", "T2", AS_OF, slice_width=4096)
+    return reports.customers(people, loans(spark, d), genders, documents, "LN-417", "T2", AS_OF)

@@ -138,11 +138,7 @@ union all select 'products', loan_id, client_name from kept join clients using (
 def portfolio_selectors(spark, d):
     book, who = _book(spark, d), clients(spark, d).select("client_id", "client_name")
     excluded = repayments(spark, d).filter("line = 7").select("loan_id")
-    out = None
-    for name, portfolio in _SELECTORS.items():
-        part = submission.select_portfolio(book, who, portfolio, excluded).select(F.lit(name).alias("portfolio"), "loan_id", "client_name")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return submission.select_portfolios(book, who, _SELECTORS, excluded).select("portfolio", "loan_id", "client_name")
 
 
 CTE["old_list"] = """select case client_id % 5 when 0 then '00' || client_id when 1 then client_id || '.0' else cast(client_id as varchar) end as raw_number, client_id, cast(client_id % 2 as bigint) as blacklist_flag,

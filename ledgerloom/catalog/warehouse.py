@@ -353,6 +353,20 @@ def suspension_changes(spark, d):
     return extract.suspension_changes(events, current)
 
 
+@query("suspension_expiry", """
+with ev as (select client_id as shop, disbursed_on as day from loans),
+cur as (select client_id as shop, client_id % 2 = 0 as is_suspended, date '1998-06-01' as d from clients where segment = 'BUILDING')
+select shop, is_suspended, (select min(day) from ev where ev.shop = cur.shop and day > cur.d) as expired_on from cur""", ("loans", "clients"))
+def suspension_expiry(spark, d):
+    held = F.col("loan_status") == 300
+    events = loans(spark, d).select(F.col("client_id").alias("shop"), held.alias("is_suspended"), F.when(held, F.col("disbursed_on")).alias("start_date"),
+                                    F.when(~held, F.col("disbursed_on")).alias("end_date"))
+    day, even = F.lit("1998-06-01").cast("date"), F.col("client_id") % 2 == 0
+    current = clients(spark, d).filter("segment = 'BUILDING'").select(
+        F.col("client_id").alias("shop"), even.alias("is_suspended"), F.when(even, day).alias("start_date"), F.when(~even, day).alias("end_date"))
+    return extract.expire_suspensions(current, events).select("shop", "is_suspended", "expired_on")
+
+
 @query("company_list", """
 select distinct p_brand as company, true as is_multinational, false as is_federal_government from part where p_brand not in (select p_brand from part where p_size = 1)""")
 def company_list(spark, d):

@@ -62,7 +62,8 @@ def number_turns(spark, d):
 
 @query("number_report_rows", "select loan_id, row_number() over (order by loan_id) as row_id from loans", ("loans",))
 def number_report_rows(spark, d):
-    return dedupe.number_in_group(loans(spark, d).select("loan_id"), [], ["loan_id"], "row_id", slice_by=F.floor(F.col("loan_id") / 4096))
+    rows = loans(spark, d).select("loan_id")
+    return dedupe.number_in_group(rows, [], ["loan_id"], "row_id", slice_by=dedupe.range_slices(rows, "loan_id"))
 
 
 @query("dense_rank_status", """
@@ -105,7 +106,8 @@ select loan_id, day, case when nid in (select cast(client_id as varchar) from cl
 def uniquify_duplicates(spark, d):
     rows = loans(spark, d).select("loan_id", F.col("client_id").cast("string").alias("nid"), F.col("disbursed_on").alias("day"))
     taken = clients(spark, d).filter("segment = 'BUILDING'").select(F.col("client_id").cast("string").alias("known"))
-    return dedupe.uniquify(rows, "nid", "day", ["loan_id"], taken, "known").select("loan_id", "day", "nid")
+    slices = dedupe.range_slices(rows, "loan_id")
+    return dedupe.uniquify(rows, "nid", "day", ["loan_id"], taken, "known", slices).select("loan_id", "day", "nid")
 
 
 @query("ordered_report", "select * from (select loan_id, client_id, disbursed_on from loans order by disbursed_on desc, loan_id limit 100)", ("loans",))

@@ -84,10 +84,29 @@ def number_in_group(df: DataFrame, keys: list, order: list, name: str = "seq", s
         *df.columns, (F.col("_inside") + F.coalesce(F.col("_shift"), F.lit(0))).cast("long").alias(name))
 
 
+def range_slices(df: DataFrame, column: str, most: int = 256) -> Column:
+    """A slice expression for ``number_in_group`` from the data's own ranges: as many slices of about equal size as there
+    are shuffle partitions (at most ``most``), whatever the values and the size of the table."""
+    n = max(2, min(most, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    edges = df.agg(F.percentile_approx(column, [k / n for k in range(1, n)])).first()[0]
+    if not edges:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(e) for e in sorted(set(edges))]), lambda e: e < F.col(column)))
+
+
 def best_status_per_key(df: DataFrame, keys, status: str) -> DataFrame:
-    """All rows whose status is the lowest of their key (dense rank 1)."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(F.col(status).asc_nulls_last())
-    return df.withColumn("_place", F.dense_rank().over(w)).filter("_place = 1").drop("_place")
+    """All rows whose status is the lowest of their key (dense rank 1; no status counts only where a key has none).
+
+    The lowest status is a partial aggregate, joined back: rows that tie for it
+    are never gathered in one task, as a join can be split where a sort of one
+    key cannot.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    best = df.groupBy(*keys).agg(F.min(status).alias("_best")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_best")
+    on = F.col(status).eqNullSafe(F.col("_best"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(best, on, "left_semi")
 
 
 def average_rank(df: DataFrame, key: str, value: str, name: str = "avg_rank") -> DataFrame:
@@ -116,12 +135,14 @@ def first_two(df: DataFrame, key: str, order: list, columns: list) -> DataFrame:
     return two.groupBy(key).agg(*out)
 
 
-def uniquify(df: DataFrame, column: str, day: str, order: list, existing: DataFrame, existing_column: str) -> DataFrame:
+def uniquify(df: DataFrame, column: str, day: str, order: list, existing: DataFrame, existing_column: str,
+             slice_by: Column | None = None) -> DataFrame:
     """Repeated values of a day get '_day_n'; values taken elsewhere get '_day'.
 
-    ``order`` must be total. Null values are left alone.
+    ``order`` must be total. Null values are left alone. ``slice_by`` as in
+    ``number_in_group``, for a placeholder value that very many rows share.
     """
-    numbered = number_in_group(df.filter(F.col(column).isNotNull()), [column, day], order, "_n")
+    numbered = number_in_group(df.filter(F.col(column).isNotNull()), [column, day], order, "_n", slice_by=slice_by)
     suffixed = numbered.withColumn(
         column,
         F.when(F.col("_n") > 1, F.concat_ws("_", column, F.col(day).cast("string"), F.col("_n").cast("string")))

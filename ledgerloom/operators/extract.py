@@ -85,20 +85,26 @@ def load_transactions(target: DataFrame, incoming: DataFrame, reversed_rows: Dat
     return merge.upsert(target, ready, keys, newest_by)
 
 
+# Looked-up codes and flags of a core loan.
+ENUMS = ("loan_type", "transaction_strategy", "term_frequency")
+FLAGS = ("is_npa", "accounting_recognised", "sync_with_meeting", "variable_instalments")
+
+
 def resolve_keys(loans: DataFrame, clients: DataFrame, products: DataFrame, statuses: DataFrame,
                  officers: DataFrame, enums: DataFrame) -> DataFrame:
     """Surrogate keys for the loan fact. Client and product must be known,
-    status and officer may be missing. Enum ids become their text."""
+    status and officer may be missing. Enum ids become their text, flags booleans
+    (0 is false, anything else true), where the loans have them."""
     out = (
         loans.join(clients.select(F.col("core_id").alias("client_id"), F.col("surrogate_id").alias("client_key")), "client_id")
         .join(products.select(F.col("core_id").alias("product_id"), F.col("surrogate_id").alias("product_key")), "product_id")
         .join(statuses.select(F.col("core_id").alias("loan_status"), F.col("surrogate_id").alias("status_key")), "loan_status", "left")
         .join(officers.select(F.col("core_id").alias("officer_id"), F.col("surrogate_id").alias("officer_key")), "officer_id", "left")
     )
-    for name in ("loan_type",):
+    for name in (n for n in ENUMS if f"{n}_id" in loans.columns):
         values = enums.filter(F.col("enum_name") == name).select(F.col("enum_id").alias(f"{name}_id"), F.col("enum_value").alias(name))
         out = out.join(values, f"{name}_id", "left")
-    return out
+    return out.withColumns({f: F.col(f) != 0 for f in FLAGS if f in loans.columns})
 
 
 def with_model_version(loans: DataFrame, known: DataFrame, versions: DataFrame, slice_by=None) -> DataFrame:
@@ -168,6 +174,15 @@ def suspension_changes(events: DataFrame, current: DataFrame) -> DataFrame:
     return pair.filter(~F.coalesce(blocked, F.lit(False))).select(events.columns).distinct()
 
 
+def expire_suspensions(current: DataFrame, changes: DataFrame) -> DataFrame:
+    """Stored suspensions with the day on which a later change of the shop ended
+    them (``expired_on``), null while nothing followed."""
+    day = F.coalesce("start_date", "end_date")
+    later = changes.select(F.col("shop").alias("_shop"), day.alias("_day")).groupBy("_shop").agg(F.array_sort(F.collect_set("_day")).alias("_days"))
+    first = F.get(F.filter("_days", lambda x: x > day), F.lit(0))
+    return current.join(later, F.col("shop") == F.col("_shop"), "left").withColumn("expired_on", first).drop("_shop", "_days")
+
+
 def company_lists(names: DataFrame, known: DataFrame, column: str, flags: dict) -> DataFrame:
     """New names only, with the literal flags of the list they come from."""
     trimmed = names.select(F.trim(F.col(column)).alias(column)).filter(F.col(column).isNotNull()).distinct()

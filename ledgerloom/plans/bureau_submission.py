@@ -31,8 +31,7 @@ class Portfolio:
     test_clients: tuple = ()
 
 
-def select_portfolio(loans: DataFrame, clients: DataFrame, portfolio: Portfolio, excluded: DataFrame | None = None) -> DataFrame:
-    """Loans of the portfolio with a known client, without the excluded accounts."""
+def _belongs(portfolio: Portfolio):
     core, partner = F.col("total_outstanding"), F.col("partner_balance")
     rule = {
         "core": core.isNotNull(),
@@ -49,12 +48,24 @@ def select_portfolio(loans: DataFrame, clients: DataFrame, portfolio: Portfolio,
         keep = keep & (F.col("disbursed_on") == F.lit(as_date(portfolio.disbursed_on)))
     if portfolio.products:
         keep = keep & F.col("product_id").isin(*portfolio.products)
-    out = loans.filter(keep)
     if portfolio.test_clients:
-        out = out.filter(~F.col("client_id").isin(*portfolio.test_clients))
+        keep = keep & ~F.col("client_id").isin(*portfolio.test_clients)
+    return keep
+
+
+def select_portfolios(loans: DataFrame, clients: DataFrame, portfolios: dict, excluded: DataFrame | None = None) -> DataFrame:
+    """Loans with a known client, once for each portfolio they fall in (column
+    ``portfolio``), without the excluded accounts; one pass for all portfolios."""
+    names = F.filter(F.array(*[F.when(_belongs(p), F.lit(name)) for name, p in portfolios.items()]), lambda n: n.isNotNull())
+    out = loans.withColumn("_portfolios", names).filter(F.size("_portfolios") > 0)
     if excluded is not None:
         out = out.join(excluded.select("loan_id").filter("loan_id is not null").distinct(), "loan_id", "left_anti")
-    return out.join(clients, "client_id")
+    return out.join(clients, "client_id").withColumn("portfolio", F.explode("_portfolios")).drop("_portfolios")
+
+
+def select_portfolio(loans: DataFrame, clients: DataFrame, portfolio: Portfolio, excluded: DataFrame | None = None) -> DataFrame:
+    """Loans of one portfolio."""
+    return select_portfolios(loans, clients, {portfolio.name: portfolio}, excluded).drop("portfolio")
 
 
 def outstanding(as_of, use_partner: bool):

@@ -150,6 +150,11 @@ def closed_differences(closed: DataFrame, loans: DataFrame, as_of) -> DataFrame:
         "days_late_ours": F.greatest(late, F.lit(0)).cast("long")}).drop("_p")
 
 
+def settled_at_partner(loans: DataFrame) -> DataFrame:
+    """Active loans that the partner holds as settled while the core still has principal open."""
+    return loans.filter("loan_status = 300 and partner_balance = 0 and principal_outstanding > 0")
+
+
 def balance_discrepancies(loans: DataFrame, repayments: DataFrame) -> DataFrame:
     """Active loans whose partner balance is not below the core balance although
     the core has a repayment after the partner's balance date."""

@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.functions.dates import as_date, report_date
-from ledgerloom.operators.dedupe import latest_per_key, number_in_group
+from ledgerloom.operators.dedupe import latest_per_key, number_in_group, range_slices
 from ledgerloom.operators.joins import day_spine, spine_join
 
 
@@ -98,10 +98,11 @@ def feed_day(opt_ins: DataFrame, disbursements: DataFrame, repayments: DataFrame
         F.coalesce(F.sum(F.when(of("repayments"), F.col("amount"))).cast("double"), F.lit(0.0)).alias("repaid"))
 
 
-def numbered(df: DataFrame, order: list, slice_by, name: str = "row_id") -> DataFrame:
-    """Report row numbers 1..n. Slices of the order column are numbered apart
-    and shifted, so the report never has to fit one task."""
-    return number_in_group(df, [], order, name, slice_by=slice_by)
+def numbered(df: DataFrame, key: str, slices, name: str = "row_id") -> DataFrame:
+    """Report row numbers 1..n in the order of a key. Slices of it are numbered
+    apart and shifted, so the report never has to fit one task. ``slices`` is the
+    frame whose key gives their edges, as a report is costly to compute for them."""
+    return number_in_group(df, [], [key], name, slice_by=range_slices(slices, key))
 
 
 def _prefix(code: str, c: str):
@@ -109,13 +110,13 @@ def _prefix(code: str, c: str):
 
 
 def accounts(loans: DataFrame, clients: DataFrame, products: DataFrame, statuses: DataFrame, channels: DataFrame,
-             lender_code: str, tenant: str, as_of, slice_width: int = 1_000_000) -> DataFrame:
+             lender_code: str, tenant: str, as_of) -> DataFrame:
     """Regulatory account list. Registry names win when they are similar enough."""
     name = F.when(F.col("similarity") >= 60, F.col("registry_name")).otherwise(F.col("client_name"))
     channel = channels.filter("channel_type = 'USSD'").agg(F.max("code")).scalar()
     out = loans.filter(F.col("loan_status").isin(300, 600, 700)).join(clients, "client_id").join(products, "product_id").join(
         statuses, "loan_status")
-    out = numbered(out, ["loan_id"], F.floor(F.col("loan_id") / slice_width))
+    out = numbered(out, "loan_id", loans)
     return out.select(
         "row_id", F.lit(lender_code).alias("lender_code"), report_date(F.lit(as_date(as_of))).alias("reporting_date"),
         _prefix(tenant, "client_id").alias("customer_id"), _prefix(tenant, "loan_id").alias("contract_number"),
@@ -125,13 +126,12 @@ def accounts(loans: DataFrame, clients: DataFrame, products: DataFrame, statuses
         channel.alias("channel"), F.col("repay_every").alias("tenor"), F.col("status_code").alias("account_status"))
 
 
-def overdue_accounts(loans: DataFrame, clients: DataFrame, lender_code: str, tenant: str, as_of,
-                     slice_width: int = 1_000_000) -> DataFrame:
+def overdue_accounts(loans: DataFrame, clients: DataFrame, lender_code: str, tenant: str, as_of) -> DataFrame:
     """Active loans more than ninety days past maturity."""
     limit = F.date_add("matures_on", 90)
     out = loans.filter((F.col("loan_status") == 300) & (F.datediff(F.lit(as_date(as_of)), limit) >= 1)).join(
         clients.select("client_id"), "client_id")
-    out = numbered(out, ["loan_id"], F.floor(F.col("loan_id") / slice_width))
+    out = numbered(out, "loan_id", loans)
     return out.select(
         "row_id", F.lit(lender_code).alias("lender_code"), report_date(F.lit(as_date(as_of))).alias("reporting_date"),
         _prefix(tenant, "client_id").alias("customer_id"), _prefix(tenant, "loan_id").alias("contract_number"),
@@ -140,8 +140,7 @@ def overdue_accounts(loans: DataFrame, clients: DataFrame, lender_code: str, ten
         F.coalesce(F.col("total_outstanding").cast("double"), F.lit(0.0)).alias("outstanding"))
 
 
-def last_repayments(loans: DataFrame, clients: DataFrame, repayments: DataFrame, lender_code: str, tenant: str, as_of,
-                    slice_width: int = 1_000_000) -> DataFrame:
+def last_repayments(loans: DataFrame, clients: DataFrame, repayments: DataFrame, lender_code: str, tenant: str, as_of) -> DataFrame:
     """Active loans with their last valid repayment; reversals and waivers, told
     by their receipt, do not count."""
     receipt = F.lower("receipt_number")
@@ -150,7 +149,7 @@ def last_repayments(loans: DataFrame, clients: DataFrame, repayments: DataFrame,
     last = latest_per_key(valid, "loan_id", [F.col("paid_on").desc(), F.col("transaction_id").desc()])
     out = loans.filter("loan_status = 300").join(clients.select("client_id"), "client_id").join(
         last.select("loan_id", "paid_on"), "loan_id")
-    out = numbered(out, ["loan_id"], F.floor(F.col("loan_id") / slice_width))
+    out = numbered(out, "loan_id", loans)
     return out.select(
         "row_id", F.lit(lender_code).alias("lender_code"), report_date(F.lit(as_date(as_of))).alias("reporting_date"),
         _prefix(tenant, "client_id").alias("customer_id"), _prefix(tenant, "loan_id").alias("contract_number"),
@@ -159,7 +158,7 @@ def last_repayments(loans: DataFrame, clients: DataFrame, repayments: DataFrame,
 
 
 def customers(clients: DataFrame, loans: DataFrame, genders: DataFrame, documents: DataFrame, lender_code: str, tenant: str,
-              as_of, slice_width: int = 1_000_000) -> DataFrame:
+              as_of) -> DataFrame:
     """Regulatory customer list: clients with a loan, a gender and a birth date.
     Without a surname the middle name takes its place."""
     known = clients.filter("gender is not null and birth_date is not null").join(
@@ -171,7 +170,7 @@ def customers(clients: DataFrame, loans: DataFrame, genders: DataFrame, document
     out = known.withColumns({"_first": first, "_middle": middle, "_last": last, "document_type": kind}).join(
         documents.select(F.col("type").alias("document_type"), F.col("code").alias("document_code")), "document_type", "left").join(
         genders.select(F.col("type").alias("gender"), F.col("code").alias("gender_code")), "gender", "left")
-    out = numbered(out, ["client_id"], F.floor(F.col("client_id") / slice_width))
+    out = numbered(out, "client_id", clients)
     return out.select(
         "row_id", F.lit(lender_code).alias("lender_code"), report_date(F.lit(as_date(as_of))).alias("reporting_date"),
         _prefix(tenant, "client_id").alias("customer_id"), "document_code", "national_id", "gender_code",

