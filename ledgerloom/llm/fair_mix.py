@@ -16,7 +16,7 @@ from ledgerloom.llm.blocks import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_DIGITS = 3   # hex digits of the shuffle key: 4,096 slices of each source
-BANDS = 4096       # bands of a unit of virtual time
+BANDS = 512        # bands of a unit of virtual time, and again of the band in which the budget ends
 LAST_BAND = 8 * BANDS
 
 
@@ -76,32 +76,41 @@ def mix(docs: DataFrame, weights=rotating_weights, id_col: str = "doc_id", text_
     return _cut(queued, cap)
 
 
+def _edge(copies: DataFrame, budget: int) -> tuple[int, int] | None:
+    """The ``band`` in which the budget ends and what is left of the budget before it: two numbers. At most LAST_BAND + 1 sums meet in one task."""
+    bands = copies.groupBy("band").agg(F.sum("size").alias("words"))
+    upto = F.sum("words").over(Window.orderBy("band"))
+    last = (bands.select("band", "words", upto.alias("upto")).filter(F.col("upto") > budget)
+            .agg(F.min(F.struct("band", "upto", "words")).alias("m")).first()["m"])
+    return None if last is None else (last["band"], budget - (last["upto"] - last["words"]))
+
+
 def _cut(queued: DataFrame, cap: int) -> DataFrame:
+    """Copies in order of their finish until the budget is full: by sums of bands of time, of bands within the last one, and row by row in the last of those."""
     def finish(turn):
         return (F.col("source_size") * turn + F.col("sent")).cast("double") / F.col("target")
 
     def band(turn):
         return F.least(F.floor(finish(turn) * BANDS), F.lit(LAST_BAND))
 
+    def inner(turn, edge):
+        return F.least(F.floor((finish(turn) * BANDS - edge) * BANDS), F.lit(LAST_BAND))
+
     sending = (F.col("size") > 0) & (F.col("target") > 0)
     copies = queued.filter(sending).select("*", F.explode(F.array(*(F.lit(t) for t in range(cap)))).alias("turn"))
     copies = copies.withColumn("finish", finish(F.col("turn"))).withColumn("band", band(F.col("turn")))
-    bands = copies.groupBy("band").agg(F.sum("size").alias("words"))
-    upto = F.sum("words").over(Window.orderBy("band"))
-    total = F.sum("size").alias("total")
-    edges = bands.select("band", "words", upto.alias("upto"))
-    budget = queued.agg(F.coalesce(total, F.lit(0)).alias("total")).first()["total"]
-    # The band in which the budget ends, and what is left of the budget there: two numbers.
-    last = edges.filter(F.col("upto") > budget).agg(F.min(F.struct("band", "upto", "words")).alias("m")).first()["m"]
-    if last is None:
+    budget = queued.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total")).first()["total"]
+    outer = _edge(copies, budget)
+    if outer is None:
         taken = sum(sending.cast("long") for _ in range(cap))
         return queued.select("doc_id", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"), (F.col("size") * taken).alias("taken"))
-    edge, room = last["band"], budget - (last["upto"] - last["words"])
+    copies = copies.filter(F.col("band") == outer[0]).withColumn("band", inner(F.col("turn"), outer[0]))
+    edge, room = _edge(copies, outer[1])
     order = Window.orderBy("finish", F.col("source").isNull(), "source", "key", "doc_id", "turn")
     within = copies.filter(F.col("band") == edge).withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    partly = within.filter(F.col("upto") <= room).select("doc_id", "source", "key", "size", "sent", F.lit(1).alias("more"))
-    partly = partly.groupBy("doc_id", "source", "key", "size", "sent").agg(F.sum("more").alias("more"))
-    before = sum(F.when(sending & (band(F.lit(t)) < edge), 1).otherwise(0) for t in range(cap))
+    partly = within.filter(F.col("upto") <= room).groupBy("doc_id", "source", "key", "size", "sent").agg(F.count("*").alias("more"))
+    first = [(band(F.lit(t)) < outer[0]) | ((band(F.lit(t)) == outer[0]) & (inner(F.lit(t), outer[0]) < edge)) for t in range(cap)]
+    before = sum(F.when(sending & f, 1).otherwise(0) for f in first)
     same = [F.col(f"q.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("doc_id", "source", "key", "size", "sent")]
     return (queued.withColumn("before", before).alias("q").join(partly.alias("p"), same, "left")
             .select("q.doc_id", "q.size", "q.source_size", F.coalesce("q.target", F.lit(0.0)).alias("target"),
