@@ -4,6 +4,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.registry import query, table
+from ledgerloom.operators import extract, ingest
 from ledgerloom.operators.joins import day_spine
 from ledgerloom.session import shared_dir
 from ledgerloom.sources import readers, sinks
@@ -118,3 +119,62 @@ def stream_csv_drop(spark, d):
     stream = feeds.csv_stream(spark, landed, _DUMP, "*.csv")
     feeds.run_available(stream.select("event_id", "event_type", "value"), path, shared_dir(spark, "checkpoint"))
     return spark.read.parquet(path)
+
+
+@query("latin1_dump", "select c_custkey as id, 'Café ' || c_name as name from customer")
+def latin1_dump(spark, d):
+    path = shared_dir(spark, "latin1")
+    sinks.export_csv(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("Café "), "c_name").alias("name")), path, encoding="ISO-8859-1")
+    return readers.csv_files(spark, path, "id bigint, name string", encoding="ISO-8859-1").select("id", "name")
+
+
+def _documents(spark, d, head, foot, name):
+    """Files of 500 customers each, with lines before and after the rows."""
+    path = shared_dir(spark, name)
+    rows = table(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / 500).alias("part")).agg(
+        F.array_sort(F.collect_list(F.concat("c_custkey", F.lit(',"'), "c_name", F.lit(', "')))).alias("lines"))
+    content = F.concat(F.lit(head), F.array_join("lines", "\n"), F.lit("\n("), F.size("lines").cast("string"), F.lit(foot))
+    rows.select("part", content.alias("value")).write.partitionBy("part").text(path)
+    return path
+
+
+@query("preamble_files", "select c_custkey as id, c_name || ', ' as name from customer")
+def preamble_files(spark, d):
+    path = _documents(spark, d, "Report\nfor,you\nid,name\n", " rows affected)", "preamble")
+    return readers.csv_after_preamble(spark, path, "id bigint, name string", 3, drop_last=1).select("id", "name")
+
+
+@query("whitelist_files", "select cast(c_custkey as varchar) as store_number, c_name || ', ' as name from customer")
+def whitelist_files(spark, d):
+    path = _documents(spark, d, "Store,Name\n-----,----\n", " rows affected),", "whitelist")
+    return ingest.whitelist_rows(spark, path, "store_number string, name string").select("store_number", "name")
+
+
+@query("exception_files", "select o_orderkey as loan_id, case when o_orderkey % 3 = 0 then 'gender' else 'surname' end as exception_column from orders where o_orderkey % 3 < 2")
+def exception_files(spark, d):
+    path = shared_dir(spark, "exceptions")
+    bad = table(spark, d, "orders").filter("o_orderkey % 3 < 2").select(
+        F.col("o_orderkey").alias("loan_id"), F.when(F.col("o_orderkey") % 3 == 0, "gender").otherwise("surname").alias("exception_column"))
+    sinks.export_exceptions(bad, path)
+    return spark.read.schema("loan_id bigint, exception_column string").option("header", True).csv(path)
+
+
+@query("full_overwrite", "select o_orderkey as loan_id, o_orderstatus as status from orders where o_orderstatus <> 'F'")
+def full_overwrite(spark, d):
+    path = shared_dir(spark, "overwrite")
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("loan_id"), F.col("o_orderstatus").alias("status"))
+    sinks.overwrite(rows, path)
+    sinks.overwrite(rows.filter("status <> 'F'"), path)
+    return spark.read.parquet(path)
+
+
+@query("loan_charges", """
+select l_orderkey as loan_id, l_linenumber as charge, cast(l_tax as double) as amount, o_custkey as client_id
+from lineitem left join (select * from orders where o_orderstatus = 'O') on l_orderkey = o_orderkey""")
+def loan_charges(spark, d):
+    """Charges with the client of their loan, if it is known, as a table of its own that each run replaces."""
+    charges = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("loan_id"), F.col("l_linenumber").alias("charge"), F.col("l_tax").cast("double").alias("amount"))
+    known = table(spark, d, "orders").filter("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("loan_id"), F.col("o_custkey").alias("client_id"))
+    path = shared_dir(spark, "charges")
+    sinks.overwrite(extract.loan_charges(charges, known), path)
+    return spark.read.parquet(path).select("loan_id", "charge", "amount", "client_id")

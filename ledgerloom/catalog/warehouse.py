@@ -367,6 +367,17 @@ def suspension_expiry(spark, d):
     return extract.expire_suspensions(current, events).select("shop", "is_suspended", "expired_on")
 
 
+@query("officer_history", """
+select l_orderkey * 10 + l_linenumber as core_id, l_orderkey as loan_id, l_suppkey as officer_id, cast(l_shipdate as date) as assigned_on,
+  case when l_linestatus = 'F' then cast(l_shipdate as date) + 30 end as released_on from lineitem where l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')""")
+def officer_history(spark, d):
+    day = F.to_date("l_shipdate")
+    rows = table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("loan_id"), F.col("l_suppkey").alias("loan_officer_id"),
+                                              day.alias("start_date"), F.when(F.col("l_linestatus") == "F", F.date_add(day, 30)).alias("end_date"))
+    stored = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(9)), lambda i: F.col("o_orderkey") * 10 + i)).alias("core_id"))
+    return extract.officer_history(rows, stored)
+
+
 @query("company_list", """
 select distinct p_brand as company, true as is_multinational, false as is_federal_government from part where p_brand not in (select p_brand from part where p_size = 1)""")
 def company_list(spark, d):

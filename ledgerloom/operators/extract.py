@@ -183,6 +183,16 @@ def expire_suspensions(current: DataFrame, changes: DataFrame) -> DataFrame:
     return current.join(later, F.col("shop") == F.col("_shop"), "left").withColumn("expired_on", first).drop("_shop", "_days")
 
 
+def loan_charges(charges: DataFrame, loans: DataFrame) -> DataFrame:
+    """All charges, with the client of their loan where the loan is known. A loan id that repeats counts once."""
+    return charges.join(loans.groupBy("loan_id").agg(F.max("client_id").alias("client_id")), "loan_id", "left")
+
+
+def officer_history(assignments: DataFrame, current: DataFrame) -> DataFrame:
+    """Unseen assignments of officers to loans, under their warehouse names; an open assignment has no end."""
+    return dimension(assignments, current, "id", {"id": "core_id", "loan_officer_id": "officer_id", "start_date": "assigned_on", "end_date": "released_on"})
+
+
 def company_lists(names: DataFrame, known: DataFrame, column: str, flags: dict) -> DataFrame:
     """New names only, with the literal flags of the list they come from."""
     trimmed = names.select(F.trim(F.col(column)).alias(column)).filter(F.col(column).isNotNull()).distinct()
