@@ -330,6 +330,56 @@ def bureau_products(spark, d):
     return bureau_rules.product_overdue(_reports(spark, d))
 
 
+def _bodies(spark, d):
+    """Reports with 0 to 3 facilities, a performance row for each of two institutions, a score, and details in every second one."""
+    text = lambda c: c.cast("string")
+    n = (F.col("loan_id") % 4).cast("int")
+    facility = lambda i: F.struct(
+        F.concat(text(F.col("loan_id")), F.lit("/"), text(i)).alias("ACCOUNT_NUMBER"), F.concat(text(i), F.lit(",200.50")).alias("AMOUNT_OVERDUE_CAL"),
+        F.lit("lost").alias("ASSET_CLASSIFICATION_CAL"), F.lit("1,000").alias("CURRENT_BALANCE_CAL"), text(F.col("disbursed_on")).alias("DATE_REPORTED"),
+        F.concat(F.lit("bank "), text(i)).alias("INSTITUTION_NAME"), F.lit("3").alias("DATE_REPORTED_AGE"), F.lit("open").alias("LOAN_STATUS"),
+        F.lit("personal").alias("LOAN_TYPE_VALUE"), text(F.col("matures_on")).alias("MATURITY_DT"), text(i * 30).alias("NUM_OF_DAYS_IN_ARREARS_CAL"))
+    performance = lambda name, count: F.struct(
+        F.concat(text(count), F.lit(",000")).alias("FACILITIES_COUNT"), F.lit(name).alias("INSTITUTION_NAME"), F.lit("0").alias("NONPERFORMING_FACILITY"),
+        F.lit("12,345.5").alias("OVERDUE_AMOUNT"), text(count).alias("PERFORMING_FACILITY"))
+    body = F.struct(
+        F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), facility).alias("CreditFacilityHistory24"),
+        F.array(performance("first", F.col("loan_id") % 7 + 1), performance("second", F.col("loan_id") % 5 + 1)).alias("SummaryOfPerformance"),
+        F.when(F.col("loan_id") % 2 == 0, F.struct(F.concat(F.lit("N"), text(F.col("loan_id"))).alias("CIR_NUMBER"), text(F.col("disbursed_on")).alias("REPORT_ORDER_DATE"))).alias("ReportDetailBVN"),
+        F.struct(text(F.col("loan_id") % 850).alias("CREDIT_SCORE"), F.lit("fair").alias("CREDIT_RATING")).alias("CREDIT_SCORE_SUMMARY"))
+    # One report per client and day, so that the newest is a single one.
+    newest = loans(spark, d).groupBy("client_id", "disbursed_on").agg(F.max("loan_id").alias("loan_id")).withColumn("matures_on", F.date_add("disbursed_on", 30))
+    return newest.select("client_id", F.col("disbursed_on").alias("created_at"), F.to_json(F.struct(F.struct(body.alias("BODY")).alias("ConsumerHitResponse"))).alias("report"))
+
+
+CTE["newest_report"] = """select client_id, max(loan_id) as loan_id, disbursed_on, disbursed_on + 30 as matures_on from loans l
+    where disbursed_on = (select max(disbursed_on) from loans m where m.client_id = l.client_id) group by client_id, disbursed_on"""
+
+
+@query("bureau_facilities", """
+select client_id, loan_id || '/' || i as account_number, i * 1000 + 200.5::double as amount_overdue_cal, 'lost' as asset_classification_cal, 1000::double as current_balance_cal,
+  cast(disbursed_on as varchar) as date_reported, 'bank ' || i as institution_name, '3' as date_reported_age, 'open' as loan_status, 'personal' as loan_type_value,
+  cast(matures_on as varchar) as maturity_dt, i * 30 as num_of_days_in_arrears_cal
+from (select *, unnest(range(1, loan_id % 4 + 1)) as i from newest_report)""", ("loans", "newest_report"))
+def bureau_facilities(spark, d):
+    return bureau_rules.section_rows(_bodies(spark, d), "facilities").withColumn("num_of_days_in_arrears_cal", F.col("num_of_days_in_arrears_cal").cast("long"))
+
+
+@query("bureau_performance", """
+select client_id, n * 1000::double as facilities_count, name as institution_name, '0' as nonperforming_facility, 12345.5::double as overdue_amount, cast(n as varchar) as performing_facility
+from (select client_id, 'first' as name, loan_id % 7 + 1 as n from newest_report union all select client_id, 'second', loan_id % 5 + 1 from newest_report)""", ("loans", "newest_report"))
+def bureau_performance(spark, d):
+    return bureau_rules.section_rows(_bodies(spark, d), "performance")
+
+
+@query("bureau_details", """
+select client_id, case when loan_id % 2 = 0 then 'N' || loan_id end as cir_number, case when loan_id % 2 = 0 then cast(disbursed_on as varchar) end as report_order_date,
+  cast(loan_id % 850 as varchar) as credit_score, 'fair' as credit_rating from newest_report""", ("loans", "newest_report"))
+def bureau_details(spark, d):
+    reports = _bodies(spark, d)
+    return bureau_rules.report_details(reports, "report").join(bureau_rules.report_details(reports, "score"), "client_id")
+
+
 _DECIDED = (*_SALARY, "loans", "debt", "salary_limits", "features", "clients", "tenor", "tenure", "decided")
 CTE["decided"] = """select s.*, coalesce(n.n, 0) as count_of_loans, t.passes as tenure_passes, f.client_id is null or (f.total_no_of_facilities <= 5 and f.maximum_days_in_arrears < 60
       and f.total_overdue_amount < s.average_monthly_6m and f.no_of_institution_types <= 2) as bureau_qualified,

@@ -62,3 +62,44 @@ def product_overdue(reports: DataFrame) -> DataFrame:
     items = latest_reports(reports).select("client_id", F.explode("body.ClassificationProdType").alias("p"))
     return items.select("client_id", F.col("p.PRODUCT_TYPE").alias("product_type"),
                         parse_amount(F.col("p.AMOUNT_OVERDUE")).alias("amount_overdue"))
+
+
+# Lists of a report body with their fields; amounts come as text with thousands separators.
+SECTIONS = {
+    "institutions": ("ClassificationInsType", ("AMOUNT_OVERDUE", "INSTITUTION_TYPE")),
+    "products": ("ClassificationProdType", ("AMOUNT_OVERDUE", "PRODUCT_TYPE")),
+    "facilities": ("CreditFacilityHistory24", (
+        "ACCOUNT_NUMBER", "AMOUNT_OVERDUE_CAL", "ASSET_CLASSIFICATION_CAL", "CURRENT_BALANCE_CAL", "DATE_REPORTED", "INSTITUTION_NAME",
+        "DATE_REPORTED_AGE", "LOAN_STATUS", "LOAN_TYPE_VALUE", "MATURITY_DT", "NUM_OF_DAYS_IN_ARREARS_CAL")),
+    "performance": ("SummaryOfPerformance", (
+        "FACILITIES_COUNT", "INSTITUTION_NAME", "NONPERFORMING_FACILITY", "OVERDUE_AMOUNT", "PERFORMING_FACILITY")),
+}
+AMOUNTS = ("AMOUNT_OVERDUE", "AMOUNT_OVERDUE_CAL", "CURRENT_BALANCE_CAL", "FACILITIES_COUNT", "OVERDUE_AMOUNT")
+# Single parts of a report body.
+DETAILS = {"report": ("ReportDetailBVN", ("CIR_NUMBER", "REPORT_ORDER_DATE")),
+           "score": ("CREDIT_SCORE_SUMMARY", ("CREDIT_SCORE", "CREDIT_RATING"))}
+
+
+def _newest_body(reports: DataFrame, part: str, kind: str) -> DataFrame:
+    newest = pick_per_key(reports.select("client_id", "created_at", "report"), ["client_id"], ["created_at", "report"])
+    parsed = F.from_json("report", f"ConsumerHitResponse struct<BODY: struct<{part}: {kind}>>")
+    return newest.select("client_id", parsed.getField("ConsumerHitResponse").getField("BODY").getField(part).alias("part"))
+
+
+def section_rows(reports: DataFrame, section: str) -> DataFrame:
+    """All rows of one list of each client's newest report, every field under its
+    lower-case name; amounts as numbers, days in arrears as whole numbers."""
+    part, fields = SECTIONS[section]
+    rows = _newest_body(reports, part, f"array<struct<{', '.join(f'{f}: string' for f in fields)}>>").select("client_id", F.explode("part").alias("r"))
+
+    def typed(f):
+        c = F.col(f"r.{f}")
+        return parse_amount(c) if f in AMOUNTS else c.try_cast("int") if f.startswith("NUM_OF_DAYS") else c
+    return rows.select("client_id", *[typed(f).alias(f.lower()) for f in fields])
+
+
+def report_details(reports: DataFrame, detail: str) -> DataFrame:
+    """One single part of each client's newest report; a report without it has nulls."""
+    part, fields = DETAILS[detail]
+    rows = _newest_body(reports, part, f"struct<{', '.join(f'{f}: string' for f in fields)}>")
+    return rows.select("client_id", *[F.col(f"part.{f}").alias(f.lower()) for f in fields])
