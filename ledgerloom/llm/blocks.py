@@ -62,8 +62,18 @@ def arrays_out(*arrays: np.ndarray) -> bytes:
     return b"".join(parts)
 
 
-def arrays_in(value: pa.BinaryScalar) -> list[np.ndarray]:
-    raw, at, out = value.as_buffer(), 0, []
+def squeezed(value: bytes) -> bytes:
+    """The value compressed, for texts; after eight bytes with its size."""
+    return len(value).to_bytes(8, "little") + pa.compress(value, "zstd", asbytes=True)
+
+
+def unsqueezed(value: pa.BinaryScalar) -> pa.Buffer:
+    raw = value.as_buffer()
+    return pa.decompress(raw.slice(8), int.from_bytes(raw.slice(0, 8).to_pybytes(), "little"), "zstd")
+
+
+def arrays_in(value: pa.BinaryScalar | pa.Buffer) -> list[np.ndarray]:
+    raw, at, out = value if isinstance(value, pa.Buffer) else value.as_buffer(), 0, []
     while at < raw.size:
         head = raw.slice(at, 16).to_pybytes()
         size = int.from_bytes(head[8:], "little")

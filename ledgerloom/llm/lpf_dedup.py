@@ -182,7 +182,7 @@ def previous_factors(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, l
 
 def _compare(length: int):
     def reply(_, payloads):
-        got = [b.arrays_in(p) for p in payloads]
+        got = [b.arrays_in(b.unsqueezed(p)) for p in payloads]
         anchors, ids, sizes, text = (np.concatenate([g[k] for g in got]) for k in range(4))
         sizes = sizes.astype(np.int64)
         spans = sizes + length - 1
@@ -239,7 +239,8 @@ def earlier_copies_removed(docs: DataFrame, id_col: str = "doc_id", text_col: st
     def ask_segments(block, rows, payloads):
         data, _, starts, sizes, anchors, ids, _, head = _surviving(rows, length, payloads[0])
         a, i, n, s = anchors[head], ids[head], sizes[head], starts[head]
-        return b.requests(block, a, shards, lambda k: b.arrays_out(a[k], i[k], n[k].astype(np.uint8), _gather(data, s[k], n[k] + length - 1)))
+        return b.requests(block, a, shards, lambda k: b.squeezed(
+            b.arrays_out(a[k], i[k], n[k].astype(np.uint8), _gather(data, s[k], n[k] + length - 1))))
     answers = scratch.save(b.answer(b.ask_told(packed, [rates], ask_segments), _compare(length)), "answers")
 
     def use(block, rows, payloads):
