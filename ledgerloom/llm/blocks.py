@@ -22,6 +22,7 @@ from ledgerloom.session import shared_dir, ship
 
 BLOCK_BYTES = 8 << 20  # of text in a block
 SHARD_BYTES = 8 << 20   # of text for each shard, so that a shard stays small at any size
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 PACKED = "block long, n_texts long, n_bytes long, payload binary"
 REQUEST = "shard int, block long, payload binary"
 
@@ -33,7 +34,16 @@ class Scratch:
         self.spark, self.root = ship(spark), shared_dir(spark, purpose)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
+        """Write a table and read it from there; the shuffle files of the write go with it."""
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
+        finally:
+            if before is None:
+                self.spark.conf.unset(CLEANUP)
+            else:
+                self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
