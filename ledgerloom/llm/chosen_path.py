@@ -26,7 +26,7 @@ from ledgerloom.llm.components import components
 SKETCH = 128      # least hashes in a sketch
 TREES = 12        # a pair of similarity 0.8 shares no first child in all of them once in 2e8
 BRANCHES = 2      # places by which a large node branches
-SMALL = 200       # documents in a node that are compared exhaustively
+SMALL = 1000      # documents in a node that are compared exhaustively
 DEPTH = 24        # a node that is still large then is taken as a whole
 ALIKE = 0.5       # mean similarity from which a large node is taken as a whole
 SLACK = 0.15      # candidates: estimated similarity of the wanted one less this, over four deviations of the estimate
@@ -70,7 +70,7 @@ def _digest(members: np.ndarray) -> tuple[int, int]:
     return int(one.sum(dtype=np.uint64).view(np.int64)), int(two.sum(dtype=np.uint64).view(np.int64))
 
 
-DOCUMENT = "node long, doc_id long, n_shingles long, one long, two long, sketch binary"
+DOCUMENT = "node long, doc_id long, n_shingles long, one long, two long, sketch binary, brief binary"
 
 
 def _documents(packed: DataFrame, size: int) -> DataFrame:
@@ -81,21 +81,22 @@ def _documents(packed: DataFrame, size: int) -> DataFrame:
                 for i, j in b.pieces(rows):
                     part = rows.slice(i, j - i)
                     sets = shingle_sets(part.column("text"), size)
-                    digests = [_digest(s) for s in sets]
+                    digests, sketches = [_digest(s) for s in sets], [sketch(s) if len(s) else None for s in sets]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block << PLACES | k for k in range(i, j)]), part.column("id").cast(pa.int64()).combine_chunks(),
                          pa.array([len(s) for s in sets]), pa.array([d[0] for d in digests]), pa.array([d[1] for d in digests]),
-                         pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                        names=["node", "doc_id", "n_shingles", "one", "two", "sketch"])
+                         pa.array([None if s is None else s.tobytes() for s in sketches], pa.binary()),
+                         pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in sketches], pa.binary())],
+                        names=["node", "doc_id", "n_shingles", "one", "two", "sketch", "brief"])
     return packed.select("block", "payload").mapInArrow(each, DOCUMENT)
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([w.buffer(c)[0] for c in column.chunks] or [np.zeros(0, np.uint8)]).view(np.uint32).reshape(-1, SKETCH)
+def _matrix(column: pa.ChunkedArray, kind=np.uint32) -> np.ndarray:
+    return np.concatenate([w.buffer(c)[0] for c in column.chunks] or [np.zeros(0, np.uint8)]).view(kind).reshape(-1, SKETCH)
 
 
-def _branch(reps: DataFrame, nodes: DataFrame | None, level: int) -> DataFrame:
-    """``parent, path, node``: the children of the given nodes (of the roots: one for each tree)."""
+def _branch(nodes: DataFrame, level: int) -> DataFrame:
+    """``parent, path, node``: the children of nodes (``path, node, sketch``), or of the roots, one for each tree (``node, sketch``)."""
     def roots(batches):
         for batch in batches:
             values = _matrix(pa.chunked_array([batch.column("sketch")]))[:, :TREES].astype(np.uint64)
@@ -121,38 +122,41 @@ def _branch(reps: DataFrame, nodes: DataFrame | None, level: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.tile(parent, BRANCHES)), pa.array(np.concatenate(paths)), pa.array(np.tile(node, BRANCHES))],
                                              names=["parent", "path", "node"])
     schema = "parent long, path long, node long"
-    if nodes is None:
-        return reps.select("node", "sketch").mapInArrow(roots, schema)
-    return nodes.join(reps.select("node", "sketch"), "node").select("path", "node", "sketch").mapInArrow(children, schema)
+    if level == 0:
+        return nodes.select("node", "sketch").mapInArrow(roots, schema)
+    return nodes.select("path", "node", "sketch").mapInArrow(children, schema)
 
 
 def _close(scratch: b.Scratch, reps: DataFrame, wanted: float) -> DataFrame:
-    """Spanning links of all groups that may hold a pair of the wanted similarity."""
-    links, level, nodes = [], 0, None
+    """Spanning links of all groups that may hold a pair of the wanted similarity.
+
+    Only documents in large nodes go on to the next level, and only their sketches. Sketches cut to a byte a place are
+    compared in small nodes; they agree by chance in one place of 256, so they miss nothing that whole ones would find.
+    """
+    brief, sketches = reps.select("node", "brief"), reps.select("node", "sketch")
+    children, links, level = scratch.save(_branch(sketches, 0), "children0"), [], 0
     while True:
-        children = scratch.save(_branch(reps, nodes, level), f"children{level}")
-        if nodes is not None:
-            scratch.drop(f"large{level - 1}")
-        sizes = scratch.save(children.groupBy("parent", "path").agg(F.count("*").alias("n"), F.min("node").alias("head")).filter("n > 1"), f"sizes{level}")
+        sizes = scratch.save(children.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("head")).filter("n > 1"), f"sizes{level}")
         small = children.join(sizes.filter(F.col("n") <= SMALL).select("path"), "path", "left_semi").select("path", "node")
-        links.append(scratch.save(_compare_small(small.join(reps.select("node", "sketch"), "node"), wanted), f"links{level}"))
-        large = children.join(sizes.filter(F.col("n") > SMALL).select("path", "n", "head"), "path")
-        if level >= DEPTH:
-            links.append(scratch.save(large.select(F.col("head").alias("a"), F.col("node").alias("b")), "links-deep"))
-            break
-        # Mean similarity of a large node: how often two of its documents meet again in a child.
+        links.append(scratch.save(_compare_small(small.join(brief, "node"), wanted), f"links{level}"))
+        large = scratch.save(children.join(sizes.filter(F.col("n") > SMALL), "path").select("path", "node", "n", "head"), f"large{level}")
+        scratch.drop(f"children{level}", f"sizes{level}")
         if large.isEmpty():
             break
-        large = scratch.save(large.select("path", "node", "head", "n"), f"large{level}")
-        scratch.drop(f"children{level}", f"sizes{level}")
-        again = _branch(reps, large.select("path", "node"), level + 1)
-        met = (again.groupBy("parent", "path").agg(F.count("*").alias("m")).groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("met"))
-               .withColumnRenamed("parent", "path"))
-        sums = large.groupBy("path").agg(F.first("n").alias("size")).join(met, "path")
-        dense = scratch.save(sums.filter(F.col("met") >= ALIKE * BRANCHES * F.col("size") * F.col("size")).select("path"), f"dense{level}")
-        links.append(scratch.save(large.join(dense, "path", "left_semi").select(F.col("head").alias("a"), F.col("node").alias("b")), f"links-dense{level}"))
-        nodes = large.join(dense, "path", "left_anti").select("path", "node")
+        if level == DEPTH:
+            links.append(large.select(F.col("head").alias("a"), F.col("node").alias("b")))
+            break
+        sketches = scratch.save(sketches.join(large.select("node"), "node", "left_semi"), f"sketches{level}")
+        again = scratch.save(_branch(large.join(sketches, "node"), level + 1), f"again{level}")
+        # Mean similarity of a large node: how often two of its documents meet again in a child.
+        met = (again.groupBy("parent", "path").agg(F.count("*").alias("m")).groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("met")))
+        dense = (large.groupBy("path").agg(F.first("n").alias("n")).join(met, F.col("path") == F.col("parent"))
+                 .filter(F.col("met") >= ALIKE * BRANCHES * F.col("n") * F.col("n")).select("path"))
+        dense = scratch.save(dense, f"dense{level}")
+        links.append(large.join(dense, "path", "left_semi").select(F.col("head").alias("a"), F.col("node").alias("b")))
         level += 1
+        children = scratch.save(again.join(dense.withColumnRenamed("path", "parent"), "parent", "left_anti"), f"children{level}")
+        scratch.drop(f"again{level - 1}")
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
@@ -185,7 +189,7 @@ def _compare_small(members: DataFrame, wanted: float) -> DataFrame:
 
     def each(table):
         path, node = table.column("path").to_numpy(), table.column("node").to_numpy()
-        values = _matrix(table.column("sketch"))
+        values = _matrix(table.column("brief"), np.uint8)
         order = np.argsort(path, kind="stable")
         cuts = np.append(np.flatnonzero(np.append(True, path[order][1:] != path[order][:-1])), len(order))
         links = []
@@ -276,13 +280,14 @@ def _placed(scratch: b.Scratch, packed: DataFrame, shingle: int, percent: int) -
     """Each row (``node``) with its ``component`` (a node) and ``component_id`` (the smallest id in it)."""
     every = scratch.save(_documents(packed, shingle), "documents")
     reps = scratch.save(every.filter("n_shingles > 0").groupBy("one", "two").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("sketch", "node").alias("sketch"), F.min("node").alias("node")), "representatives")
+        F.min("doc_id").alias("doc_id"), F.min_by(F.struct("sketch", "brief"), "node").alias("s"), F.min("node").alias("node")).select(
+            "one", "two", "doc_id", "node", "s.sketch", "s.brief"), "representatives")
     groups = components(scratch, _close(scratch, reps, percent / 100), "groups")
     linked = components(scratch, scratch.save(_confirm(scratch, packed, groups, shingle, percent), "confirmed"), "linked")
     placed = reps.join(linked, "node", "left").select("one", "two", "doc_id", F.coalesce("component", "node").alias("component"))
     first = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     placed = placed.join(first, "component").select("one", "two", "component", "component_id")
-    some = every.filter("n_shingles > 0").drop("sketch").join(placed, ["one", "two"]).select("node", "doc_id", "n_shingles", "component", "component_id")
+    some = every.filter("n_shingles > 0").drop("sketch", "brief").join(placed, ["one", "two"]).select("node", "doc_id", "n_shingles", "component", "component_id")
     none = every.filter("n_shingles = 0").select("node", "doc_id", "n_shingles", F.col("node").alias("component"), F.col("doc_id").alias("component_id"))
     return some.unionByName(none)
 
