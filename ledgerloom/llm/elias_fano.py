@@ -6,6 +6,21 @@ import numpy as np
 EVERY = 64  # bits of one kind between directory entries
 
 
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: Place of the n-th set bit in a byte: by n and byte.
+_IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[n] for n in range(8) for byte in range(256)], np.int64)
+
+
+def _nth(bits: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Place of the n-th set bit (from 0) of 64: counts of the bytes, summed up in one multiplication, tell its byte."""
+    counts = bits - (bits >> np.uint64(1) & np.uint64(0x5555555555555555))
+    counts = (counts & np.uint64(0x3333333333333333)) + (counts >> np.uint64(2) & np.uint64(0x3333333333333333))
+    counts = (counts + (counts >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _ONES
+    place = np.bitwise_count((n * _ONES | _TOPS) - counts & _TOPS).astype(np.uint64) * np.uint64(8)
+    before = np.where(place > 0, counts >> (place - np.uint64(8) * (place > 0).astype(np.uint64)) & np.uint64(0xFF), np.uint64(0))
+    return place.astype(np.int64) + _IN_BYTE[((n - before) * np.uint64(256) + (bits >> place & np.uint64(0xFF))).astype(np.int64)]
+
+
 class Bits:
     """A bit vector with select for ones or zeros."""
 
@@ -33,14 +48,7 @@ class Bits:
             bits[active] = self._word(word[active])
             count[active] = np.bitwise_count(bits[active])
             active = active[count[active] <= left[active]]
-        at = np.zeros(len(k), np.uint64)
-        for step in (32, 16, 8, 4, 2, 1):  # halve the word until one bit is left
-            low = bits >> at & np.uint64((1 << step) - 1)
-            n = np.bitwise_count(low).astype(np.int64)
-            beyond = n <= left
-            left -= np.where(beyond, n, 0)
-            at += np.where(beyond, step, 0).astype(np.uint64)
-        return word * 64 + at.astype(np.int64)
+        return word * 64 + _nth(bits, left.astype(np.uint64))
 
     def _word(self, i: np.ndarray) -> np.ndarray:
         found = self.words[i]
@@ -56,6 +64,8 @@ class EliasFano:
         self.n, self.bits = int(shape[0]), int(shape[1])
         self.low = np.ndarray((max(0, len(low) - 7),), "<u8", low, strides=(1,)) if len(low) >= 8 else np.zeros(0, np.uint64)
         self.one, self.zero = Bits(high, ones, True), Bits(high, zeros, False)
+        raw = high.view(np.uint8)
+        self.high = np.ndarray((max(0, len(raw) - 7),), "<u8", raw, strides=(1,)) if len(raw) >= 8 else np.zeros(0, np.uint64)
         self.buckets = int(shape[2])
 
     @classmethod
@@ -71,7 +81,7 @@ class EliasFano:
         length = -(-(n + buckets + 1) // 64) * 64
         flags = np.zeros(length, bool)
         flags[(values >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = True
-        high = np.packbits(flags, bitorder="little").view("<u8")
+        high = np.concatenate([np.packbits(flags, bitorder="little"), np.zeros(8, np.uint8)]).view("<u8")
         return np.array([n, bits, buckets], np.int64), low, high, Bits.directory(flags), Bits.directory(~flags)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -83,12 +93,18 @@ class EliasFano:
     def access(self, i: np.ndarray) -> np.ndarray:
         return (self.one.select(i) - i).astype(np.uint64) << np.uint64(self.bits) | self._low(i)
 
-    def _before(self, bucket: np.ndarray) -> np.ndarray:
-        """Numbers whose upper bits are below the bucket."""
-        out = np.zeros(len(bucket), np.int64)
+    def _bucket(self, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the first number of a bucket and after its last: the ones behind the zero that ends the bucket before."""
+        at = np.zeros(len(bucket), np.int64)
         some = bucket > 0
-        out[some] = self.zero.select(bucket[some] - 1) - (bucket[some] - 1)
-        return out
+        at[some] = self.zero.select(bucket[some] - 1) + 1
+        start = at - bucket
+        seen = self.high[at >> 3] >> (at & 7).astype(np.uint64)
+        n = np.bitwise_count(seen ^ (seen + np.uint64(1))).astype(np.int64) - 1
+        many = n > 56  # more than the bits read from one place
+        if many.any():
+            n[many] = self.zero.select(bucket[many]) - at[many]
+        return start, start + n
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Place of each wanted number (the first, if repeated), or -1: the successor within its bucket, if it is equal."""
@@ -97,7 +113,10 @@ class EliasFano:
         inside = bucket < self.buckets
         bucket = np.where(inside, bucket, 0)
         low = wanted & np.uint64((1 << self.bits) - 1)
-        place, end = self._before(bucket), np.where(inside, self._before(bucket + 1), 0)
+        if not self.n:
+            return np.full(len(wanted), -1, np.int64)
+        place, end = self._bucket(bucket)
+        end = np.where(inside, end, 0)
         active = np.flatnonzero(place < end)
         hit = np.full(len(wanted), -1, np.int64)
         while len(active):

@@ -63,9 +63,9 @@ class Level:
     @staticmethod
     def write(path: str, contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, totals: np.ndarray, strength: float) -> None:
         """From n-grams (some repeated) with counts above 0 and the count of each one's context."""
-        vocabulary, word = np.unique(words, return_inverse=True)
-        known, context = np.unique(contexts, return_inverse=True)
-        grams, place = np.unique(context * len(vocabulary) + word, return_inverse=True)
+        vocabulary, word = w.distinct(words)
+        known, context = w.distinct(contexts)
+        grams, place = w.distinct(context * len(vocabulary) + word)
         summed = np.bincount(place, counts, minlength=len(grams))
         total = np.zeros(len(grams))
         total[place] = totals
@@ -85,7 +85,7 @@ class Level:
                 out.write(a.tobytes() + bytes(-a.nbytes % 8))
 
     def __init__(self, path: str):
-        raw = np.memmap(path, np.uint8, "r")
+        raw = np.memmap(path, np.uint8, "r").view(np.ndarray)  # still the mapped file
         n, types = 21, ("<i8", "u1", "<u8", "<u4", "<u4")
         sizes, at, arrays = raw[:n * 8].view(np.int64), n * 8, []
         for k, size in enumerate(sizes.tolist()):
@@ -100,18 +100,17 @@ class Level:
         out = np.zeros(len(contexts), np.uint16)
         if not len(self.codes):
             return out
-        heads = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1]))  # neighbours share contexts
-        spread = np.diff(np.append(heads, len(contexts)))
-        context = self.contexts.find(contexts[heads])
+        (contexts, of), (words, at) = w.distinct(contexts), w.distinct(words)
+        context, word = self.contexts.find(contexts), self.vocabulary.find(words)
         here = np.maximum(context, 0)
         low, high = self.pointers.access(here).astype(np.int64), self.pointers.access(here + 1).astype(np.int64)
         # The end of the context before: its last successor, one more.
         base = np.where(low > 0, self.successors.access(np.maximum(low - 1, 0)).astype(np.int64) + 1, 0)
-        context, low, high, base = (np.repeat(x, spread) for x in (context, low, high, base))
-        word = self.vocabulary.find(words)
-        some = np.flatnonzero((context >= 0) & (word >= 0))
-        place = self.successors.find((base[some] + word[some]).astype(np.uint64))
-        hit = (place >= low[some]) & (place < high[some])
+        some = np.flatnonzero((context[of] >= 0) & (word[at] >= 0))
+        of, at = of[some], at[some]
+        grams, which = w.distinct(base[of] + word[at])  # sorted, so that the search goes through the level once
+        place = self.successors.find(grams)[which]
+        hit = (place >= low[of]) & (place < high[of])
         out[some[hit]] = self.codes[place[hit]]
         return out
 
@@ -129,7 +128,7 @@ class Tokens:
         hashes = np.empty(len(found.hash) + n, np.uint64)
         hashes[np.arange(len(found.hash)) + found.text] = found.hash
         hashes[self.first[1:] - 1] = END
-        self.words, self.token = np.unique(hashes, return_inverse=True)
+        self.words, self.token = w.distinct(hashes)
         self.text = np.repeat(np.arange(n), np.diff(self.first))
         self.taught = rows.column("taught").to_numpy(zero_copy_only=False).astype(bool)
         self.train = self.taught[self.text]
@@ -145,7 +144,7 @@ class Grams:
     def __init__(self, tokens: Tokens, context: np.ndarray, keys: np.ndarray, totals: np.ndarray, at: np.ndarray, shards: int):
         """``context``: number of the context of each token at the places ``at``; ``keys``, ``totals``: hash and count of each context."""
         n = len(tokens.words)
-        grams, where = np.unique(context[at] * n + tokens.token[at], return_inverse=True)
+        grams, where = w.distinct(context[at] * n + tokens.token[at])
         of, word = np.divmod(grams, max(1, n))
         hashes = tokens.words[word]
         dealt = np.where(totals[of] > SPLIT, hashes % (1 + totals[of] // SPLIT).astype(np.uint64), np.uint64(0))
@@ -164,16 +163,16 @@ class Grams:
             heads = np.flatnonzero(np.append(True, self.of[a + 1:z] != self.of[a:z - 1]))
             runs = np.diff(np.append(heads, z - a)).astype(np.uint32)
             context, word = self.keys[a:z][heads] & KEY, self.words[a:z] & KEY
-            out.append(b.arrays_out(context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), self.totals[a:z][heads].astype(np.uint32), runs,
-                                    word.astype(np.uint32), (word >> np.uint64(32)).astype(np.uint16), self.counts[a:z]))
+            out.append(b.squeezed(b.arrays_out(context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), self.totals[a:z][heads].astype(np.uint32), runs,
+                                               word.astype(np.uint32), (word >> np.uint64(32)).astype(np.uint16), self.counts[a:z])))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([block] * len(ids), pa.int64()), pa.array(out, pa.binary())],
                                           names=["shard", "block", "payload"])
 
 
 def _count_words(_, payloads):
     """Total counts of words; before them the shard's tokens and distinct words, as two big-endian numbers."""
-    got = [b.arrays_in(p) for p in payloads]
-    distinct, number = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+    got = [b.arrays_in(b.unsqueezed(p)) for p in payloads]
+    distinct, number = w.distinct(np.concatenate([g[0] for g in got]))
     total = np.bincount(number, np.concatenate([g[1] for g in got]), minlength=len(distinct))
     head = np.array([total.sum(), (total > 0).sum()]).astype(">i8").tobytes()
     return [head + t.astype(np.uint32).tobytes() for t in np.split(total[number], np.cumsum([len(g[0]) for g in got])[:-1])]
@@ -181,7 +180,7 @@ def _count_words(_, payloads):
 
 def _look_up(strength: float):
     def reply(_, payloads):
-        got = [b.arrays_in(p) for p in payloads]
+        got = [b.arrays_in(b.unsqueezed(p)) for p in payloads]
         contexts = np.concatenate([np.repeat(g[0].astype(np.uint64) | g[1].astype(np.uint64) << np.uint64(32), g[3]) for g in got])
         words = np.concatenate([g[4].astype(np.uint64) | g[5].astype(np.uint64) << np.uint64(32) for g in got])
         totals = np.concatenate([np.repeat(g[2], g[3]) for g in got])
@@ -191,17 +190,12 @@ def _look_up(strength: float):
             path = os.path.join(folder, "level")
             Level.write(path, contexts[seen], words[seen], counts[seen], totals[seen], strength)
             level = Level(path)
-            codes = [level.find(contexts[a:z], words[a:z]) for a, z in _spans([len(g[4]) for g in got])]
+            codes = level.find(contexts, words)
             del level
-        return [c.tobytes() for c in codes]
+        return [c.tobytes() for c in np.split(codes, np.cumsum([len(g[4]) for g in got])[:-1])]
     return reply
 
 
-def _spans(sizes: list[int]) -> list[tuple[int, int]]:
-    ends = np.cumsum(sizes).tolist()
-    return list(zip([0, *ends], ends))
-
-
 class _Known:
     """What a block knows of its tokens after the answers so far: counts, and probabilities level by level."""
 
@@ -269,7 +263,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", taug
     def ask_words(block, rows):
         tokens = Tokens(rows)
         counts = tokens.counts()
-        return b.requests(block, tokens.words, shards, lambda s: b.arrays_out(tokens.words[s], counts[s]))
+        return b.requests(block, tokens.words, shards, lambda s: b.squeezed(b.arrays_out(tokens.words[s], counts[s])))
     answers = [scratch.save(b.answer(b.ask(packed, ask_words), _count_words), "words")]
     head = [F.conv(F.hex(F.substring("payload", 1 + 8 * k, 8)), 16, 10).cast("long").alias(name) for k, name in enumerate(("tokens", "words"))]
     sums = answers[0].groupBy("shard").agg(F.first("payload").alias("payload")).select(*head).agg(F.sum("tokens"), F.sum("words")).first()

@@ -54,6 +54,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.unique`` with the inverse, of numbers that are not negative: values and places are sorted as one number.
+
+    If both do not fit 64 bits the lowest bits of the values are left out, and if two values then look alike, np.unique decides.
+    """
+    n = len(values)
+    if n == 0:
+        return values, np.zeros(0, np.int64)
+    bits = n.bit_length()
+    shift = np.uint64(max(0, int(values.max()).bit_length() + bits - 64))
+    keys = values.astype(np.uint64) >> shift << np.uint64(bits) | np.arange(n, dtype=np.uint64)
+    keys.sort()
+    order = (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
+    ranked = values[order]
+    new = np.ones(n, bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    if shift:
+        heads = keys >> np.uint64(bits)
+        if (new[1:] & (heads[1:] == heads[:-1])).any():
+            return np.unique(values, return_inverse=True)
+    inverse = np.empty(n, np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ranked[new], inverse
+
+
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hash of two hashes; the order matters."""
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + (b ^ np.uint64(0xA5A5A5A55A5A5A5A)))

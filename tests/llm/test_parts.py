@@ -161,3 +161,13 @@ def test_held_out_accuracy(spark):
     assert math.isclose(sum(r["score"] for r in rows) / len(rows), sum(r["quality"] for r in rows) / len(rows), abs_tol=0.1)
 
 
+
+
+@pytest.mark.parametrize("top", [1, 50, 1 << 20, 1 << 48, (1 << 64) - 1])
+def test_distinct_is_unique(top):
+    rng = np.random.default_rng(top % 97)
+    for n in (0, 1, 7, 5000):
+        values = rng.integers(0, top, n, dtype=np.uint64, endpoint=True)
+        values = np.concatenate([values, values[:n // 2], values[:n // 3] ^ np.uint64(1)])
+        got, want = words.distinct(values), np.unique(values, return_inverse=True)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
