@@ -10,8 +10,8 @@ successor.
 
 Smoothing: P(w | h) = a + K / (c(h) + K) * P(w | h') with a = c(hw) / (c(h) + K),
 h' the context without its first word; the trie holds a. The lowest level is
-the base, (c + 0.1) / (N + 0.1 (V + 1)). Contexts of two words and more count
-from ``MIN_CONTEXT`` occurrences; rarer ones pass to the shorter context.
+the base, (c + 0.1) / (N + 0.1 (V + 1)). Every context that training has counts,
+those it has once too; one it has not passes to the shorter context, as c(h) = 0.
 """
 from __future__ import annotations
 
@@ -31,7 +31,6 @@ from ledgerloom.llm.quality import fold
 ORDER = 3
 ADDED = 0.1                  # to each count of the base
 STRENGTH = {2: 100.0, 3: 2.0}  # K of a level; levels above take the last
-MIN_CONTEXT = 2
 FOLDS = 10                   # documents with crc32(id) mod FOLDS = 0 are held out
 SPLIT = 100_000              # occurrences of a context for each shard it is dealt to
 STEPS = 6000                 # codes for a factor of ten
@@ -218,7 +217,7 @@ class _Known:
             self.learn(answers)
 
     def grams(self) -> Grams:
-        at = np.flatnonzero((self.context >= 0) & (self.totals[self.context] >= (MIN_CONTEXT if self.level > 2 else 0)))
+        at = np.flatnonzero((self.context >= 0) & (self.totals[self.context] >= (1 if self.level > 2 else 0)))
         self.at = at
         return Grams(self.tokens, self.context, self.keys, self.totals, at, self.shards)
 
