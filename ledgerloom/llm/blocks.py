@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ledgerloom.session import shared_dir, ship
 
 BLOCK_BYTES = 8 << 20  # of text in a block
+BLOCK_ROWS = 1 << 20    # in a block, however short their texts
 SHARD_BYTES = 8 << 20   # of text for each shard, so that a shard stays small at any size
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 PACKED = "block long, n_texts long, n_bytes long, payload binary"
@@ -94,7 +95,7 @@ def arrays_in(value: pa.BinaryScalar | pa.Buffer) -> list[np.ndarray]:
 
 def _packer(size: int) -> Callable:
     def pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, n_bytes, made = TaskContext.get().partitionId(), [], 0, 0
+        part, held, n_bytes, n_rows, made = TaskContext.get().partitionId(), [], 0, 0, 0
 
         def row():
             table = pa.Table.from_batches(held)
@@ -105,12 +106,13 @@ def _packer(size: int) -> Callable:
             lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             upto, i = np.concatenate(([0], np.cumsum(lengths))), 0
             while i < batch.num_rows:
-                j = max(i + 1, int(np.searchsorted(upto, upto[i] + size - n_bytes, "right")) - 1)
+                j = min(max(i + 1, int(np.searchsorted(upto, upto[i] + size - n_bytes, "right")) - 1), i + BLOCK_ROWS - n_rows)
                 held.append(batch.slice(i, j - i))
                 n_bytes += int(upto[j] - upto[i])
-                if n_bytes >= size or j < batch.num_rows:
+                n_rows += j - i
+                if n_bytes >= size or n_rows == BLOCK_ROWS or j < batch.num_rows:
                     yield row()
-                    held, n_bytes, made = [], 0, made + 1
+                    held, n_bytes, n_rows, made = [], 0, 0, made + 1
                 i = j
         if held:
             yield row()
@@ -128,7 +130,7 @@ def pieces(table: pa.Table | pa.RecordBatch, column: str = "text", size: int = 2
 
 
 def pack(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, *more, size: int = BLOCK_BYTES) -> DataFrame:
-    """Rows ``id, text`` (and the columns ``more``) in blocks, stored. A text longer than ``size`` is a block of its own."""
+    """Rows ``id, text`` (and the columns ``more``) in blocks, stored. A text longer than ``size`` is a block of its own; no block has more than BLOCK_ROWS rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *more)
     return scratch.save(rows.mapInArrow(_packer(size), PACKED), "packed")
 

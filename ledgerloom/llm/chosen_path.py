@@ -78,6 +78,7 @@ def _documents(packed: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
                 rows = b.of_payload(payload)
+                assert rows.num_rows <= 1 << PLACES
                 for i, j in b.pieces(rows):
                     part = rows.slice(i, j - i)
                     sets = shingle_sets(part.column("text"), size)

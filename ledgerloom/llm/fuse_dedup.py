@@ -117,6 +117,7 @@ def digests(packed: DataFrame) -> DataFrame:
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
                 rows = b.of_payload(payload)
+                assert rows.num_rows <= 1 << PLACES
                 data, at = w.buffer(rows.column("text"))
                 raw, at = data.tobytes(), at.tolist()
                 found = [hashlib.sha256(normalised(raw[x:y])).digest() for x, y in zip(at, at[1:])]

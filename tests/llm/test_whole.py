@@ -2,7 +2,9 @@
 import math
 from collections import Counter
 
-from ledgerloom.llm import ngram_lm
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import blocks, ngram_lm
 from ledgerloom.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -48,3 +50,12 @@ def test_every_context_answers_on_a_whole_table(spark):
     got = QUERIES["op7_ngram_scores"](spark, folder).collect()
     assert {r["doc_id"] for r in got} == set(want)
     assert all(abs(r["score"] - want[r["doc_id"]]) < 3e-4 * r["n_tokens"] for r in got)
+
+
+def test_blocks_close_on_rows_too(spark):
+    n = blocks.BLOCK_ROWS + 5
+    docs = spark.range(0, n, 1, 1).select("id", F.when(F.col("id") % 7 == 0, "").alias("text"))
+    packed = blocks.pack(blocks.Scratch(spark, "rows"), docs, "id", "text").collect()
+    assert sorted(r["n_texts"] for r in packed) == [5, blocks.BLOCK_ROWS] and len({r["block"] for r in packed}) == 2
+    ids = [i for r in sorted(packed, key=lambda r: r["block"]) for i in blocks.pa.ipc.open_stream(r["payload"]).read_all().column("id").to_pylist()]
+    assert ids == list(range(n))
