@@ -4,7 +4,8 @@ A snapshot keeps one row per distinct text (its digest, its smallest id, its
 count) and, for each bucket of digests, a static binary-fuse filter of some 9
 bits per digest. Filters are built once and never changed. An incoming batch
 is grouped by digest first; its digests are screened bucket by bucket, and only
-positives are joined with the snapshot's exact rows. Before a copy counts, its
+positives are joined with the snapshot's exact rows, which finds the copies of
+snapshot texts; negatives are copies of each other only. Before a copy counts, its
 bytes are compared with those of the document it would be dropped for.
 """
 from __future__ import annotations
@@ -152,18 +153,20 @@ def screened(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
         return pa.table([*rows.columns, pa.array(flags)], names=[*rows.column_names, "maybe"])
     batch = batch.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(snapshot.buckets)))
     return batch.groupBy("bucket").cogroup(snapshot.filters.groupBy("bucket")).applyInArrow(
-        screen, "digest binary, doc_id long, n long, bucket long, maybe boolean")
+        screen, "digest binary, doc_id long, n long, before long, bucket long, maybe boolean")
 
 
 def ingest(scratch: b.Scratch, batch: DataFrame, snapshots: list[Snapshot]) -> DataFrame:
-    """``digest, doc_id, n``: each distinct digest of the batch with the id it is kept under, which may be a snapshot's, and its count here."""
-    own = grouped(batch, 1).drop("bucket").select("digest", "doc_id", "n")
+    """``digest, doc_id, n, before``: each distinct digest of the batch with the id it is kept under, which may be a snapshot's, its count here
+    and its count in the snapshots."""
+    own = grouped(batch, 1).select("digest", "doc_id", "n", F.lit(0).cast("long").alias("before"))
     for snapshot in snapshots:
         seen = screened(own, snapshot).drop("bucket")
-        known = snapshot.exact.select("digest", F.col("doc_id").alias("known"))
+        known = snapshot.exact.select("digest", F.col("doc_id").alias("known"), F.col("n").alias("had"))
         hits = (seen.filter("maybe").join(known, "digest", "left")
-                .select("digest", F.coalesce(F.least("known", "doc_id"), "doc_id").alias("doc_id"), "n"))
-        own = scratch.save(hits.unionByName(seen.filter(~F.col("maybe")).select("digest", "doc_id", "n")), f"ingested{len(snapshots)}")
+                .select("digest", F.coalesce(F.least("known", "doc_id"), "doc_id").alias("doc_id"), "n",
+                        (F.col("before") + F.coalesce("had", F.lit(0))).alias("before")))
+        own = scratch.save(hits.unionByName(seen.filter(~F.col("maybe")).select("digest", "doc_id", "n", "before")), f"ingested{len(snapshots)}")
     return own
 
 
@@ -185,10 +188,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     earlier, later = rows.filter(F.col("doc_id") <= middle), rows.filter(F.col("doc_id").isNull() | (F.col("doc_id") > middle))
     snapshot = take_snapshot(scratch, earlier, "snapshot")
     incoming = ingest(scratch, later, [snapshot])
-    found = snapshot.exact.select("digest", "doc_id", "n").unionByName(incoming).groupBy("digest").agg(F.min("doc_id").alias("found_id"), F.sum("n").alias("n"))
-    several = scratch.save(found.filter(F.col("n") > 1).select("digest", "found_id"), "several")
-    copies = scratch.save(_texts(packed, rows.join(several, "digest", "left_semi")), "copies")
-    classes = scratch.save(_compared(copies, several), "classes")
+    # Copies of snapshot texts are those that screening and the exact join found; other groups lie within the snapshot or within the batch.
+    alone = snapshot.exact.filter(F.col("n") > 1).join(incoming.filter(F.col("before") > 0), "digest", "left_anti")
+    found = incoming.filter(F.col("n") + F.col("before") > 1).unionByName(alone, allowMissingColumns=True)
+    several = scratch.save(found.select("digest", F.col("doc_id").alias("found_id"), "before"), "several")
+    copied = (earlier.join(several.filter(F.col("before").isNull() | (F.col("before") > 0)), "digest", "left_semi")
+              .unionByName(later.join(several.filter(F.col("before").isNotNull()), "digest", "left_semi")))
+    copies = scratch.save(_texts(packed, copied), "copies")
+    classes = scratch.save(_compared(copies, several.drop("before")), "classes")
     # Rows of one digest whose bytes differ from the first document's are groups of their own.
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
     groups = classes.groupBy("digest", "class").agg(best.alias("best"), F.count("*").alias("group_size"))

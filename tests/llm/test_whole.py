@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import blocks, ngram_lm
+from ledgerloom.llm import blocks, fuse_dedup, ngram_lm
 from ledgerloom.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -59,3 +59,15 @@ def test_blocks_close_on_rows_too(spark):
     assert sorted(r["n_texts"] for r in packed) == [5, blocks.BLOCK_ROWS] and len({r["block"] for r in packed}) == 2
     ids = [i for r in sorted(packed, key=lambda r: r["block"]) for i in blocks.pa.ipc.open_stream(r["payload"]).read_all().column("id").to_pylist()]
     assert ids == list(range(n))
+
+
+def test_screening_decides_on_copies_of_the_snapshot(spark, monkeypatch):
+    rows = [(1, "in both"), (2, "only early"), (3, "twice early"), (4, "twice early"), (60, "in both"), (61, "twice late"), (62, "twice late"), (63, "twice early"),
+            (None, "in both"), (None, "twice  early"), (100, "only late")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(str, map(tuple, fuse_dedup.exact_dedup(docs).collect()))) == sorted(map(str, brute.exact(rows)))
+    rows = [r for r in rows if r[0] not in (3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(fuse_dedup, "screened", lambda batch, snapshot: batch.withColumn("maybe", F.lit(False)))
+    groups = {r["doc_id"]: r["group_size"] for r in fuse_dedup.exact_dedup(docs).collect() if r["doc_id"] is not None}
+    assert groups[61] == groups[62] == 2 and groups[1] == 1  # a filter that loses its keys shows
