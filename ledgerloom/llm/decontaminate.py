@@ -138,8 +138,13 @@ def _verdicts(ids, n_words, n_hit, items: list[set]) -> pa.Table:
                      "items": pa.array([sorted(int(i) for i in some if i is not None) for some in items], pa.list_(pa.int64()))})
 
 
-def _passes(benchmark: DataFrame, id_col: str, text_col: str, scratch: b.Scratch, pass_text: int, block_text: int) -> list[list[int]]:
-    """The benchmark in stored blocks; numbers of the blocks that go together, by size."""
+class Passes(NamedTuple):
+    """The benchmark in stored blocks, and the numbers of the blocks that go together, by size."""
+    packed: DataFrame
+    groups: list[list[int]]
+
+
+def _passes(benchmark: DataFrame, id_col: str, text_col: str, scratch: b.Scratch, pass_text: int, block_text: int) -> Passes:
     packed = b.pack(scratch, benchmark, id_col, text_col, size=block_text)
     groups, held = [[]], 0
     for row in packed.select("block", "n_bytes").orderBy("block").toLocalIterator():
@@ -147,11 +152,12 @@ def _passes(benchmark: DataFrame, id_col: str, text_col: str, scratch: b.Scratch
             groups, held = [*groups, []], 0
         groups[-1].append(row["block"])
         held += row["n_bytes"]
-    return [(packed.filter(F.col("block").isin(g)).select("payload").collect() if g else []) for g in groups]
+    return Passes(packed, groups)
 
 
-def _tests_of(rows) -> list[bytes]:
-    return [bytes(r["payload"]) for r in rows]
+def _tests_of(packed: DataFrame, group: list[int]) -> list[bytes]:
+    """The blocks of one pass, which alone are read by the driver."""
+    return [bytes(r["payload"]) for r in packed.filter(F.col("block").isin(group)).select("payload").collect()] if group else []
 
 
 def _loaded(payloads: list[bytes]) -> list[Tests]:
@@ -175,11 +181,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     without an id counts under the empty name and is not listed; items that repeat an id count once; other columns are
     ignored; repeated documents get a row each; no benchmark rows means no hits; no documents, no rows. Long texts are whole.
     """
+    passes = _passes(benchmark, item_col, item_text_col, b.Scratch(docs.sparkSession, "benchmark"), pass_text, block_text)
+    return _overlaps(docs, passes, id_col, text_col)
+
+
+def _overlaps(docs: DataFrame, passes: Passes, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
-    scratch = b.Scratch(spark, "benchmark")
-    passes = _passes(benchmark, item_col, item_text_col, scratch, pass_text, block_text)
-    if len(passes) == 1:
-        payloads = spark.sparkContext.broadcast(_tests_of(passes[0]))  # at most pass_text, or one item
+    if len(passes.groups) == 1:
+        payloads = spark.sparkContext.broadcast(_tests_of(passes.packed, passes.groups[0]))  # at most pass_text, or one item
 
         def each(batches: Iterator[pa.RecordBatch]):
             loaded = _loaded(payloads.value)
@@ -190,10 +199,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
                     upto = np.concatenate(([0], np.cumsum(hit)))
                     yield from _verdicts(part.column("id"), np.diff(found.first), upto[found.first[1:]] - upto[found.first[:-1]], items).to_batches()
         return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(each, VERDICT)
+    scratch = b.Scratch(spark, "overlaps")  # the benchmark's blocks are still read
     packed, parts = b.pack(scratch, docs, id_col, text_col), []
     scratch.save(packed.select("block"), "blocks")
-    for rows in passes:
-        payloads = spark.sparkContext.broadcast(_tests_of(rows))
+    for group in passes.groups:
+        payloads = spark.sparkContext.broadcast(_tests_of(passes.packed, group))
 
         def part(batches, payloads=payloads):
             loaded = _loaded(payloads.value)
@@ -235,8 +245,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     """
     spark = docs.sparkSession
     out = None
-    for rows in _passes(benchmark, item_col, item_text_col, b.Scratch(spark, "benchmark"), BLOCK_TEXT, BLOCK_TEXT):
-        payloads = spark.sparkContext.broadcast(_tests_of(rows))
+    passes = _passes(benchmark, item_col, item_text_col, b.Scratch(spark, "benchmark"), BLOCK_TEXT, BLOCK_TEXT)
+    for group in passes.groups:
+        payloads = spark.sparkContext.broadcast(_tests_of(passes.packed, group))
 
         def each(batches, payloads=payloads):
             loaded = _loaded(payloads.value)
@@ -274,10 +285,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     """The documents, all columns, without contaminated ones: by row in one pass; if the benchmark takes several, rows that repeat an id go together."""
     spark = docs.sparkSession
     passes = _passes(benchmark, item_col, item_text_col, b.Scratch(spark, "benchmark"), pass_text, block_text)
-    if len(passes) > 1:
-        bad = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col, pass_text, block_text).filter("contaminated").select("doc_id").distinct()
+    if len(passes.groups) > 1:
+        bad = _overlaps(docs, passes, id_col, text_col).filter("contaminated").select("doc_id").distinct()
         return docs.alias("d").join(bad.alias("b"), F.col(f"d.{id_col}").eqNullSafe(F.col("b.doc_id")), "left_anti")
-    payloads = spark.sparkContext.broadcast(_tests_of(passes[0]))
+    payloads = spark.sparkContext.broadcast(_tests_of(passes.packed, passes.groups[0]))
 
     def each(batches):
         loaded = _loaded(payloads.value)

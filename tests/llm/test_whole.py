@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import blocks, fuse_dedup, ngram_lm
+from ledgerloom.llm import blocks, decontaminate, fuse_dedup, ngram_lm
 from ledgerloom.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -71,3 +71,15 @@ def test_screening_decides_on_copies_of_the_snapshot(spark, monkeypatch):
     monkeypatch.setattr(fuse_dedup, "screened", lambda batch, snapshot: batch.withColumn("maybe", F.lit(False)))
     groups = {r["doc_id"]: r["group_size"] for r in fuse_dedup.exact_dedup(docs).collect() if r["doc_id"] is not None}
     assert groups[61] == groups[62] == 2 and groups[1] == 1  # a filter that loses its keys shows
+
+
+def test_driver_reads_the_benchmark_pass_by_pass(spark, monkeypatch):
+    words = [" ".join(f"item{i}w{k}" for k in range(20)) for i in range(6)]
+    bench = spark.createDataFrame(list(enumerate(words)), "item_id long, text string")
+    docs = spark.createDataFrame([(1, words[0] + " tail"), (2, "clean"), (3, words[5])], "doc_id long, text string")
+    made, real = [], decontaminate._passes
+    monkeypatch.setattr(decontaminate, "_passes", lambda *a: made.append(real(*a)) or made[-1])
+    kept = decontaminate.decontaminated(docs, bench, pass_text=400, block_text=200)
+    assert [r["doc_id"] for r in kept.collect()] == [2]
+    assert len(made) == 1 and len(made[0].groups) > 1  # packed once, in several passes
+    assert all(isinstance(n, int) for group in made[0].groups for n in group)  # numbers, no texts
