@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chosen_path, decontaminate, fair_mix, fuse_dedup, line_templates, lpf_dedup, ngram_lm, quality, token_counts, window_dedup
+from ledgerloom.llm import chosen_path, decontaminate, fair_mix, filter_audit, fuse_dedup, line_templates, lpf_dedup, ngram_lm, pivot_search, quality, token_counts, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -89,3 +89,21 @@ def op7_ngram_scores(spark, sf_dir):
 def op1_token_counts(spark, sf_dir):
     """Tokens of each document."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    """Survivors, losses and shares of five filters in every order."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = filter_audit.SQL
+
+
+@query
+def op12_top_k(spark, sf_dir):
+    """The five rows of highest inner product for each query."""
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_top_k"] = pivot_search.SQL

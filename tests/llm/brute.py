@@ -1,5 +1,6 @@
 """Plain Python versions of the operators' contracts, for small inputs."""
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -167,3 +168,43 @@ def mix(rows, cap=3):
     for s in open_:
         target[s] = weight[s] * left / sum(weight[t] for t in open_)
     return sized, size, target
+
+
+def audit(rows, labels):
+    """``rows``: id, text, part. Every order run step by step over the documents."""
+    first = {}
+    for i, t, _ in rows:
+        if i is not None:
+            first[t or ""] = min(first.get(t or "", i), i)
+    docs = []
+    for i, t, part in rows:
+        text = t or ""
+        x = WORD.findall(text)
+        fails = {f for f, bad in zip("ABCDE", (
+            len(x) < 200, 100 * len(set(x)) < 50 * len(x), 100 * sum("A" <= c <= "Z" for c in text) > 3 * len(text),
+            any(c in "#$%&*|" for c in text), i is not None and i > first[text])) if bad}
+        mine = [(q, x) for j, q, x in labels if i is not None and j == i]
+        docs.append((part or "", fails, any(q == 1 for q, _ in mine), any(x == 1 for _, x in mine)))
+    out, share = [], Counter()
+    for part in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == part]
+        for order in itertools.permutations("ABCDE"):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [d for d in left if f in d[1]]
+                left = [d for d in left if f not in d[1]]
+                failed = sum(f in d[1] for d in own)
+                share[part, f] += len(gone)
+                out.append((part, "".join(order), step, len(left), len(gone), failed - len(gone), sum(d[1] == {f} for d in own),
+                            sum(d[2] for d in gone), sum(d[3] for d in gone)))
+    return [(*r, share[r[0], r[1][r[2] - 1]]) for r in out]
+
+
+def top_k(rows, k=5, every=50):
+    usable = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out, limit = [], (1 << 63) - 1
+    for at, (i, v) in enumerate(usable):
+        if i is not None and i % every == 0:
+            others = [(-max(-limit, min(limit, sum(a * c for a, c in zip(v, x)))), j is None, j) for n, (j, x) in enumerate(usable) if n != at]
+            out += [(i, rank, j, -s) for rank, (s, _, j) in enumerate(sorted(others, key=lambda o: (o[0], o[1], o[2] or 0))[:k], 1)]
+    return out

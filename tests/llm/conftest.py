@@ -21,7 +21,7 @@ def awkward():
 
 
 EXTRA = ("text_hash", "block", "node", "n_words", "score", "key", "slice", "size", "gone", "line", "bucket", "n", "component", "kept", "digest", "doc", "id",
-         "payload", "shard", "target", "label", "place", "path", "statistics", "class", "turn", "question")
+         "payload", "shard", "target", "label", "place", "path", "statistics", "class", "turn", "question", "part", "failing", "good", "toxic", "survivors", "step")
 
 
 @pytest.fixture(scope="session")
