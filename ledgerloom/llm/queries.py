@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chosen_path, decontaminate, fair_mix, filter_audit, fuse_dedup, line_templates, lpf_dedup, ngram_lm, pivot_search, quality, token_counts, window_dedup
+from ledgerloom.llm import chosen_path, decontaminate, fair_mix, filter_audit, fuse_dedup, line_templates, lpf_dedup, ngram_lm, pivot_search, quality, token_alignment, token_counts, window_dedup
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -107,3 +107,9 @@ def op12_top_k(spark, sf_dir):
 
 
 ORACLES["op12_top_k"] = pivot_search.SQL
+
+
+@query
+def op11_token_alignment(spark, sf_dir):
+    """Links between the tokens of two tokenizers, and how usual they are."""
+    return token_alignment.alignment(table(spark, sf_dir, "documents"))

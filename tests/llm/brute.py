@@ -208,3 +208,44 @@ def top_k(rows, k=5, every=50):
             others = [(-max(-limit, min(limit, sum(a * c for a, c in zip(v, x)))), j is None, j) for n, (j, x) in enumerate(usable) if n != at]
             out += [(i, rank, j, -s) for rank, (s, _, j) in enumerate(sorted(others, key=lambda o: (o[0], o[1], o[2] or 0))[:k], 1)]
     return out
+
+
+def alignment(rows, a_path, b_path):
+    """Whole texts encoded one by one; a group ends where tokens of both end."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
+    a.encode_special_tokens = True
+    printable = [x for x in range(256) if 0x21 <= x <= 0x7E or 0xA1 <= x <= 0xAC or x >= 0xAE]
+    letters = {chr(x): x for x in printable} | {chr(0x100 + k): x for k, x in enumerate(x for x in range(256) if x not in printable)}
+
+    def b_bytes(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", piece) else piece.replace("▁", " ").encode()
+    docs, holders = [], Counter()
+    for i, t in rows:
+        text = t or ""
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        raw_a, raw_b = [bytes(letters[c] for c in a.id_to_token(x)) for x in ids_a], [b_bytes(x) for x in ids_b]
+        if b"".join(raw_a) != (" " + text).encode() or b"".join(raw_b) != (" " + text).encode():
+            ids_a, ids_b, raw_a, raw_b = [], [], [], []
+        ends_a, ends_b = list(itertools.accumulate(map(len, raw_a))), list(itertools.accumulate(map(len, raw_b)))
+        groups, x, y = [], 0, 0
+        for cut in sorted(set(ends_a) & set(ends_b)):
+            u, v = ends_a.index(cut, x) + 1, ends_b.index(cut, y) + 1
+            groups.append((ids_a[x:u], ids_b[y:v]))
+            x, y = u, v
+        links = Counter((p, q) for g, h in groups for p in g for q in h)
+        holders.update(links.keys())
+        docs.append((i, ids_a, ids_b, groups, links))
+    most = Counter()
+    for (p, _), n in holders.items():
+        most[p] = max(most[p], n)
+    out = []
+    for i, ids_a, ids_b, groups, links in docs:
+        text = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        out.append((i, len(ids_a), len(ids_b), len(groups), sum(links.values()), sum(n for (p, q), n in links.items() if holders[p, q] == most[p]),
+                    sum(n * holders[k] for k, n in links.items()), sha(text) if groups else ""))
+    return out
