@@ -35,7 +35,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_BYTES = 32 << 20  # of a vocabulary file, which every task holds
 SPACE = "▁"       # U+2581, for a space in the pieces
 BLOCK_BYTES = 8 << 20  # of text in a block
-CALL = 1 << 18         # characters that are encoded in one call
+CALL = 1 << 16         # characters that are encoded in one call
+STEP = 1 << 15         # chunks that are aligned at once
 CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
 CLEAR = re.compile(r"[\w!-~](?:.*[\w!-~])?", re.S)  # begins and ends with characters beside which the text may be cut
 ALIGNED = "block long, pairs array<long>, holders array<long>, payload binary"
@@ -92,7 +93,7 @@ class Vocabulary:
     def __init__(self, tokens: ByteLevel | Pieces):
         self.encode, self.cuts, self.table = tokens.encode, tokens.cuts, tokens.table
         self.sizes = np.array([len(t) for t in self.table], np.int64)
-        self.names = np.array([str(i) for i in range(len(self.table))], object)
+        self.names = np.array([[f"{i}{sign}" for i in range(len(self.table))] for sign in ",|;"], object)
 
     def bytes_of(self, ids: list[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -191,13 +192,13 @@ def align_chunks(chunks: list[str], a: Vocabulary, c: Vocabulary) -> Aligned:
     if len(ids):
         sign[:-1] = np.where(group[1:] != group[:-1], 2, kind[1:] != kind[:-1])
         sign[-1] = 2
-    names = np.where(kind == 0, a.names[np.where(kind == 0, ids, 0)], c.names[np.where(kind == 1, ids, 0)]) + np.array([",", "|", ";"], object)[sign]
-    n_tokens = np.bincount(owner, minlength=n)
-    at, groups = 0, []
-    texts = names.tolist()
-    for size in n_tokens.tolist():
-        groups.append("".join(texts[at:at + size])[:-1])
-        at += size
+    names, of_a = np.empty(len(ids), object), kind == 0
+    names[of_a], names[~of_a] = a.names[sign[of_a], ids[of_a]], c.names[sign[~of_a], ids[~of_a]]
+    ends, at, groups = np.cumsum(np.bincount(owner, minlength=n)).tolist(), 0, []
+    for end in ends:
+        groups.append("".join(names[at:end])[:-1])
+        at = end
+    del names, of_a, sign
 
     # Links: distinct ids of each side of a group with their numbers, then all pairs of them.
     first = _runs([group]) if len(ids) else np.zeros(0, np.int64)
@@ -205,8 +206,7 @@ def align_chunks(chunks: list[str], a: Vocabulary, c: Vocabulary) -> Aligned:
     n_groups = np.bincount(group_owner, minlength=n)
     n_a, n_b = np.bincount(own_a, minlength=n), np.bincount(own_b, minlength=n)
     per_a, per_b = (np.bincount(group[kind == k], minlength=len(first)) for k in (0, 1))
-    n_links = np.zeros(n, np.int64)
-    np.add.at(n_links, group_owner, per_a * per_b)
+    n_links = np.bincount(group_owner, weights=per_a * per_b, minlength=n).astype(np.int64)
     sides = []
     for k in (0, 1):
         mine = kind == k
@@ -227,6 +227,15 @@ def align_chunks(chunks: list[str], a: Vocabulary, c: Vocabulary) -> Aligned:
     return Aligned(fine, np.stack((n_a, n_b, n_groups, n_links), 1), groups, np.searchsorted(of[heads], np.arange(n + 1)), pairs[heads], times)
 
 
+def align_all(chunks: list[str], a: Vocabulary, c: Vocabulary) -> Aligned:
+    """As ``align_chunks``, some chunks at a time."""
+    parts = [align_chunks(chunks[k:k + STEP], a, c) for k in range(0, len(chunks), STEP)] or [align_chunks([], a, c)]
+    fine, counts, groups, first, pairs, times = zip(*parts)
+    base = np.cumsum([0, *map(len, pairs)])
+    return Aligned(np.concatenate(fine), np.concatenate(counts), [g for some in groups for g in some],
+                   np.concatenate([*(f[:-1] + at for f, at in zip(first, base)), base[-1:]]), np.concatenate(pairs), np.concatenate(times))
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
     """Rows in tables of some ``size`` bytes of text; a longer text is a table of its own."""
     held, n = [], 0
@@ -258,29 +267,27 @@ def align_texts(texts: list[str | None], a: Vocabulary, c: Vocabulary) -> Block:
     for text in texts:
         parts = [] if not text else CUT.split(text) if cuts else [text]
         spans.append(np.array([numbers.setdefault(p, len(numbers)) for p in parts], np.int64))
-    known = align_chunks(list(numbers), a, c)
+    known = align_all(list(numbers), a, c)
     spans = [s if known.fine[s].all() else s[:0] for s in spans]
     groups = [";".join(map(known.groups.__getitem__, s.tolist())) for s in spans]
-    sizes = np.array([len(s) for s in spans], np.int64)
-    chunk, doc = np.concatenate(spans) if spans else np.zeros(0, np.int64), np.repeat(np.arange(len(spans)), sizes)
-    counts = np.zeros((len(spans), 4), np.int64)
-    upto = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(known.counts[chunk], 0)))
-    ends = np.cumsum(sizes)
-    counts[:] = upto[ends] - upto[ends - sizes]
-
-    # A document's chunks with how often each occurs, then their pairs summed.
-    key, often = np.unique(doc * max(1, len(numbers)) + chunk, return_counts=True)
-    doc, chunk = np.divmod(key, max(1, len(numbers)))
-    row, at = _spread(known.first[chunk + 1] - known.first[chunk])
-    entry = known.first[chunk[row]] + at
-    pairs, place = np.unique(known.pairs[entry], return_inverse=True)
-    key = doc[row] * max(1, len(pairs)) + place
-    order = np.argsort(key, kind="stable")
-    key, times = key[order], (known.times[entry] * often[row])[order]
-    heads = _runs([key]) if len(key) else np.zeros(0, np.int64)
-    times = np.add.reduceat(times, heads) if len(heads) else times
-    doc, place = np.divmod(key[heads], max(1, len(pairs)))
-    return Block(pairs, np.bincount(place, minlength=len(pairs)), counts, groups, np.bincount(doc, minlength=len(spans)), place, times)
+    pairs, kind_of = np.unique(known.pairs, return_inverse=True)
+    counts, n_pairs, places, often = np.zeros((len(spans), 4), np.int64), np.zeros(len(spans), np.int64), [], []
+    for k, span in enumerate(spans):
+        # The document's chunks with how often each occurs, then their pairs summed.
+        chunk, repeats = np.unique(span, return_counts=True)
+        counts[k] = repeats @ known.counts[chunk]
+        row, at = _spread(known.first[chunk + 1] - known.first[chunk])
+        entry = known.first[chunk[row]] + at
+        place, of = np.unique(kind_of[entry], return_inverse=True)
+        places.append(place)
+        often.append(np.bincount(of, weights=known.times[entry] * repeats[row], minlength=len(place)).astype(np.int64))
+        n_pairs[k] = len(place)
+    place, times = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (places, often))
+    holders = np.bincount(place, minlength=len(pairs))
+    if not holders.all():  # pairs of chunks whose documents lost all tokens to another chunk
+        held = np.flatnonzero(holders)
+        pairs, holders, place = pairs[held], holders[held], np.searchsorted(held, place)
+    return Block(pairs, holders, counts, groups, n_pairs, place, times)
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:

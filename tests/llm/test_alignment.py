@@ -79,3 +79,15 @@ def test_coalesced(a, b):
     order, group = t.coalesced(start, end, kind)
     cuts = sorted(set(ea) & set(eb))
     assert group.tolist() == [sum(c <= s for c in cuts) for s in start[order]]
+
+
+@pytest.mark.parametrize("step, call", [(1, 1), (3, 20), (1 << 15, 50)])
+def test_steps_and_calls_change_nothing(vocabularies, monkeypatch, step, call):
+    texts = [x for _, x in HARD] * 2 + [None, "a b c d e f g", "a b▁ c"]
+    monkeypatch.setattr(t, "STEP", step)
+    monkeypatch.setattr(t, "CALL", call)
+    got = t.align_texts(texts, *vocabularies)
+    rows = want(list(enumerate(texts)))
+    assert [tuple(c) for c in got.counts.tolist()] == [r[1:5] for r in rows]
+    assert [brute.sha(g) if g else "" for g in got.groups] == [r[7] for r in rows]
+    assert (got.holders > 0).all()
