@@ -143,7 +143,7 @@ def scores(rows, strengths=(100.0, 2.0)):
             base += math.log10(p)
             total = starts if y[k] == "^\n" else one[y[k]]
             p = (two[y[k], a] + strengths[0] * p) / (total + strengths[0])
-            if k and two[y[k - 1], y[k]] >= 2:
+            if k:  # a context that training does not have gives p as it is
                 p = (three[y[k - 1], y[k], a] + strengths[1] * p) / (two[y[k - 1], y[k]] + strengths[1])
             score += math.log10(p)
         out.append((i, held(i), len(x), sum(one[a] > 0 for a in x), n, base, score))

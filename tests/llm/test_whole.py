@@ -1,7 +1,4 @@
 """Whole jobs: what an operator must not leave out, on small inputs."""
-import math
-from collections import Counter
-
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import blocks, decontaminate, fuse_dedup, ngram_lm
@@ -9,44 +6,20 @@ from ledgerloom.llm.queries import QUERIES
 from tests.llm import brute
 
 
-def whole_scores(rows):
-    """Scores by document id when every trigram counts, also after two words that training has once."""
-    texts = [(i, brute.WORD.findall(brute.folded(t)) + ["\n"]) for i, t in rows]
-    one, two, three, starts = Counter(), Counter(), Counter(), 0
-    for i, x in texts:
-        if not brute.held(i):
-            starts += 1
-            one.update(x)
-            two.update(zip(["^", *x], x))
-            three.update(zip(["^", *x], x, x[1:]))
-    n, v = sum(one.values()), len(one)
-    out = {}
-    for i, x in texts:
-        y, score = ["^", *x], 0.0
-        for k, a in enumerate(x):
-            p = (one[a] + 0.1) / (n + 0.1 * (v + 1))
-            p = (two[y[k], a] + 100 * p) / ((one[y[k]] if k else starts) + 100)
-            if k:
-                p = (three[y[k - 1], y[k], a] + 2 * p) / (two[y[k - 1], y[k]] + 2)
-            score += math.log10(p)
-        out[i] = score
-    return out
-
-
 def test_contexts_that_training_has_once_answer(spark):
     held = [i for i in range(200) if brute.held(i)]
     taught = [i for i in range(200) if not brute.held(i)]
     passage = " ".join(f"rare{k}" for k in range(40))
     rows = [(taught[0], "before " + passage + " after"), (held[0], "again " + passage), (taught[1], "one two three one two four"), (held[1], "one two three unseen")]
     got = {r["doc_id"]: r for r in ngram_lm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = whole_scores(rows)
+    want = {r[0]: r[6] for r in brute.scores(rows)}
     assert all(abs(got[i]["score"] - want[i]) < 3e-4 * got[i]["n_tokens"] for i in want)
     assert got[held[0]]["score"] > got[held[0]]["base_score"] + 30  # the passage is known word by word
 
 
 def test_every_context_answers_on_a_whole_table(spark):
     folder = "/root/testdata/sf0.001"
-    want = whole_scores([(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()])
+    want = {r[0]: r[6] for r in brute.scores([(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()])}
     got = QUERIES["op7_ngram_scores"](spark, folder).collect()
     assert {r["doc_id"] for r in got} == set(want)
     assert all(abs(r["score"] - want[r["doc_id"]]) < 3e-4 * r["n_tokens"] for r in got)
