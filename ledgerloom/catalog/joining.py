@@ -80,11 +80,10 @@ def derived_keys(spark, d):
 with versions as (select date_trunc('month', disbursed_on)::date + 14 as end_date, max('v' || loan_id) as model_version from loans group by 1)
 select l.loan_id, l.disbursed_on, v.model_version from loans l asof left join versions v on l.disbursed_on > v.end_date""", ("loans",))
 def asof_version(spark, d):
-    """No join key: times are looked up month by month, with a carry-over."""
+    """No join key: loans and versions travel along one time line."""
     ends = F.date_add(F.trunc("disbursed_on", "MM"), 14)
     versions = loans(spark, d).groupBy(ends.alias("end_date")).agg(F.max(F.concat(F.lit("v"), F.col("loan_id").cast("string"))).alias("model_version"))
-    return joins.asof_join(loans(spark, d).select("loan_id", "disbursed_on"), versions, "disbursed_on", "end_date", "model_version",
-                           slice_by=lambda t: F.trunc(t, "MM"))
+    return joins.asof_join(loans(spark, d).select("loan_id", "disbursed_on"), versions, "disbursed_on", "end_date", "model_version")
 
 
 @query("asof_by_key", """
@@ -92,7 +91,7 @@ with marks as (select loan_id, paid_on, max(staff_id) as staff_id from repayment
 select l.loan_id, l.matures_on, cast(m.staff_id as double) as staff_id from loans l asof left join marks m on l.loan_id = m.loan_id and l.matures_on >= m.paid_on""", ("loans", "repayments"))
 def asof_by_key(spark, d):
     out = joins.asof_join(loans(spark, d).select("loan_id", "matures_on"), repayments(spark, d), "matures_on", "paid_on", "staff_id",
-                          by=["loan_id"], strict=False, slice_by=lambda t: F.year(t))
+                          by=["loan_id"], strict=False, slices=4)
     return out.select("loan_id", "matures_on", F.col("staff_id").cast("double").alias("staff_id"))
 
 

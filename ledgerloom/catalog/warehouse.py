@@ -265,8 +265,7 @@ def loan_fact(spark, d):
         "loan_id", F.concat(F.lit("C"), F.col("client_id").cast("string")).alias("client_key"), "loan_status",
         F.when(F.col("loan_id") % 2 == 0, "kept").alias("model_version"), F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz").alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
-    return plans.build_loan_fact(src, dims, enums, versions, current, ["client_key", "loan_status"], CUT,
-                                 slice_by=lambda t: F.trunc(t, "YEAR"))
+    return plans.build_loan_fact(src, dims, enums, versions, current, ["client_key", "loan_status"], CUT)
 
 
 @query("loan_summary", """

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog.registry import clients, loans, query, repayments, table
 from ledgerloom.operators import dedupe
+from ledgerloom.operators.slices import Slices
 
 
 @query("latest_loan", """
@@ -63,7 +64,7 @@ def number_turns(spark, d):
 @query("number_report_rows", "select loan_id, row_number() over (order by loan_id) as row_id from loans", ("loans",))
 def number_report_rows(spark, d):
     rows = loans(spark, d).select("loan_id")
-    return dedupe.number_in_group(rows, [], ["loan_id"], "row_id", slice_by=dedupe.range_slices(rows, "loan_id"))
+    return dedupe.number_in_group(rows, [], ["loan_id"], "row_id", slice_by=Slices(rows, "loan_id"))
 
 
 @query("dense_rank_status", """
@@ -106,7 +107,7 @@ select loan_id, day, case when nid in (select cast(client_id as varchar) from cl
 def uniquify_duplicates(spark, d):
     rows = loans(spark, d).select("loan_id", F.col("client_id").cast("string").alias("nid"), F.col("disbursed_on").alias("day"))
     taken = clients(spark, d).filter("segment = 'BUILDING'").select(F.col("client_id").cast("string").alias("known"))
-    slices = dedupe.range_slices(rows, "loan_id")
+    slices = Slices(rows, "loan_id")
     return dedupe.uniquify(rows, "nid", "day", ["loan_id"], taken, "known", slices).select("loan_id", "day", "nid")
 
 

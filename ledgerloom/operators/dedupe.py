@@ -7,6 +7,8 @@ the order column, so no single task ever has to hold a whole hot group.
 """
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.operators.slices import Slices
+
 
 def _cols(columns) -> list:
     if isinstance(columns, (str, Column)):
@@ -59,21 +61,23 @@ def drop_exact_duplicates(df: DataFrame, payload: list, keep_first_by: list, tie
     return rows.join(best, ["_copy", "_order"], "left_semi").select(df.columns)
 
 
-def number_in_group(df: DataFrame, keys: list, order: list, name: str = "seq", slice_by: Column | None = None,
+def number_in_group(df: DataFrame, keys: list, order: list, name: str = "seq", slice_by: Column | Slices | None = None,
                     descending: bool = False) -> DataFrame:
     """1, 2, 3, … inside each group, in the total order given.
 
     ``slice_by`` is an expression that never falls along the order (a day of a
-    timestamp, a range of an id). With it every (group, slice) is numbered on
-    its own and shifted by the size of the slices before it, so a hot group is
-    spread over its slices. ``keys=[]`` numbers the whole frame.
+    timestamp), or ``Slices`` of the first order column. With it every (group,
+    slice) is numbered on its own and shifted by the size of the slices before
+    it, so a hot group is spread over its slices. ``keys=[]`` numbers the whole
+    frame.
     """
     ordered = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     if slice_by is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordered)))
     # One struct column is the key of both the window and the join, so the rows
     # are shuffled once for the two.
-    sliced = df.withColumn("_group", F.struct(*keys, slice_by.alias("_slice")))
+    wide, place = (slice_by.on(df), slice_by.below(order[0])) if isinstance(slice_by, Slices) else (df, slice_by)
+    sliced = wide.withColumn("_group", F.struct(*keys, place.alias("_slice"))).select(*df.columns, "_group")
     at = F.col("_group._slice")
     before = Window.partitionBy(*[F.col(f"_group.{k}") for k in keys]).orderBy(
         at.desc() if descending else at.asc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -84,16 +88,6 @@ def number_in_group(df: DataFrame, keys: list, order: list, name: str = "seq", s
         *df.columns, (F.col("_inside") + F.coalesce(F.col("_shift"), F.lit(0))).cast("long").alias(name))
 
 
-def range_slices(df: DataFrame, column: str, most: int = 256) -> Column:
-    """A slice expression for ``number_in_group`` from the data's own ranges: as many slices of about equal size as there
-    are shuffle partitions (at most ``most``), whatever the values and the size of the table."""
-    n = max(2, min(most, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    edges = df.agg(F.percentile_approx(column, [k / n for k in range(1, n)])).first()[0]
-    if not edges:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(e) for e in sorted(set(edges))]), lambda e: e < F.col(column)))
-
-
 def best_status_per_key(df: DataFrame, keys, status: str) -> DataFrame:
     """All rows whose status is the lowest of their key (dense rank 1; no status counts only where a key has none).
 
@@ -109,18 +103,22 @@ def best_status_per_key(df: DataFrame, keys, status: str) -> DataFrame:
     return df.join(best, on, "left_semi")
 
 
-def average_rank(df: DataFrame, key: str, value: str, name: str = "avg_rank") -> DataFrame:
+def average_rank(df: DataFrame, key: str, value: str, name: str = "avg_rank", slices: int | None = None) -> DataFrame:
     """Rank where ties share the mean of their places; null values have no rank.
 
-    Works on one row per (key, value) with its multiplicity, so repeated
-    values are merged before anything is sorted.
+    Works on one row per (key, value) with its multiplicity, in two levels:
+    the rows of a key are summed up within slices of the values, and the slices'
+    totals over the key, so a key with very many values is spread over as many
+    tasks as there are slices. A key has at most that many totals.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    places = counts.select(
-        F.col(key).alias("_k"), F.col(value).alias("_v"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + (F.col("_n") + 1) / 2).alias(name),
-    )
+    at = Slices(df, value, slices)
+    known = at.on(df.filter(F.col(value).isNotNull())).withColumn("_group", F.struct(F.col(key).alias("k"), at.below(value).alias("s")))
+    counts = known.groupBy("_group", F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy("_group").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_group.k").orderBy("_group.s").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = known.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).select("_group", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    places = counts.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(shifts, "_group").select(
+        F.col("_group.k").alias("_k"), "_v", (F.col("_shift") + F.col("_before") + (F.col("_n") + 1) / 2).alias(name))
     return df.join(places, (F.col(key) == F.col("_k")) & (F.col(value) == F.col("_v")), "left").drop("_k", "_v")
 
 
@@ -136,7 +134,7 @@ def first_two(df: DataFrame, key: str, order: list, columns: list) -> DataFrame:
 
 
 def uniquify(df: DataFrame, column: str, day: str, order: list, existing: DataFrame, existing_column: str,
-             slice_by: Column | None = None) -> DataFrame:
+             slice_by: Column | Slices | None = None) -> DataFrame:
     """Repeated values of a day get '_day_n'; values taken elsewhere get '_day'.
 
     ``order`` must be total. Null values are left alone. ``slice_by`` as in

@@ -107,11 +107,11 @@ def resolve_keys(loans: DataFrame, clients: DataFrame, products: DataFrame, stat
     return out.withColumns({f: F.col(f) != 0 for f in FLAGS if f in loans.columns})
 
 
-def with_model_version(loans: DataFrame, known: DataFrame, versions: DataFrame, slice_by=None) -> DataFrame:
+def with_model_version(loans: DataFrame, known: DataFrame, versions: DataFrame) -> DataFrame:
     """Model version of each loan: the one it already has, else the latest whose
     end date lies before the disbursement."""
     have = known.groupBy("loan_id").agg(F.max("model_version").alias("_known"))
-    found = joins.asof_join(loans, versions, "disbursed_on", "end_date", "model_version", strict=True, slice_by=slice_by)
+    found = joins.asof_join(loans, versions, "disbursed_on", "end_date", "model_version", strict=True)
     return found.join(have, "loan_id", "left").withColumn(
         "model_version", F.coalesce("_known", "model_version")).drop("_known")
 

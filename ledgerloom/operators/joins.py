@@ -3,44 +3,61 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.operators.slices import Slices
+
 
 def null_safe(left: list, right: list) -> Column:
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, value: str, by: list | None = None,
-              strict: bool = True, slice_by=None) -> DataFrame:
+              strict: bool = True, slices: int | None = None) -> DataFrame:
     """For each left row the ``value`` of the latest right row before it.
 
     strict=True takes right rows with an earlier time only, otherwise an equal
-    time counts too. The lookup runs on the distinct left times, merged on the
-    map side; the answer is joined back by equality. ``slice_by`` maps a time
-    column to a slice (a month, say): each slice is resolved on its own and
-    takes over the last value of the slices before it, so neither a key with
-    very many times nor a lookup without a key ends in one task.
+    time counts too. Of several right rows at one time the largest value counts.
+
+    Left and right rows travel once, onto one time line, cut into slices by the
+    left times' own ranges; a left row takes the last value before it in its
+    slice, or else what the slices before carry over. Rows of a time that most
+    rows have are dealt over several slices: right rows of that time stand in
+    the last of them (strict) or the first. Left rows without a time or a key
+    have slices of their own. With ``by`` each key has one slice unless
+    ``slices`` is given (their number), for keys that hold very many rows.
     """
     by = by or []
-    slice_of = slice_by or (lambda c: F.lit(0))
-    known = [F.col(c).isNotNull() for c in by]
-    usable = lambda df, *more: df.filter(reduce(lambda x, y: x & y, [*known, *[F.col(c).isNotNull() for c in more]]))
-    value_type = right.schema[value].dataType
-    points = usable(left, left_on).select(*by, F.col(left_on).alias("_t"), F.lit(None).cast(value_type).alias("_v"), F.lit(True).alias("_ask"))
-    marks = usable(right, right_on, value).select(*by, F.col(right_on).alias("_t"), F.col(value).alias("_v"), F.lit(False).alias("_ask"))
-    # One row per key and time; of several right rows at one time the largest value counts.
-    line = points.unionByName(marks).groupBy(*by, "_t").agg(F.max("_v").alias("_v"), F.bool_or("_ask").alias("_ask"))
-    line = line.withColumn("_group", F.struct(*by, slice_of(F.col("_t")).alias("_slice")))
-    inside = Window.partitionBy("_group").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    found = line.withColumn("_found", F.last("_v", ignorenulls=True).over(inside))
-    if slice_by is not None:
-        # One row per slice: its last value, then the last value of all slices before.
-        ends = line.groupBy("_group").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_end"))
-        earlier = Window.partitionBy(*[F.col(f"_group.{k}") for k in by]).orderBy("_group._slice").rowsBetween(Window.unboundedPreceding, -1)
+    complete = lambda df, *columns: df.filter(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (*by, *columns)]))
+    value_type, row_type = right.schema[value].dataType, left.select(F.struct("*").alias("_row")).schema["_row"].dataType
+    sliced = not by or slices is not None
+    at = Slices(complete(left, left_on), left_on, slices) if sliced else None
+    on = at.on if sliced else lambda df: df
+    chance = F.xxhash64(*left.columns)
+    usable = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (*by, left_on)])
+    place = F.when(usable, at.dealt(left_on, chance) if sliced else F.lit(0)).otherwise(-1 - F.pmod(chance, F.lit(1024)).cast("int"))
+    travelling = on(left).select(*[F.col(k).alias(f"_k_{k}") for k in by], F.col(left_on).alias("_t"), place.alias("_slice"),
+                             F.lit(0 if strict else 1).alias("_side"), F.lit(None).cast(value_type).alias("_v"), F.struct(*left.columns).alias("_row"))
+    marks = complete(right, right_on, value).groupBy(*[F.col(k).alias(f"_k_{k}") for k in by], F.col(right_on).alias("_t")).agg(F.max(value).alias("_v"))
+    marks = on(marks).withColumn("_slice", F.lit(0) if not sliced else at.up_to("_t") if strict else at.below("_t"))
+    keys = [f"_k_{k}" for k in by]
+    line = travelling.unionByName(marks.select(*keys, "_t", "_slice", F.lit(1 if strict else 0).alias("_side"), "_v", F.lit(None).cast(row_type).alias("_row")))
+    # One column is the key of the window and of the carry-over, so the rows are shuffled once for the two.
+    line = line.withColumn("_group", F.struct(*keys, "_slice"))
+    before = Window.partitionBy("_group").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("_found", F.last("_v", ignorenulls=True).over(before)).filter("_row is not null")
+    if sliced and not by:
+        # The last value of each slice, then for every slice the last of those before it: one row.
+        ends = marks.groupBy("_slice").agg(F.max_by("_v", "_t").alias("_v")).agg(F.array_sort(F.collect_list(F.struct("_slice", "_v"))).alias("ends"))
+        carry = ends.select(F.transform(F.sequence(F.lit(0), F.lit(at.n)), lambda s: F.try_element_at(
+            F.filter("ends", lambda e: e["_slice"] < s), F.lit(-1))["_v"]).alias("carry")).scalar()
+        found = found.withColumn("_found", F.coalesce("_found", F.when(F.col("_slice") >= 0, F.get(carry, F.col("_slice")))))
+    elif sliced:
+        # What each key's slices end with, and for every slice that has rows the last value of those before it.
+        inner = [F.col(f"_group.{k}") for k in keys]
+        ends = line.filter("_slice >= 0").groupBy("_group").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_end"))
+        earlier = Window.partitionBy(*inner).orderBy("_group._slice").rowsBetween(Window.unboundedPreceding, -1)
         ends = ends.select("_group", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
         found = found.join(ends, "_group", "left").withColumn("_found", F.coalesce("_found", "_carry"))
-    answers = found.filter("_ask").select(
-        *[F.col(k).alias(f"_a_{k}") for k in by], F.col("_t").alias("_a_t"), F.col("_found").alias(value))
-    on = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_a_{k}") for k in by], F.col(left_on) == F.col("_a_t"))
-    return left.join(answers, on, "left").drop("_a_t", *[f"_a_{k}" for k in by])
+    return found.select("_row.*", F.col("_found").alias(value))
 
 
 def day_spine(spark, first, last, name: str = "day") -> DataFrame:

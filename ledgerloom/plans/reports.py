@@ -3,8 +3,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.functions.dates import as_date, report_date
-from ledgerloom.operators.dedupe import latest_per_key, number_in_group, range_slices
+from ledgerloom.operators.dedupe import latest_per_key, number_in_group
 from ledgerloom.operators.joins import day_spine, spine_join
+from ledgerloom.operators.slices import Slices
 
 
 
@@ -102,7 +103,7 @@ def numbered(df: DataFrame, key: str, slices, name: str = "row_id") -> DataFrame
     """Report row numbers 1..n in the order of a key. Slices of it are numbered
     apart and shifted, so the report never has to fit one task. ``slices`` is the
     frame whose key gives their edges, as a report is costly to compute for them."""
-    return number_in_group(df, [], [key], name, slice_by=range_slices(slices, key))
+    return number_in_group(df, [], [key], name, slice_by=Slices(slices, key))
 
 
 def _prefix(code: str, c: str):

@@ -6,7 +6,7 @@ from ledgerloom.operators.merge import scd2_merge
 
 
 def build_loan_fact(loans: DataFrame, dims: dict, enums: DataFrame, versions: DataFrame, current: DataFrame, tracked: list,
-                    as_of, slice_by=None) -> DataFrame:
+                    as_of) -> DataFrame:
     """Keys, model version, versioned merge, and one current row per loan.
 
     ``dims`` holds clients, products, statuses and officers. The model version
@@ -14,7 +14,7 @@ def build_loan_fact(loans: DataFrame, dims: dict, enums: DataFrame, versions: Da
     """
     ready = resolve_keys(loans, dims["clients"], dims["products"], dims["statuses"], dims["officers"], enums)
     known = current.filter("is_current and model_version is not null").select("loan_id", "model_version")
-    ready = with_model_version(ready, known, versions, slice_by)
+    ready = with_model_version(ready, known, versions)
     merged = scd2_merge(current, ready, ["loan_id"], tracked, as_of, carried=("model_version",))
     # History passes; of several current rows of a loan the oldest stays. The merge is computed once.
     place = F.row_number().over(Window.partitionBy("loan_id", "is_current").orderBy("valid_from", *tracked, "model_version"))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import aggregate, dedupe, extract, ingest, joins, merge
+from ledgerloom.operators.slices import Slices
 
 D = dt.date
 T = dt.datetime
@@ -75,6 +76,20 @@ def test_sliced_numbers_equal_plain_numbers(skewed, rows, keys, descending):
         seen[group] = seen.get(group, 0) + 1
         want.append((i, seen[group]))
     assert rows(sliced, "id", "n") == sorted(want)
+    for n in (None, 2, 50):
+        by_ranges = dedupe.number_in_group(df, keys, ["day", "id"], "n", slice_by=Slices(df, "day", n), descending=descending)
+        assert by_ranges.columns == [*df.columns, "n"] and rows(by_ranges, "id", "n") == sorted(want)
+
+
+def test_report_numbers_need_no_job_to_plan(spark, skewed):
+    """The edges are a subquery of the plan: nothing runs before the report does, and nothing caps the slices."""
+    _, df = skewed
+    tracker, group = spark.sparkContext.statusTracker(), "plans-only"
+    spark.sparkContext.setJobGroup(group, "planning")
+    out = dedupe.number_in_group(df, [], ["id"], "n", slice_by=Slices(df, "id", 1000))
+    assert tracker.getJobIdsForGroup(group) == []
+    spark.sparkContext.setJobGroup("", "")
+    assert [r["n"] for r in out.orderBy("id").select("n").collect()] == list(range(1, df.count() + 1))
 
 
 def test_average_rank_matches_pandas(skewed, rows):
@@ -82,7 +97,19 @@ def test_average_rank_matches_pandas(skewed, rows):
     import pandas as pd
     pdf = pd.DataFrame(data, columns=["id", "key", "day", "v"])
     pdf["r"] = pdf.groupby("key")["v"].rank()
-    assert rows(dedupe.average_rank(df, "key", "v"), "id", "avg_rank") == sorted(zip(pdf.id, pdf.r))
+    for n in (None, 2, 40):
+        assert rows(dedupe.average_rank(df, "key", "v", slices=n), "id", "avg_rank") == sorted(zip(pdf.id, pdf.r))
+
+
+def test_average_rank_spreads_a_key_that_most_rows_have(spark):
+    data = [(i, "hot" if i % 10 else f"k{i}", (i * 7919) % 9973) for i in range(9000)]
+    df = spark.createDataFrame(data, "id int, key string, v int")
+    at = Slices(df, "v")
+    sizes = at.on(df).groupBy("key", at.below("v")).count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] < sizes[1] / 20
+    values = sorted(v for _, k, v in data if k == "hot")
+    got = dedupe.average_rank(df, "key", "v").filter("key = 'hot'").orderBy("v").select("avg_rank").collect()
+    assert [r[0] for r in got] == [k + 1.0 for k in range(len(values))]
 
 
 def test_first_two(spark):
@@ -116,11 +143,48 @@ def test_asof_join_matches_brute_force(spark, skewed, rows, strict, by):
         hits = [(e, v) for mk, e, v in marks if (not by or mk == k) and (e < day if strict else e <= day)]
         return max(hits)[1] if hits else None
 
-    for slices in (None, lambda t: F.trunc(t, "MM")):
-        out = joins.asof_join(df, right, "day", "end", "version", by=by, strict=strict, slice_by=slices)
+    for slices in (None, 2, 7, 300):
+        out = joins.asof_join(df, right, "day", "end", "version", by=by, strict=strict, slices=slices)
+        assert out.columns == [*df.columns, "version"]
         assert rows(out, "id", "version") == sorted((i, want(k, day)) for i, k, day, _ in data)
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_asof_join_spreads_a_day_that_most_rows_have(spark, rows, plan, strict):
+    hot = D(2024, 3, 10)
+    data = [(i, hot if i % 10 else D(2024, 3, 1) + dt.timedelta(days=i // 10 % 20)) for i in range(4000)] + [(4000, None), (4001, None)]
+    marks = [(D(2024, 3, 1) + dt.timedelta(days=3 * i), f"v{i}") for i in range(7)] + [(None, "no day"), (hot, "at hot"), (D(2024, 3, 4), None)]
+    left, right = spark.createDataFrame(data, "id int, day date"), spark.createDataFrame(marks, "end date, version string")
+
+    def want(day):
+        hits = [(e, v) for e, v in marks if v and e and day and (e < day if strict else e <= day)]
+        return max(hits)[1] if hits else None
+    out = joins.asof_join(left, right, "day", "end", "version", strict=strict)
+    assert rows(out, "id", "version") == sorted((i, want(day)) for i, day in data)
+    at = Slices(left, "day")
+    sizes = [r["count"] for r in at.on(left.filter("day is not null")).groupBy(at.dealt("day", F.xxhash64("id", "day"))).count().collect()]
+    assert len(sizes) > at.n / 2 and max(sizes) < 4000 / 8
+    # The left rows are shuffled once, with the versions; edges and carried values are single rows.
+    assert plan(out).count("Exchange hashpartitioning(_group#") == 1 and "Join" not in plan(out)
+
+
+def test_asof_join_of_nothing(spark, rows):
+    left, right = spark.createDataFrame([(1, D(2024, 1, 1))], "id int, day date"), spark.createDataFrame([], "end date, version string")
+    assert rows(joins.asof_join(left, right, "day", "end", "version")) == [(1, D(2024, 1, 1), None)]
+    assert rows(joins.asof_join(left.limit(0), right, "day", "end", "version")) == []
+
+
+def test_slices_follow_the_values(spark):
+    df = spark.createDataFrame([(None if i % 50 == 0 else i * i,) for i in range(1, 1000)], "v int")
+    for n in (2, 10, 33, 500):
+        at = Slices(df, "v", n)
+        out = [tuple(r) for r in at.on(df).select("v", at.below("v"), at.up_to("v"), at.dealt("v", F.xxhash64("v"))).orderBy("v").collect()]
+        known = [r for r in out if r[0] is not None]
+        assert all(r[1:] == (0, 0, 0) for r in out if r[0] is None)
+        assert all(a[2] <= b[1] and a[1] <= a[3] <= a[2] for a, b in zip(known, known[1:])) and max(r[2] for r in known) <= n - 1
+        assert len({r[1] for r in known}) >= min(n, 400) * 0.9
+
+
 def test_spine_fills_missing_days(spark, rows):
     daily = spark.createDataFrame([(D(2024, 1, 2), 5)], "day date, n int")
     spine = joins.day_spine(spark, F.lit(D(2024, 1, 1)), F.lit(D(2024, 1, 3)))
