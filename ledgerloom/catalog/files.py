@@ -95,7 +95,7 @@ def stream_hourly(spark, d):
     table(spark, d, "events").select("ts", "value", "event_id").repartition(6, "event_id").write.parquet(landed)
     stream = spark.readStream.schema("ts timestamp_ntz, value double").option("maxFilesPerTrigger", 2).parquet(landed)
     stream = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(18,2)").alias("value"))
-    out = feeds.hourly_totals(stream, "ts", "value", shared_dir(spark, "hourly"), shared_dir(spark, "checkpoint"))
+    out = feeds.hourly_totals(stream, "ts", "value", shared_dir(spark, "checkpoint"))
     return out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "total_count", F.col("total_sum").cast("double").alias("total_sum"))
 
 
@@ -103,11 +103,11 @@ def stream_hourly(spark, d):
 select user_id, event_type, event_id, ts from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as r from events) where r = 1""")
 def stream_status_upserts(spark, d):
     """Three deliveries, then a run that finds nothing new."""
-    landed, folder, state = (shared_dir(spark, x) for x in ("statuses", "snapshots", "checkpoint"))
+    landed, state = shared_dir(spark, "statuses"), shared_dir(spark, "checkpoint")
     table(spark, d, "events").select("user_id", "event_type", "ts", "event_id").repartition(3, "event_id").write.parquet(landed)
     for _ in range(2):
         stream = spark.readStream.schema("user_id bigint, event_type string, ts timestamp_ntz, event_id bigint").option("maxFilesPerTrigger", 1).parquet(landed)
-        out = feeds.run_upserts(stream, folder, state, ["user_id", "event_type"], ["ts", "event_id"])
+        out = feeds.run_upserts(stream, state, ["user_id", "event_type"], ["ts", "event_id"])
     return out
 
 

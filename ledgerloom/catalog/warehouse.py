@@ -149,6 +149,39 @@ def scd2_products(spark, d):
     return merge.scd2_merge(_product_versions(spark, d), _product_changes(spark, d), ["p_partkey"], TRACKED, CUT)
 
 
+def _keyed_versions(spark, d):
+    """Stored versions with a key each, which facts point at."""
+    rows = _product_versions(spark, d)
+    return rows.withColumn("product_key", F.col("p_partkey") * 10 + F.year("valid_from") % 10)
+
+
+@query("loan_fact_repointed", """
+with first_cut as (select p_partkey, case when p_partkey % 11 = 0 then null else p_name end as p_name, case when p_partkey % 7 = 0 then p_retailprice + 1 else p_retailprice end as price
+    from part where p_partkey % 10 <> 3),
+fact as (select loan_id, loan_id % 200 as product, loan_id % 3 = 0 as points_at_history from loans),
+own as (
+  select f.loan_id, p.p_partkey, p.p_name, p.p_retailprice, f.points_at_history, c.p_partkey is not null as delivered, c.p_name as name_1, c.price as price_1,
+    c.p_partkey is not null and (c.p_name is distinct from p.p_name or c.price <> p.p_retailprice) as changed_1,
+    c.p_partkey is not null and p.p_partkey % 14 < 2 as changed_2
+  from fact f join part p on p.p_partkey = f.product left join first_cut c on c.p_partkey = p.p_partkey
+  where f.points_at_history or p.p_partkey % 10 <> 5)
+select loan_id, p_partkey,
+  case when points_at_history then timestamp '1998-01-01' when changed_2 then timestamp '2001-09-01' when changed_1 then timestamp '2001-08-01' else timestamp '1999-01-01' end as valid_from,
+  case when points_at_history then p_retailprice - 1 when changed_2 then price_1 + 5 when changed_1 then price_1 else p_retailprice end as p_retailprice,
+  case when points_at_history then p_name when changed_2 or changed_1 then name_1 else p_name end as p_name
+from own""", ("loans",))
+def loan_fact_repointed(spark, d):
+    """Two product deliveries, one after the other; facts of replaced versions follow to the newest, facts of older history stay."""
+    later = dt.datetime(2001, 9, 1)
+    first = merge.scd2_merge(_keyed_versions(spark, d), _product_changes(spark, d), ["p_partkey"], TRACKED, CUT, surrogate="product_key", tenant="lender")
+    changes = _product_changes(spark, d)
+    changes = changes.withColumn("p_retailprice", F.when(F.col("p_partkey") % 14 < 2, F.col("p_retailprice") + 5).otherwise(F.col("p_retailprice")))
+    versions = merge.scd2_merge(first, changes, ["p_partkey"], TRACKED, later, surrogate="product_key", tenant="lender")
+    facts = loans(spark, d).select("loan_id", ((F.col("loan_id") % 200) * 10 + F.when(F.col("loan_id") % 3 == 0, 8).otherwise(9)).alias("product_key"))
+    moved = merge.repoint(facts, versions, ["p_partkey"], "product_key", "product_key", CUT)
+    return moved.join(versions, "product_key").select("loan_id", "p_partkey", "valid_from", "p_retailprice", "p_name")
+
+
 @query("upsert_products", _PRODUCT_SQL + """
 select * from live where p_partkey not in (select p_partkey from incoming) union all select * from incoming""")
 def upsert_products(spark, d):

@@ -41,7 +41,8 @@ def _differs(columns: list, a: str = "", b: str = "_n_") -> Column:
     return reduce(lambda x, y: x | y, [~F.col(f"{a}{c}").eqNullSafe(F.col(f"{b}{c}")) for c in columns])
 
 
-def scd2_merge(current: DataFrame, incoming: DataFrame, keys: list, tracked: list, as_of, carried: tuple = ()) -> DataFrame:
+def scd2_merge(current: DataFrame, incoming: DataFrame, keys: list, tracked: list, as_of, carried: tuple = (),
+               surrogate: str | None = None, tenant: str = "") -> DataFrame:
     """Versioned merge. ``current`` holds keys, tracked columns, ``valid_from``,
     ``valid_to`` and ``is_current``; ``incoming`` one row per key.
 
@@ -49,10 +50,12 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: list, tracked: lis
     unseen keys are added. Keys missing from ``incoming`` stay current. Only
     current versions take part in the join; history passes straight through.
     ``carried`` columns are no reason for a version: a current row without a
-    value takes the incoming one in place.
+    value takes the incoming one in place. ``surrogate`` names the version key
+    of ``current``; new versions get one of their own (``surrogate_key``).
     """
     values = [*tracked, *carried]
-    columns = [*keys, *values, "valid_from", "valid_to", "is_current"]
+    own = [surrogate] if surrogate else []
+    columns = [*keys, *values, "valid_from", "valid_to", "is_current", *own]
     at = F.lit(as_of).cast(current.schema["valid_from"].dataType)
     live, history = current.filter("is_current").select(columns), current.filter("not is_current").select(columns)
     arriving = incoming.select(*[F.col(k).alias(f"_n_{k}") for k in keys],
@@ -63,9 +66,10 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: list, tracked: lis
     filled = [F.when(changed, F.col(c)).otherwise(F.coalesce(c, f"_n_{c}")).alias(c) for c in carried]
     old = F.struct(*[F.col(c).alias(c) for c in [*keys, *tracked]], *filled, F.col("valid_from").alias("valid_from"),
                    F.when(changed, at).otherwise(F.col("valid_to")).alias("valid_to"),
-                   (~changed).alias("is_current"))
+                   (~changed).alias("is_current"), *own)
+    new_key = [F.xxhash64(F.lit(tenant), *[F.col(f"_n_{k}") for k in keys], at).alias(surrogate)] if surrogate else []
     new = F.struct(*[F.col(f"_n_{c}").alias(c) for c in [*keys, *values]], at.alias("valid_from"),
-                   F.lit(None).cast(at_type(current)).alias("valid_to"), F.lit(True).alias("is_current"))
+                   F.lit(None).cast(at_type(current)).alias("valid_to"), F.lit(True).alias("is_current"), *new_key)
     # One pass: each joined pair yields its old row, its new row, or both.
     rows = F.when(F.col("_c").isNotNull() & fresh, F.array(old, new)).when(fresh, F.array(new)).otherwise(F.array(old))
     return pair.select(F.inline(rows)).select(columns).unionByName(history)
@@ -80,6 +84,22 @@ def surrogate_key(tenant: Column, keys: list, valid_from: str = "valid_from") ->
     return F.xxhash64(tenant, *[F.col(k) for k in keys], F.col(valid_from))
 
 
+def repoint(facts: DataFrame, versions: DataFrame, keys: list, surrogate: str, fact_key: str, since) -> DataFrame:
+    """Facts whose dimension version expired at ``since`` or later follow to the newest version of the same key.
+
+    However many versions came in between, a fact goes to the last one in a
+    single join; facts of versions that expired earlier, or that the dimension
+    does not hold, stay. The remap has one row per expired version, so a
+    version that most facts have can be split.
+    """
+    newest = versions.groupBy(*keys).agg(F.max_by(surrogate, "valid_from").alias("_new"))
+    expired = versions.filter(~F.col("is_current") & (F.col("valid_to") >= F.lit(since).cast(versions.schema["valid_to"].dataType)))
+    remap = expired.select(*[F.col(k).alias(f"_e_{k}") for k in keys], F.col(surrogate).alias("_old")).join(
+        newest, null_safe([f"_e_{k}" for k in keys], keys)).select("_old", "_new")
+    moved = facts.join(remap, F.col(fact_key) == F.col("_old"), "left")
+    return moved.withColumn(fact_key, F.coalesce("_new", fact_key)).select(facts.columns)
+
+
 def frame_diff(incoming: DataFrame, current: DataFrame, columns: list) -> DataFrame:
     """Incoming rows with no equal row in the current table; nulls are equal.
 

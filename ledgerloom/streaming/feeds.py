@@ -1,11 +1,7 @@
 """Streams over landed files. Each job runs on what is there and stops, so a
-scheduler can start it again; offsets live in the checkpoint, snapshots in
-folders."""
+scheduler can start it again; offsets and keyed state live in the checkpoint."""
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.operators.dedupe import pick_per_key
-
-
 def parquet_stream(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
@@ -26,85 +22,38 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     query.awaitTermination()
 
 
-def run_upserts(stream: DataFrame, folder: str, checkpoint: str, keys: list, newest_by: list, buckets: int = 16) -> DataFrame:
-    """Keep the newest row of each key; returns the newest snapshot."""
-    columns = stream.columns
-
-    def newest(before: DataFrame | None, batch: DataFrame) -> DataFrame:
-        fresh = pick_per_key(batch, keys, newest_by).select(columns)
-        return fresh if before is None else pick_per_key(before.unionByName(fresh), keys, newest_by).select(columns)
-    return fold_batches(stream, folder, checkpoint, keys, newest, buckets)
-
-
-def hourly_totals(stream: DataFrame, ts: str, amount: str, folder: str, checkpoint: str, buckets: int = 16) -> DataFrame:
-    """Count and sum per hour over all rows ever delivered, however late: each batch is added to a snapshot."""
-    def added(before: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return batch if before is None else before.unionByName(batch).groupBy("hour").agg(
-            F.sum("total_count").alias("total_count"), F.sum("total_sum").cast(batch.schema["total_sum"].dataType).alias("total_sum"))
-
-    def totals(batch: DataFrame) -> DataFrame:
-        return batch.groupBy(F.date_trunc("hour", ts).alias("hour")).agg(
-            F.count(F.lit(1)).alias("total_count"), F.sum(amount).alias("total_sum"))
-    return fold_batches(stream, folder, checkpoint, ["hour"], added, buckets, totals)
-
-
-def fold_batches(stream: DataFrame, folder: str, checkpoint: str, keys: list, combine, buckets: int = 16, prepare=None) -> DataFrame:
-    """Fold each micro-batch into a keyed snapshot and return the newest one.
+def run_upserts(stream: DataFrame, checkpoint: str, keys: list, newest_by: list) -> DataFrame:
+    """Keep the newest row of each key, over all deliveries; returns the newest snapshot.
 
-    The snapshot is split into buckets of keys. A batch rewrites the buckets it
-    touches into a folder of its own and then a manifest: for each bucket, the
-    batch whose folder holds it. A batch that is run again after a failure
-    starts from the manifest before it and writes the same folder again. Folders
-    that neither this manifest nor the one before names are removed. A run
-    that finds nothing new returns the snapshot as it was.
+    The rows are keyed state of the stream: a delivery writes the keys it has,
+    however many others there are. The snapshot is the state as of the last
+    finished batch, read from the checkpoint, so a run that finds nothing new
+    returns it as it was.
     """
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = _manifest(spark, folder, batch_id)
-        rows = (prepare(batch) if prepare else batch).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
-        touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets`` numbers
-        if touched:
-            held = [f"{folder}/batch={before[b]:010d}/_bucket={b}" for b in touched if b in before]
-            plain = rows.drop("_bucket")
-            old = spark.read.schema(plain.schema).parquet(*held) if held else None
-            out = combine(old, plain).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-            out.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{folder}/batch={batch_id:010d}")
-        rows.unpersist()
-        after = before | {b: batch_id for b in touched}
-        spark.createDataFrame([(b, at) for b, at in after.items()], "bucket int, held_by long").coalesce(1).write.mode("overwrite").json(
-            f"{folder}/manifest/after={batch_id:010d}")
-        for gone in _batches(spark, folder, "batch") - set(after.values()) - set(before.values()) - {batch_id}:
-            _files(spark, folder).delete(_path(spark, f"{folder}/batch={gone:010d}"), True)
-    shape = prepare(stream.sparkSession.createDataFrame([], stream.schema)).schema if prepare else stream.schema
-    stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    spark = stream.sparkSession
-    held = [f"{folder}/batch={at:010d}/_bucket={b}" for b, at in _manifest(spark, folder).items()]
-    return spark.read.schema(shape).parquet(*held) if held else spark.createDataFrame([], shape)
-
-
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _files(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def _batches(spark: SparkSession, folder: str, name: str) -> set:
-    """Numbers of the sub-folders ``name=…``."""
-    files = _files(spark, folder)
-    if not files.exists(_path(spark, folder)):
-        return set()
-    found = [status.getPath().getName() for status in files.listStatus(_path(spark, folder))]
-    return {int(f.split("=")[1]) for f in found if f.startswith(f"{name}=")}
-
-
-def _manifest(spark: SparkSession, folder: str, before: int | None = None) -> dict:
-    """Bucket → batch that holds it, from the newest complete manifest (of a batch before the given one)."""
-    files = _files(spark, folder)
-    done = [b for b in _batches(spark, f"{folder}/manifest", "after") if (before is None or b < before)
-            and files.exists(_path(spark, f"{folder}/manifest/after={b:010d}/_SUCCESS"))]
-    if not done:
-        return {}
-    rows = spark.read.schema("bucket int, held_by long").json(f"{folder}/manifest/after={max(done):010d}").collect()
-    return {r["bucket"]: r["held_by"] for r in rows}
+    rest = [c for c in stream.columns if c not in keys and c not in newest_by]
+    newest = stream.groupBy(*keys).agg(F.max(F.struct(*newest_by, *rest)).alias("row"))
+    state = _run_stateful(newest, checkpoint)
+    if state is None:
+        return stream.sparkSession.createDataFrame([], stream.schema)
+    return state.select("key.*", "value.max").toDF(*keys, "row").select(*keys, "row.*").select(stream.columns)
+
+
+def hourly_totals(stream: DataFrame, ts: str, amount: str, checkpoint: str) -> DataFrame:
+    """Count and sum per hour over all rows ever delivered, however late; the hours are keyed state, as above."""
+    totals = stream.groupBy(F.date_trunc("hour", ts).alias("hour")).agg(F.count(F.lit(1)).alias("total_count"), F.sum(amount).alias("total_sum"))
+    state = _run_stateful(totals, checkpoint)
+    if state is None:
+        return stream.sparkSession.createDataFrame([], totals.schema)
+    total = F.col("value.sum").cast(totals.schema["total_sum"].dataType)
+    return state.select("key.*", "value.count", total).toDF(*totals.columns)
+
+
+def _run_stateful(updates: DataFrame, checkpoint: str) -> DataFrame | None:
+    """Fold what there is into the stream's state; returns the state (``key``, ``value``), or None before the first batch."""
+    spark = updates.sparkSession
+    updates.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start().awaitTermination()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    done = files.exists(path) and any(status.getPath().getName().isdigit() for status in files.listStatus(path))
+    return spark.read.format("statestore").load(checkpoint) if done else None

@@ -114,20 +114,41 @@ def test_stream_picks_up_only_new_files(spark, tmp_path, rows):
 
 
 def test_late_status_is_merged_into_the_snapshot(spark, tmp_path, rows):
-    src, folder, state = tmp_path / "in", str(tmp_path / "snap"), str(tmp_path / "state")
+    src, state = tmp_path / "in", str(tmp_path / "state")
     stream = lambda: feeds.csv_stream(spark, str(src), "k string, t int, status string", "*.csv")
+    src.mkdir()
+    assert rows(feeds.run_upserts(stream(), state, ["k"], ["t"])) == []  # nothing delivered yet
     write(src / "1.csv", "k,t,status\na,1,400\nb,1,400\n")
-    feeds.run_upserts(stream(), folder, state, ["k"], ["t"])
-    write(src / "2.csv", "k,t,status\na,2,200\nc,1,200\n")
+    feeds.run_upserts(stream(), state, ["k"], ["t"])
+    write(src / "2.csv", "k,t,status\na,2,200\nc,1,200\nb,0,500\n,1,300\n")
     for _ in range(2):  # the second run finds nothing new
-        last = feeds.run_upserts(stream(), folder, state, ["k"], ["t"])
-        assert rows(last, "k", "status") == [("a", "200"), ("b", "400"), ("c", "200")]
+        last = feeds.run_upserts(stream(), state, ["k"], ["t"])
+        assert last.columns == ["k", "t", "status"]
+        assert rows(last, "k", "status") == [(None, "300"), ("a", "200"), ("b", "400"), ("c", "200")]
+
+
+def test_a_delivery_writes_the_keys_it_has(spark, tmp_path, rows):
+    src, state = str(tmp_path / "in"), tmp_path / "state"
+    deliver = lambda ids, t: ids.selectExpr("uuid_of as k", f"{t} as t", "'some status text' as status").coalesce(1).write.mode("append").parquet(src)
+    keys = spark.range(20_000).selectExpr("md5(cast(id as string)) as uuid_of", "id")
+    written = lambda: sum(f.stat().st_size for f in (state / "state").rglob("*") if f.suffix in (".changelog", ".delta", ".zip"))
+    run = lambda: feeds.run_upserts(feeds.parquet_stream(spark, src, "k string, t int, status string"), str(state), ["k"], ["t"])
+    deliver(keys, 1)
+    run()
+    first = written()
+    deliver(keys.filter("id % 100 = 7"), 2)
+    last = run()
+    assert 0 < written() - first < first / 20
+    assert last.count() == 20_000 and last.filter("t = 2").count() == 200
+    before = written()
+    assert rows(run(), "k", "t") == rows(last, "k", "t") and written() == before
 
 
 def test_late_hours_are_counted(spark, tmp_path, rows):
-    src, folder, state = tmp_path / "in", str(tmp_path / "hours"), str(tmp_path / "state")
-    run = lambda: feeds.hourly_totals(feeds.csv_stream(spark, str(src), "t timestamp, v int", "*.csv"), "t", "v", folder, state, buckets=3)
+    src, state = tmp_path / "in", str(tmp_path / "state")
+    run = lambda: feeds.hourly_totals(feeds.csv_stream(spark, str(src), "t timestamp, v int", "*.csv"), "t", "v", state)
     write(src / "1.csv", "t,v\n2024-01-09T10:05:00,1\n2024-01-09T10:06:00,2\n")
     run()
     write(src / "2.csv", "t,v\n2023-05-01T00:59:59,5\n2024-01-09T10:59:59,3\n")
-    assert rows(run(), "total_count", "total_sum") == [(1, 5), (3, 6)]
+    for _ in range(2):
+        assert rows(run(), "total_count", "total_sum") == [(1, 5), (3, 6)]

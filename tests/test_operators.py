@@ -242,6 +242,22 @@ def test_scd2(spark, versions, rows):
     assert len(current) == len(set(current))
 
 
+def test_facts_follow_replaced_versions(spark, versions, rows):
+    keyed = versions.withColumn("sk", F.col("k").cast("long") * 10 + F.col("is_current").cast("int"))
+    deliver = lambda rows_: spark.createDataFrame(rows_, "k int, name string, size int")
+    first = merge.scd2_merge(keyed, deliver([(1, "a", None), (2, "b2", 5)]), ["k"], ["name", "size"], T(2024, 6, 1), surrogate="sk", tenant="t")
+    second = merge.scd2_merge(first, deliver([(1, "a", 7), (2, "b3", 5), (3, "c", 1)]), ["k"], ["name", "size"], T(2024, 7, 1), surrogate="sk", tenant="t")
+    assert second.select("sk").distinct().count() == second.count() == 8
+    facts = spark.createDataFrame([(i, [11, 20, 21, 91, 555, None][i % 6]) for i in range(60)], "id int, product long")
+    now = {r["k"]: r["sk"] for r in second.filter("is_current").collect()}
+    moved = merge.repoint(facts, second, ["k"], "sk", "product", T(2024, 6, 1))
+    assert rows(moved) == sorted((i, [now[1], 20, now[2], 91, 555, None][i % 6]) for i in range(60))
+    # Key 2 was replaced on both days: in one step or in two, its facts end at the same version.
+    step = merge.repoint(merge.repoint(facts, first, ["k"], "sk", "product", T(2024, 6, 1)), second, ["k"], "sk", "product", T(2024, 7, 1))
+    assert rows(step) == rows(moved)
+    assert rows(merge.repoint(facts, second, ["k"], "sk", "product", T(2025, 1, 1))) == rows(facts)
+
+
 def test_frame_diff_keeps_repeats_and_equates_nulls(spark, rows):
     cur = spark.createDataFrame([(1, None), (2, "b")], "k int, v string")
     inc = spark.createDataFrame([(1, None), (2, "c"), (2, "c")], "k int, v string")
