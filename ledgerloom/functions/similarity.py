@@ -1,26 +1,64 @@
 """Token-set similarity of two names, 0 to 100."""
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
+BITS = 62  # of a row word, so that sums stay within a bigint
+FULL = (1 << BITS) - 1
 
-def _common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one bit row per character."""
-    if not a or not b:
-        return 0
-    masks = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        hit = row & masks.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
 
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
 
-@F.pandas_udf(T.IntegerType())
-def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_common_length(x or "", y or "") for x, y in zip(a, b)])
+
+def _masks(letters: Column, size: Column) -> Column:
+    """For each letter of a text its places, as bits in words of 62."""
+    def word(letter, w):
+        places = F.sequence(w * BITS, F.least(w * BITS + BITS - 1, size - 1))
+        return F.aggregate(places, _long(0), lambda m, i: F.when(
+            F.get(letters, i) == letter, m.bitwiseOR(F.call_function("shiftleft", _long(1), i % BITS))).otherwise(m))
+    distinct, words = F.array_distinct(letters), F.sequence(F.lit(0), F.floor((size - 1) / BITS).cast("int"))
+    return F.when(size > 0, F.map_from_arrays(distinct, F.transform(distinct, lambda x: F.transform(words, lambda w: word(x, w)))))
+
+
+def _in_one_word(mask: Column, letters: Column) -> Column:
+    def step(row, x):
+        hit = row.bitwiseAND(F.coalesce(F.get(F.try_element_at(mask, x), F.lit(0)), _long(0)))
+        return (row + hit).bitwiseOR(row - hit).bitwiseAND(_long(FULL))
+    return F.lit(BITS) - F.bit_count(F.aggregate(letters, _long(FULL), step))
+
+
+def _in_many_words(mask: Column, letters: Column, size: Column) -> Column:
+    def step(rows, x):
+        def word(state, w):
+            row = F.get(rows, w)
+            hit = row.bitwiseAND(F.get(F.try_element_at(mask, x), w))
+            total = row + hit + state["carry"]
+            return F.struct(F.concat(state["rows"], F.array(total.bitwiseOR(row - hit).bitwiseAND(_long(FULL)))).alias("rows"),
+                            F.shiftright(total, BITS).alias("carry"))
+        start = F.struct(F.array().cast("array<bigint>").alias("rows"), _long(0).alias("carry"))
+        grown = F.aggregate(F.sequence(F.lit(0), F.size(rows) - 1), start, word)["rows"]
+        return F.when(F.try_element_at(mask, x).isNull(), rows).otherwise(grown)
+    rows = F.array_repeat(_long(FULL), F.floor((size - 1) / BITS).cast("int") + 1)
+    return F.aggregate(F.aggregate(letters, rows, step), F.lit(0), lambda n, row: n + BITS - F.bit_count(row))
+
+
+def with_common_lengths(df: DataFrame, pairs: dict) -> DataFrame:
+    """Adds the length of the longest common subsequence per entry of ``pairs``: name → (text column, text column), none of them null.
+
+    A fold over the letters of the longer text. Its state is a row of bits, one
+    for each letter of the shorter text, 62 to a word; each letter clears the
+    bit where the subsequence can grow, for all places at once. Words carry
+    into the next, so texts of any length take part.
+    """
+    shorter = {f"_x_{s}": F.when(F.length(a) <= F.length(b), F.col(a)).otherwise(F.col(b)) for s, (a, b) in pairs.items()}
+    longer = {f"_y_{s}": F.when(F.length(a) <= F.length(b), F.col(b)).otherwise(F.col(a)) for s, (a, b) in pairs.items()}
+    work = df.withColumns(shorter | longer)
+    work = work.withColumns({f"{c}_letters": F.split(c, "") for c in (*shorter, *longer)})
+    work = work.withColumns({f"_m_{s}": _masks(F.col(f"_x_{s}_letters"), F.length(f"_x_{s}")) for s in pairs})
+    out = {}
+    for s in pairs:
+        size, mask, letters = F.length(f"_x_{s}"), F.col(f"_m_{s}"), F.col(f"_y_{s}_letters")
+        out[s] = F.when(size == 0, 0).when(size <= BITS, _in_one_word(mask, letters)).otherwise(_in_many_words(mask, letters, size)).cast("int")
+    return work.withColumns(out).select(*df.columns, *pairs)
 
 
 def _tokens(c: Column) -> Column:
@@ -50,7 +88,9 @@ def with_token_scores(df: DataFrame, pairs: dict) -> DataFrame:
         parts[f"_a_{score}"] = F.array_join(F.array_except(x, y), " ")
         parts[f"_b_{score}"] = F.array_join(F.array_except(y, x), " ")
     work = work.withColumns(parts)
-    work = work.withColumns({f"_c_{s}": common_length(F.col(f"_a_{s}"), F.col(f"_b_{s}")) for s in pairs})
+    # Null names have no rests to compare.
+    work = work.withColumns({f"_{side}_{s}": F.coalesce(f"_{side}_{s}", F.lit("")) for s in pairs for side in "ab"})
+    work = with_common_lengths(work, {f"_c_{s}": (f"_a_{s}", f"_b_{s}") for s in pairs})
     scores = {}
     for s, (a, b) in pairs.items():
         n, na, nb = F.length(f"_s_{s}"), F.length(f"_a_{s}"), F.length(f"_b_{s}")

@@ -163,6 +163,24 @@ def test_token_scores_match_brute_force(spark):
     assert got[300] == 100 and got[301] == 0 and got[303] == 100
 
 
+def test_common_lengths_of_long_texts(spark):
+    random.seed(11)
+    text_of = lambda n, letters: "".join(random.choices(letters, k=n))
+    pairs = [(text_of(random.randint(0, 300), "abcdeé 🙂"), text_of(random.randint(0, 300), "abcxyé 🙂")) for _ in range(60)]
+    pairs += [("a" * n, "a" * m) for n in (0, 1, 61, 62, 63, 124, 125) for m in (0, 62, 63, 200)] + [("ab" * 62, "ba" * 62)]
+
+    def longest(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            before = 0
+            for j, e in enumerate(y, 1):
+                before, row[j] = row[j], before + 1 if c == e else max(row[j], row[j - 1])
+        return row[-1]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    got = {r.i: (r.s, r.t) for r in similarity.with_common_lengths(df, {"s": ("a", "b"), "t": ("b", "a")}).collect()}
+    assert got == {i: (longest(a, b),) * 2 for i, (a, b) in enumerate(pairs)}
+
+
 def test_full_name_drops_missing_parts(spark):
     df = spark.createDataFrame([("Ann", None, "LEE")], "a string, b string, c string")
     assert df.select(text.full_name(F.col("a"), F.col("b"), F.col("c"))).first()[0] == "ann lee"
