@@ -19,48 +19,53 @@ def _masks(letters: Column, size: Column) -> Column:
     return F.when(size > 0, F.map_from_arrays(distinct, F.transform(distinct, lambda x: F.transform(words, lambda w: word(x, w)))))
 
 
-def _in_one_word(mask: Column, letters: Column) -> Column:
-    def step(row, x):
-        hit = row.bitwiseAND(F.coalesce(F.get(F.try_element_at(mask, x), F.lit(0)), _long(0)))
+def _in_one_word(masks: Column) -> Column:
+    def step(row, mask):
+        hit = row.bitwiseAND(F.coalesce(F.get(mask, F.lit(0)), _long(0)))
         return (row + hit).bitwiseOR(row - hit).bitwiseAND(_long(FULL))
-    return F.lit(BITS) - F.bit_count(F.aggregate(letters, _long(FULL), step))
+    return F.lit(BITS) - F.bit_count(F.aggregate(masks, _long(FULL), step))
 
 
-def _in_many_words(mask: Column, letters: Column, size: Column) -> Column:
-    def step(rows, x):
-        def word(state, w):
-            row = F.get(rows, w)
-            hit = row.bitwiseAND(F.get(F.try_element_at(mask, x), w))
-            total = row + hit + state["carry"]
-            return F.struct(F.concat(state["rows"], F.array(total.bitwiseOR(row - hit).bitwiseAND(_long(FULL)))).alias("rows"),
+def _in_many_words(masks: Column, size: Column) -> Column:
+    def step(rows, mask):
+        def word(state, pair):
+            total = pair["row"] + pair["hit"] + state["carry"]
+            return F.struct(F.concat(state["rows"], F.array(total.bitwiseOR(pair["row"] - pair["hit"]).bitwiseAND(_long(FULL)))).alias("rows"),
                             F.shiftright(total, BITS).alias("carry"))
         start = F.struct(F.array().cast("array<bigint>").alias("rows"), _long(0).alias("carry"))
-        grown = F.aggregate(F.sequence(F.lit(0), F.size(rows) - 1), start, word)["rows"]
-        return F.when(F.try_element_at(mask, x).isNull(), rows).otherwise(grown)
+        pairs = F.zip_with(rows, mask, lambda row, m: F.struct(row.alias("row"), row.bitwiseAND(m).alias("hit")))
+        return F.when(mask.isNull(), rows).otherwise(F.aggregate(pairs, start, word)["rows"])
     rows = F.array_repeat(_long(FULL), F.floor((size - 1) / BITS).cast("int") + 1)
-    return F.aggregate(F.aggregate(letters, rows, step), F.lit(0), lambda n, row: n + BITS - F.bit_count(row))
+    return F.aggregate(F.aggregate(masks, rows, step), F.lit(0), lambda n, row: n + BITS - F.bit_count(row))
 
 
 def with_common_lengths(df: DataFrame, pairs: dict) -> DataFrame:
     """Adds the length of the longest common subsequence per entry of ``pairs``: name → (text column, text column), none of them null.
 
-    A fold over the letters of the longer text. Its state is a row of bits, one
-    for each letter of the shorter text, 62 to a word; each letter clears the
-    bit where the subsequence can grow, for all places at once. Words carry
-    into the next, so texts of any length take part.
+    A fold over the letters of the shorter text. Its state is a row of bits,
+    one for each letter of the longer text, 62 to a word; each letter clears
+    the bit where the subsequence can grow, for all places at once. Words
+    carry into the next, so texts of any length take part.
     """
-    shorter = {f"_x_{s}": F.when(F.length(a) <= F.length(b), F.col(a)).otherwise(F.col(b)) for s, (a, b) in pairs.items()}
-    longer = {f"_y_{s}": F.when(F.length(a) <= F.length(b), F.col(b)).otherwise(F.col(a)) for s, (a, b) in pairs.items()}
+    longer = {f"_x_{s}": F.when(F.length(a) >= F.length(b), F.col(a)).otherwise(F.col(b)) for s, (a, b) in pairs.items()}
+    shorter = {f"_y_{s}": F.when(F.length(a) >= F.length(b), F.col(b)).otherwise(F.col(a)) for s, (a, b) in pairs.items()}
     work = df.withColumns(shorter | longer)
     work = work.withColumns({f"{c}_letters": F.split(c, "") for c in (*shorter, *longer)})
     work = work.withColumns({f"_m_{s}": _masks(F.col(f"_x_{s}_letters"), F.length(f"_x_{s}")) for s in pairs})
+    # The places of each letter of the shorter text; null if the longer has none. The masks are named twice, as a column that
+    # is named once would be put in place of its name, here into the loop over the letters.
+    work = work.withColumns({f"_f_{s}": F.when(F.col(f"_m_{s}").isNotNull(), F.transform(f"_y_{s}_letters", _place_of(F.col(f"_m_{s}")))) for s in pairs})
     out = {}
     for s in pairs:
-        size, mask, letters = F.length(f"_x_{s}"), F.col(f"_m_{s}"), F.col(f"_y_{s}_letters")
-        out[s] = F.when(size == 0, 0).when(size <= BITS, _in_one_word(mask, letters)).otherwise(_in_many_words(mask, letters, size)).cast("int")
+        size, masks = F.length(f"_x_{s}"), F.col(f"_f_{s}")
+        out[s] = F.when(F.length(f"_y_{s}") == 0, 0).when(size <= BITS, _in_one_word(masks)).otherwise(_in_many_words(masks, size)).cast("int")
     return work.withColumns(out).select(*df.columns, *pairs)
 
 
+def _place_of(masks: Column):
+    return lambda letter: F.try_element_at(masks, letter)
+
+
 def _tokens(c: Column) -> Column:
     words = F.split(F.trim(F.regexp_replace(F.lower(c), r"(?U)\W", " ")), r"\s+")
     return F.array_sort(F.array_distinct(F.filter(words, lambda w: w != "")))
@@ -75,8 +80,8 @@ def with_token_scores(df: DataFrame, pairs: dict) -> DataFrame:
 
     A score is the best of three comparisons among: the shared words, the
     shared words plus the rest of one name, and plus the rest of the other. The
-    first is a prefix of the other two, so only the two rests need an edit
-    comparison. Words are split once per column, and each step is a projection
+    first is a prefix of the other two, so only the two rests need a common
+    subsequence, and only where it can decide. Words are split once per column, and each step is a projection
     of its own, so no step is computed twice.
     """
     names = list(dict.fromkeys(c for pair in pairs.values() for c in pair))
@@ -88,18 +93,23 @@ def with_token_scores(df: DataFrame, pairs: dict) -> DataFrame:
         parts[f"_a_{score}"] = F.array_join(F.array_except(x, y), " ")
         parts[f"_b_{score}"] = F.array_join(F.array_except(y, x), " ")
     work = work.withColumns(parts)
-    # Null names have no rests to compare.
-    work = work.withColumns({f"_{side}_{s}": F.coalesce(f"_{side}_{s}", F.lit("")) for s in pairs for side in "ab"})
-    work = with_common_lengths(work, {f"_c_{s}": (f"_a_{s}", f"_b_{s}") for s in pairs})
-    scores = {}
-    for s, (a, b) in pairs.items():
+    sizes, known, open_ = {}, {}, {}
+    for s in pairs:
         n, na, nb = F.length(f"_s_{s}"), F.length(f"_a_{s}"), F.length(f"_b_{s}")
         gap_a = F.when((n > 0) & (na > 0), 1).otherwise(0)
         gap_b = F.when((n > 0) & (nb > 0), 1).otherwise(0)
         whole_a, whole_b = n + na + gap_a, n + nb + gap_b
-        both = n + F.least(gap_a, gap_b) + F.col(f"_c_{s}")
-        best = F.greatest(F.when(n > 0, _ratio(n, n + whole_a)).otherwise(0),
-                          F.when(n > 0, _ratio(n, n + whole_b)).otherwise(0), _ratio(both, whole_a + whole_b))
+        shared = n + F.least(gap_a, gap_b)
+        known[f"_k_{s}"] = F.greatest(F.when(n > 0, _ratio(n, n + whole_a)).otherwise(0), F.when(n > 0, _ratio(n, n + whole_b)).otherwise(0))
+        # The rests have at most as much in common as the shorter is long: often too little for the third comparison to count.
+        open_[f"_o_{s}"] = F.coalesce(_ratio(shared + F.least(na, nb), whole_a + whole_b) > F.col(f"_k_{s}"), F.lit(False))
+        sizes[s] = (whole_a, whole_b, shared)
+    work = work.withColumns(known).withColumns(open_)
+    work = work.withColumns({f"_{side}r_{s}": F.when(F.col(f"_o_{s}"), F.col(f"_{side}_{s}")).otherwise("") for s in pairs for side in "ab"})
+    work = with_common_lengths(work, {f"_c_{s}": (f"_ar_{s}", f"_br_{s}") for s in pairs})
+    scores = {}
+    for s, (whole_a, whole_b, shared) in sizes.items():
+        best = F.greatest(f"_k_{s}", F.when(F.col(f"_o_{s}"), _ratio(shared + F.col(f"_c_{s}"), whole_a + whole_b)).otherwise(0))
         # A missing or wordless name scores nothing.
         scores[s] = F.coalesce(F.when((whole_a > 0) & (whole_b > 0), best), F.lit(0))
     return work.withColumns(scores).select(*df.columns, *pairs)

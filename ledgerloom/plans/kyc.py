@@ -10,8 +10,13 @@ BATCHES = ("update_exact", "update_close", "names_swapped", "keep_id_match", "ke
 
 
 def name_scores(names: DataFrame) -> DataFrame:
-    """Three pairwise scores for rows that already share the national id."""
-    return with_token_scores(names, {
+    """Three pairwise scores for rows that already share the national id.
+
+    Comparing costs far more than the rows weigh, so they are dealt evenly over
+    all tasks first: their bytes alone would put them into a few.
+    """
+    dealt = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return with_token_scores(dealt, {
         "own_ops": ("own_name", "ops_name"), "own_registry": ("own_name", "registry_name"),
         "ops_registry": ("ops_name", "registry_name")})
 
