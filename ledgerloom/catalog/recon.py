@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog.registry import CTE, clients, loans, money, query, repayments, table
 from ledgerloom.operators.joins import missing_from
 from ledgerloom.plans import monitoring, recon
+from ledgerloom.session import shared_dir
+from ledgerloom.sources import sinks
 
 CTE.update({
     "log": """select event_id as log_id, case event_type when 'purchase' then 'loan_request' when 'click' then 'loan_repayment' when 'signup' then 'opt_in' else 'other' end as menu,
@@ -275,6 +277,29 @@ def backfill_months(spark, d):
     return monitoring.backfill_months(_reconciled(spark, d, "inner"), "2001-08-15")
 
 
+@query("reload_months", """
+with core as (select loan_id, line, paid_on, cast(amount as decimal(18,4)) as amount, line = 1 as on_time, year(paid_on) as year, month(paid_on) as month from repayments),
+stored as (select loan_id, line, paid_on, case when year = 2000 and month = 5 then amount + 1 else amount end as amount, year, month from core
+  where not (month = 3 and line = 2) and not (year = 1999 and month = 7) and not (year = 2001 and month >= 8 and line = 1)),
+a as (select year, month, count(*) as n, sum(amount) as s from core group by 1, 2), b as (select year, month, count(*) as n, sum(amount) as s from stored group by 1, 2),
+again as (select year, month from a join b using (year, month) where (a.n <> b.n or a.s <> b.s) and (year < 2001 or year = 2001 and month < 8))
+select loan_id, line, paid_on, cast(amount as double) as amount from core where (year, month) in (select (year, month) from again)
+union all select loan_id, line, paid_on, cast(amount as double) from stored where (year, month) not in (select (year, month) from again)""", ("repayments",))
+def reload_months(spark, d):
+    """A stored table with months that lack rows or differ: those before the current month are loaded again, in place."""
+    core = repayments(spark, d).select("loan_id", "line", "paid_on", F.col("amount").cast("decimal(18,4)").alias("amount"))
+    year, month = F.year("paid_on"), F.month("paid_on")
+    lost = ((month == 3) & (F.col("line") == 2)) | ((year == 1999) & (month == 7)) | ((year == 2001) & (month >= 8) & (F.col("line") == 1))
+    path = shared_dir(spark, "transactions")
+    stored = core.filter(~lost).withColumn("amount", F.when((year == 2000) & (month == 5), F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,4)"))
+    sinks.overwrite(stored.withColumns({"year": F.year("paid_on"), "month": F.month("paid_on")}).hint("rebalance", "year", "month"), path, ["year", "month"])
+    held = spark.read.parquet(path)
+    extra = {"transaction_type": F.lit(1), "penalty": F.lit(0), "transaction_date": F.col("paid_on")}
+    report = monitoring.transactions(core.withColumns(extra), held.withColumns(extra))
+    monitoring.reload_months(core, report, path, "paid_on", "2001-08-15")
+    return spark.read.parquet(path).select("loan_id", "line", "paid_on", F.col("amount").cast("double").alias("amount"))
+
+
 @query("reconcile_clients", """
 with f as (select client_id, min(disbursed_on) as d from loans group by 1), g as (select * from f where client_id % 7 <> 0)
 select year, month, a.n as total_count_core, b.n as total_count_warehouse, a.n - b.n as diff_total_count from (select cast(year(d) as bigint) as year, cast(month(d) as bigint) as month, count(*) as n from f group by 1, 2) a

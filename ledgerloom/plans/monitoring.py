@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.functions.dates import as_date
 from ledgerloom.operators.aggregate import monthly
 from ledgerloom.operators.joins import reconcile
+from ledgerloom.sources.sinks import replace_partitions
 
 
 def transactions(core: DataFrame, warehouse: DataFrame, how: str = "inner") -> DataFrame:
@@ -34,6 +35,15 @@ def backfill_months(report: DataFrame, as_of) -> DataFrame:
     return report.filter(differs & past).select("year", "month")
 
 
+def reload_months(core: DataFrame, report: DataFrame, path: str, day: str, as_of) -> None:
+    """Load the months that monitoring names again, in place: the stored table (by year and month) gets the core's rows of those
+    months and keeps the files of all others. Monitoring names months that both sides have, so none is left without rows."""
+    months = backfill_months(report, as_of)
+    dated = core.withColumns({"year": F.year(day), "month": F.month(day)})
+    on = months.select(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
+    replace_partitions(dated.join(on, ["year", "month"], "left_semi"), path, ["year", "month"])
+
+
 def whitelist(partner: DataFrame, results: DataFrame) -> DataFrame:
     """Totals of the partner's list against the newest model version."""
     from ledgerloom.sources.readers import as_of_latest

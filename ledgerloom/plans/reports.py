@@ -9,15 +9,39 @@ from ledgerloom.operators.slices import Slices
 
 
 
+MOST_ROWS = 1000  # of one source and receipt that travel as one list
+
+
+def _lists(df: DataFrame, columns: dict, tag: str) -> DataFrame:
+    """One source per receipt as lists of its distinct rows and how often each occurs. A receipt with very many distinct rows has
+    several lists, dealt by a hash, so that no list grows with the receipt."""
+    rows = df.filter("receipt_number is not null").groupBy(F.col("receipt_number").alias(f"_{tag}"), *[F.col(c).alias(name) for c, name in columns.items()]).agg(
+        F.count(F.lit(1)).alias("n"))
+    many = rows.groupBy(F.col(f"_{tag}").alias("_many")).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > MOST_ROWS)
+    lists = F.coalesce(F.ceil(F.col("_rows") / MOST_ROWS), F.lit(1))
+    dealt = rows.join(many, F.col(f"_{tag}") == F.col("_many"), "left").withColumn("_list", F.pmod(F.xxhash64(*columns.values()), lists))
+    return dealt.groupBy(f"_{tag}", "_list").agg(F.collect_list(F.struct(*columns.values(), "n")).alias(f"_{tag}_rows")).drop("_list")
+
+
+def traced(core: DataFrame, feed: DataFrame, dump: DataFrame) -> DataFrame:
+    """Core transactions beside the feed's and the dumps' lists of the same receipt: repeated receipts are not multiplied."""
+    f = _lists(feed, {"status_code": "feed_status", "kind": "feed_kind", "amount": "feed_amount"}, "f")
+    d = _lists(dump, {"status_code": "dump_status", "kind": "dump_kind", "amount": "dump_amount"}, "d")
+    return core.join(f, F.col("receipt_number") == F.col("_f"), "left").join(d, F.col("receipt_number") == F.col("_d"), "left")
+
+
 def provenance(core: DataFrame, feed: DataFrame, dump: DataFrame) -> DataFrame:
-    """Core transactions with what the live feed and the dumps know of them."""
-    f = feed.select(F.col("receipt_number").alias("_f"), F.col("status_code").alias("feed_status"),
-                    F.col("kind").alias("feed_kind"), F.col("amount").alias("feed_amount"))
-    d = dump.select(F.col("receipt_number").alias("_d"), F.col("status_code").alias("dump_status"),
-                    F.col("kind").alias("dump_kind"), F.col("amount").alias("dump_amount"))
-    out = core.join(f, F.col("receipt_number") == F.col("_f"), "left").join(d, F.col("receipt_number") == F.col("_d"), "left")
-    return out.withColumns({
-        "missing_in_feed": F.col("_f").isNull(), "missing_in_dump": F.col("_f").isNull() & F.col("_d").isNull()})
+    """Core transactions with what the live feed and the dumps know of them: a row for every pair of feed and dump rows of the receipt.
+
+    The pairs are made in the last step, from lists that the joins carry as
+    they are; rows that are equal stay one row with a count until then.
+    """
+    rows = traced(core, feed, dump).select("*", F.explode_outer("_f_rows").alias("_fr")).select("*", F.explode_outer("_d_rows").alias("_dr"))
+    times = F.coalesce("_fr.n", F.lit(1)) * F.coalesce("_dr.n", F.lit(1))
+    rows = rows.select("*", F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("_copy"))
+    fields = [F.col(f"_{side}r.{source}_{c}") for side, source in (("f", "feed"), ("d", "dump")) for c in ("status", "kind", "amount")]
+    return rows.select(*core.columns, "_f", *fields[:3], "_d", *fields[3:], F.col("_f").isNull().alias("missing_in_feed"),
+                       (F.col("_f").isNull() & F.col("_d").isNull()).alias("missing_in_dump"))
 
 
 def _merged(df: DataFrame, key: str, columns: list, tag: str, amount: bool = True) -> DataFrame:

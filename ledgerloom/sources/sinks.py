@@ -14,6 +14,12 @@ def overwrite(df: DataFrame, path: str, partition_by: list | None = None) -> Non
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list) -> None:
+    """Overwrite the partitions that have rows here; all others keep their files. The rebalance hint gathers the rows of a
+    partition and lets Spark split one that is much larger than others."""
+    df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def export_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8") -> None:
     df.write.mode("overwrite").options(header=True, sep=sep, encoding=encoding, **TIME_FORMATS).csv(path)
 

@@ -174,3 +174,42 @@ def test_gender_and_term(spark):
     assert [r[0] for r in df.select(submission.gender_code(F.col("own"), F.col("registry"))).collect()] == ["F", None, "M"]
     terms = spark.createDataFrame([(30, 0), (6, 2), (1, 9)], "n int, unit int")
     assert [r[0] for r in terms.select(submission.term_months(F.col("n"), F.col("unit"))).collect()] == [1, 6, None]
+
+
+def test_provenance_pairs_are_made_last(spark):
+    """One receipt with 10,000 feed and 10,000 dump rows: 20,000 entries in lists until the pairs are wanted."""
+    core = spark.createDataFrame([("R1", 5), ("R2", 6), (None, 7)], "receipt_number string, k int")
+    many = lambda n, side: spark.range(n).selectExpr("'R1' as receipt_number", "cast(200 as string) as status_code", f"'{side}' as kind", "cast(id as decimal(12,2)) as amount")
+    lists = reports.traced(core, many(10_000, "f"), many(10_000, "d")).filter("receipt_number = 'R1'")
+    sizes = lists.agg(F.count("*"), F.max(F.size("_f_rows")), F.max(F.size("_d_rows")), F.sum(F.size("_f_rows").cast("long") * F.size("_d_rows"))).first()
+    assert sizes[0] <= 100 and sizes[1] < 1300 and sizes[2] < 1300 and sizes[3] == 10_000 * 10_000
+
+
+def test_provenance_is_the_plain_join(spark, rows):
+    core = spark.createDataFrame([("R1", 5), ("R1", 5), ("R2", 6), ("R3", 7), (None, 8)], "receipt_number string, k int")
+    schema = "receipt_number string, status_code string, kind string, amount decimal(12,2)"
+    feed = spark.createDataFrame([("R1", "200", "a", 1), ("R1", "200", "a", 1), ("R1", "400", None, None), ("R2", "200", "b", 3), (None, "200", "b", 3)], schema.replace("decimal(12,2)", "int"))
+    dump = spark.createDataFrame([("R1", "200", "x", 2), ("R1", "200", "x", 2), ("R3", None, "x", 9), (None, "200", "b", 3)], schema.replace("decimal(12,2)", "int"))
+    f = feed.toDF("_f", "feed_status", "feed_kind", "feed_amount")
+    d = dump.toDF("_d", "dump_status", "dump_kind", "dump_amount")
+    plain = core.join(f, F.col("receipt_number") == F.col("_f"), "left").join(d, F.col("receipt_number") == F.col("_d"), "left").withColumns({
+        "missing_in_feed": F.col("_f").isNull(), "missing_in_dump": F.col("_f").isNull() & F.col("_d").isNull()})
+    got = reports.provenance(core, feed, dump)
+    assert got.columns == plain.columns and rows(got) == rows(plain) and got.count() == 2 * 3 * 2 + 3
+
+
+def test_months_are_reloaded_in_place(spark, tmp_path, rows):
+    path = tmp_path / "t"
+    day = lambda m, i: D(2024, m, 1 + i)
+    core = spark.createDataFrame([(m * 100 + i, day(m, i), float(i), 1, 0) for m in range(1, 7) for i in range(5)], "id int, paid_on date, amount double, transaction_type int, penalty int")
+    stored = core.filter("id not in (201, 603)").withColumn("amount", F.when(F.col("id") == 402, 99.0).otherwise(F.col("amount")))
+    stored.withColumns({"year": F.year("paid_on"), "month": F.month("paid_on")}).write.partitionBy("year", "month").parquet(str(path))
+    files = lambda: {p.parent.name: p.name for p in path.rglob("*.parquet")}
+    before = files()
+    held = spark.read.parquet(str(path))
+    report = monitoring.transactions(*(df.withColumn("transaction_date", F.col("paid_on")) for df in (core, held)))
+    monitoring.reload_months(core, report, str(path), "paid_on", D(2024, 6, 20))
+    after = files()
+    assert {m for m in before if before[m] != after[m]} == {"month=2", "month=4"} and set(after) == set(before)
+    now = spark.read.parquet(str(path)).select("id", "paid_on", "amount")
+    assert rows(now) == rows(core.select("id", "paid_on", "amount").filter("id <> 603"))  # the current month waits
