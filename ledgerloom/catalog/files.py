@@ -144,6 +144,37 @@ def preamble_files(spark, d):
     return readers.csv_after_preamble(spark, path, "id bigint, name string", 3, drop_last=1).select("id", "name")
 
 
+@query("statement_files", """
+with lines as (select 'R' || o_orderkey as receipt_number, case when o_custkey % 5 = 0 then 'Charge' else 'Payment' end as details, o_orderdate as completion_time, o_totalprice as paid_in,
+  case when o_custkey % 7 = 0 then 'Shop, "' || o_orderkey || '"' || chr(10) || 'second line' else 'Shop ' || o_orderkey end as other_party_info, o_orderkey, o_orderstatus from orders),
+stored as (select receipt_number, details, timestamp '1990-01-01' as completion_time, paid_in - 1 as paid_in, 'old' as other_party_info, false as is_disbursement from lines where o_orderkey % 4 = 0),
+delivered as (select receipt_number, details, completion_time, paid_in, other_party_info, o_orderstatus = 'F' as is_disbursement from lines where o_orderstatus <> 'P' and o_orderkey % 3 < 2)
+select * from delivered union all select * from stored where receipt_number not in (select receipt_number from delivered)""")
+def statement_files(spark, d):
+    """Statements as they are sent: lines before and after the rows, quoted line breaks; only the newest day's; then merged by receipt."""
+    path = shared_dir(spark, "statements")
+    o = table(spark, d, "orders")
+    key, text_of = F.col("o_orderkey").cast("string"), lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    details = F.when(F.col("o_custkey") % 5 == 0, "Charge").otherwise("Payment")
+    party = F.when(F.col("o_custkey") % 7 == 0, F.concat(F.lit('Shop, "'), key, F.lit('"\nsecond line'))).otherwise(F.concat(F.lit("Shop "), key))
+    at = F.date_format("o_orderdate", "dd-MM-yyyy HH:mm:ss")
+    line = F.concat_ws(",", F.concat(F.lit("R"), key), at, at, details, F.lit("Completed"), F.col("o_totalprice").cast("string"), F.lit(""), F.lit("0"), F.lit("true"), F.lit("1 day"),
+                       text_of(party), F.lit(""), F.lit(""))
+    kinds = o.filter("o_orderstatus <> 'P' and o_orderkey % 3 < 2").select(
+        F.concat(F.when(F.col("o_orderstatus") == "F", "Disbursements").otherwise("Repayments"), F.lit("-2024-01-05-"), F.floor(F.col("o_custkey") / 300).cast("string")).alias("part"), line.alias("line"))
+    old = o.filter("o_orderstatus = 'P'").select(F.lit("Repayments-2024-01-04").alias("part"), line.alias("line"))
+    files = kinds.unionByName(old).groupBy("part").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    head = F.lit("Organisation\nShort code\nFrom\nTo\nPage\n\nReceipt No.,Completion Time\n")
+    files.select("part", F.concat(head, F.array_join("lines", "\n"), F.lit("\nTotal,"), F.size("lines").cast("string"), F.lit("\nEnd of statement")).alias("value")).write.partitionBy("part").text(path)
+    columns = ["receipt_number", "details", "completion_time", "initiation_time", "transaction_status", "paid_in", "other_party_info", "is_disbursement"]
+    stored = o.filter("o_orderkey % 4 = 0").select(
+        F.concat(F.lit("R"), key).alias("receipt_number"), details.alias("details"), F.lit(dt.datetime(1990, 1, 1)).cast("timestamp").alias("completion_time"),
+        F.lit(None).cast("timestamp").alias("initiation_time"), F.lit("Completed").alias("transaction_status"), (F.col("o_totalprice") - 1).alias("paid_in"),
+        F.lit("old").alias("other_party_info"), F.lit(False).alias("is_disbursement")).select(columns)
+    out = ingest.load_statements(stored, ingest.statement_rows(spark, path, drop_last=2))
+    return out.select("receipt_number", "details", F.col("completion_time").cast("timestamp_ntz").alias("completion_time"), "paid_in", "other_party_info", "is_disbursement")
+
+
 @query("whitelist_files", "select cast(c_custkey as varchar) as store_number, c_name || ', ' as name from customer")
 def whitelist_files(spark, d):
     path = _documents(spark, d, "Store,Name\n-----,----\n", " rows affected),", "whitelist")

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.functions.dates import as_date, shift_months
+from ledgerloom.operators import merge
 from ledgerloom.sources.readers import csv_after_preamble, latest_files
 
 # Statement columns in file order, lines before the data, time format.
@@ -15,16 +16,21 @@ STATEMENT_PREAMBLE = 7
 STATEMENT_TIME = "dd-MM-yyyy HH:mm:ss"
 
 
-def statement_rows(spark, path: str) -> DataFrame:
-    """Newest statement files, times parsed, direction told from the file name."""
-    rows = latest_files(csv_after_preamble(spark, path, STATEMENT_SCHEMA, STATEMENT_PREAMBLE))
-    name = F.element_at(F.split("file_name", "/"), -1)
+def statement_rows(spark, path: str, drop_last: int = 0) -> DataFrame:
+    """Newest statement files, times parsed, direction told from the name of the file or its folder."""
+    rows = latest_files(csv_after_preamble(spark, path, STATEMENT_SCHEMA, STATEMENT_PREAMBLE, drop_last))
+    name = F.array_join(F.slice(F.split("file_name", "/"), -2, 2), "/")
     return rows.withColumns({
         "completion_time": text.parse_timestamp(F.col("completion_time"), STATEMENT_TIME),
         "initiation_time": text.parse_timestamp(F.col("initiation_time"), STATEMENT_TIME),
         "is_disbursement": name.contains("Disbursement"), "is_repayment": name.contains("Repayment")})
 
 
+def load_statements(current: DataFrame, statement: DataFrame) -> DataFrame:
+    """The stored statement lines with the newest delivery: a line is known by its receipt and details, and the last one counts."""
+    return merge.upsert(current, statement.select(current.columns), ["receipt_number", "details"], ["completion_time", "initiation_time", "transaction_status"])
+
+
 def whitelist_rows(spark, path: str, schema: str) -> DataFrame:
     """Whitelist export: ruler line below the header, row count at the end."""
     rows = csv_after_preamble(spark, path, schema, 2)

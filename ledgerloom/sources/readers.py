@@ -1,7 +1,7 @@
 """Readers. Schemas are given, never inferred; bad rows are kept aside."""
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 BAD_ROW = "_bad_row"
 
@@ -55,26 +55,57 @@ def text_csv(spark: SparkSession, path: str, columns: list, **options) -> DataFr
     return csv_files(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in columns]), **options)
 
 
-def csv_after_preamble(spark: SparkSession, path: str, schema, skip: int, drop_last: int = 0) -> DataFrame:
-    """CSV whose files open with ``skip`` lines that are no data (the header
-    line counts as one) and may close with ``drop_last`` footer lines.
+def file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value``, ``file_name`` and the line's exact number in its file, ``line`` (from 0) of ``n_lines``.
 
-    Lines are numbered per file from the scan position, so nothing is sorted:
-    only the first and last position of each file is aggregated and joined back.
+    A file is scanned in blocks, each by one task. The lines of a block are
+    numbered in the scan; what the blocks before hold is a prefix sum over the
+    blocks of the file, so nothing is sorted and a file may have any size.
+    """
+    scanned = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file_name"), F.struct(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")).alias("_block"),
+        F.monotonically_increasing_id().alias("_at"))
+    blocks = scanned.groupBy("_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before, whole = Window.partitionBy("_block.file").orderBy("_block.start").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_block.file")
+    blocks = blocks.select("_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("n_lines"))
+    return scanned.join(blocks, "_block").select("value", "file_name", (F.col("_at") - F.col("_first") + F.col("_before")).alias("line"), "n_lines", "_block")
+
+
+def csv_records(lines: DataFrame, quote: str = '"') -> DataFrame:
+    """``file_name, value``: the lines of ``file_lines`` with those of a quoted line break put together again.
+
+    A record ends where the quotes of its file so far are even in number. A
+    block counts quotes and, for an even and an odd start, the records that end
+    in it; prefix sums over the blocks of a file tell which of the two holds and
+    how many records ended before. Only records with a break in them are
+    gathered. A quote that is never closed takes the rest of its file.
     """
+    inside = Window.partitionBy("_block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    counted = lines.withColumn("_quotes", quotes).withColumn("_in", F.sum("_quotes").over(inside)).withColumn("_even", F.col("_in") % 2 == 0)
+    counted = counted.withColumns({"_n_even": F.count_if("_even").over(inside), "_n_odd": F.count_if(~F.col("_even")).over(inside)})
+    blocks = counted.groupBy("_block").agg(F.max("_in").alias("_q"), F.max("_n_even").alias("_e"), F.max("_n_odd").alias("_o"))
+    before = Window.partitionBy("_block.file").orderBy("_block.start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_odd", F.coalesce(F.sum("_q").over(before), F.lit(0)) % 2 == 1)
+    ended = F.sum(F.when(F.col("_odd"), F.col("_o")).otherwise(F.col("_e"))).over(before)
+    rows = counted.join(blocks.select("_block", "_odd", F.coalesce(ended, F.lit(0)).alias("_ended")), "_block")
+    ends = F.col("_even") != F.col("_odd")
+    number = F.col("_ended") + F.when(F.col("_odd"), F.col("_n_odd")).otherwise(F.col("_n_even")) - F.when(ends, 1).otherwise(0)
+    begins = ends == (F.col("_quotes") % 2 == 0)
+    rows = rows.select("file_name", "value", "line", number.alias("_record"), (begins & ends).alias("_whole"))
+    broken = rows.filter("not _whole").groupBy("file_name", "_record").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("_lines"))
+    return rows.filter("_whole").select("file_name", "value").unionByName(
+        broken.select("file_name", F.array_join(F.col("_lines.value"), "\n").alias("value")))
+
+
+def csv_after_preamble(spark: SparkSession, path: str, schema, skip: int, drop_last: int = 0) -> DataFrame:
+    """CSV whose files open with ``skip`` lines that are no data (the header line counts as one; columns go by position) and may
+    close with ``drop_last`` footer lines. Values may hold line breaks in quotes; a doubled quote stands for one."""
     fields = _schema(schema)
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-    ends = lines.groupBy("file_name").agg(
-        F.max("_block").alias("_last_block"),
-        F.min_by("_at", F.struct("_block", "_at")).alias("_head"), F.max_by("_at", F.struct("_block", "_at")).alias("_tail"))
-    kept = lines.join(ends.withColumnRenamed("file_name", "_file"), F.col("file_name") == F.col("_file"))
-    body = kept.filter(
-        ((F.col("_block") > 0) | (F.col("_at") - F.col("_head") >= skip))
-        & ((F.col("_block") < F.col("_last_block")) | (F.col("_tail") - F.col("_at") >= drop_last)))
-    row = F.from_csv(F.col("value"), fields.simpleString()[len("struct<"):-1].replace(":", " "))
-    return body.select(row.alias("_row"), "file_name").select(
+    body = file_lines(spark, path).filter((F.col("line") >= skip) & (F.col("line") < F.col("n_lines") - drop_last))
+    row = F.from_csv(F.col("value"), fields.simpleString()[len("struct<"):-1].replace(":", " "), {"escape": '"', "multiLine": "true"})
+    return csv_records(body).select(row.alias("_row"), "file_name").select(
         *[F.col(f"_row.{f.name}").alias(f.name) for f in fields.fields], "file_name")
 
 

@@ -1,5 +1,7 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import ingest
@@ -64,6 +66,32 @@ def test_preamble_when_a_file_is_split(spark, tmp_path, rows):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("block", [37, 150, 1 << 20])
+def test_preamble_footer_and_breaks_over_blocks(spark, tmp_path, rows, block):
+    random.seed(block)
+    want = []
+    for n in range(3):
+        lines = []
+        for i in range(60):
+            name = random.choice(["plain", "two\nlines", 'a ""quoted""\n\nword, and more', "x\ny\nz" * 5, "", '""'])
+            lines.append(f'{n * 100 + i},"{name}",{i % 3}')
+            want.append((n * 100 + i, name.replace('""', '"') or None, i % 3))
+        foot = "Total,60\nPage 1 of 1 and a long closing remark of the sender\n(end of file)\n"
+        write(tmp_path / f"f{n}.csv", 'Org "A\nFrom,To\nid,name,k\n' + "\n".join(lines) + "\n" + foot)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = readers.file_lines(spark, str(tmp_path))
+        seen = lines.groupBy("file_name").agg(F.max("line").alias("last"), F.count_distinct("line").alias("distinct"), F.count("*").alias("n"), F.max("n_lines").alias("n_lines"))
+        assert all(r["n"] == r["distinct"] == r["n_lines"] == r["last"] + 1 for r in seen.collect())
+        got = readers.csv_after_preamble(spark, str(tmp_path), "id int, name string, k int", 3, drop_last=3)
+        assert rows(got, "id", "name", "k") == sorted(want, key=lambda r: r[0])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
 def test_statement_and_whitelist_files(spark, tmp_path, rows):
     head = "\n".join(["Org", "Name", "From", "To", "Page", "Rows"]) + "\nReceipt No.,Completion Time\n"
     line = "R1,05-01-2024 10:11:12,05-01-2024 10:11:00,Disbursement to 7 - Shop,Completed,,-99.5,10,true,1 day,p,l,a\n"
