@@ -276,6 +276,42 @@ def json_flatten(spark, d):
     return flat.select("loan_id", "client_id", "charge_kind", "charge_amount")
 
 
+def _responses(spark, d):
+    """Responses of one registry: three levels, two sibling arrays, and shapes that differ from row to row."""
+    o = table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    paid = lambda i: F.struct((key % 10 + i).alias("day"), F.struct((key * i).alias("value")).alias("money"))
+    loan = lambda i: F.struct(F.concat(F.lit("L"), key.cast("string"), F.lit(f"-{i}")).alias("ref"), F.when(key % 2 == 0, F.array(*[paid(j) for j in range(1, i + 2)])).alias("payments"))
+    return o.select(key.alias("loan_id"), F.when(key % 11 == 0, F.lit("no json")).otherwise(F.to_json(F.struct(
+        F.struct(F.col("o_custkey").alias("id"), F.struct(F.col("o_orderpriority").alias("band")).alias("risk")).alias("client"),
+        F.when(key % 3 > 0, F.array(loan(1), loan(2))).alias("loans"), F.array(F.concat(F.lit("07"), key.cast("string")), F.col("o_orderstatus")).alias("contacts")))).alias("doc"))
+
+
+@query("json_variant", """
+with o as (select *, o_orderkey as k from orders where o_orderkey % 11 <> 0),
+l as (select k, i, 'L' || k || '-' || i as ref from o, (values (1), (2)) v(i) where k % 3 > 0),
+p as (select l.k, l.i, j from l, range(1, 4) r(j) where l.k % 2 = 0 and j <= l.i + 1)
+select k as loan_id, '' as table_name, '' as row_path, 'client_id' as name, o_custkey::varchar as value from o
+union all select k, '', '', 'client_risk_band', o_orderpriority from o
+union all select k, 'loans', '/' || (i - 1), 'ref', ref from l
+union all select k, 'loans.payments', '/' || (i - 1) || '/' || (j - 1), 'day', (k % 10 + j)::varchar from p
+union all select k, 'loans.payments', '/' || (i - 1) || '/' || (j - 1), 'money_value', (k * j)::varchar from p
+union all select k, 'contacts', '/0', 'value', '07' || k from o
+union all select k, 'contacts', '/1', 'value', o_orderstatus from o""")
+def json_variant(spark, d):
+    """Sibling arrays become tables of their own; every value with its table, row and column."""
+    rows = payload.variant_rows(_responses(spark, d), ["loan_id"], "doc", depth=6)
+    return rows.select("loan_id", "table_name", "row_path", F.explode("fields").alias("name", "value"))
+
+
+@query("variant_table", """
+with l as (select o_orderkey as k, i from orders, (values (1), (2)) v(i) where o_orderkey % 11 <> 0 and o_orderkey % 3 > 0 and o_orderkey % 2 = 0)
+select k as loan_id, '/' || (i - 1) || '/' || (j - 1) as row_path, '/' || (i - 1) as parent_path, k % 10 + j as day, cast(k * j as double) as money_value from l, range(1, 4) r(j) where j <= i + 1""")
+def variant_table(spark, d):
+    rows = payload.variant_rows(_responses(spark, d), ["loan_id"], "doc", depth=6)
+    return payload.variant_table(rows, "loans.payments", {"day": "bigint", "money_value": "double"})
+
+
 @query("names_by_score", """
 with n as (select c_custkey, c_custkey % 101 as score, c_name as registry_first, c_mktsegment as registry_last, upper(c_name) as own_first, lower(c_mktsegment) as own_last from customer)
 select c_custkey, case when score >= 60 then registry_first else own_first end as first_name,

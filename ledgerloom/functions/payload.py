@@ -66,6 +66,53 @@ def flatten_nested(df: DataFrame, path: list | None = None, sep: str = "_") -> D
         df = flatten_structs(df.withColumn(following, F.explode_outer(following)), sep)
 
 
+def variant_rows(df: DataFrame, keys: list, doc: str, depth: int = 8, sep: str = "_") -> DataFrame:
+    """Documents of unknown shape as rows of tables: ``keys, table_name, row_path, fields``.
+
+    Objects become columns (names joined by ``sep``); the items of each array
+    become rows of a table of their own, named by the path to the array, so
+    sibling arrays are never paired. ``row_path`` holds the positions of the
+    items (``/0/2``); what stands before the last position is the parent's. The
+    document itself is the table ''. ``fields`` maps column names to values as
+    text (null for a JSON null); an item that is a plain value has the column
+    ``value``.
+
+    Every level opens all objects and arrays of the level before and passes
+    plain values on, so it is one pass without a shuffle up to the rows, which
+    meet by document and path. Levels below ``depth`` stay JSON text, so nothing
+    is lost. Documents that are no JSON, and objects, items and documents
+    without a plain value, give no row.
+    """
+    explode = df.sparkSession.tvf.variant_explode_outer
+    work = df.select(*keys, F.lit("").alias("_table"), F.lit("").alias("_path"), F.lit("").alias("_name"), F.try_parse_json(F.col(doc).cast("string")).alias("_v"))
+    for _ in range(depth):
+        opened = work.lateralJoin(explode(F.col("_v").outer()))
+        item, member = F.col("pos").isNotNull() & F.col("key").isNull(), F.col("key").isNotNull()
+        inner = F.concat_ws(".", F.nullif(F.col("_table"), F.lit("")), F.when(F.col("_name") != "", F.col("_name")).when(F.col("_path") != "", "items"))
+        work = opened.select(
+            *keys, F.when(item, inner).otherwise(F.col("_table")).alias("_table"),
+            F.when(item, F.concat("_path", F.lit("/"), F.col("pos").cast("string"))).otherwise(F.col("_path")).alias("_path"),
+            F.when(item, "").when(member, F.concat_ws(sep, F.nullif(F.col("_name"), F.lit("")), "key")).otherwise(F.col("_name")).alias("_name"),
+            F.when(item | member, F.col("value")).otherwise(F.col("_v")).alias("_v"))
+    text = F.to_json("_v")
+    nested = text.startswith("{") | text.startswith("[")
+    value = F.when(nested, text).otherwise(F.try_variant_get("_v", "$", "string"))
+    leaves = work.filter(F.col("_v").isNotNull() & ~text.isin("{}", "[]")).select(
+        *keys, F.col("_table").alias("table_name"), F.col("_path").alias("row_path"),
+        F.struct(F.when(F.col("_name") == "", "value").otherwise(F.col("_name")).alias("name"), value.alias("value")).alias("_field"))
+    rows = leaves.groupBy(*keys, "table_name", "row_path").agg(F.array_sort(F.collect_list("_field")).alias("_fields"))
+    one = F.filter("_fields", lambda x, i: (i == 0) | (F.get("_fields", i - 1)["name"] != x["name"]))
+    return rows.select(*keys, "table_name", "row_path", F.map_from_entries(one).alias("fields"))
+
+
+def variant_table(rows: DataFrame, name: str, columns: dict) -> DataFrame:
+    """One table of ``variant_rows`` with typed columns: name → type. Values that do not fit are null."""
+    rest = [c for c in rows.columns if c not in ("table_name", "row_path", "fields")]
+    return rows.filter(F.col("table_name") == name).select(
+        *rest, "row_path", F.regexp_replace("row_path", "/[0-9]+$", "").alias("parent_path"),
+        *[F.col("fields")[c].try_cast(kind).alias(c) for c, kind in columns.items()])
+
+
 def snake_case(name: str) -> str:
     """camelCase → snake_case, with a repeated word kept only once."""
     out = []

@@ -181,6 +181,24 @@ def test_common_lengths_of_long_texts(spark):
     assert got == {i: (longest(a, b),) * 2 for i, (a, b) in enumerate(pairs)}
 
 
+def test_variant_rows_of_any_shape(spark):
+    docs = [(1, '{"a": 1, "b": null, "c": {"x": "s", "y": {"z": 1.5}}, "l": [{"p": 1, "q": [{"r": 1}, {"r": 2, "s": []}]}, {"p": 2}], "m": [10, "[]", [7, 8]], "e": {}, "f": []}'),
+            (2, None), (3, "[]"), (4, "not json"), (5, '[{"k": true}, 3]'), (6, '"text"'), (7, '{"only": [{"deep": [[{"x": 1}]]}]}'), (1, '{"a": 9}')]
+    df = spark.createDataFrame(docs, "id int, doc string").withColumns({"key": F.lit("clash"), "pos": F.lit(1), "value": F.lit("clash")})
+    got = sorted((r.id, r.table_name, r.row_path, sorted(r.fields.items())) for r in payload.variant_rows(df.filter("not (id = 1 and doc like '%9%')"), ["id"], "doc").collect())
+    assert got == [
+        (1, "", "", [("a", "1"), ("b", None), ("c_x", "s"), ("c_y_z", "1.5")]), (1, "l", "/0", [("p", "1")]), (1, "l", "/1", [("p", "2")]),
+        (1, "l.q", "/0/0", [("r", "1")]), (1, "l.q", "/0/1", [("r", "2")]), (1, "m", "/0", [("value", "10")]), (1, "m", "/1", [("value", "[]")]),
+        (1, "m.items", "/2/0", [("value", "7")]), (1, "m.items", "/2/1", [("value", "8")]),
+        (5, "", "/0", [("k", "true")]), (5, "", "/1", [("value", "3")]), (6, "", "", [("value", "text")]), (7, "only.deep.items", "/0/0/0", [("x", "1")])]
+    cut = payload.variant_rows(df.filter("id = 7"), ["id"], "doc", depth=3).collect()
+    assert [(r.table_name, r.row_path, r.fields) for r in cut] == [("only", "/0", {"deep": '[[{"x":1}]]'})]
+    clash = spark.createDataFrame([(1, '{"a_b": 2, "a": {"b": 1}}')], "id int, doc string")
+    assert [r.fields for r in payload.variant_rows(clash, ["id"], "doc").collect()] == [{"a_b": "1"}]
+    wide = payload.variant_table(payload.variant_rows(df.filter("id <> 1 or doc like '%null%'"), ["id"], "doc"), "l.q", {"r": "int", "none": "string"})
+    assert sorted(tuple(r) for r in wide.collect()) == [(1, "/0/0", "/0", 1, None), (1, "/0/1", "/0", 2, None)]
+
+
 def test_full_name_drops_missing_parts(spark):
     df = spark.createDataFrame([("Ann", None, "LEE")], "a string, b string, c string")
     assert df.select(text.full_name(F.col("a"), F.col("b"), F.col("c"))).first()[0] == "ann lee"
