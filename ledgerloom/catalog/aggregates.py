@@ -30,8 +30,7 @@ def monthly_then_mean(spark, d):
 @query("distinct_counts", """
 select flag, count(distinct loan_id) as n_loans, count(distinct part_id) as n_parts, count(distinct staff_id) as n_staff from repayments group by flag""", ("repayments",))
 def distinct_counts(spark, d):
-    return repayments(spark, d).groupBy("flag").agg(
-        F.countDistinct("loan_id").alias("n_loans"), F.countDistinct("part_id").alias("n_parts"), F.countDistinct("staff_id").alias("n_staff"))
+    return aggregate.distinct_counts(repayments(spark, d), ["flag"], {"n_loans": "loan_id", "n_parts": "part_id", "n_staff": "staff_id"})
 
 
 @query("monthly_totals", """

@@ -1,4 +1,6 @@
 """Grouped measures. All of them merge rows before the shuffle."""
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.numbers import positive_part
@@ -55,3 +57,20 @@ def signed_differences(df: DataFrame, pairs: dict) -> DataFrame:
 def share(condition: Column) -> Column:
     """Part of the rows that meet the condition."""
     return F.count_if(condition) / F.count(F.lit(1))
+
+
+def distinct_counts(df: DataFrame, keys: list, measures: dict) -> DataFrame:
+    """Exact distinct counts of several whole-number ids, for few groups: name → column. Null ids do not count.
+
+    Each measure reads its own column and marks ids as bits, 32,768 to a bucket:
+    a task sends at most 4 KB for a group and bucket, whatever the rows, where a
+    plain distinct count sends every distinct id of every measure. A group that
+    has most rows is spread over its buckets. For ids that lie close together
+    (numbers given in order, days); scattered ones have a bucket each.
+    """
+    parts = []
+    for name, column in measures.items():
+        ids = df.select(*keys, F.col(column).cast("long").alias("_id"))
+        bits = ids.groupBy(*keys, F.bitmap_bucket_number("_id").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("_bits"))
+        parts.append(bits.select(*keys, *[(F.bitmap_count("_bits") if n == name else F.lit(0).cast("long")).alias(n) for n in measures]))
+    return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])

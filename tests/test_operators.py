@@ -341,3 +341,12 @@ def test_surrogate_keys_repeat(spark):
     df = spark.createDataFrame([(1, T(2024, 1, 1))], "k int, valid_from timestamp")
     key = lambda: df.select(merge.surrogate_key(F.lit("t"), ["k"])).first()[0]
     assert key() == key()
+
+
+def test_distinct_counts_without_expand(spark, rows, plan):
+    random.seed(4)
+    data = [(random.choice(["hot"] * 9 + ["a", "b", None]), random.choice([None, -5, 0, 1, 32767, 32768, 32769, 10**12, 7]), i % 977, None) for i in range(5000)]
+    df = spark.createDataFrame(data + [("only nulls", None, None, None)], "k string, a long, b int, c long")
+    out = aggregate.distinct_counts(df, ["k"], {"n_a": "a", "n_b": "b", "n_c": "c"})
+    assert rows(out, "k", "n_a", "n_b", "n_c") == rows(df.groupBy("k").agg(F.countDistinct("a"), F.countDistinct("b"), F.countDistinct("c")))
+    assert "Expand" not in plan(out) and aggregate.distinct_counts(df.limit(0), ["k"], {"n": "a"}).count() == 0
