@@ -41,13 +41,13 @@ def newer_files(spark, d):
 
 @query("load_audit", """
 with days as (select cast(unnest(generate_series(date '2023-12-30', date '2024-01-31', interval 1 day)) as date) as file_date), n as (select cast(ts as date) as file_date, count(*) as n_rows from events group by 1)
-select 'events' as source, file_date, coalesce(n_rows, 0) as n_rows, case when file_date = date '2023-12-31' then 'empty' when n_rows is null then 'missing' else 'loaded' end as status from days left join n using (file_date)""")
+select 'events' as source, file_date, case when n_rows is null and file_date <> date '2023-12-31' then 0 else 1 end as n_files, coalesce(n_rows, 0) as n_rows, case when file_date = date '2023-12-31' then 'empty' when n_rows is null then 'missing' else 'loaded' end as status from days left join n using (file_date)""")
 def load_audit(spark, d):
     days = day_spine(spark, F.lit(dt.date(2023, 12, 30)), F.lit(dt.date(2024, 1, 31)), "file_date")
     path = _landed(spark, d)
     # A file with a header and no rows.
     spark.createDataFrame([("|".join(c.split()[0] for c in _DUMP.split(", ")),)], "value string").coalesce(1).write.text(f"{path}/event_date=2023-12-31")
-    return readers.load_audit(_dump(spark, path), readers.list_files(spark, path, "part-*"), "events", days).drop("n_files")
+    return readers.load_audit(_dump(spark, path), readers.list_files(spark, path, "part-*"), "events", days)
 
 
 @query("text_dump", "select cast(c_custkey as varchar) as id, c_name as name, c_mktsegment as segment from customer")

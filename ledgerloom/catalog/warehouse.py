@@ -106,13 +106,13 @@ def transactions_extract(spark, d):
 
 
 @query("transactions_of_month", _TXN_SQL + """
-select t.transaction_id, t.loan_id, t.transaction_date, t.amount, p.p_brand as receipt_number from t join orders on o_orderkey = t.loan_id
+select t.transaction_id, t.loan_id, t.transaction_date, t.amount, p.p_brand as receipt_number, is_reversed = 1 as is_reversed from t join orders on o_orderkey = t.loan_id
 left join part p on p.p_partkey = t.payment_id and p.p_size <= 25
-where transaction_type in (1, 2) and is_reversed = 1 and office_id = 2 and transaction_date between date '2000-02-01' and date '2000-02-29'""")
+where transaction_type in (1, 2) and office_id = 2 and transaction_date between date '2000-02-01' and date '2000-02-29'""")
 def transactions_of_month(spark, d):
     tenant = Tenant("retail", 2)
-    _, gone = extract.transactions_of_month(tenant, loans(spark, d), _core_transactions(spark, d), *_payments(spark, d), 2000, 2)
-    return gone.select("transaction_id", "loan_id", "transaction_date", "amount", "receipt_number")
+    valid, gone = extract.transactions_of_month(tenant, loans(spark, d), _core_transactions(spark, d), *_payments(spark, d), 2000, 2)
+    return valid.unionByName(gone).select("transaction_id", "loan_id", "transaction_date", "amount", "receipt_number", (F.col("is_reversed") == 1).alias("is_reversed"))
 
 
 @query("load_transactions", """
@@ -254,18 +254,26 @@ def drop_fact_duplicates(spark, d):
 
 @query("key_resolution", """
 select loan_id, 'C' || l.client_id as client_key, 'P' || (loan_id % 2000) as product_key, case when loan_status <> 700 then 'S' || loan_status end as status_key,
-  s.s_name as officer_key, case when loan_id % 2 = 0 then 'individual' else 'group' end as loan_type
+  s.s_name as officer_key, case when loan_id % 2 = 0 then 'individual' else 'group' end as loan_type, r.r_name as transaction_strategy, 'every ' || (loan_id % 3) as term_frequency,
+  l.client_id % 3 <> 0 as is_npa, l.client_id % 2 <> 0 as accounting_recognised, case when l.client_id % 5 > 0 then l.client_id % 4 <> 0 end as sync_with_meeting, false as variable_instalments
 from loans l join clients c on c.client_id = l.client_id and c.segment <> 'BUILDING' join part p on p.p_partkey = loan_id % 2000
-left join supplier s on s.s_suppkey = loan_id % 150""", ("loans", "clients"))
+left join supplier s on s.s_suppkey = loan_id % 150 left join region r on r.r_regionkey = loan_id % 7""", ("loans", "clients"))
 def key_resolution(spark, d):
-    src = loans(spark, d).withColumns({"product_id": F.col("loan_id") % 2000, "officer_id": F.col("loan_id") % 150, "loan_type_id": F.col("loan_id") % 2})
+    """Surrogate keys, the three looked-up codes (some without a text) and the four flags (0, 1, other numbers and none)."""
+    key, client = F.col("loan_id"), F.col("client_id")
+    src = loans(spark, d).withColumns({
+        "product_id": key % 2000, "officer_id": key % 150, "loan_type_id": key % 2, "transaction_strategy_id": key % 7, "term_frequency_id": key % 3,
+        "is_npa": client % 3, "accounting_recognised": client % 2, "sync_with_meeting": F.when(client % 5 > 0, client % 4), "variable_instalments": F.lit(0)})
     c = clients(spark, d).filter("segment <> 'BUILDING'").select(F.col("client_id").alias("core_id"), F.concat(F.lit("C"), F.col("client_id").cast("string")).alias("surrogate_id"))
     p = table(spark, d, "part").select(F.col("p_partkey").alias("core_id"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("surrogate_id"))
     s = loans(spark, d).filter("loan_status <> 700").select(F.col("loan_status").alias("core_id")).distinct().withColumn("surrogate_id", F.concat(F.lit("S"), F.col("core_id").cast("string")))
     o = table(spark, d, "supplier").select(F.col("s_suppkey").alias("core_id"), F.col("s_name").alias("surrogate_id"))
     e = table(spark, d, "region").filter("r_regionkey < 2").select(F.lit("loan_type").alias("enum_name"), F.col("r_regionkey").alias("enum_id"),
                                                                   F.when(F.col("r_regionkey") == 0, "individual").otherwise("group").alias("enum_value"))
-    return extract.resolve_keys(src, c, p, s, o, e).select("loan_id", "client_key", "product_key", "status_key", "officer_key", "loan_type")
+    e = e.unionByName(table(spark, d, "region").select(F.lit("transaction_strategy").alias("enum_name"), F.col("r_regionkey").alias("enum_id"), F.col("r_name").alias("enum_value"))).unionByName(
+        table(spark, d, "region").filter("r_regionkey < 3").select(F.lit("term_frequency").alias("enum_name"), F.col("r_regionkey").alias("enum_id"),
+                                                                  F.concat(F.lit("every "), F.col("r_regionkey").cast("string")).alias("enum_value")))
+    return extract.resolve_keys(src, c, p, s, o, e).select("loan_id", "client_key", "product_key", "status_key", "officer_key", *extract.ENUMS, *extract.FLAGS)
 
 
 @query("loan_fact", """

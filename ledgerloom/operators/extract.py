@@ -1,7 +1,7 @@
 """Extracts that build the warehouse tables, parameterised by tenant."""
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.functions.dates import month_window
@@ -218,6 +218,20 @@ def collections_entity(rows: DataFrame, current: DataFrame, key: str, parents: l
     return out.dropDuplicates()
 
 
+def contact_statuses(statuses: DataFrame, types: DataFrame, current: DataFrame) -> DataFrame:
+    """New contact statuses with the title of their type, if it has one."""
+    titles = types.select(F.col("id").alias("contact_type_id"), F.col("title").alias("contact_type"))
+    named = statuses.join(titles, "contact_type_id", "left")
+    return collections_entity(named.select(F.col("id").alias("core_id"), "title", "description", "contact_type"), current, "core_id", [])
+
+
+def drop_unknown(current: DataFrame, core: DataFrame, key: str, core_key: str, where: Column) -> DataFrame:
+    """The table without rows of a kind (``where``) that the core system does not have; other rows are not looked at."""
+    kind = F.coalesce(where, F.lit(False))
+    known = merge.keep_known(current.filter(kind), core, key, core_key)
+    return known.unionByName(current.filter(~kind))
+
+
 def correct_keys(facts: DataFrame, core: DataFrame, key: str, column: str) -> DataFrame:
     """Facts with the core system's value where it differs from the stored one."""
     truth = core.select(key, F.col(column).alias("_truth"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.functions import text
 from ledgerloom.functions.dates import as_date, shift_months
 from ledgerloom.operators import merge
-from ledgerloom.sources.readers import csv_after_preamble, latest_files
+from ledgerloom.sources.readers import csv_after_preamble, latest_files, newest_files
 
 # Statement columns in file order, lines before the data, time format.
 STATEMENT_SCHEMA = ("receipt_number string, completion_time string, initiation_time string, details string, transaction_status string, "
@@ -31,6 +31,25 @@ def load_statements(current: DataFrame, statement: DataFrame) -> DataFrame:
     return merge.upsert(current, statement.select(current.columns), ["receipt_number", "details"], ["completion_time", "initiation_time", "transaction_status"])
 
 
+def replace_when_newer(spark, path: str, schema, pattern: str, stored: DataFrame, **options) -> DataFrame:
+    """A list that each delivery replaces: the newest file's rows in place of the stored rows of the newest day, if the file is newer.
+
+    The files' days come from the listing; a delivery that is not newer is not opened.
+    """
+    until = stored.agg(F.max("file_date")).first()[0]
+    fresh = newest_files(spark, path, schema, pattern, loaded_until=until, **options)
+    if fresh is None:
+        return stored
+    kept = stored.filter(F.col("file_date") != F.lit(until)) if until is not None else stored
+    return kept.unionByName(fresh.select(stored.columns))
+
+
+def location_mapping(current: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Places of shops, known by short code and till; a delivered row takes the place of the stored one."""
+    rest = [c for c in current.columns if c not in ("short_code", "till_number")]
+    return merge.upsert(current, delivered.select(current.columns), ["short_code", "till_number"], rest)
+
+
 def whitelist_rows(spark, path: str, schema: str) -> DataFrame:
     """Whitelist export: ruler line below the header, row count at the end."""
     rows = csv_after_preamble(spark, path, schema, 2)

@@ -1,4 +1,5 @@
 """Readers. Schemas are given, never inferred; bad rows are kept aside."""
+import csv
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -161,6 +162,21 @@ def lookup(spark: SparkSession, path: str, renames: dict) -> DataFrame:
     return raw.select([F.trim(F.col(f"`{src}`")).alias(dst) for src, dst in renames.items()])
 
 
+def sheet(spark: SparkSession, path: str, renames: dict, header_line: int) -> DataFrame:
+    """A sheet saved as CSV whose header stands at a line of its own below titles: named columns under their warehouse names, as text.
+
+    The driver reads the one header line; blanks around names and values go, rows without any of the columns are left out.
+    """
+    lines = file_lines(spark, path)
+    head = lines.filter(F.col("line") == header_line).select("value").first()
+    names = [] if head is None else [(n or "").strip() for n in next(csv.reader([head[0]]))]
+    missing = [c for c in renames if c not in names]
+    if missing:
+        raise ValueError(f"no column {missing} in line {header_line}: {names}")
+    raw = csv_after_preamble(spark, path, ", ".join(f"c{i} string" for i in range(len(names))), header_line + 1)
+    return raw.select([F.nullif(F.trim(F.col(f"c{names.index(src)}")), F.lit("")).alias(dst) for src, dst in renames.items()]).dropna("all")
+
+
 def as_of_latest(df: DataFrame, column: str) -> DataFrame:
     """Rows that carry the largest value of a column (newest model version). The
     largest value is a scalar subquery, so the filter stays in the scan."""

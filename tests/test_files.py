@@ -42,6 +42,24 @@ def test_newest_files_come_from_the_listing(spark, tmp_path, rows):
     assert read(D(2024, 1, 6)) is None and rows(read(D(2024, 1, 5)), "id") == [(2,)]
 
 
+def test_a_list_is_replaced_by_a_newer_one_only(spark, tmp_path, rows):
+    write(tmp_path / "list_2024-01-05.csv", "name,v\na,1\nb,2\n")
+    listed = lambda data: spark.createDataFrame([(n, v, d) for n, v, d in data], "name string, v int, file_date date")
+    load = lambda stored: rows(ingest.replace_when_newer(spark, str(tmp_path), "name string, v int", "list_*", stored))
+    new = [("a", 1, D(2024, 1, 5)), ("b", 2, D(2024, 1, 5))]
+    assert load(listed([])) == new
+    assert load(listed([("x", 9, D(2024, 1, 5))])) == [("x", 9, D(2024, 1, 5))]
+    assert load(listed([("x", 9, D(2024, 1, 4)), ("y", 9, D(2024, 1, 1))])) == sorted([*new, ("y", 9, D(2024, 1, 1))])
+
+
+def test_sheet_with_titles(spark, tmp_path, rows):
+    write(tmp_path / "s.csv", 'Title,,\n\n Name ,"Code, short",Other\n"x\ny", 1 ,z\n,,only other\n,2,\n')
+    got = readers.sheet(spark, str(tmp_path / "s.csv"), {"Code, short": "code", "Name": "name"}, 2)
+    assert rows(got) == [("1", "x\ny"), ("2", None)]
+    with pytest.raises(ValueError):
+        readers.sheet(spark, str(tmp_path / "s.csv"), {"Nothing": "n"}, 2)
+
+
 def test_latin1(spark, tmp_path):
     write(tmp_path / "a.csv", "name\nJosé\n", "iso-8859-1")
     assert readers.csv_files(spark, str(tmp_path), "name string", encoding="ISO-8859-1").first().name == "José"
