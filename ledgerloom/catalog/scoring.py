@@ -140,19 +140,23 @@ def limits_before(spark, d):
 
 
 @query("agent_limits", """
-select agent_id, cast(total_score as bigint) as total_score, current_limit, previous_limit, previous_m_limit, previous_2m_limit, held as limit_after_stabilisation, final_limit,
+select *, case rules_summary when 'All rules passed. ' then ' Limits assigned per lending criteria ' when 'Limit below product min ' then ' Limits assigned less than product thresholds'
+  when 'Inconsistent Repayments. ' then ' You have been inconsistent in paying your loans on time - please consistently pay your loans on time'
+  else ' Based on historical and current information on your business and loan history, you do not currently meet our lending criteria' end as communication,
+  case rules_summary when 'All rules passed. ' then ' F001' when 'Limit below product min ' then ' D001' when 'Inconsistent Repayments. ' then ' A001' else ' C004' end as reason_code
+from (select agent_id, cast(total_score as bigint) as total_score, current_limit, previous_limit, previous_m_limit, previous_2m_limit, held as limit_after_stabilisation, final_limit,
   final_limit > 0 and total_score >= 600 as is_qualified, case when final_limit > 0 and total_score >= 600 then case when limit_factor = 0 then 'Inconsistent Repayments. ' else 'All rules passed. ' end
   when trading_consistency_score <= 0 then 'Trading consistency is below set threshold and total score is < 600. '
   when average_daily_debit_score <= 0 then 'Average daily debit amount is below set threshold and total score is < 600. '
   when total_score < 600 then 'Total score is below 600. ' when age_on_network_score <= 0 then 'Age on network is below set threshold and total score is < 600. '
   when recency_in_months_score <= 0 then 'Number of months with no activity is below set threshold and total score is < 600. '
   when unique_number_of_commissions_score <= 0 then 'Number of commission payments is below set threshold and total score is < 600. '
-  when limit_factor = 0 then 'Inconsistent Repayments. ' else 'Limit below product min ' end as rules_summary from stable""", _FULL)
+  when limit_factor = 0 then 'Inconsistent Repayments. ' else 'Limit below product min ' end as rules_summary from stable)""", _FULL)
 def agent_limits(spark, d):
     """The whole scoring run: activity, loans and history to published limits."""
     out = agents.score_agents(activity(spark, d), _agents(spark, d), loans(spark, d), repayments(spark, d), _results(spark, d), EVENTS_AS_OF)
     return out.select("agent_id", F.col("total_score").cast("long").alias("total_score"), "current_limit", "previous_limit", "previous_m_limit",
-                      "previous_2m_limit", "limit_after_stabilisation", "final_limit", "is_qualified", "rules_summary")
+                      "previous_2m_limit", "limit_after_stabilisation", "final_limit", "is_qualified", "rules_summary", "communication", "reason_code")
 
 
 @query("graduation", """
@@ -410,13 +414,16 @@ def limits_to_share(spark, d):
 
 
 @query("salary_narrations", """
-select client_id, case when not is_qualified_on_salaries then ' B005' when not bureau_qualified then 'C005' when not latest_covers_minimum then ' B005' when debt_share > 0.5 then 'C004'
+with texts as (select * from (values (' B005', 'Client has not received consistent salary payment in recent months'), ('B005', 'Client has not received consistent salary payment in recent months'),
+  ('C005', 'inadequate payment history to check'), ('C004', 'Client has high debt exposure'), (' D006', 'Client has high number of running loans'),
+  (' F001', 'Limits assigned per lending criteria '), (' D001', 'Limits assigned less than product thresholds'), ('Employer not eligible', 'Employer not eligible')) t(code, words))
+select c.*, a.words as rules_summary, b.words as payday_rules_summary from (select client_id, case when not is_qualified_on_salaries then ' B005' when not bureau_qualified then 'C005' when not latest_covers_minimum then ' B005' when debt_share > 0.5 then 'C004'
   when count_of_running_loans > 5 then ' D006' when (limit_6m > 0 or limit_3m > 0) and bureau_qualified and (is_3m_qualified or (is_6m_qualified and tenure_passes)) then ' F001' else ' D001' end as reason_code,
   case when not (is_government or is_multinational) then 'Employer not eligible' when not payday_is_qualified_on_salaries then ' B005' when not payday_bureau_qualified then 'C005'
   when not payday_latest_covers_minimum then 'B005' when payday_debt_share > 0.5 then 'C004' when count_of_running_loans > 5 then ' D006' when limit_1m > 0 and is_1m_qualified then ' F001' else ' D001' end as payday_reason_code
-from decided""", _DECIDED)
+from decided) c join texts a on a.code = c.reason_code join texts b on b.code = c.payday_reason_code""", _DECIDED)
 def salary_narrations(spark, d):
-    return salary.narrations(_decided(spark, d)).select("client_id", "reason_code", "payday_reason_code")
+    return salary.narrations(_decided(spark, d)).select("client_id", "reason_code", "payday_reason_code", "rules_summary", "payday_rules_summary")
 
 
 @query("publish_limits", """
