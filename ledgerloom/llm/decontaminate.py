@@ -10,6 +10,7 @@ checked.
 """
 from __future__ import annotations
 
+import itertools
 import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -214,7 +215,7 @@ def _overlaps(docs: DataFrame, passes: Passes, id_col: str, text_col: str) -> Da
     every = parts[0]
     for more in parts[1:]:
         every = every.unionByName(more)
-    return every.groupBy("block", "place").applyInArrow(_merge, VERDICT)
+    return every.groupBy("block").applyInArrow(_merge, VERDICT)
 
 
 def _partial(block: int, rows: pa.Table, loaded: list[Tests]) -> pa.Table:
@@ -228,13 +229,19 @@ def _partial(block: int, rows: pa.Table, loaded: list[Tests]) -> pa.Table:
 
 
 def _merge(key, table):
-    rows = table.to_pylist()
-    change = np.zeros(rows[0]["n_words"] + 1, np.int64)
-    for r in rows:
-        np.add.at(change, np.array(r["starts"], np.int64), 1)
-        np.add.at(change, np.array(r["stops"], np.int64), -1)
-    n_hit = int((np.cumsum(change) > 0).sum())
-    return _verdicts([rows[0]["doc_id"]], [rows[0]["n_words"]], [n_hit], [{i for r in rows for i in r["items"]}])
+    """A block's documents with what each pass has found in them."""
+    ids, sizes, hits, items = [], [], [], []
+    for _, group in itertools.groupby(sorted(table.to_pylist(), key=lambda r: r["place"]), key=lambda r: r["place"]):
+        rows = list(group)
+        change = np.zeros(rows[0]["n_words"] + 1, np.int64)
+        for r in rows:
+            np.add.at(change, np.array(r["starts"], np.int64), 1)
+            np.add.at(change, np.array(r["stops"], np.int64), -1)
+        ids.append(rows[0]["doc_id"])
+        sizes.append(rows[0]["n_words"])
+        hits.append(int((np.cumsum(change) > 0).sum()))
+        items.append({i for r in rows for i in r["items"]})
+    return _verdicts(ids, sizes, hits, items)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -282,12 +289,17 @@ def _longest(ids, found: w.Words, test: Tests) -> pa.Table:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                    item_text_col: str = "text", pass_text: int = PASS_TEXT, block_text: int = BLOCK_TEXT) -> DataFrame:
-    """The documents, all columns, without contaminated ones: by row in one pass; if the benchmark takes several, rows that repeat an id go together."""
+    """The documents, all columns, without contaminated ones. Each row is judged by its own text, however many passes the benchmark takes
+    and whatever ids repeat; if it takes several, the documents are stored with a number for each row, which the passes report by."""
     spark = docs.sparkSession
     passes = _passes(benchmark, item_col, item_text_col, b.Scratch(spark, "benchmark"), pass_text, block_text)
     if len(passes.groups) > 1:
-        bad = _overlaps(docs, passes, id_col, text_col).filter("contaminated").select("doc_id").distinct()
-        return docs.alias("d").join(bad.alias("b"), F.col(f"d.{id_col}").eqNullSafe(F.col("b.doc_id")), "left_anti")
+        row = "_row"
+        while row in docs.columns:
+            row += "_"
+        stored = b.Scratch(spark, "decontaminated").save(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+        bad = _overlaps(stored, passes, row, text_col).filter("contaminated").select(F.col("doc_id").alias("_bad"))
+        return stored.alias("d").join(bad.alias("b"), F.col(f"d.{row}") == F.col("b._bad"), "left_anti").drop(row)
     payloads = spark.sparkContext.broadcast(_tests_of(passes.packed, passes.groups[0]))
 
     def each(batches):

@@ -2,10 +2,14 @@
 
 A column of texts is one run of UTF-8 bytes with offsets. Words are found with
 byte classes, so all character classes here are sets of ASCII bytes plus "all
-bytes of 0x80 and above". Hashes are 64 bits and depend on the bytes alone.
+bytes of 0x80 and above". Hashes are 64 bits and depend on the bytes alone:
+polynomials of the bytes modulo 2^64, many words at a time; words of over 32
+bytes are digested one by one, as long alternating patterns can make two
+polynomials equal whatever their multiplier is.
 """
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -13,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 19  # bytes hashed at a time, so that the arrays stay in cache
+LONG = 32        # bytes of a word from which it is digested
 
 
 def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
@@ -142,6 +147,9 @@ def find(data: np.ndarray, at: np.ndarray, inside: np.ndarray = UNBLANK, fold: n
         np.cumsum(values[data[a:b]] * powers(b - a), out=sums[1:])
         s, e = start[i:j] - a, end[i:j] - a
         hashes[i:j] = mix((sums[e] - sums[s]) * powers(b - a, -1)[s] + (e - s).astype(np.uint64))
+    for k in np.flatnonzero(end - start > LONG).tolist():
+        raw = fold[data[start[k]:end[k]]].tobytes()
+        hashes[k] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
     return Words(hashes, start, end, np.searchsorted(start, at))
 
 

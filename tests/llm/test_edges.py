@@ -55,8 +55,30 @@ def test_contamination(frame, awkward, sure, bench, options):
     want = brute.contamination(pairs(awkward), ITEMS)
     assert sure(got) == sure(want)
     kept = decontaminate.decontaminated(frame(awkward), bench, **options)
-    if not options:
-        assert sure((r["doc_id"],) for r in kept.collect()) == sure((w[0],) for w in want if not w[5])
+    assert kept.columns == frame(awkward).columns
+    assert sure((r["doc_id"],) for r in kept.collect()) == sure((w[0],) for w in want if not w[5])
+
+
+@pytest.mark.parametrize("options", [{}, {"pass_text": 60, "block_text": 50}])
+def test_rows_of_one_id_are_judged_alone(spark, bench, options):
+    passage = " ".join(f"shared{k}" for k in range(10, 30))
+    docs = spark.createDataFrame([(1, passage, 7), (1, "clean twin", 8), (2, "clean", 9), (None, passage, 1), (None, "clean", 2)], "doc_id long, text string, _row int")
+    kept = decontaminate.decontaminated(docs, bench, **options)
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), r["text"], r["_row"]) for r in kept.collect()) == [("1", "clean twin", 8), ("2", "clean", 9), ("None", "clean", 2)]
+
+
+def alternating(n, one="a", other="b"):
+    """A pattern of Thue and Morse; with its complement it makes equal polynomials modulo a power of two."""
+    return "".join(one if bin(k).count("1") % 2 == 0 else other for k in range(n))
+
+
+@pytest.mark.parametrize("n", [64, 1024, 2048])
+def test_alternating_words_stay_apart(frame, sure, n):
+    head, x, y = " ".join(f"w{k}" for k in range(34)), alternating(n), alternating(n, "b", "a")
+    rows = [(1, f"{head} {x}", "a"), (2, f"{head} {y}", "a"), (3, x, "b"), (4, y, "b")]
+    assert sure(window_dedup.repeated_windows(frame(rows)).collect()) == sure(brute.substrings(pairs(rows)))
+    assert sure(chosen_path.near_duplicates(frame(rows), percent=85).collect()) == sure(brute.near(pairs(rows), 85))
 
 
 def test_no_benchmark(frame, awkward, bench):
