@@ -11,7 +11,9 @@ the tasks (its size is checked). Nothing is trained and nothing is shuffled.
 """
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -27,7 +29,8 @@ MOST_PIECES = 1 << 20  # a larger vocabulary is refused, as every task holds it
 SPACE = "▁"       # stands for the gap before a word in such files
 OFFSET = 2.7           # of ranks, for scores by Zipf and Mandelbrot
 UNKNOWN = 10.0         # how far an unknown character scores below the rarest piece
-NODES, WORDS = 400_000, 200_000  # of a task's trie and its table of words, before it starts afresh
+NODES = 400_000        # of a task's trie, before it starts afresh
+WORDS = 600_000        # in a task's table of counts, before the older half goes
 LONG = 256             # characters from which a word is not put into the trie
 RESULT = "doc_id long, n_words long, n_tokens long"
 
@@ -36,12 +39,14 @@ class Vocabulary(NamedTuple):
     scores: dict[str, float]
     longest: int
     unknown: float  # score of a character that is no piece; it counts as its bytes
+    ends: dict[str, float | None]  # all that a piece may end with, and its score if it is a piece itself
 
 
 def of_scores(scores: dict[str, float]) -> Vocabulary:
     if len(scores) > MOST_PIECES:
         raise ValueError(f"{len(scores)} pieces; at most {MOST_PIECES} go to every task")
-    return Vocabulary(scores, max(map(len, scores), default=1), min(scores.values(), default=0.0) - UNKNOWN)
+    ends: dict[str, float | None] = {piece[k:]: None for piece in scores for k in range(1, len(piece))}
+    return Vocabulary(scores, max(map(len, scores), default=1), min(scores.values(), default=0.0) - UNKNOWN, ends | scores)
 
 
 def load(path: str = VOCABULARY, as_given: bool = False) -> Vocabulary:
@@ -57,18 +62,26 @@ def load(path: str = VOCABULARY, as_given: bool = False) -> Vocabulary:
     return of_scores({piece: -math.log(rank + OFFSET) for rank, (piece, _) in enumerate(pieces)})
 
 
-def _step(word: str, end: int, best: list[tuple[float, int]], known: Vocabulary) -> tuple[float, int]:
-    """Best score of the first ``end`` characters and its pieces, from those of all shorter prefixes; the fewest pieces on a tie."""
-    scores, found = known.scores, None
-    for start in range(max(0, end - known.longest), end):
-        score = scores.get(word[start:end])
+_NONE = object()
+
+
+def _step(word: str, end: int, best: Callable[[int], tuple[float, int]], known: Vocabulary) -> tuple[float, int]:
+    """Best score of the first ``end`` characters and its pieces, from those of shorter prefixes (``best``, by length); the fewest pieces on a tie.
+
+    Pieces are tried from the shortest on, as long as some piece may end so.
+    """
+    ends, found = known.ends, None
+    for start in range(end - 1, -1, -1):
+        score = ends.get(word[start:end], _NONE)
+        if score is _NONE:
+            break
         if score is not None:
-            total, n = best[start]
+            total, n = best(start)
             if found is None or total + score > found[0] or total + score == found[0] and n + 1 < found[1]:
                 found = total + score, n + 1
     char = word[end - 1]
-    if char not in scores:
-        total, n = best[end - 1]
+    if char not in known.scores:
+        total, n = best(end - 1)
         if found is None or total + known.unknown > found[0]:
             found = total + known.unknown, n + len(char.encode("utf-8", "surrogatepass"))
     return found
@@ -78,29 +91,26 @@ def count_alone(word: str, known: Vocabulary) -> int:
     """Without a trie; scores of prefixes that no further piece can reach are let go."""
     best: list = [(0.0, 0)]
     for end in range(1, len(word) + 1):
-        best.append(_step(word, end, best, known))
+        best.append(_step(word, end, best.__getitem__, known))
         if end > known.longest:
             best[end - known.longest - 1] = None
     return best[-1][1]
 
 
 class Trie:
-    """Children by node and character; of each node the best score of its prefix and the pieces in it."""
+    """Of each prefix of the words so far the best score and the pieces in it. A node is named by its prefix, so the longest known
+    prefix of a word is found from its end: most words differ from an earlier one in their last characters alone."""
 
     def __init__(self, known: Vocabulary):
-        self.known, self.children, self.best = known, {}, [(0.0, 0)]
+        self.known, self.nodes = known, {"": (0.0, 0)}
 
     def count(self, word: str) -> int:
-        children, best, node = self.children, self.best, 0
-        prefix = [best[0]]
-        for end, char in enumerate(word, 1):
-            key = node << 21 | ord(char)
-            node = children.get(key)
-            if node is None:
-                best.append(_step(word, end, prefix, self.known))
-                node = children[key] = len(best) - 1
-            prefix.append(best[node])
-        return best[node][1]
+        nodes, at = self.nodes, len(word)
+        while (best := nodes.get(word[:at])) is None:
+            at -= 1
+        for end in range(at + 1, len(word) + 1):
+            best = nodes[word[:end]] = _step(word, end, lambda start: nodes[word[:start]], self.known)
+        return best[1]
 
 
 class Counter:
@@ -110,8 +120,10 @@ class Counter:
         self.known, self.trie, self.table = known, Trie(known), {}
 
     def add(self, words: set[bytes]) -> None:
-        if len(self.trie.best) > NODES or len(self.table) + len(words) > WORDS:
-            self.trie, self.table = Trie(self.known), {}
+        if len(self.trie.nodes) > NODES:
+            self.trie = Trie(self.known)
+        if len(self.table) + len(words) > WORDS:
+            self.table = dict(itertools.islice(self.table.items(), len(self.table) // 2, None))
         for raw in words:
             if raw not in self.table:
                 word = SPACE + raw.decode("utf-8", "replace")

@@ -249,3 +249,26 @@ def alignment(rows, a_path, b_path):
         out.append((i, len(ids_a), len(ids_b), len(groups), sum(links.values()), sum(n for (p, q), n in links.items() if holders[p, q] == most[p]),
                     sum(n * holders[k] for k, n in links.items()), sha(text) if groups else ""))
     return out
+
+
+def tokens(rows, scores, unknown, space="▁"):
+    """Every word by itself: the best cut of each of its prefixes, over all pieces."""
+    counted = {}
+
+    def count(word):
+        best = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            options = [(best[k][0] + scores[word[k:end]], -best[k][1] - 1) for k in range(end) if word[k:end] in scores]
+            if word[end - 1] not in scores:
+                options.append((best[end - 1][0] + unknown, -best[end - 1][1] - len(word[end - 1].encode())))
+            total, n = max(options)
+            best.append((total, -n))
+        return best[-1][1]
+    out = []
+    for i, t in rows:
+        words = WORD.findall(t or "")
+        for x in words:
+            if x not in counted:
+                counted[x] = count(space + x)
+        out.append((i, len(words), sum(counted[x] for x in words)))
+    return out

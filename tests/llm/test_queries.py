@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from check import TABLES, compare
-from ledgerloom.llm import blocks, quality
+from ledgerloom.llm import blocks, quality, token_counts
 from ledgerloom.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
 
@@ -49,6 +49,21 @@ def test_windows(spark, texts, sure):
     assert sure(run(spark, "op4_substring_dedup")) == sure(brute.substrings(texts))
 
 
+def test_tokens(spark, texts, sure):
+    known = token_counts.load()
+    assert sure(run(spark, "op1_token_counts")) == sure(brute.tokens(texts, known.scores, known.unknown))
+
+
+def test_tokens_of_a_small_table_of_words(texts, monkeypatch):
+    """The trie and the table start afresh or lose their older half many times; counts stay."""
+    known = token_counts.load()
+    monkeypatch.setattr(token_counts, "NODES", 300)
+    monkeypatch.setattr(token_counts, "WORDS", 400)
+    counter = token_counts.Counter(known)
+    some = texts[:40]
+    assert [counter.total((t or "").encode().split()) for _, t in some] == [r[2] for r in brute.tokens(some, known.scores, known.unknown)]
+
+
 def test_near(spark, texts, sure):
     assert sure(run(spark, "op5_near_duplicates")) == sure(brute.near(texts, 85))
 
