@@ -6,7 +6,8 @@ A shard keeps its level of the trie in a mapped file: sorted contexts, pointers
 to their successors, successors counted on from the end of the context before,
 all as Elias-Fano sequences, and a quantised probability for each successor.
 It answers a block's n-grams by finding the context and, relative to it, the
-successor.
+successor, and says which n-grams no other block has: what follows those is
+counted in the block itself and never sent.
 
 Smoothing: P(w | h) = a + K / (c(h) + K) * P(w | h') with a = c(hw) / (c(h) + K),
 h' the context without its first word; the trie holds a. The lowest level is
@@ -162,7 +163,7 @@ class Grams:
             heads = np.flatnonzero(np.append(True, self.of[a + 1:z] != self.of[a:z - 1]))
             runs = np.diff(np.append(heads, z - a)).astype(np.uint32)
             context, word = self.keys[a:z][heads] & KEY, self.words[a:z] & KEY
-            out.append(b.squeezed(b.arrays_out(context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), self.totals[a:z][heads].astype(np.uint32), runs,
+            out.append(b.squeezed(b.arrays_out(context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), self.totals[a:z][heads].astype(np.uint64), runs,
                                                word.astype(np.uint32), (word >> np.uint64(32)).astype(np.uint16), self.counts[a:z])))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([block] * len(ids), pa.int64()), pa.array(out, pa.binary())],
                                           names=["shard", "block", "payload"])
@@ -174,7 +175,7 @@ def _count_words(_, payloads):
     distinct, number = w.distinct(np.concatenate([g[0] for g in got]))
     total = np.bincount(number, np.concatenate([g[1] for g in got]), minlength=len(distinct))
     head = np.array([total.sum(), (total > 0).sum()]).astype(">i8").tobytes()
-    return [head + t.astype(np.uint32).tobytes() for t in np.split(total[number], np.cumsum([len(g[0]) for g in got])[:-1])]
+    return [head + t.astype(np.uint64).tobytes() for t in np.split(total[number], np.cumsum([len(g[0]) for g in got])[:-1])]
 
 
 def _look_up(strength: float):
@@ -191,7 +192,11 @@ def _look_up(strength: float):
             level = Level(path)
             codes = level.find(contexts, words)
             del level
-        return [c.tobytes() for c in np.split(codes, np.cumsum([len(g[4]) for g in got])[:-1])]
+        # A block asks for an n-gram once, so what stands here once no other block has.
+        number = w.distinct(w.pair(contexts, words))[1]
+        alone = np.bincount(number)[number] == 1 if len(number) else np.zeros(0, bool)
+        ends = np.cumsum([len(g[4]) for g in got])[:-1]
+        return [b.arrays_out(c, np.packbits(x)) for c, x in zip(np.split(codes, ends), np.split(alone, ends))]
     return reply
 
 
@@ -201,7 +206,7 @@ class _Known:
     def __init__(self, rows: pa.Table, payloads: list[list], shards: int, n_tokens: int, n_words: int, n_texts: int):
         self.tokens = t = Tokens(rows)
         self.shards = shards
-        counts = np.concatenate([np.frombuffer(p.as_buffer(), np.uint32)[4:] for p in payloads[0]]) if payloads[0] else np.zeros(0, np.uint32)
+        counts = np.concatenate([np.frombuffer(p.as_buffer(), np.uint64)[2:] for p in payloads[0]]) if payloads[0] else np.zeros(0, np.uint64)
         self.counts = counts.astype(np.int64)
         each = (self.counts + ADDED) / (n_tokens + ADDED * (n_words + 1))
         self.base = each[t.token]
@@ -212,31 +217,44 @@ class _Known:
         self.context[t.place == 0] = len(t.words)
         self.keys = np.append(t.words, BEGIN)
         self.totals = np.append(self.counts, n_texts)
+        self.alone = np.zeros(len(self.keys), bool)  # contexts that no other block has
         self.level = 2
         for answers in payloads[1:]:
             self.learn(answers)
 
+    def _places(self, alone: bool) -> np.ndarray:
+        """Tokens in a context that training has, and that this block has alone or not."""
+        known = (self.context >= 0) & (self.totals[self.context] >= (1 if self.level > 2 else 0))
+        return np.flatnonzero(known & (self.alone[self.context] == alone))
+
     def grams(self) -> Grams:
-        at = np.flatnonzero((self.context >= 0) & (self.totals[self.context] >= (1 if self.level > 2 else 0)))
-        self.at = at
-        return Grams(self.tokens, self.context, self.keys, self.totals, at, self.shards)
+        """What the shards are asked for."""
+        return Grams(self.tokens, self.context, self.keys, self.totals, self._places(False), self.shards)
 
     def learn(self, answers: list) -> None:
         """Probabilities of this level, and the contexts of the next."""
-        grams = self.grams()
-        codes = np.concatenate([np.frombuffer(p.as_buffer(), np.uint16) for p in answers]) if answers else np.zeros(0, np.uint16)
-        part, k = decode(codes), strength_of(self.level)
-        total = self.totals[self.context[self.at]]
-        self.chance[self.at] = part[grams.where] + k / (total + k) * self.chance[self.at]
+        grams, k, t = self.grams(), strength_of(self.level), self.tokens
+        got = [b.arrays_in(p) for p in answers]
+        codes = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.uint16)
+        alone = np.concatenate([np.unpackbits(g[1], count=len(g[0])).astype(bool) for g in got]) if got else np.zeros(0, bool)
+        # In contexts of its own the block counts itself, with the same rounding.
+        asked, mine, n = self._places(False), self._places(True), max(1, len(t.words))
+        own, where = w.distinct(self.context[mine] * n + t.token[mine])
+        of, word = np.divmod(own, n)
+        counts = np.bincount(where[t.train[mine]], minlength=len(own))
+        part = decode(np.concatenate((codes, encode(counts / (self.totals[of] + k)))))
+        number = np.full(len(t.token), -1, np.int64)
+        number[asked], number[mine] = grams.where, len(codes) + where
+        total, at = self.totals[self.context], number >= 0
+        self.chance[at] = part[number[at]] + k / (total[at] + k) * self.chance[at]
         # A token's n-gram is the context of the token after it, in the same text.
-        number = np.full(len(self.tokens.token), -1, np.int64)
-        number[self.at] = grams.where
+        self.totals = np.round(part * (np.concatenate((grams.totals, self.totals[of])) + k)).astype(np.int64)
+        self.keys = np.concatenate((w.pair(grams.keys, grams.words), w.pair(self.keys[of], t.words[word])))
+        self.alone = np.concatenate((alone, np.ones(len(own), bool)))
         context = np.full(len(number), -1, np.int64)
         context[1:] = number[:-1]
-        context[self.tokens.place == 0] = -1
+        context[t.place == 0] = -1
         self.context = context
-        self.totals = np.round(part * (grams.totals + k)).astype(np.int64)
-        self.keys = w.pair(grams.keys, grams.words)
         self.level += 1
 
 
