@@ -6,8 +6,8 @@ A shard keeps its level of the trie in a mapped file: sorted contexts, pointers
 to their successors, successors counted on from the end of the context before,
 all as Elias-Fano sequences, and a quantised probability for each successor.
 It answers a block's n-grams by finding the context and, relative to it, the
-successor, and says which n-grams no other block has: what follows those is
-counted in the block itself and never sent.
+successor, and says which n-grams no other block has: longer n-grams that begin
+or end with one of those are counted in the block itself and never sent.
 
 Smoothing: P(w | h) = a + K / (c(h) + K) * P(w | h') with a = c(hw) / (c(h) + K),
 h' the context without its first word; the trie holds a. The lowest level is
@@ -170,12 +170,20 @@ class Grams:
 
 
 def _count_words(_, payloads):
-    """Total counts of words; before them the shard's tokens and distinct words, as two big-endian numbers."""
+    """Total counts of words, then a bit for each that no other block has; before them the shard's tokens and distinct words, as two
+    big-endian numbers."""
     got = [b.arrays_in(b.unsqueezed(p)) for p in payloads]
     distinct, number = w.distinct(np.concatenate([g[0] for g in got]))
     total = np.bincount(number, np.concatenate([g[1] for g in got]), minlength=len(distinct))
     head = np.array([total.sum(), (total > 0).sum()]).astype(">i8").tobytes()
-    return [head + t.astype(np.uint64).tobytes() for t in np.split(total[number], np.cumsum([len(g[0]) for g in got])[:-1])]
+    alone, ends = np.bincount(number, minlength=len(distinct)) == 1, np.cumsum([len(g[0]) for g in got])[:-1]
+    return [head + t.astype(np.uint64).tobytes() + np.packbits(x).tobytes() for t, x in zip(np.split(total[number], ends), np.split(alone[number], ends))]
+
+
+def _counted(payload) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(payload.as_buffer(), np.uint8)[16:]
+    n = len(raw) * 8 // 65  # eight bytes and a bit each
+    return raw[:8 * n].view(np.uint64), np.unpackbits(raw[8 * n:], count=n).astype(bool)
 
 
 def _look_up(strength: float):
@@ -206,7 +214,9 @@ class _Known:
     def __init__(self, rows: pa.Table, payloads: list[list], shards: int, n_tokens: int, n_words: int, n_texts: int):
         self.tokens = t = Tokens(rows)
         self.shards = shards
-        counts = np.concatenate([np.frombuffer(p.as_buffer(), np.uint64)[2:] for p in payloads[0]]) if payloads[0] else np.zeros(0, np.uint64)
+        got = [_counted(p) for p in payloads[0]]
+        counts = np.concatenate([c for c, _ in got]) if got else np.zeros(0, np.uint64)
+        alone = np.concatenate([x for _, x in got]) if got else np.zeros(0, bool)
         self.counts = counts.astype(np.int64)
         each = (self.counts + ADDED) / (n_tokens + ADDED * (n_words + 1))
         self.base = each[t.token]
@@ -217,15 +227,16 @@ class _Known:
         self.context[t.place == 0] = len(t.words)
         self.keys = np.append(t.words, BEGIN)
         self.totals = np.append(self.counts, n_texts)
-        self.alone = np.zeros(len(self.keys), bool)  # contexts that no other block has
+        self.single = alone[t.token]  # tokens that end an n-gram of the level below that no other block has
         self.level = 2
         for answers in payloads[1:]:
             self.learn(answers)
 
     def _places(self, alone: bool) -> np.ndarray:
-        """Tokens in a context that training has, and that this block has alone or not."""
+        """Tokens in a context that training has. Alone are those whose n-gram begins or ends with one that no other block has."""
         known = (self.context >= 0) & (self.totals[self.context] >= (1 if self.level > 2 else 0))
-        return np.flatnonzero(known & (self.alone[self.context] == alone))
+        begins = np.append(False, self.single[:-1]) & (self.tokens.place > 0)
+        return np.flatnonzero(known & ((begins | self.single) == alone))
 
     def grams(self) -> Grams:
         """What the shards are asked for."""
@@ -237,7 +248,7 @@ class _Known:
         got = [b.arrays_in(p) for p in answers]
         codes = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.uint16)
         alone = np.concatenate([np.unpackbits(g[1], count=len(g[0])).astype(bool) for g in got]) if got else np.zeros(0, bool)
-        # In contexts of its own the block counts itself, with the same rounding.
+        # What it has alone the block counts itself, with the same rounding.
         asked, mine, n = self._places(False), self._places(True), max(1, len(t.words))
         own, where = w.distinct(self.context[mine] * n + t.token[mine])
         of, word = np.divmod(own, n)
@@ -250,7 +261,7 @@ class _Known:
         # A token's n-gram is the context of the token after it, in the same text.
         self.totals = np.round(part * (np.concatenate((grams.totals, self.totals[of])) + k)).astype(np.int64)
         self.keys = np.concatenate((w.pair(grams.keys, grams.words), w.pair(self.keys[of], t.words[word])))
-        self.alone = np.concatenate((alone, np.ones(len(own), bool)))
+        self.single = np.append(np.concatenate((alone, np.ones(len(own), bool))), False)[number]  # the last for tokens without an n-gram
         context = np.full(len(number), -1, np.int64)
         context[1:] = number[:-1]
         context[t.place == 0] = -1
