@@ -153,6 +153,7 @@ class Grams:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.where, self.shard, self.of = rank[where], shard[order], of[order]
+        self.word, self.names = word[order], tokens.words
         self.words, self.keys, self.totals = hashes[order], keys[self.of], totals[self.of]
         self.counts = np.bincount(self.where[tokens.train[at]], minlength=len(order)).astype(np.uint32)
 
@@ -162,9 +163,12 @@ class Grams:
         for a, z in zip(starts, np.append(starts[1:], len(self.shard))):
             heads = np.flatnonzero(np.append(True, self.of[a + 1:z] != self.of[a:z - 1]))
             runs = np.diff(np.append(heads, z - a)).astype(np.uint32)
-            context, word = self.keys[a:z][heads] & KEY, self.words[a:z] & KEY
+            # Each word is named once; the n-grams hold its number among them.
+            used, number = w.distinct(self.word[a:z])
+            context, name = self.keys[a:z][heads] & KEY, self.names[used] & KEY
             out.append(b.squeezed(b.arrays_out(context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), self.totals[a:z][heads].astype(np.uint64), runs,
-                                               word.astype(np.uint32), (word >> np.uint64(32)).astype(np.uint16), self.counts[a:z])))
+                                               name.astype(np.uint32), (name >> np.uint64(32)).astype(np.uint16),
+                                               number.astype(np.uint16 if len(used) < 1 << 16 else np.uint32), self.counts[a:z])))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([block] * len(ids), pa.int64()), pa.array(out, pa.binary())],
                                           names=["shard", "block", "payload"])
 
@@ -186,24 +190,37 @@ def _counted(payload) -> tuple[np.ndarray, np.ndarray]:
     return raw[:8 * n].view(np.uint64), np.unpackbits(raw[8 * n:], count=n).astype(bool)
 
 
-def _look_up(strength: float):
+def _joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+
+
+def _look_up(strength: float, last: bool):
+    """Codes of the n-grams asked for and, before the last level, a bit for each that no other block has."""
     def reply(_, payloads):
         got = [b.arrays_in(b.unsqueezed(p)) for p in payloads]
-        contexts = np.concatenate([np.repeat(g[0].astype(np.uint64) | g[1].astype(np.uint64) << np.uint64(32), g[3]) for g in got])
-        words = np.concatenate([g[4].astype(np.uint64) | g[5].astype(np.uint64) << np.uint64(32) for g in got])
-        totals = np.concatenate([np.repeat(g[2], g[3]) for g in got])
-        counts = np.concatenate([g[6] for g in got])
-        seen = counts > 0
+        sizes = [len(g[6]) for g in got]
+        # Contexts and words are named once for a block; n-grams are pairs of their numbers.
+        contexts, context = w.distinct(np.concatenate([_joined(g[0], g[1]) for g in got]))
+        words, name = w.distinct(np.concatenate([_joined(g[4], g[5]) for g in got]))
+        context = np.repeat(context, np.concatenate([g[3] for g in got]))
+        word = name[np.concatenate([g[6].astype(np.int64) + at for g, at in zip(got, np.cumsum([0, *(len(g[4]) for g in got)]))])]
+        grams, which = w.distinct(context * max(1, len(words)) + word)
+        counts = np.bincount(which, np.concatenate([g[7] for g in got]), minlength=len(grams))
+        totals = np.zeros(len(grams), np.uint64)
+        totals[which] = np.concatenate([np.repeat(g[2], g[3]) for g in got])
+        of, word = np.divmod(grams, max(1, len(words)))
+        contexts, words, seen = contexts[of], words[word], counts > 0
         with tempfile.TemporaryDirectory() as folder:
             path = os.path.join(folder, "level")
             Level.write(path, contexts[seen], words[seen], counts[seen], totals[seen], strength)
             level = Level(path)
-            codes = level.find(contexts, words)
+            codes = level.find(contexts, words)[which]
             del level
+        ends = np.cumsum(sizes)[:-1]
+        if last:
+            return [b.arrays_out(c) for c in np.split(codes, ends)]
         # A block asks for an n-gram once, so what stands here once no other block has.
-        number = w.distinct(w.pair(contexts, words))[1]
-        alone = np.bincount(number)[number] == 1 if len(number) else np.zeros(0, bool)
-        ends = np.cumsum([len(g[4]) for g in got])[:-1]
+        alone = (np.bincount(which, minlength=len(grams)) == 1)[which]
         return [b.arrays_out(c, np.packbits(x)) for c, x in zip(np.split(codes, ends), np.split(alone, ends))]
     return reply
 
@@ -247,7 +264,7 @@ class _Known:
         grams, k, t = self.grams(), strength_of(self.level), self.tokens
         got = [b.arrays_in(p) for p in answers]
         codes = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.uint16)
-        alone = np.concatenate([np.unpackbits(g[1], count=len(g[0])).astype(bool) for g in got]) if got else np.zeros(0, bool)
+        alone = np.concatenate([np.unpackbits(g[1], count=len(g[0])).astype(bool) if len(g) > 1 else np.zeros(len(g[0]), bool) for g in got]) if got else np.zeros(0, bool)
         # What it has alone the block counts itself, with the same rounding.
         asked, mine, n = self._places(False), self._places(True), max(1, len(t.words))
         own, where = w.distinct(self.context[mine] * n + t.token[mine])
@@ -302,7 +319,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", taug
     for level in range(2, order + 1):
         def ask_grams(block, rows, payloads):
             return _Known(rows, payloads, *facts).grams().requests(block)
-        answers.append(scratch.save(b.answer(b.ask_told(packed, answers, ask_grams), _look_up(strength_of(level))), f"level{level}"))
+        answers.append(scratch.save(b.answer(b.ask_told(packed, answers, ask_grams), _look_up(strength_of(level), level == order)), f"level{level}"))
 
     def use(block, rows, payloads):
         known = _Known(rows, payloads, *facts)
