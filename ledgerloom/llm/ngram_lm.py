@@ -163,12 +163,12 @@ class Grams:
         for a, z in zip(starts, np.append(starts[1:], len(self.shard))):
             heads = np.flatnonzero(np.append(True, self.of[a + 1:z] != self.of[a:z - 1]))
             runs = np.diff(np.append(heads, z - a)).astype(np.uint32)
-            # Each word is named once; the n-grams hold its number among them.
+            # Each word is named once, by what its hash's upper 48 bits are above those of the word before; the n-grams hold its number.
             used, number = w.distinct(self.word[a:z])
-            context, name = self.keys[a:z][heads] & KEY, self.names[used] & KEY
-            out.append(b.squeezed(b.arrays_out(context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), self.totals[a:z][heads].astype(np.uint64), runs,
+            context, name = self.keys[a:z][heads] & KEY, np.diff(self.names[used] >> np.uint64(16), prepend=np.uint64(0))
+            out.append(b.squeezed(b.arrays_out(context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), _narrow(self.totals[a:z][heads]), _narrow(runs),
                                                name.astype(np.uint32), (name >> np.uint64(32)).astype(np.uint16),
-                                               number.astype(np.uint16 if len(used) < 1 << 16 else np.uint32), self.counts[a:z])))
+                                               (number & 255).astype(np.uint8), _narrow(number >> 8), _narrow(self.counts[a:z]))))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([block] * len(ids), pa.int64()), pa.array(out, pa.binary())],
                                           names=["shard", "block", "payload"])
 
@@ -190,6 +190,12 @@ def _counted(payload) -> tuple[np.ndarray, np.ndarray]:
     return raw[:8 * n].view(np.uint64), np.unpackbits(raw[8 * n:], count=n).astype(bool)
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """In as few bytes as the largest needs."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
+
+
 def _joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
 
@@ -201,13 +207,13 @@ def _look_up(strength: float, last: bool):
         sizes = [len(g[6]) for g in got]
         # Contexts and words are named once for a block; n-grams are pairs of their numbers.
         contexts, context = w.distinct(np.concatenate([_joined(g[0], g[1]) for g in got]))
-        words, name = w.distinct(np.concatenate([_joined(g[4], g[5]) for g in got]))
+        words, name = w.distinct(np.concatenate([np.cumsum(_joined(g[4], g[5]), dtype=np.uint64) for g in got]))
         context = np.repeat(context, np.concatenate([g[3] for g in got]))
-        word = name[np.concatenate([g[6].astype(np.int64) + at for g, at in zip(got, np.cumsum([0, *(len(g[4]) for g in got)]))])]
+        word = name[np.concatenate([g[6] + (g[7].astype(np.int64) << 8) + at for g, at in zip(got, np.cumsum([0, *(len(g[4]) for g in got)]))])]
         grams, which = w.distinct(context * max(1, len(words)) + word)
-        counts = np.bincount(which, np.concatenate([g[7] for g in got]), minlength=len(grams))
+        counts = np.bincount(which, np.concatenate([g[8] for g in got]), minlength=len(grams))
         totals = np.zeros(len(grams), np.uint64)
-        totals[which] = np.concatenate([np.repeat(g[2], g[3]) for g in got])
+        totals[which] = np.concatenate([np.repeat(g[2], g[3]) for g in got]).astype(np.uint64)
         of, word = np.divmod(grams, max(1, len(words)))
         contexts, words, seen = contexts[of], words[word], counts > 0
         with tempfile.TemporaryDirectory() as folder:
