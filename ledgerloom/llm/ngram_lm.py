@@ -224,10 +224,10 @@ def _look_up(strength: float, last: bool):
             del level
         ends = np.cumsum(sizes)[:-1]
         if last:
-            return [b.arrays_out(c) for c in np.split(codes, ends)]
+            return [b.squeezed(b.arrays_out(c)) for c in np.split(codes, ends)]
         # A block asks for an n-gram once, so what stands here once no other block has.
         alone = (np.bincount(which, minlength=len(grams)) == 1)[which]
-        return [b.arrays_out(c, np.packbits(x)) for c, x in zip(np.split(codes, ends), np.split(alone, ends))]
+        return [b.squeezed(b.arrays_out(c, np.packbits(x))) for c, x in zip(np.split(codes, ends), np.split(alone, ends))]
     return reply
 
 
@@ -268,7 +268,7 @@ class _Known:
     def learn(self, answers: list) -> None:
         """Probabilities of this level, and the contexts of the next."""
         grams, k, t = self.grams(), strength_of(self.level), self.tokens
-        got = [b.arrays_in(p) for p in answers]
+        got = [b.arrays_in(b.unsqueezed(p)) for p in answers]
         codes = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.uint16)
         alone = np.concatenate([np.unpackbits(g[1], count=len(g[0])).astype(bool) if len(g) > 1 else np.zeros(len(g[0]), bool) for g in got]) if got else np.zeros(0, bool)
         # What it has alone the block counts itself, with the same rounding.
