@@ -3,6 +3,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BITS = 62  # of a row word, so that sums stay within a bigint
 FULL = (1 << BITS) - 1
+MARK, END = "\x01", "\x02"  # letters that no name has; texts that have one are compared by bits
 
 
 def _long(value: int) -> Column:
@@ -39,26 +40,39 @@ def _in_many_words(masks: Column, size: Column) -> Column:
     return F.aggregate(F.aggregate(masks, rows, step), F.lit(0), lambda n, row: n + BITS - F.bit_count(row))
 
 
+def _by_marks(longer: Column, shorter: Column) -> Column:
+    """Marks stand in the longer text behind the first place where a common subsequence of each length ends. A letter of the shorter
+    text moves the mark of each piece that has the letter to its first place there; the last piece, which has no mark, gains one."""
+    def step(text, letter):
+        return F.regexp_replace(text, F.concat(F.lit("(\\Q"), letter, F.lit(f"\\E)([^{MARK}]+){MARK}?")), F.lit(f"$1{MARK}$2"))
+    marked = F.aggregate(F.split(shorter, ""), F.concat(longer, F.lit(END)), step)
+    return F.length(marked) - F.length(longer) - 1
+
+
 def with_common_lengths(df: DataFrame, pairs: dict) -> DataFrame:
     """Adds the length of the longest common subsequence per entry of ``pairs``: name → (text column, text column), none of them null.
 
-    A fold over the letters of the shorter text. Its state is a row of bits,
-    one for each letter of the longer text, 62 to a word; each letter clears
-    the bit where the subsequence can grow, for all places at once. Words
-    carry into the next, so texts of any length take part.
+    A fold over the letters of the shorter text. Its state is the longer text
+    with a mark where the common subsequence of each length ends first; each
+    letter moves all marks it can in one replacement. Texts that have the mark
+    itself are folded in rows of bits, one for each letter of the longer text,
+    62 to a word; each letter clears the bit where the subsequence can grow, for
+    all places at once, and words carry into the next. Texts may have any length.
     """
     longer = {f"_x_{s}": F.when(F.length(a) >= F.length(b), F.col(a)).otherwise(F.col(b)) for s, (a, b) in pairs.items()}
     shorter = {f"_y_{s}": F.when(F.length(a) >= F.length(b), F.col(b)).otherwise(F.col(a)) for s, (a, b) in pairs.items()}
     work = df.withColumns(shorter | longer)
-    work = work.withColumns({f"{c}_letters": F.split(c, "") for c in (*shorter, *longer)})
-    work = work.withColumns({f"_m_{s}": _masks(F.col(f"_x_{s}_letters"), F.length(f"_x_{s}")) for s in pairs})
+    work = work.withColumns({f"_b_{s}": F.concat(f"_x_{s}", f"_y_{s}").rlike(f"[{MARK}{END}]") for s in pairs})
+    work = work.withColumns({f"{c}_letters": F.when(F.col(f"_b_{c[3:]}"), F.split(c, "")) for c in (*shorter, *longer)})
+    work = work.withColumns({f"_m_{s}": F.when(F.col(f"_b_{s}"), _masks(F.col(f"_x_{s}_letters"), F.length(f"_x_{s}"))) for s in pairs})
     # The places of each letter of the shorter text; null if the longer has none. The masks are named twice, as a column that
     # is named once would be put in place of its name, here into the loop over the letters.
     work = work.withColumns({f"_f_{s}": F.when(F.col(f"_m_{s}").isNotNull(), F.transform(f"_y_{s}_letters", _place_of(F.col(f"_m_{s}")))) for s in pairs})
     out = {}
     for s in pairs:
         size, masks = F.length(f"_x_{s}"), F.col(f"_f_{s}")
-        out[s] = F.when(F.length(f"_y_{s}") == 0, 0).when(size <= BITS, _in_one_word(masks)).otherwise(_in_many_words(masks, size)).cast("int")
+        bits = F.when(size <= BITS, _in_one_word(masks)).otherwise(_in_many_words(masks, size))
+        out[s] = F.when(F.length(f"_y_{s}") == 0, 0).when(F.col(f"_b_{s}"), bits).otherwise(_by_marks(F.col(f"_x_{s}"), F.col(f"_y_{s}"))).cast("int")
     return work.withColumns(out).select(*df.columns, *pairs)
 
 

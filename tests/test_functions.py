@@ -181,6 +181,25 @@ def test_common_lengths_of_long_texts(spark):
     assert got == {i: (longest(a, b),) * 2 for i, (a, b) in enumerate(pairs)}
 
 
+def test_common_lengths_by_marks(spark, plan):
+    """Letters with a meaning in patterns, and the mark itself; texts without it are not turned into bits."""
+    random.seed(12)
+    text_of = lambda n, letters: "".join(random.choices(letters, k=n))
+    pairs = [(text_of(random.randint(0, 90), letters), text_of(random.randint(0, 90), letters))
+             for letters in ("ab\\$.*[", "^|(){}?+E", "Qé🙂 1\n", "a\x01b", "\x02\x01") for _ in range(12)]
+
+    def longest(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            before = 0
+            for j, e in enumerate(y, 1):
+                before, row[j] = row[j], before + 1 if c == e else max(row[j], row[j - 1])
+        return row[-1]
+    df = similarity.with_common_lengths(spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string"), {"s": ("a", "b")})
+    assert {r.i: r.s for r in df.collect()} == {i: longest(a, b) for i, (a, b) in enumerate(pairs)}
+    assert "regexp_replace" in plan(df)
+
+
 def test_variant_rows_of_any_shape(spark):
     docs = [(1, '{"a": 1, "b": null, "c": {"x": "s", "y": {"z": 1.5}}, "l": [{"p": 1, "q": [{"r": 1}, {"r": 2, "s": []}]}, {"p": 2}], "m": [10, "[]", [7, 8]], "e": {}, "f": []}'),
             (2, None), (3, "[]"), (4, "not json"), (5, '[{"k": true}, 3]'), (6, '"text"'), (7, '{"only": [{"deep": [[{"x": 1}]]}]}'), (1, '{"a": 9}')]
