@@ -10,7 +10,8 @@ def _names(spark, d):
     """Opening and closing turns of conversations as names of one id."""
     turns = table(spark, d, "conversations")
     first = turns.select(F.col("conv_id").alias("national_id"), F.col("turn").alias("opt_in_date"), F.lower("text").alias("ops_name"))
-    own = turns.groupBy("conv_id").agg(F.max_by("text", "turn").alias("own_name"), F.min_by("text", "turn").alias("registry_name"))
+    place = F.when(F.col("turn").isNotNull(), F.struct("turn", "text"))  # of two texts of one turn always the same
+    own = turns.groupBy("conv_id").agg(F.max_by("text", place).alias("own_name"), F.min_by("text", place).alias("registry_name"))
     return first.join(own, F.col("national_id") == F.col("conv_id")).withColumns({
         "ops_id": F.when(F.col("conv_id") % 3 != 0, F.col("conv_id")), "own_name": F.lower("own_name"), "registry_name": F.lower("registry_name")}).drop("conv_id")
 

@@ -12,13 +12,23 @@ BATCHES = ("update_exact", "update_close", "names_swapped", "keep_id_match", "ke
 def name_scores(names: DataFrame) -> DataFrame:
     """Three pairwise scores for rows that already share the national id.
 
-    Comparing costs far more than the rows weigh, so they are dealt evenly over
-    all tasks first: their bytes alone would put them into a few.
+    Rows of an id share names, and comparing costs far more than the rows
+    weigh: each pair of names is compared once, whichever of the two comes
+    first, and the pairs are dealt evenly over all tasks before: their bytes
+    alone would put them into a few. A missing name scores nothing.
     """
-    dealt = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return with_token_scores(dealt, {
-        "own_ops": ("own_name", "ops_name"), "own_registry": ("own_name", "registry_name"),
-        "ops_registry": ("ops_name", "registry_name")})
+    pairs = {"own_ops": ("own_name", "ops_name"), "own_registry": ("own_name", "registry_name"), "ops_registry": ("ops_name", "registry_name")}
+    ends = {s: (F.when(F.col(a) <= F.col(b), F.col(a)).otherwise(F.col(b)), F.when(F.col(a) <= F.col(b), F.col(b)).otherwise(F.col(a))) for s, (a, b) in pairs.items()}
+    asked = names.select(F.explode(F.array(*[F.struct(x.alias("_x"), y.alias("_y")) for x, y in ends.values()])).alias("pair")).select("pair.*")
+    asked = asked.filter("_x is not null and _y is not null").distinct().repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    known = with_token_scores(asked, {"_score": ("_x", "_y")})
+    out = names
+    for s, (a, b) in pairs.items():
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        told = known.select(F.col("_x").alias("_kx"), F.col("_y").alias("_ky"), F.col("_score").alias("_ks"))
+        out = out.withColumns({"_x": F.when(both, ends[s][0]), "_y": F.when(both, ends[s][1])}).join(
+            told, (F.col("_x") == F.col("_kx")) & (F.col("_y") == F.col("_ky")), "left").withColumn(s, F.coalesce("_ks", F.lit(0))).drop("_x", "_y", "_kx", "_ky", "_ks")
+    return out
 
 
 def triage(names: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import similarity
 from ledgerloom.plans import bureau_submission as submission, kyc, limits, monitoring, recon, reports
 
 T, D = dt.datetime, dt.date
@@ -169,6 +170,16 @@ def test_kyc_batches_are_exclusive(spark):
     assert batches["7"] == "consult"
 
 
+def test_each_pair_of_names_is_compared_once(spark, plan):
+    rows = [(i, a, b, c) for i in range(20) for a, b, c in [("mary wanjiku", "mary wanjeri", "wanjiku m"), ("mary wanjeri", "mary wanjiku", None), (None, "x", "x"), ("", "é", "É")]]
+    df = spark.createDataFrame(rows, "i int, own_name string, ops_name string, registry_name string")
+    out = kyc.name_scores(df)
+    assert "HashAggregate(keys=[_x" in plan(out)
+    want = similarity.with_token_scores(df, {"own_ops": ("own_name", "ops_name"), "own_registry": ("own_name", "registry_name"), "ops_registry": ("ops_name", "registry_name")})
+    assert out.columns == want.columns and sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    assert sum(r.ops_registry == 100 for r in out.collect()) == 40
+
+
 def test_gender_and_term(spark):
     df = spark.createDataFrame([("Male", "Female"), (None, "x"), ("Male", None)], "own string, registry string")
     assert [r[0] for r in df.select(submission.gender_code(F.col("own"), F.col("registry"))).collect()] == ["F", None, "M"]
