@@ -162,10 +162,14 @@ def statement_files(spark, d):
                        text_of(party), F.lit(""), F.lit(""))
     kinds = o.filter("o_orderstatus <> 'P' and o_orderkey % 3 < 2").select(
         F.concat(F.when(F.col("o_orderstatus") == "F", "Disbursements").otherwise("Repayments"), F.lit("-2024-01-05-"), F.floor(F.col("o_custkey") / 300).cast("string")).alias("part"), line.alias("line"))
-    old = o.filter("o_orderstatus = 'P'").select(F.lit("Repayments-2024-01-04").alias("part"), line.alias("line"))
-    files = kinds.unionByName(old).groupBy("part").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    head = F.lit("Organisation\nShort code\nFrom\nTo\nPage\n\nReceipt No.,Completion Time\n")
-    files.select("part", F.concat(head, F.array_join("lines", "\n"), F.lit("\nTotal,"), F.size("lines").cast("string"), F.lit("\nEnd of statement")).alias("value")).write.partitionBy("part").text(path)
+    old = o.filter("o_orderstatus = 'P'").select(F.concat_ws("-", F.lit("Repayments-2024-01-04"), F.floor(F.col("o_custkey") / 300).cast("string")).alias("part"), line.alias("line"))
+    lines = kinds.unionByName(old)
+    # A file is written row by row: its head, its lines in order, its foot.
+    sizes = lines.groupBy("part").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    head, foot = F.lit("Organisation\nShort code\nFrom\nTo\nPage\n\nReceipt No.,Completion Time"), F.concat(F.lit("Total,"), "n", F.lit("\nEnd of statement"))
+    ends = sizes.select("part", F.explode(F.array(F.struct(F.lit(0).alias("place"), head.alias("value")), F.struct(F.lit(2).alias("place"), foot.alias("value")))).alias("end")).select("part", "end.*")
+    rows = lines.select("part", F.lit(1).alias("place"), F.col("line").alias("value")).unionByName(ends)
+    rows.repartition("part").sortWithinPartitions("part", "place", "value").drop("place").write.partitionBy("part").text(path)
     columns = ["receipt_number", "details", "completion_time", "initiation_time", "transaction_status", "paid_in", "other_party_info", "is_disbursement"]
     stored = o.filter("o_orderkey % 4 = 0").select(
         F.concat(F.lit("R"), key).alias("receipt_number"), details.alias("details"), F.lit(dt.datetime(1990, 1, 1)).cast("timestamp").alias("completion_time"),

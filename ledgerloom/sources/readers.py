@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 BAD_ROW = "_bad_row"
+LINE_BITS = 16  # a block of lines has at most two to the power of it
 
 # Text form of times in exchanged files; keeps microseconds.
 TIME_FORMATS = {
@@ -60,15 +61,16 @@ def file_lines(spark: SparkSession, path: str) -> DataFrame:
     """``value``, ``file_name`` and the line's exact number in its file, ``line`` (from 0) of ``n_lines``.
 
     A file is scanned in blocks, each by one task. The lines of a block are
-    numbered in the scan; what the blocks before hold is a prefix sum over the
-    blocks of the file, so nothing is sorted and a file may have any size.
+    numbered in the scan, and 65,536 of them close it; what the blocks
+    before hold is a prefix sum over the blocks of the file, so nothing is
+    sorted and a file may have any size.
     """
+    at = F.monotonically_increasing_id()
     scanned = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file_name"), F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")).alias("_block"),
-        F.monotonically_increasing_id().alias("_at"))
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.shiftright(at, LINE_BITS).alias("piece")).alias("_block"), at.alias("_at"))
     blocks = scanned.groupBy("_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before, whole = Window.partitionBy("_block.file").orderBy("_block.start").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_block.file")
+    before, whole = Window.partitionBy("_block.file").orderBy("_block.start", "_block.piece").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_block.file")
     blocks = blocks.select("_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("n_lines"))
     return scanned.join(blocks, "_block").select("value", "file_name", (F.col("_at") - F.col("_first") + F.col("_before")).alias("line"), "n_lines", "_block")
 
@@ -87,7 +89,7 @@ def csv_records(lines: DataFrame, quote: str = '"') -> DataFrame:
     counted = lines.withColumn("_quotes", quotes).withColumn("_in", F.sum("_quotes").over(inside)).withColumn("_even", F.col("_in") % 2 == 0)
     counted = counted.withColumns({"_n_even": F.count_if("_even").over(inside), "_n_odd": F.count_if(~F.col("_even")).over(inside)})
     blocks = counted.groupBy("_block").agg(F.max("_in").alias("_q"), F.max("_n_even").alias("_e"), F.max("_n_odd").alias("_o"))
-    before = Window.partitionBy("_block.file").orderBy("_block.start").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_block.file").orderBy("_block.start", "_block.piece").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_odd", F.coalesce(F.sum("_q").over(before), F.lit(0)) % 2 == 1)
     ended = F.sum(F.when(F.col("_odd"), F.col("_o")).otherwise(F.col("_e"))).over(before)
     rows = counted.join(blocks.select("_block", "_odd", F.coalesce(ended, F.lit(0)).alias("_ended")), "_block")

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.catalog import files
 from ledgerloom.operators import ingest
 from ledgerloom.operators.joins import day_spine
 from ledgerloom.session import shared_dir
@@ -110,6 +111,35 @@ def test_preamble_footer_and_breaks_over_blocks(spark, tmp_path, rows, block):
         spark.conf.set("spark.sql.files.openCostInBytes", before[1])
 
 
+def test_lines_of_a_large_block_are_dealt_in_pieces(spark, tmp_path, rows):
+    n = 1 << readers.LINE_BITS
+    values = [str(i) for i in range(n + 2000)]
+    values[n - 4] = '"over\nthe\nedge\nof\na piece"'
+    write(tmp_path / "big.csv", "a\nb\n" + "".join(f"{i},{v}\n" for i, v in enumerate(values)) + "end\n")
+    lines = readers.file_lines(spark, str(tmp_path)).groupBy("_block").agg(F.count("*").alias("n"))
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() == 1
+    assert sorted(r.n for r in lines.collect()) == [2007, n]
+    got = readers.csv_after_preamble(spark, str(tmp_path), "id int, value string", 2, drop_last=1)
+    assert rows(got, "id", "value") == [(i, v.strip('"')) for i, v in enumerate(values)]
+
+
+def test_statement_files_are_written_line_by_line(spark, tmp_path, monkeypatch):
+    """No file holds all rows of a day, none is put together in one row, and each has its head, its lines in order and its foot."""
+    monkeypatch.setattr(files, "shared_dir", lambda _, name: str(tmp_path / name))
+    orders = spark.range(3000).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 900).alias("o_custkey"), F.element_at(F.array(*map(F.lit, "FOP")), (F.col("id") % 3 + 1).cast("int")).alias("o_orderstatus"),
+        F.lit(dt.datetime(2000, 1, 1)).alias("o_orderdate"), F.lit(7.5).alias("o_totalprice"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    files.statement_files(spark, str(tmp_path))
+    texts = {f.parent.name: f.read_text() for f in (tmp_path / "statements").glob("*/*.txt")}
+    assert sorted(f for f in texts if "2024-01-04" in f) == [f"part=Repayments-2024-01-04-{k}" for k in range(3)]
+    for text in texts.values():
+        head, lines = text.split("Receipt No.,Completion Time\n")
+        lines, foot = lines.split("\nTotal,")
+        starts = [line for line in lines.split("\n") if line.startswith("R")]
+        assert head.startswith("Organisation\n") and head.count("\n") == 6 and starts == sorted(starts) and foot == f"{len(starts)}\nEnd of statement\n"
+
+
 def test_statement_and_whitelist_files(spark, tmp_path, rows):
     head = "\n".join(["Org", "Name", "From", "To", "Page", "Rows"]) + "\nReceipt No.,Completion Time\n"
     line = "R1,05-01-2024 10:11:12,05-01-2024 10:11:00,Disbursement to 7 - Shop,Completed,,-99.5,10,true,1 day,p,l,a\n"
