@@ -55,9 +55,9 @@ class Scratch:
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def to_payload(table: pa.Table) -> bytes:
+def to_payload(table: pa.Table, level: int = 1) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as out:
         out.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
@@ -79,8 +79,8 @@ def squeezed(value: bytes) -> bytes:
     return len(value).to_bytes(8, "little") + pa.compress(value, "zstd", asbytes=True)
 
 
-def unsqueezed(value: pa.BinaryScalar) -> pa.Buffer:
-    raw = value.as_buffer()
+def unsqueezed(value: pa.BinaryScalar | pa.Buffer) -> pa.Buffer:
+    raw = value if isinstance(value, pa.Buffer) else value.as_buffer()
     return pa.decompress(raw.slice(8), int.from_bytes(raw.slice(0, 8).to_pybytes(), "little"), "zstd")
 
 
@@ -94,14 +94,14 @@ def arrays_in(value: pa.BinaryScalar | pa.Buffer) -> list[np.ndarray]:
     return out
 
 
-def _packer(size: int) -> Callable:
+def _packer(size: int, level: int) -> Callable:
     def pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, n_bytes, n_rows, made = TaskContext.get().partitionId(), [], 0, 0, 0
 
         def row():
             table = pa.Table.from_batches(held)
             return pa.RecordBatch.from_arrays([pa.array([part << 20 | made]), pa.array([table.num_rows]), pa.array([n_bytes]),
-                                               pa.array([to_payload(table)], pa.binary())], names=["block", "n_texts", "n_bytes", "payload"])
+                                               pa.array([to_payload(table, level)], pa.binary())], names=["block", "n_texts", "n_bytes", "payload"])
 
         for batch in batches:
             lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -130,10 +130,11 @@ def pieces(table: pa.Table | pa.RecordBatch, column: str = "text", size: int = 2
         i = j
 
 
-def pack(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, *more, size: int = BLOCK_BYTES) -> DataFrame:
-    """Rows ``id, text`` (and the columns ``more``) in blocks, stored. A text longer than ``size`` is a block of its own; no block has more than BLOCK_ROWS rows."""
+def pack(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, *more, size: int = BLOCK_BYTES, level: int = 1) -> DataFrame:
+    """Rows ``id, text`` (and the columns ``more``) in blocks, stored, compressed to a ``level``. A text longer than ``size`` is a block of its own;
+    no block has more than BLOCK_ROWS rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *more)
-    return scratch.save(rows.mapInArrow(_packer(size), PACKED), "packed")
+    return scratch.save(rows.mapInArrow(_packer(size, level), PACKED), "packed")
 
 
 def shards_for(packed: DataFrame, text_bytes: int = SHARD_BYTES) -> int:

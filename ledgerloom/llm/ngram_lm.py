@@ -35,6 +35,7 @@ STRENGTH = {2: 100.0, 3: 2.0}  # K of a level; levels above take the last
 FOLDS = 10                   # documents with crc32(id) mod FOLDS = 0 are held out
 SPLIT = 100_000              # occurrences of a context for each shard it is dealt to
 STEPS = 6000                 # codes for a factor of ten
+PACKING = 2                  # zstd level of the blocks, which travel once for each level of the trie
 END, BEGIN = np.uint64(0xE4D), np.uint64(0xBE61)
 KEY = np.uint64((1 << 48) - 1)
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -174,20 +175,19 @@ class Grams:
 
 
 def _count_words(_, payloads):
-    """Total counts of words, then a bit for each that no other block has; before them the shard's tokens and distinct words, as two
+    """Total counts of words and a bit for each that no other block has; before them the shard's tokens and distinct words, as two
     big-endian numbers."""
     got = [b.arrays_in(b.unsqueezed(p)) for p in payloads]
     distinct, number = w.distinct(np.concatenate([g[0] for g in got]))
     total = np.bincount(number, np.concatenate([g[1] for g in got]), minlength=len(distinct))
     head = np.array([total.sum(), (total > 0).sum()]).astype(">i8").tobytes()
     alone, ends = np.bincount(number, minlength=len(distinct)) == 1, np.cumsum([len(g[0]) for g in got])[:-1]
-    return [head + t.astype(np.uint64).tobytes() + np.packbits(x).tobytes() for t, x in zip(np.split(total[number], ends), np.split(alone[number], ends))]
+    return [head + b.squeezed(b.arrays_out(_narrow(t.astype(np.uint64)), np.packbits(x))) for t, x in zip(np.split(total[number], ends), np.split(alone[number], ends))]
 
 
 def _counted(payload) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(payload.as_buffer(), np.uint8)[16:]
-    n = len(raw) * 8 // 65  # eight bytes and a bit each
-    return raw[:8 * n].view(np.uint64), np.unpackbits(raw[8 * n:], count=n).astype(bool)
+    counts, alone = b.arrays_in(b.unsqueezed(payload.as_buffer().slice(16)))
+    return counts.astype(np.uint64), np.unpackbits(alone, count=len(counts)).astype(bool)
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -308,7 +308,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", taug
     """
     scratch = b.Scratch(docs.sparkSession, "ngrams")
     learns = F.coalesce(fold(F.col(id_col), FOLDS) != 0 if taught is None else taught, F.lit(False)).alias("taught")
-    packed = b.pack(scratch, docs, id_col, text_col, learns, size=block_bytes)
+    packed = b.pack(scratch, docs, id_col, text_col, learns, size=block_bytes, level=PACKING)
     shards = b.shards_for(packed)
 
     def ask_words(block, rows):

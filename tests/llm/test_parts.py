@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerloom.llm import chosen_path, fuse_dedup, line_templates, lpf_dedup, quality, token_counts, words
+from ledgerloom.llm import blocks as b
+from ledgerloom.llm import chosen_path, fuse_dedup, line_templates, lpf_dedup, ngram_lm, quality, token_counts, words
 from ledgerloom.llm.blocks import Scratch
 from ledgerloom.llm.components import components
 from ledgerloom.llm.elias_fano import EliasFano
@@ -171,3 +172,14 @@ def test_distinct_is_unique(top):
         values = np.concatenate([values, values[:n // 2], values[:n // 3] ^ np.uint64(1)])
         got, want = words.distinct(values), np.unique(values, return_inverse=True)
         assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+
+
+def test_word_counts_travel_in_few_bytes():
+    words = np.arange(1, 5001, dtype=np.uint64) << np.uint64(40)
+    sent = [pa.scalar(b.squeezed(b.arrays_out(words[s], np.full(len(words[s]), 3, np.uint32))), pa.binary()) for s in (slice(0, 5000), slice(2500, 5000))]
+    replies = ngram_lm._count_words(0, sent)
+    assert [len(r) < 1000 for r in replies] == [True, True]
+    for r, n in zip(replies, (5000, 2500)):
+        counts, alone = ngram_lm._counted(pa.scalar(r, pa.binary()))
+        assert counts.dtype == np.uint64 and counts.tolist() == [3] * (n - 2500) + [6] * 2500 and alone.tolist() == [True] * (n - 2500) + [False] * 2500
+    assert [int.from_bytes(replies[0][i:i + 8], "big") for i in (0, 8)] == [22500, 5000]
